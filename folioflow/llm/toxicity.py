@@ -144,7 +144,8 @@ class Scorer:
         if len(self.hits) > _MOST_SEEN:
             self.hits.clear()
         share = (exact + fuzzy) / len(words) if words else 0.0
-        return [1.0, float(exact > 0), math.log1p(exact), float(fuzzy > 0), math.log1p(fuzzy), math.log1p(quoted), math.log1p(densest), min(1.0, 10 * share)]
+        weight = exact + 0.7 * fuzzy  # a misspelled term counts a little less
+        return [1.0, float(weight > 0), math.log1p(weight), math.log1p(quoted), math.log1p(densest), min(1.0, 10 * share)]
 
 
 def _terms(words: set[str]):
@@ -169,7 +170,12 @@ def learn(texts: list[str], toxic: list[int], prior: float, most_terms: int = 20
         if not any(t.startswith(s) for s in chosen if not s.endswith("$")):
             chosen.append(t)
     chosen = sorted(chosen, key=lambda t: (-good[t], t))[:most_terms]
-    # A stem that is nothing but one word is that word.
+    # A stem gives way to the longest term that holds nearly all of its texts: the word or stem it was cut from.
+    whole = []
+    for t in chosen:
+        longer = [u for u in good if u.startswith(t.rstrip("$")) and good[u] >= 0.9 * good[t]]
+        whole.append(max(longer, key=lambda u: (len(u), u)) if longer and not t.endswith("$") else t)
+    chosen = whole
     stems = [t for t in chosen if not t.endswith("$")]
     words = [t[:-1] for t in chosen if t.endswith("$")]
     clean_words = set().union(*(b for b, y in zip(bags, toxic, strict=True) if not y)) if n[0] else set()
@@ -181,12 +187,12 @@ def learn(texts: list[str], toxic: list[int], prior: float, most_terms: int = 20
                 risky.add(term)
     lexicon = Lexicon(stems, words, frozenset(risky))
     scorer = Scorer(lexicon)
-    x = np.array([scorer.features(t) for t in texts]) if texts else np.zeros((0, 8))
-    y, w = np.array(toxic, float), np.zeros(8)
+    x = np.array([scorer.features(t) for t in texts]) if texts else np.zeros((0, 6))
+    y, w = np.array(toxic, float), np.zeros(6)
     for _ in range(30):
         p = 1 / (1 + np.exp(-x @ w))
         grad = x.T @ (y - p) - 0.05 * w
-        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(8), grad)
+        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(6), grad)
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     w[0] += math.log(prior / (1 - prior)) - math.log(n[1] / n[0])
     return lexicon, w
@@ -211,7 +217,7 @@ def score_texts(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, id_col:
     def run(batches):
         scorer = Scorer(stems[0])
         for batch in batches:
-            x = np.array([scorer.features(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, 8)
+            x = np.array([scorer.features(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, 6)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(x @ stems[1], -30, 30))))], ["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
