@@ -11,8 +11,9 @@ by equality; no bucket is capped.
 
 Links are confirmed on the full shingle sets. Copies with the same set are one class before any key is made. Within a
 bucket, only pairs across components not yet joined are confirmed: some rounds link members to one representative
-each, then whatever is still apart is compared pair by pair, so no link that could join two components is missed,
-while a group of thousands of near copies costs about one comparison per member.
+each, then what is still apart is compared pair by pair where the counts of shared shingles leave a link possible. No
+link that could join two components is missed, while a group of thousands of near copies costs a few comparisons per
+member.
 """
 
 from __future__ import annotations
@@ -140,8 +141,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = open_.join(head, "key").where((F.col("comp") != F.col("hc")) & sized("n", "hn"))
             pairs = pairs.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
         else:
-            other = open_.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-            pairs = open_.join(other, "key").where((F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")) & sized("n", "n2"))
+            # A link needs an overlap of percent of either set, and an overlap holds only shingles that two open
+            # texts have. Texts with too many shingles of their own drop out, which leaves others with more.
+            for turn in range(2):
+                own = sets.join(open_.select("rep").distinct(), "rep", "left_semi")
+                alone = own.select("rep", F.explode("grams").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep")).where("n = 1")
+                alone = alone.groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
+                most = open_.select("rep", "n").distinct().join(alone, "rep", "left").select("rep", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
+                open_ = open_.drop("most").join(most, "rep").where(100 * F.col("most") >= percent * F.col("n"))
+                apart = open_.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+                open_ = ws.table(open_.join(apart, "key"), f"last-{turn}")
+            other = open_.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("most").alias("most2"))
+            bound = F.least("most", "most2")
+            pairs = open_.join(other, "key").where(
+                (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")) & (100 * bound >= percent * (F.col("n") + F.col("n2") - bound))
+            )
             pairs = pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
         found = ws.table(confirmed(pairs), f"links-{k}")
         links = found if links is None else links.union(found)
@@ -154,7 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             open_ = ws.table(at.join(apart, "key"), f"open-{k}")
             if open_.isEmpty():
                 break
-    ws.drop("sets", "buckets", *(f"open-{k}" for k in range(rounds)), *(f"links-{k}" for k in range(rounds + 1)))
+    ws.drop("sets", "buckets", "last-0", "last-1", *(f"open-{k}" for k in range(rounds)), *(f"links-{k}" for k in range(rounds + 1)))
     comp = members.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("doc_id").alias("_id"), F.coalesce("comp", "rep").alias("comp"))
     return sigs.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("_id"), "left").select(
         "doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"), (F.coalesce("comp", "doc_id") == F.col("doc_id")).alias("kept")
