@@ -3,9 +3,19 @@
 from __future__ import annotations
 
 from .common import read
+from .decontaminate import ORACLE as CONTAMINATION_SQL
+from .decontaminate import contamination
 from .exact_dedup import ORACLE as EXACT_SQL
 from .exact_dedup import exact_groups
+from .mixing import mixture
 from .near_dedup import near_duplicates
+from .secrets import ORACLE as SECRETS_SQL
+from .secrets import find_secrets
+from .toxicity import toxicity
+
+
+def op1_mixing(spark, sf_dir):
+    return mixture(read(spark, sf_dir, "documents"))
 
 
 def op2_exact_dedup(spark, sf_dir):
@@ -16,5 +26,17 @@ def op5_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_minhash_near_dedup)}
-ORACLE_SQL = {"op2_exact_dedup": EXACT_SQL}
+def op6_toxicity(spark, sf_dir):
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_secret_scan(spark, sf_dir):
+    return find_secrets(read(spark, sf_dir, "documents"))
+
+
+def op9_decontaminate(spark, sf_dir):
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op5_minhash_near_dedup, op6_toxicity, op8_secret_scan, op9_decontaminate)}
+ORACLE_SQL = {"op2_exact_dedup": EXACT_SQL, "op8_secret_scan": SECRETS_SQL, "op9_decontaminate": CONTAMINATION_SQL}
