@@ -7,10 +7,12 @@ from .decontaminate import ORACLE as CONTAMINATION_SQL
 from .decontaminate import contamination
 from .exact_dedup import ORACLE as EXACT_SQL
 from .exact_dedup import exact_groups
+from .language import identify
 from .mixing import mixture
 from .near_dedup import near_duplicates
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import find_secrets
+from .token_files import token_output
 from .toxicity import toxicity
 
 
@@ -22,6 +24,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark, sf_dir):
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -38,5 +44,9 @@ def op9_decontaminate(spark, sf_dir):
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op5_minhash_near_dedup, op6_toxicity, op8_secret_scan, op9_decontaminate)}
+def op10_token_output(spark, sf_dir):
+    return token_output(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_language_id, op5_minhash_near_dedup, op6_toxicity, op8_secret_scan, op9_decontaminate, op10_token_output)}
 ORACLE_SQL = {"op2_exact_dedup": EXACT_SQL, "op8_secret_scan": SECRETS_SQL, "op9_decontaminate": CONTAMINATION_SQL}
