@@ -23,7 +23,7 @@ MAGIC = b"IDC1"
 BLOCK = 2048
 _BITS = 16
 _ONE = 1 << _BITS
-_SLOTS1, _SLOTS2 = 1024, 2048
+_SLOTS1, _SLOTS2 = 512, 1024
 _U = np.uint64
 
 
@@ -41,52 +41,51 @@ def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Model:
-    """State of all blocks of a segment: prediction tables, estimates and mixing weights."""
+    """State of all blocks of a segment: prediction tables, estimates and mixing weights.
+
+    A table entry is an id times 4 plus its confidence; an estimate entry holds the order-2 chance in its high and the
+    order-1 chance in its low 16 bits.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.t1, self.t2 = self.lane * _SLOTS1, self.lane * _SLOTS2
-        self.id1, self.id2 = np.full(lanes * _SLOTS1, -1, np.int32), np.full(lanes * _SLOTS2, -1, np.int32)
-        self.c1, self.c2 = np.zeros(lanes * _SLOTS1, np.int8), np.zeros(lanes * _SLOTS2, np.int8)
-        start = 1 << 12
-        self.a2, self.b2 = np.full(lanes * 32, start, np.int32), np.full(lanes * 64, start, np.int32)
-        self.a1 = np.full(lanes * 32, start, np.int32)
-        self.w = np.full(lanes, 128, np.int32)
-        self.prev, self.last, self.past = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        lane = np.arange(lanes)
+        self.base1, self.base2, self.base_a, self.base_b = lane * _SLOTS1, lane * _SLOTS2, lane * 32, lane * 64
+        self.table1, self.table2 = np.full(lanes * _SLOTS1, -4, np.int32), np.full(lanes * _SLOTS2, -4, np.int32)
+        self.table_a, self.table_b = np.full(lanes * 32, (1 << 28) + (1 << 12)), np.full(lanes * 64, 1 << 12)
+        self.w = np.full(lanes, 128)
+        self.prev, self.last, self.past = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def cut(self, n: int) -> None:
         """Go on with the first n blocks only."""
-        for name in ("lane", "t1", "t2", "w", "prev", "last", "past"):
+        for name in ("base1", "base2", "base_a", "base_b", "w", "prev", "last", "past"):
             setattr(self, name, getattr(self, name)[:n])
 
     def predict(self):
-        self.at1 = self.t1 + (self.last & (_SLOTS1 - 1))
-        self.at2 = self.t2 + (((self.prev * 0x2F1B) ^ (self.last * 0x5E35)) & (_SLOTS2 - 1))
-        self.p1, self.p2 = self.id1[self.at1], self.id2[self.at2]
-        self.k1, self.k2 = self.c1[self.at1].astype(np.int32), self.c2[self.at2].astype(np.int32)
-        same = (self.p1 == self.p2).astype(np.int32)
-        ctx = self.k2 * 8 + self.k1 * 2 + same
-        self.ia2, self.ib2, self.ia1 = self.lane * 32 + ctx, self.lane * 64 + (self.past & 15) * 4 + self.k2, self.lane * 32 + ctx
-        self.ea, self.eb = self.a2[self.ia2], self.b2[self.ib2]
-        q2 = np.where(self.p2 >= 0, (self.w * self.ea + (256 - self.w) * self.eb) >> 8, 0)
-        rest = _ONE - q2
-        q1 = np.where((self.p1 >= 0) & (same == 0), (rest * (self.a1[self.ia1] >> 1)) >> 15, 0)
+        self.at1 = self.base1 + (self.last & (_SLOTS1 - 1))
+        self.at2 = self.base2 + (((self.prev * 0x2F1B) ^ (self.last * 0x5E35)) & (_SLOTS2 - 1))
+        self.e1, self.e2 = self.table1.take(self.at1).astype(np.int64), self.table2.take(self.at2).astype(np.int64)
+        self.p1, self.p2, self.k1, self.k2 = self.e1 >> 2, self.e2 >> 2, self.e1 & 3, self.e2 & 3
+        same = self.p1 == self.p2
+        self.at_a = self.base_a + ((self.k2 << 3) + (self.k1 << 1) + same)
+        self.at_b = self.base_b + (((self.past & 15) << 2) + self.k2)
+        both = self.table_a.take(self.at_a)
+        self.a2, self.a1, self.b2 = both >> 16, both & 0xFFFF, self.table_b.take(self.at_b)
+        q2 = ((self.w * self.a2 + (256 - self.w) * self.b2) >> 8) * (self.e2 >= 0)
+        q1 = (((_ONE - q2) * self.a1) >> 17) * ((self.e1 >= 0) & ~same)
         return q2, q1
 
     def learn(self, ids: np.ndarray) -> None:
         hit2, hit1 = ids == self.p2, ids == self.p1
-        goal = np.where(hit2, 65000, 400)
-        good_a = np.abs(goal - self.ea) < np.abs(goal - self.eb)
-        self.w = np.clip(self.w + np.where(good_a, 4, -4), 16, 240)
-        self.a2[self.ia2] += (goal - self.ea) >> 4
-        self.b2[self.ib2] += (goal - self.eb) >> 4
-        miss = ~hit2
-        own = self.a1[self.ia1]
-        self.a1[self.ia1] = np.where(miss, own + ((np.where(hit1, 65000, 400) - own) >> 4), own)
-        self.past = (self.past << 1) | hit2
-        for table, count, at, hit, k in ((self.id1, self.c1, self.at1, hit1, self.k1), (self.id2, self.c2, self.at2, hit2, self.k2)):
-            count[at] = np.where(hit, np.minimum(k + 1, 3), np.maximum(k - 2, 0))
-            table[at] = np.where(hit | (k < 2), ids, table[at])
+        goal = hit2 * 64600 + 400
+        da, db = goal - self.a2, goal - self.b2
+        self.w = np.minimum(np.maximum(self.w + ((np.abs(da) < np.abs(db)) * 8 - 4), 16), 240)
+        a1 = self.a1 + (((hit1 * 64600 + 400 - self.a1) >> 4) * ~hit2)
+        self.table_a[self.at_a] = ((self.a2 + (da >> 4)) << 16) + a1
+        self.table_b[self.at_b] = self.b2 + (db >> 4)
+        self.past = (self.past << 1) + hit2
+        new = ids << 2
+        self.table1[self.at1] = np.where(hit1, self.e1 + (self.k1 < 3), np.where(self.k1 < 2, new, self.e1 - 2))
+        self.table2[self.at2] = np.where(hit2, self.e2 + (self.k2 < 3), np.where(self.k2 < 2, new, self.e2 - 2))
         self.prev, self.last = self.last, ids
 
 
@@ -100,35 +99,37 @@ def encode(ids: np.ndarray) -> bytes:
     lows = np.concatenate([[0], np.cumsum(freq)])[:-1]
     sizes = np.full(lanes, BLOCK)
     sizes[-1] = n - BLOCK * (lanes - 1)
-    grid = np.zeros((BLOCK, lanes), np.int32)
-    where = np.zeros((BLOCK, lanes), np.int32)
-    flat = np.zeros(lanes * BLOCK, np.int32)
+    flat = np.zeros(lanes * BLOCK, np.int64)
     flat[:n] = ids
-    grid[:] = flat.reshape(lanes, BLOCK).T
-    flat[:n] = np.searchsorted(values, ids)
-    where[:] = flat.reshape(lanes, BLOCK).T
+    grid = flat.reshape(lanes, BLOCK).T.copy()
+    if values[-1] < 1 << 22:
+        place = np.zeros(values[-1] + 1, np.int64)
+        place[values] = np.arange(len(values))
+        flat[:n] = place[ids]
+    else:
+        flat[:n] = np.searchsorted(values, ids)
+    where = flat.reshape(lanes, BLOCK).T.copy()
     model = _Model(lanes)
     words = np.zeros((lanes, 2 * BLOCK + 8), np.int32)
     count = np.zeros(lanes, np.int64)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 48, np.uint64)
     mask = _U((1 << 48) - 1)
 
-    def put(start, size, on):
+    def put(start, size):
         nonlocal low, span
         unit = span >> _U(_BITS)
-        low = low + unit * start.astype(np.uint64)
-        span = unit * size.astype(np.uint64)
-        over = low > mask
-        if over.any():
-            at = np.flatnonzero(over)
-            words[at, count[at] - 1] += 1  # a carry; settled at the end
+        low = low + unit * start.view(np.uint64)
+        span = unit * size.view(np.uint64)
+        over = np.flatnonzero(low > mask)
+        if len(over):
+            words[over, count[over] - 1] += 1  # a carry; settled at the end
             low &= mask
-        small = span < _U(1 << 32)
-        if small.any():
-            at = np.flatnonzero(small)
-            words[at, count[at]] = (low[at] >> _U(32)).astype(np.int32)
+        at = np.flatnonzero(span < _U(1 << 32))
+        if len(at):
+            own = low[at]
+            words[at, count[at]] = (own >> _U(32)).astype(np.int32)
             count[at] += 1
-            low[at] = (low[at] << _U(16)) & mask
+            low[at] = (own << _U(16)) & mask
             span[at] <<= _U(16)
 
     for t in range(BLOCK):
@@ -144,12 +145,10 @@ def encode(ids: np.ndarray) -> bytes:
         hit2 = (now == model.p2) & (q2 > 0)
         hit1 = ~hit2 & (now == model.p1) & (q1 > 0)
         free = ~(hit2 | hit1)
-        put(np.where(hit2, 0, np.where(hit1, q2, q2 + q1)), np.where(hit2, q2, np.where(hit1, q1, _ONE - q2 - q1)), None)
+        both = q2 + q1
+        put(hit1 * q2 + free * both, np.where(hit2, q2, np.where(hit1, q1, _ONE - both)))
         own = where[t, :live]
-        if not free.all():
-            put(np.where(free, lows[own], 0), np.where(free, freq[own], _ONE), None)
-        else:
-            put(lows[own], freq[own], None)
+        put(lows.take(own) * free, np.where(free, freq.take(own), _ONE))
         model.learn(now)
     _finish(words, count, low, slice(0, len(low)))
     most = int(count.max())
@@ -179,7 +178,7 @@ def decode(data: bytes, only: list[int] | None = None) -> np.ndarray:
     if not n:
         return np.zeros(0, np.int32)
     at = 16
-    values, freq = np.frombuffer(data, "<u4", distinct, at).astype(np.int32), np.frombuffer(data, "<u4", distinct, at + 4 * distinct).astype(np.int64)
+    values, freq = np.frombuffer(data, "<u4", distinct, at).astype(np.int64), np.frombuffer(data, "<u4", distinct, at + 4 * distinct).astype(np.int64)
     at += 8 * distinct
     count, sums = np.frombuffer(data, "<u4", lanes, at).astype(np.int64), np.frombuffer(data, "<u4", lanes, at + 4 * lanes)
     at += 8 * lanes
@@ -192,8 +191,8 @@ def decode(data: bytes, only: list[int] | None = None) -> np.ndarray:
     if only is not None:
         starts, sizes, sums = starts[only], sizes[only], sums[only]
         lanes = len(only)
-    body = np.concatenate([body, np.zeros(4, np.uint64)])
-    slot = np.repeat(np.arange(distinct, dtype=np.int32), freq)
+    body = np.concatenate([body, np.zeros(8, np.uint64)])
+    slot = np.repeat(np.arange(distinct), freq)
     lows = np.concatenate([[0], np.cumsum(freq)])[:-1]
     order = np.argsort(-sizes, kind="stable")  # full blocks first
     starts, sizes = starts[order], sizes[order]
@@ -205,11 +204,11 @@ def decode(data: bytes, only: list[int] | None = None) -> np.ndarray:
 
     def take(start, size, unit):
         nonlocal code, span, at
-        code = code - unit * start.astype(np.uint64)
-        span = unit * size.astype(np.uint64)
+        code = code - unit * start.view(np.uint64)
+        span = unit * size.view(np.uint64)
         small = np.flatnonzero(span < _U(1 << 32))
         if len(small):
-            code[small] = ((code[small] << _U(16)) & mask) | body[np.minimum(at[small], len(body) - 1)]
+            code[small] = ((code[small] << _U(16)) & mask) | body[at[small]]
             span[small] <<= _U(16)
             at[small] += 1
 
@@ -222,14 +221,15 @@ def decode(data: bytes, only: list[int] | None = None) -> np.ndarray:
             model.cut(live)
         q2, q1 = model.predict()
         unit = span >> _U(_BITS)
-        value = np.minimum(code // unit, _U(_ONE - 1)).astype(np.int64)
-        hit2, hit1 = value < q2, (value >= q2) & (value < q2 + q1)
-        free = ~(hit2 | hit1)
-        take(np.where(hit2, 0, np.where(hit1, q2, q2 + q1)), np.where(hit2, q2, np.where(hit1, q1, _ONE - q2 - q1)), unit)
+        value = np.minimum(code // unit, _U(_ONE - 1)).view(np.int64)
+        both = q2 + q1
+        hit2, free = value < q2, value >= both
+        hit1 = ~(hit2 | free)
+        take(hit1 * q2 + free * both, np.where(hit2, q2, np.where(hit1, q1, _ONE - both)), unit)
         unit = span >> _U(_BITS)
-        own = slot[np.minimum(code // unit, _U(_ONE - 1)).astype(np.int64)]
-        take(np.where(free, lows[own], 0), np.where(free, freq[own], _ONE), unit)
-        now = np.where(hit2, model.p2, np.where(hit1, model.p1, values[own])).astype(np.int32)
+        own = slot.take(np.minimum(code // unit, _U(_ONE - 1)).view(np.int64))
+        take(lows.take(own) * free, np.where(free, freq.take(own), _ONE), unit)
+        now = np.where(hit2, model.p2, np.where(hit1, model.p1, values.take(own)))
         out[t, :live] = now
         model.learn(now)
     back = np.empty(lanes, np.int64)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import coder
 from .common import Workspace
 
-SEGMENT = 2_000_000
+SEGMENT = 4_000_000
 END_ID = 1
 _MOST_WORDS = 500_000
 #: A run of Latin-1 letters, then marks: the tokenizer splits between the two and lower-cases letter by letter.
@@ -135,7 +135,7 @@ def _decoded(batches):
 def read_tokens(spark: SparkSession, where: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32; raises when a checksum fails."""
     files = spark.read.schema(_FILE).parquet(where)
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row for each segment of two million ids
+    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row for each segment of SEGMENT ids
     base = files.select("part", "seq", "n_ids").withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).drop("n_ids")
     docs = files.mapInArrow(_decoded, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
     return docs.join(base, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
