@@ -151,12 +151,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 open_ = open_.drop("most").join(most, "rep").where(100 * F.col("most") >= percent * F.col("n"))
                 apart = open_.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
                 open_ = ws.table(open_.join(apart, "key"), f"last-{turn}")
-            other = open_.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("most").alias("most2"))
+            # A pair is made in the first of the buckets that it shares, not in each of them.
+            own = open_.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most 64 keys each
+            open_ = open_.join(own, "rep")
+            other = open_.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("most").alias("most2"), F.col("keys").alias("keys2"))
             bound = F.least("most", "most2")
             pairs = open_.join(other, "key").where(
-                (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")) & (100 * bound >= percent * (F.col("n") + F.col("n2") - bound))
+                (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")) & (100 * bound >= percent * (F.col("n") + F.col("n2") - bound)) & (F.col("key") == F.array_min(F.array_intersect("keys", "keys2")))
             )
-            pairs = pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+            pairs = pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
         found = ws.table(confirmed(pairs), f"links-{k}")
         links = found if links is None else links.union(found)
         if k == rounds and found.isEmpty():
