@@ -7,11 +7,13 @@ from .decontaminate import ORACLE as CONTAMINATION_SQL
 from .decontaminate import contamination
 from .exact_dedup import ORACLE as EXACT_SQL
 from .exact_dedup import exact_groups
+from .html_text import extract
 from .language import identify
 from .mixing import mixture
 from .near_dedup import near_duplicates
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import find_secrets
+from .suffix_dedup import suffix_dedup
 from .token_files import token_output
 from .toxicity import toxicity
 
@@ -24,6 +26,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark, sf_dir):
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark, sf_dir):
     return identify(read(spark, sf_dir, "documents"))
 
@@ -36,6 +42,10 @@ def op6_toxicity(spark, sf_dir):
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(read(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark, sf_dir):
     return find_secrets(read(spark, sf_dir, "documents"))
 
@@ -48,5 +58,8 @@ def op10_token_output(spark, sf_dir):
     return token_output(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_language_id, op5_minhash_near_dedup, op6_toxicity, op8_secret_scan, op9_decontaminate, op10_token_output)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_mixing, op2_exact_dedup, op3_html_extraction, op4_language_id, op5_minhash_near_dedup, op6_toxicity, op7_suffix_dedup, op8_secret_scan, op9_decontaminate, op10_token_output)
+}
 ORACLE_SQL = {"op2_exact_dedup": EXACT_SQL, "op8_secret_scan": SECRETS_SQL, "op9_decontaminate": CONTAMINATION_SQL}
