@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _PART = re.compile(r"([A-Z][a-z]?)|(\d+(?:\.\d+)?)|([()])")
 
@@ -65,6 +66,6 @@ def normalise(formula: str | None, target: float = 100.0, least: int = 1) -> str
     return " ".join(f"{e}{round(own[e] / total * target, 3):g}" for e in sorted(own))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def normalise_formula(formulas: pd.Series) -> pd.Series:
     return formulas.map(normalise)

@@ -129,15 +129,20 @@ def phase_name(c: Column) -> Column:
     return out.otherwise(c)
 
 
+def _any_of(phases: Column, names: tuple[str, ...]) -> Column:
+    return F.exists(phases, lambda p: p.isin(*names))
+
+
 def phase_class(phases: Column) -> Column:
     """SS, IM, SS+IM or null."""
-    ss, im = (F.exists(phases, lambda p, own=own: p.isin(*own)) for own in (SOLID, INTERMETALLIC))
+    ss, im = _any_of(phases, SOLID), _any_of(phases, INTERMETALLIC)
     return F.when(ss & im, "SS+IM").when(ss, "SS").when(im, "IM")
 
 
 def solid_signature(phases: Column) -> Column:
     """Solid-solution phases joined in the order FCC, BCC, HCP, repeats kept; null with any other phase."""
-    parts = F.flatten(F.array(*(F.filter(phases, lambda p, own=own: p == own) for own in SOLID)))
+    only = lambda name: F.filter(phases, lambda p: p == name)
+    parts = F.flatten(F.array(*(only(name) for name in SOLID)))
     return F.when(F.forall(phases, lambda p: p.isin(*SOLID)), F.array_join(parts, "+"))
 
 

@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that file names cannot hold, and their stand-ins.
 FILE_NAME = {"/": "&sol;", "\\": "&bs;", "?": "&qm;", "*": "&st;", ":": "&cl;", "|": "&vb;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&apos;"}
@@ -83,7 +84,7 @@ def chunk(text: str, most: int = 400, least: int = 200, count=lambda s: len(s.sp
     return [*out, " ".join(own)]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def chunk_text(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: chunk(t or ""))
 
@@ -102,6 +103,6 @@ def windows(text: str, most: int = 5000) -> list[str]:
     return out
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def safe_windows(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: windows(t or ""))
