@@ -26,7 +26,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest doc_id."""
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, F.col("doc_id") == F.col("_keep"), "left_semi").select(*COLUMNS)
+    return docs.join(kept, docs["doc_id"] == kept["_keep"], "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

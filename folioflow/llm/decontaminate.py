@@ -140,7 +140,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The clean rows of docs, with all their columns."""
     bad = contamination(docs, bench, id_col, **options).where("contaminated").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs[id_col].cast("long") == bad["_bad"], "left_anti")
 
 
 ORACLE = r"""

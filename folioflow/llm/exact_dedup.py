@@ -62,7 +62,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
     kept = exact_groups(docs, id_col, text_col, salts).where("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, F.col(id_col).cast("long") == F.col("_keep"), "left_semi")
+    return docs.join(kept, docs[id_col].cast("long") == kept["_keep"], "left_semi")
 
 
 ORACLE = r"""

@@ -46,7 +46,7 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict], sweeps: int = 200, tol:
     for _ in range(sweeps):
         worst = 0.0
         for d in DIMS:
-            have = np.bincount(codes[d][0], mass, len(goal[d]))
+            have = np.bincount(codes[d][0], mass, len(goal[d])).astype(float)
             factor = np.divide(goal[d], have, out=np.zeros_like(have), where=have > 0)
             worst = max(worst, float(np.max(np.abs(factor[have > 0] - 1), initial=0)))
             mass = mass * factor[codes[d][0]]
@@ -152,4 +152,4 @@ def uniform(key: Column, seed: int) -> Column:
 def sample(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The sampled rows of docs, with all their columns."""
     kept = mixture(docs, id_col=id_col, **options).where("sampled").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, F.col(id_col).cast("long") == F.col("_keep"), "left_semi")
+    return docs.join(kept, docs[id_col].cast("long") == kept["_keep"], "left_semi")

@@ -173,6 +173,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 break
     ws.drop("sets", "buckets", "last-0", "last-1", *(f"open-{k}" for k in range(rounds)), *(f"links-{k}" for k in range(rounds + 1)))
     comp = members.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("doc_id").alias("_id"), F.coalesce("comp", "rep").alias("comp"))
+    comp = comp.groupBy("_id").agg(F.min("comp").alias("comp"))  # an id may be repeated
     return sigs.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("_id"), "left").select(
         "doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"), (F.coalesce("comp", "doc_id") == F.col("doc_id")).alias("kept")
     )

@@ -308,8 +308,8 @@ def _kept(batches):
             own = raw[offs[i] : offs[i + 1]]
             if starts:
                 step = np.zeros(len(own) + 1, np.int64)
-                np.add.at(step, starts, 1)
-                np.add.at(step, np.add(starts, sizes), -1)
+                np.add.at(step, np.minimum(starts, len(own)), 1)
+                np.add.at(step, np.minimum(np.add(starts, sizes), len(own)), -1)
                 gone = np.cumsum(step[:-1]) > 0
                 n_removed.append(int(gone.sum()))
                 n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))

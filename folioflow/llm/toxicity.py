@@ -237,4 +237,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = 3000) -> DataFrame:
     """The rows of docs that are not predicted toxic, with all their columns."""
     bad = toxicity(docs, labels, threshold, sample_rows).where("predicted = 1").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs["doc_id"].cast("long") == bad["_bad"], "left_anti")
