@@ -20,6 +20,8 @@ from .operators import history as H
 from .operators import records as R
 from .plans.models import embedder, extract, valid_json
 from .plans.pipeline import Pipeline, run_with_history, validators, where
+from .sources import publishers as P
+from .sources import sinks as K
 from .sources.articles import parse_articles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -520,3 +522,145 @@ def sort_topk(t):
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0 AND c_acctbal < 4000 AND c_mktsegment IS NOT NULL")
 def range_filter(t):
     return t("customer").where("c_acctbal > 0 AND c_acctbal < 4000").na.drop(subset=["c_mktsegment"]).select("c_custkey", "c_acctbal")
+
+
+# Publishers, sinks and further record operators
+
+
+@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'springer' WHEN 1 THEN 'wiley' WHEN 2 THEN 'elsevier' END AS publisher, '10.1002/x' || page_id AS doi, CASE WHEN page_id >= 0 THEN 'wiley' END AS routed FROM pages")
+def publisher_detect(t):
+    k = F.col("page_id") % 4
+    meta = F.when(k == 0, '<meta name="dc.Publisher" content="Springer">').when(k == 1, '<meta name="citation_publisher" content="John Wiley & Sons, Ltd">').otherwise("")
+    title = F.when(k == 2, "<title>A study - ScienceDirect</title>").otherwise("<title>A study</title>")
+    doi = P.doi_of(F.concat(F.lit("https://doi.org/10.1002/X"), "page_id"))
+    return t("pages").select("page_id", P.detect(F.concat(F.lit("<html><head>"), meta, title, F.lit("</head>"))).alias("publisher"), doi.alias("doi"), P.route(doi).alias("routed"))
+
+
+@query("SELECT '10.1038/' || doc_id AS doi FROM documents WHERE doc_id % 3 < 2")
+def doi_list(t):
+    k = F.col("doc_id") % 3
+    said = F.when(k == 0, F.concat(F.lit("https://doi.org/10.1038/"), "doc_id")).when(k == 1, F.concat(F.lit("10.1038/"), "doc_id")).otherwise("no doi here")
+    return P.doi_lines(t("documents").select(said.alias("value")))
+
+
+@query(None)
+def publisher_elements(t):
+    page = F.concat(F.lit('<html><head><meta name="dc.publisher" content="Nature Publishing Group"></head><body><div class="main-content">'), F.regexp_extract("html", "(?s)<article>(.*?)</article>", 1), F.lit("</div></body></html>"))
+    return P.parse_publisher_files(t("pages").select(F.col("page_id").cast("string").alias("source"), page.alias("content"))).select("source", "publisher", "pos", "type", "title_size", "text")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'new' FROM documents WHERE doc_id % 2 = 1")
+def upsert_rows(t):
+    old = t("documents").select("doc_id", "source")
+    return K.upsert(old, old.where("doc_id % 2 = 1").select("doc_id", F.lit("new").alias("source")), "doc_id")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def clear_with_results(t):
+    docs = t("customer").select(F.col("c_custkey").alias("document_id"))
+    return K.delete_with_results(docs, t("orders").select(F.col("o_custkey").alias("document_id"))).select(F.col("document_id").alias("c_custkey"))
+
+
+@query("SELECT c_custkey, '{\"c_custkey\":' || c_custkey || ',\"c_name\":\"' || c_name || '\"}' AS line FROM customer")
+def json_lines(t):
+    return t("customer").select("c_custkey", F.to_json(F.struct("c_custkey", "c_name")).alias("line"))
+
+
+@query("WITH k AS (SELECT text, doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents), s AS (SELECT text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents WHERE doc_id % 2 = 0) SELECT k.doc_id AS place, md5(text) AS h FROM s JOIN k USING (text, k)")
+def reorder_docs(t):
+    docs = t("documents").select("doc_id", "text")
+    return D.reorder(docs.where("doc_id % 2 = 0"), docs, "text", "doc_id").select("place", F.md5("text").alias("h"))
+
+
+@query("SELECT conv_id, '| turn | n | role |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || CASE WHEN b IS NOT DISTINCT FROM turn THEN '' ELSE CAST(turn AS VARCHAR) END || ' | ' || n || ' | ' || role || ' |', chr(10) ORDER BY turn, n) AS \"table\" "
+       "FROM (SELECT conv_id, turn, n, role, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn, n) AS b FROM (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations)) GROUP BY conv_id")
+def record_markdown(t):
+    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    return D.markdown_table(t("conversations").select("conv_id", "turn", "role", n.alias("n")), "conv_id", "turn", "n", "role")
+
+
+@query("WITH e AS (SELECT user_id, event_id, CASE event_id % 3 WHEN 0 THEN 'SECTION_ID' WHEN 1 THEN 'SECTION_TITLE' ELSE 'PARAGRAPH' END AS kind, event_type AS txt FROM events), "
+       "w AS (SELECT *, lag(kind) OVER o AS bk, lag(txt) OVER o AS b, lead(kind) OVER o AS a FROM e WINDOW o AS (PARTITION BY user_id ORDER BY event_id)) "
+       "SELECT event_id, CASE WHEN kind = 'SECTION_TITLE' AND bk = 'SECTION_ID' THEN b || ' ' || txt ELSE txt END AS txt FROM w WHERE NOT (kind = 'SECTION_ID' AND coalesce(a, '') = 'SECTION_TITLE')")
+def joined_titles(t):
+    k = F.col("event_id") % 3
+    kind = F.when(k == 0, "SECTION_ID").when(k == 1, "SECTION_TITLE").otherwise("PARAGRAPH")
+    return D.join_titles(t("events").select("user_id", "event_id", kind.alias("kind"), F.col("event_type").alias("txt")), "user_id", "event_id", "kind", "txt").select("event_id", "txt")
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+def dedup_across_groups(t):
+    rows = t("events").select("user_id", "event_type", F.lit(0).alias("g"), "event_id")
+    return R.dedup_across_groups(rows, "user_id", ["event_type"], "g", "event_id").select("user_id", "event_type", "event_id")
+
+
+@query("SELECT o_orderkey, CAST(g AS INTEGER) AS group_index, CAST(i AS INTEGER) AS index, CASE WHEN g = 0 AND i = 0 THEN o_orderstatus WHEN g = 0 THEN 'b' ELSE o_orderpriority END AS record FROM orders, (VALUES (0, 0), (0, 1), (1, 0)) v(g, i)")
+def record_groups(t):
+    rows = t("orders").select("o_orderkey", F.array(F.array("o_orderstatus", F.lit("b")), F.array("o_orderpriority")).alias("groups"))
+    return R.flatten_groups(rows, "groups")
+
+
+@query("SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 1")
+def all_verdicts(t):
+    rows = t("labels").select("doc_id", F.create_map(F.lit("q"), F.col("quality") == 1, F.lit("t"), F.col("toxic") == 1).alias("v"), F.lit("True").alias("s"))
+    return rows.where(R.all_true(F.col("v")) & R.none_false(F.col("s"))).select("doc_id")
+
+
+@query("SELECT 'd' || p_partkey AS doi, CAST(p_size AS DOUBLE) * 1000 AS ys, 25.0 AS temperature FROM part WHERE p_size > 5")
+def strength_records(t):
+    entry = F.struct(
+        F.when(F.col("p_size") > 5, F.concat(F.col("p_size").cast("string"), F.lit(" GPa"))).alias("ys"), F.lit(None).cast("string").alias("uts"), F.lit(None).cast("string").alias("strain"),
+        F.lit("ambient").alias("temperature"), F.lit("1e-3").alias("strain_rate"), F.lit("tensile").alias("test_type"),
+    )
+    record = F.struct(F.struct(F.col("p_name").alias("composition")).alias("metadata"), F.array(entry).alias("strength"))
+    return R.strength_rows(t("part").select(F.concat(F.lit("d"), "p_partkey").alias("doi"), record.alias("record")), "tensile").select("doi", "ys", "temperature")
+
+
+@query("SELECT 'd' || p_partkey AS doi, 'BCC+FCC' AS phases FROM part WHERE p_size % 2 = 0")
+def phase_records(t):
+    two = F.when(F.col("p_size") % 2 == 0, F.array(F.lit("FCC"), F.lit("BCC"))).otherwise(F.array(F.lit("HCP")))
+    phase = F.array(F.struct(F.array(F.lit("BCC"), F.lit("FCC")).alias("phases")), F.struct(two.alias("phases")))
+    record = F.struct(F.struct(F.col("p_name").alias("composition")).alias("metadata"), phase.alias("phase"))
+    return R.phase_rows(t("part").select(F.concat(F.lit("d"), "p_partkey").alias("doi"), record.alias("record"))).select("doi", F.array_join("phases", "+").alias("phases"))
+
+
+@query(None)
+def hierarchical_groups(t):
+    def by_letter(texts):
+        found: dict[str, list[int]] = {}
+        for i, x in enumerate(texts):
+            found.setdefault(x[:2], []).append(i)
+        return list(found.values())
+
+    got = R.group_rounds(t("part").select("p_brand", "p_partkey", "p_type"), "p_brand", "p_partkey", "p_type", by_letter)
+    return got.select("p_brand", "head", F.size("members").alias("n"))
+
+
+@query("SELECT l_returnflag, l_orderkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey) AS r FROM lineitem) WHERE r = 1")
+def best_candidate(t):
+    return A.best_of_iteration(t("lineitem"), "l_returnflag", "l_extendedprice", "l_orderkey").select("l_returnflag", "l_orderkey", "l_extendedprice")
+
+
+@query("SELECT source, CASE WHEN n > 100 THEN 30 ELSE 10 END AS probe, n <= CASE WHEN n > 100 THEN 30 ELSE 10 END AS stop FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
+def probe_sizes(t):
+    return A.value_counts(t("documents"), "source").select("source", A.probe_size(F.col("n")).alias("p")).select("source", "p.probe", "p.stop")
+
+
+@query(None)
+def token_bucket_replay(t):
+    rows = t("events").select("user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"), F.lit(30).alias("need"))
+    return A.token_bucket(rows, "user_id", "s", "need", 0.01, 100)
+
+
+@query("SELECT user_id, CASE event_type WHEN 'click' THEN 'CH4' WHEN 'error' THEN 'C3H6' ELSE event_type END AS gas, count(*) AS n FROM events GROUP BY user_id, gas")
+def gas_names(t):
+    said = F.when(F.col("event_type") == "click", "Methane").when(F.col("event_type") == "error", "propane").otherwise(F.col("event_type"))
+    return t("events").groupBy("user_id", N.gas_name(said).alias("gas")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Fe' || p_size END AS formula, CASE p_partkey % 3 WHEN 0 THEN 'h2' WHEN 1 THEN 'h3' END AS level FROM part")
+def compositions_and_levels(t):
+    k, n = F.col("p_partkey") % 3, F.col("p_size").cast("string")
+    c = F.when(k == 0, F.concat(F.lit("Fe"), n, F.lit("@at"))).when(k == 1, F.concat(F.lit("Fe"), n, F.lit("@at+TiC"))).otherwise("Fe@wt")
+    title = F.when(k == 0, "1 Introduction").when(k == 1, "1.2 Samples").otherwise("Methods")
+    return t("part").select("p_partkey", N.atomic_composition(c).alias("formula"), N.title_level(title).alias("level"))

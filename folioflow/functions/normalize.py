@@ -166,3 +166,21 @@ def melted_route(steps: Column, melting: list[str], allowed: list[str] | None =
     if allowed is None:
         return first
     return first & F.forall(F.slice(low, 2, F.greatest(F.size(low), F.lit(1))), lambda s: among(s, allowed))
+
+#: Spellings of gases. The look-up is lower-cased, so the upper-case keys never match; kept as they are.
+GASES = {"methane": "CH4", "C1": "CH4", "ethane": "C2H6", "C2": "C2H6", "ethylene": "C2H4", "propane": "C3H6", "C3": "C3H6"}
+
+
+def gas_name(c: Column) -> Column:
+    return F.coalesce(_factor(F.lower(c), GASES), c)
+
+
+def atomic_composition(c: Column) -> Column:
+    """The formula of a composition marked "@at"; composites and weight compositions give null."""
+    parts = F.split(c, "@at")
+    return F.when(c.contains("@at") & (F.element_at(parts, 2) == ""), F.element_at(parts, 1))
+
+
+def title_level(c: Column) -> Column:
+    """h2 for "1 Introduction", h3 for "1.1 Samples"."""
+    return F.when(c.rlike(r"^\d(?!\.)"), "h2").when(c.rlike(r"^\d\.\d"), "h3")

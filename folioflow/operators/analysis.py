@@ -39,3 +39,29 @@ def f1(df: DataFrame, tp: str, fp: str, fn: str) -> DataFrame:
     """Micro-averaged 2TP / (2TP + FP + FN) with its counts."""
     s = [F.sum(c).cast("long") for c in (tp, fp, fn)]
     return df.agg(s[0].alias("tp"), s[1].alias("fp"), s[2].alias("fn"), F.bround(2 * s[0] / F.nullif(2 * s[0] + s[1] + s[2], F.lit(0)), 2).alias("f1"))
+
+
+def best_of_iteration(df: DataFrame, iteration: str, score: str, order: str) -> DataFrame:
+    """The best candidate of each iteration, ties by order."""
+    w = Window.partitionBy(iteration).orderBy(F.desc(score), order)
+    return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
+def probe_size(n):
+    """(probe, stop): 30 of more than 100, else 10; stop when the probe is all there is."""
+    probe = F.when(n > 100, 30).otherwise(10)
+    return F.struct(probe.alias("probe"), (n <= probe).alias("stop"))
+
+
+def token_bucket(df: DataFrame, key: str, seconds: str, need: str, rate: float, capacity: float) -> DataFrame:
+    """Replay of a token bucket over requests in time order: what was in the bucket at each and whether it sufficed."""
+    item = F.struct(F.col(seconds).cast("double").alias("t"), F.col(need).cast("double").alias("n"))
+    steps = F.array_sort(F.collect_list(item))
+    zero = F.struct(F.lit(float(capacity)).alias("have"), F.lit(None).cast("double").alias("t"), F.lit(0).cast("long").alias("served"), F.lit(0).cast("long").alias("refused"))
+
+    def step(acc, x):
+        have = F.least(F.lit(float(capacity)), acc["have"] + F.coalesce(x["t"] - acc["t"], F.lit(0.0)) * F.lit(float(rate)))
+        ok = have >= x["n"]
+        return F.struct(F.when(ok, have - x["n"]).otherwise(have).alias("have"), x["t"].alias("t"), (acc["served"] + ok.cast("long")).alias("served"), (acc["refused"] + (~ok).cast("long")).alias("refused"))
+
+    return df.groupBy(key).agg(steps.alias("s")).select(key, F.aggregate("s", zero, step).alias("b")).select(key, F.round("b.have", 6).alias("have"), "b.served", "b.refused")

@@ -64,3 +64,30 @@ def first_mention(terms: DataFrame, paras: DataFrame, term: str, key: str, order
     words = paras.select(key, order, text, F.explode(F.array_distinct(F.split(text, "[^A-Za-z0-9]+"))).alias("_w"))
     hits = words.join(terms.select(F.col(term)).distinct(), F.col("_w") == F.col(term))
     return hits.groupBy(term).agg(F.min(F.struct(key, order, text)).alias("m")).select(term, f"m.{key}", f"m.{order}", f"m.{text}")
+
+
+def reorder(selected: DataFrame, original: DataFrame, value: str, order: str) -> DataFrame:
+    """Selected rows with their places in the original, each place used once: the k-th of equal values gets the k-th place."""
+    k = F.row_number().over(Window.partitionBy(value).orderBy(order))
+    places = original.select(value, F.col(order).alias("place"), k.alias("_k"))
+    return selected.select(value, k.alias("_k")).join(places, [value, "_k"]).drop("_k")
+
+
+def join_titles(df: DataFrame, key: str, order: str, kind: str, text: str) -> DataFrame:
+    """A section number directly before a title becomes part of it; the lone number goes."""
+    w = Window.partitionBy(key).orderBy(order)
+    before_kind, before, after = F.lag(kind).over(w), F.lag(text).over(w), F.lead(kind).over(w)
+    merged = F.when((F.col(kind) == "SECTION_TITLE") & (before_kind == "SECTION_ID"), F.concat_ws(" ", before, text)).otherwise(F.col(text))
+    gone = (F.col(kind) == "SECTION_ID") & (F.coalesce(after, F.lit("")) == "SECTION_TITLE")
+    return df.withColumn("_m", merged).withColumn("_g", gone).where("NOT _g").withColumn(text, F.col("_m")).drop("_m", "_g")
+
+
+def markdown_table(df: DataFrame, key: str, group: str, index: str, *columns: str) -> DataFrame:
+    """One Markdown table per key, rows by group and index, a group's number only on its first row."""
+    first = F.lag(group).over(Window.partitionBy(key).orderBy(group, index)).eqNullSafe(F.col(group))
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", F.when(first, "").otherwise(cell(group)), cell(index), *(cell(c) for c in columns)), F.lit(" |"))
+    names = [group, index, *columns]
+    head = f"| {' | '.join(names)} |\n| {' | '.join(['---'] * len(names))} |\n"
+    got = df.withColumn("_l", line).groupBy(key).agg(F.array_sort(F.collect_list(F.struct(group, index, "_l"))).alias("a"))
+    return got.select(key, F.concat(F.lit(head), F.array_join(F.transform("a", lambda x: x["_l"]), "\n")).alias("table"))

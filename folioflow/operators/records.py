@@ -108,3 +108,63 @@ def valid_record(record: Column) -> Column:
     filled = lambda c: F.coalesce(c, F.lit("")) != ""
     strong = F.exists(record["strength"], lambda s: filled(s["ys"]) | filled(s["uts"]) | filled(s["strain"]))
     return F.when(F.size(record["strength"]) > 0, strong).otherwise(F.exists(record["phase"], lambda p: F.size(p["phases"]) > 0))
+
+
+def dedup_across_groups(df: DataFrame, paper: str, key: list[str], group: str, pos: str) -> DataFrame:
+    """A record stays in the first group of its paper where its normalised metadata is seen; groups left empty are gone."""
+    rank = F.row_number().over(Window.partitionBy(paper, *key).orderBy(group, pos))
+    return df.withColumn("_r", rank).where("_r = 1").drop("_r")
+
+
+def flatten_groups(df: DataFrame, groups: str) -> DataFrame:
+    """Nested record groups to rows with group_index and index."""
+    outer = df.select(*(c for c in df.columns if c != groups), F.posexplode(groups).alias("group_index", "_g"))
+    return outer.select(*(c for c in outer.columns if c != "_g"), F.posexplode("_g").alias("index", "record"))
+
+
+def all_true(verdicts: Column) -> Column:
+    """Kept when every verdict of a map holds."""
+    return F.forall(F.map_values(verdicts), lambda v: F.coalesce(v, F.lit(False)))
+
+
+def none_false(text: Column) -> Column:
+    return ~F.coalesce(text, F.lit("")).rlike("(?i)false")
+
+
+def strength_rows(df: DataFrame, test_type: str) -> DataFrame:
+    """Rows of valid strength entries of one test type, values normalised, from df(doi, record): an entry needs a temperature and a yield strength or strain."""
+    e = df.select("doi", F.col("record.metadata.composition").alias("composition_raw"), F.explode("record.strength").alias("s")).where(F.col("s.test_type") == test_type)
+    out = e.select("doi", "composition_raw", N.strength_mpa(F.col("s.ys")).alias("ys"), N.strength_mpa(F.col("s.uts")).alias("uts"), N.strain(F.col("s.strain")).alias("strain"), N.temperature_c(F.col("s.temperature")).alias("temperature"), N.strain_rate(F.col("s.strain_rate")).alias("strain_rate"))
+    return out.where(F.col("temperature").isNotNull() & (F.col("ys").isNotNull() | F.col("strain").isNotNull()))
+
+
+def phase_rows(df: DataFrame) -> DataFrame:
+    """Rows of records whose phase entries agree (one common list, any order): composition_raw, phases, steps."""
+    lists = F.transform(F.col("record.phase"), lambda p: F.array_sort(p["phases"]))
+    agreed = F.when(F.size(F.array_distinct(lists)) == 1, lists[0])
+    return df.select("doi", F.col("record.metadata.composition").alias("composition_raw"), agreed.alias("phases")).where(F.col("phases").isNotNull())
+
+
+def batches(df: DataFrame, key: str, order: Column, size: int = 12) -> DataFrame:
+    """Numbers the batches of a key's rows, `size` each: the input of a grouping round."""
+    return df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1) / size))
+
+
+def group_rounds(df: DataFrame, key: str, pos: str, item: str, group, size: int = 12, depth: int = 3, seed: int = 7) -> DataFrame:
+    """Hierarchical grouping: batches of a key's items go through `group` (a list of texts to lists of indices), the first
+    of each group stands for it in the next round, until a key fits one batch or depth rounds are done. Rows: key, head, members."""
+    kind = dict(df.dtypes)[key]
+    now = df.select(key, F.col(pos).alias("head"), F.array(F.col(pos)).alias("members"), F.col(item).alias("text"))
+    schema = f"{key} {kind}, head long, members array<long>, text string"
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("head").reset_index(drop=True)
+        rows = []
+        for ids in group(list(pdf["text"])):
+            own = pdf.iloc[sorted(ids)]
+            rows.append((own[key].iloc[0], int(own["head"].iloc[0]), sorted(int(m) for ms in own["members"] for m in ms), own["text"].iloc[0]))
+        return pd.DataFrame(rows, columns=[key, "head", "members", "text"])
+
+    for k in range(depth):
+        now = batches(now, key, F.xxhash64("head", F.lit(seed + k)), size).groupBy(key, "batch").applyInPandas(one, schema)
+    return now.select(key, "head", "members")
