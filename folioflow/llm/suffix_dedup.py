@@ -79,7 +79,8 @@ def _anchors(raw: np.ndarray, offs: np.ndarray, first: int, base: int):
     body = (total[stop] - total[i1]) * back[i1]
     frag = mix64(body + mix64(((j - i1) * 4096 + (stop - i1)).astype(np.uint64)))
     d = doc[i1]
-    yield d + first, grams[j], frag, i1 - offs[d] + base, stop - offs[d] + base
+    # An anchor's hash is the least of its window; mixed anew it is spread evenly again.
+    yield d + first, mix64(grams[j]), frag, i1 - offs[d] + base, stop - offs[d] + base
 
 
 def _all(batch):
@@ -122,21 +123,28 @@ def _suspects(shared):
             keep = shared.value.maybe(fp.astype(np.uint64)) if len(fp) else np.zeros(0, bool)
             ids = np.asarray(batch.column(0))[doc[keep]]
             fp, start = fp[keep].astype(np.uint64), start[keep]
-            cols = [fp.view(np.int64), frag[keep].astype(np.uint64).view(np.int64), ids, start, stop[keep] - start, _place(ids, start, fp).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["fp", "frag", "doc_id", "start", "len", "place"])
+            cols = [fp.view(np.int64), frag[keep].astype(np.uint64).view(np.int64), ids, start.astype(np.int32), (stop[keep] - start).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["fp", "frag", "doc_id", "start", "len"])
 
     return run
 
 
+def _places(batches):
+    for batch in batches:
+        fp, doc, start = (np.asarray(c) for c in batch.columns)
+        yield pa.RecordBatch.from_arrays([pa.array(_place(doc, start, fp).view(np.int64))], ["place"])
+
+
 def _bytes(shared):
     def run(batches):
         for batch in batches:
             raw, offs, (doc, fp, _, start, stop) = _all(batch)
+            doc = doc.astype(np.int64)
             ids = np.asarray(batch.column(0))[doc] if len(doc) else np.zeros(0, np.int64)
             fp = fp.astype(np.uint64)
-            keep = np.flatnonzero(shared.value.maybe(_place(ids, start, fp))) if len(fp) else []
+            keep = np.flatnonzero(shared.value.maybe(_place(ids, start, fp))) if len(fp) else np.zeros(0, np.int64)
             body = [raw[offs[doc[k]] + start[k] : offs[doc[k]] + stop[k]].tobytes() for k in keep]
-            yield pa.RecordBatch.from_arrays([pa.array(fp[keep].view(np.int64), pa.int64()), pa.array(ids[keep], pa.int64()), pa.array(start[keep], pa.int64()), pa.array(body, pa.binary())], ["fp", "doc_id", "start", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(fp[keep].view(np.int64), pa.int64()), pa.array(ids[keep], pa.int64()), pa.array(start[keep].astype(np.int32)), pa.array(body, pa.binary())], ["fp", "doc_id", "start", "body"])
 
     return run
 
@@ -288,7 +296,7 @@ def _shards(batches):
 
     def emit(ready):
         for runs in covered(ready):
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in runs], names)
+            yield pa.RecordBatch.from_arrays([pa.array(r.astype(t)) for r, t in zip(runs, (np.int64, np.int32, np.int32), strict=True)], names)
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -326,18 +334,22 @@ def repeated_runs(docs: DataFrame, ws: Workspace) -> DataFrame:
     spark = docs.sparkSession
     counts = docs.mapInArrow(_counts, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp")
     again = spark.sparkContext.broadcast(Bitmap(ws.table(counts, "repeated"), "fp"))
-    found = ws.table(docs.mapInArrow(_suspects(again), "fp long, frag long, doc_id long, start long, len long, place long"), "suspects")
-    where = (F.col("doc_id").cast(T.DecimalType(20, 0)) * F.lit(_STEP) + F.col("start").cast(T.DecimalType(15, 0))).alias("where")
-    found = found.withColumn("where", where)
-    classes = found.groupBy("fp", "frag").agg(F.min("where").alias("head"), F.count(F.lit(1)).alias("n"))
-    classes = ws.table(classes.where("n > 1").select("fp", "frag", "head"), "classes"), classes.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
-    repeats = found.join(classes[0], ["fp", "frag"]).where("where <> head").select("doc_id", "start", "len")
-    several = ws.table(classes[1], "several")
-    heads = found.join(several, "fp", "left_semi").join(classes[0], ["fp", "frag"], "left").where("head IS NULL OR where = head").select("place")
+    found = ws.table(docs.mapInArrow(_suspects(again), "fp long, frag long, doc_id long, start int, len int"), "suspects")
+    where = F.col("doc_id").cast(T.DecimalType(20, 0)) * F.lit(_STEP) + F.col("start").cast(T.DecimalType(15, 0))
+    classes = found.groupBy("fp", "frag").agg(F.min(where).alias("head"))
+    head_doc, head_start = F.floor(F.col("head") / F.lit(_STEP)).cast("long"), (F.col("head") % F.lit(_STEP)).cast("int")
+    classes = ws.table(classes.select("fp", "frag", head_doc.alias("head_doc"), head_start.alias("head_start")), "classes")
+    repeats = found.join(classes, ["fp", "frag"]).where((F.col("doc_id") != F.col("head_doc")) | (F.col("start") != F.col("head_start"))).select("doc_id", "start", "len")
+    repeats = ws.table(repeats, "repeats")
+    ws.drop("suspects")
+    several = ws.table(classes.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "several")
+    heads = classes.join(several, "fp", "left_semi").select("fp", "head_doc", "head_start").mapInArrow(_places, "place long")
     heads = spark.sparkContext.broadcast(Bitmap(ws.table(heads, "heads"), "place"))
-    bodies = docs.mapInArrow(_bytes(heads), "fp long, doc_id long, start long, body binary").join(several, "fp", "left_semi")
-    shards = bodies.repartition("fp").sortWithinPartitions("fp", "doc_id", "start").mapInArrow(_shards, "doc_id long, start long, len long")
-    return ws.table(repeats.union(shards), "runs")
+    bodies = docs.mapInArrow(_bytes(heads), "fp long, doc_id long, start int, body binary").join(several, "fp", "left_semi")
+    shards = bodies.repartition("fp").sortWithinPartitions("fp", "doc_id", "start").mapInArrow(_shards, "doc_id long, start int, len int")
+    shards = ws.table(shards, "shards")
+    ws.drop("classes", "several", "heads", "repeated")
+    return repeats.union(shards)
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
