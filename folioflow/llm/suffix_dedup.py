@@ -337,7 +337,8 @@ def repeated_runs(docs: DataFrame, ws: Workspace) -> DataFrame:
     found = ws.table(docs.mapInArrow(_suspects(again), "fp long, frag long, doc_id long, start int, len int"), "suspects")
     where = F.col("doc_id").cast(T.DecimalType(20, 0)) * F.lit(_STEP) + F.col("start").cast(T.DecimalType(15, 0))
     classes = found.groupBy("fp", "frag").agg(F.min(where).alias("head"))
-    head_doc, head_start = F.floor(F.col("head") / F.lit(_STEP)).cast("long"), (F.col("head") % F.lit(_STEP)).cast("int")
+    head_doc = F.floor(F.col("head") / F.lit(_STEP)).cast("long")
+    head_start = (F.col("head") - head_doc.cast(T.DecimalType(20, 0)) * F.lit(_STEP)).cast("int")
     classes = ws.table(classes.select("fp", "frag", head_doc.alias("head_doc"), head_start.alias("head_start")), "classes")
     repeats = found.join(classes, ["fp", "frag"]).where((F.col("doc_id") != F.col("head_doc")) | (F.col("start") != F.col("head_start"))).select("doc_id", "start", "len")
     repeats = ws.table(repeats, "repeats")
