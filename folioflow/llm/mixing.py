@@ -75,7 +75,8 @@ def _default_targets(cells: DataFrame, power: float) -> dict[str, DataFrame]:
     out = {}
     for d in DIMS:
         share = cells.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), F.lit(power)).alias("w")).where("w > 0")
-        out[d] = share.crossJoin(share.agg(F.sum("w").alias("all"))).select(d, (F.col("w") / F.col("all")).alias("goal"))  # the right side is one row
+        whole = share.agg(F.sum("w")).first()[0] or 1.0
+        out[d] = share.select(d, (F.col("w") / F.lit(whole)).alias("goal"))
     return out
 
 
