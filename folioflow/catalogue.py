@@ -196,8 +196,8 @@ def fenced_json_extract(t):
 def topn_similar(t):
     """The five most similar chunks of each paper to one query vector."""
     e = t("embeddings")
-    one = F.broadcast(e.where("vec_id = 0").select(F.col("embedding").alias("q")))  # one row
-    rows = e.crossJoin(one).select("vec_id", "label", X.dot(F.col("embedding"), F.col("q")).alias("d"))
+    q = e.where("vec_id = 0").first()["embedding"]
+    rows = e.select("vec_id", "label", X.dot(F.col("embedding"), F.array(*(F.lit(float(x)) for x in q))).alias("d"))
     return D.top_n(rows, "label", 5, F.desc("d"), F.col("vec_id")).select("vec_id", "label", F.round("d", 6).alias("similarity"))
 
 

@@ -24,9 +24,9 @@ def describe(df: DataFrame, value: str, places: int = 6) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Counts in equal bins from least to greatest, the last closed on the right."""
-    edge = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    rows = df.where(F.col(value).isNotNull()).crossJoin(F.broadcast(edge))  # one row
-    slot = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.lit(bins - 1), F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)))
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    rows = df.where(F.col(value).isNotNull())
+    slot = F.lit(0) if low is None or low == high else F.least(F.lit(bins - 1), F.floor((F.col(value) - F.lit(low)) / (F.lit(high) - F.lit(low)) * bins))
     return rows.groupBy(slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
