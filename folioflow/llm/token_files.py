@@ -24,47 +24,70 @@ from .common import Workspace
 
 SEGMENT = 4_000_000
 END_ID = 1
-_MOST_WORDS = 500_000
-#: A run of Latin-1 letters, then marks: the tokenizer splits between the two and lower-cases letter by letter.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_MOST = 300_000
+#: Latin-1 letters and ASCII marks but the apostrophe (contractions) and "<" (special tokens): the tokenizer parts runs of
+#: letters from runs of marks there, and lower-cases letter by letter.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ!-&(-/:;=-@\[-`{-~]+")
+_RUNS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[^A-Za-zÀ-ÖØ-öø-ÿ]+")
 _loaded: dict[str, "_Words"] = {}
 
 
-class _Words(dict):
-    """Chunk between spaces -> its ids as bytes. Ids never span a space: the tokenizer drops white space and splits there."""
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where it prints, else the next one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(rest)) for b in range(256)]
 
-    def __init__(self, path: str):
+
+class _Cache(dict):
+    """A dictionary in two generations: when one is full it becomes the old one, and what is still used comes back from there."""
+
+    def __init__(self, make):
         super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= 40:
+            if len(self) >= _MOST:
+                self.old = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
+class _Words:
+    """Ids of texts as bytes, by chunks between blanks: the tokenizer turns white space into blanks, drops it and splits there."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.model, self.characters = self.library.model, _byte_characters()
+        self.chunks, self.runs = _Cache(self._chunk), _Cache(self._run)
 
     def encode(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def piece(self, text: str) -> bytes:
-        got = self.pieces.get(text)
-        if got is None:
-            if len(self.pieces) > _MOST_WORDS:
-                self.pieces = {"": b""}
-            got = self.pieces[text] = self.encode(text)
-        return got
+    def _run(self, run: str) -> bytes:
+        """A lower-cased run of letters or of marks goes to the model at once, as the characters of its bytes."""
+        return np.array([t.id for t in self.model.tokenize("".join([self.characters[b] for b in run.encode()]))], "<u4").tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        plain = _PLAIN.fullmatch(chunk)
-        got = self.piece(plain[1].lower()) + self.piece(plain[2]) if plain else self.encode(chunk)
-        if len(chunk) <= 40:
-            if len(self) > _MOST_WORDS:
-                self.clear()
-            self[chunk] = got
-        return got
+    def _chunk(self, chunk: str) -> bytes:
+        if not _PLAIN.fullmatch(chunk):
+            return self.encode(chunk) if chunk else b""
+        chunk = chunk.lower()
+        if chunk.isalpha():
+            return self.runs[chunk]
+        return b"".join([self.runs[r] for r in _RUNS.findall(chunk)])
 
     def ids(self, text: str) -> bytes:
-        """The ids of a whole text. Combining marks may join what a space parts, so such a text goes to the library whole."""
+        """The ids of a whole text. Combining marks may join what a blank parts, so such a text goes to the library whole."""
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split(" ")))
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _tokenizer(path: str) -> _Words:
