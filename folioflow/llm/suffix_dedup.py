@@ -103,9 +103,9 @@ class Bitmap:
         self.bits = max(12, min(_MOST_BITS, int(16 * max(1, n)).bit_length()))
         slot = F.shiftrightunsigned(F.col(name), 64 - self.bits)
         words = hashes.select(slot.alias("slot")).selectExpr("shiftright(slot, 6) AS word", "shiftleft(1L, CAST(slot & 63 AS int)) AS bit")
-        words = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2**22 rows
+        words = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2**22 rows
         self.words = np.zeros(1 << (self.bits - 6), np.int64)
-        self.words[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+        self.words[words["word"].to_numpy()] = words["bits"].to_numpy()
 
     def maybe(self, hashes: np.ndarray) -> np.ndarray:
         slot = hashes.view(np.uint64) >> _U(64 - self.bits)
