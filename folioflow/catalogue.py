@@ -441,7 +441,7 @@ def phase_classify(t):
        "CASE WHEN bool_or(event_type NOT IN ('click', 'purchase', 'error')) THEN 'unknown' WHEN bool_or(event_type = 'error') AND bool_or(event_type <> 'error') THEN 'ss+im' WHEN bool_or(event_type = 'error') THEN 'im' ELSE 'ss' END AS row_class FROM events WHERE event_id % 40 < 3 GROUP BY user_id")
 def phase_signature(t):
     name = F.when(F.col("event_type") == "click", "FCC").when(F.col("event_type") == "purchase", "BCC").when(F.col("event_type") == "error", "L12").otherwise("AM")
-    got = t("events").where("event_id % 40 < 3").groupBy("user_id").agg(F.collect_list(name).alias("p"))
+    got = t("events").groupBy("user_id").agg(F.collect_list(name).alias("p"))
     return got.select("user_id", N.solid_signature(F.col("p")).alias("signature"), N.row_class(F.col("p")).alias("row_class"))
 
 
