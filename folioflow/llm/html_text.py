@@ -14,9 +14,11 @@ notices or comments by their tag, role or class are left out, and so is text tha
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
+from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
@@ -40,7 +42,7 @@ _HEADER_WORD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])",
 _MAIN_WORD = re.compile(r"(?:^|[\s_-])(?:content|article|post|entry|story|main)(?:$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _WHITE = re.compile(r"\s+")
-_LEAST_PAGES, _MOST_TEXT, _DEEPEST = 3, 300, 60
+_LEAST_PAGES, _MOST_TEXT, _LONG_PATH = 3, 300, 200
 
 
 class Node:
@@ -56,6 +58,12 @@ def parse(page: str) -> Node:
     """A forgiving tree: unclosed paragraphs and list items end where the next one starts, stray end tags are dropped."""
     root = Node("#root")
     stack = [root]
+    live: Counter = Counter()  # tags of the stack, so that a stray end tag need not look through it
+
+    def close(k):
+        live.subtract(n.tag for n in stack[k:])
+        del stack[k:]
+
     for m in _TOKEN.finditer(page):
         tag = m[3]
         if tag is None:
@@ -70,10 +78,8 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if live[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         names, role, hidden = "", "", False
         if m[4] and not m[4].isspace():
@@ -89,25 +95,49 @@ def parse(page: str) -> Node:
                     hidden |= key == "hidden" or value.lower() == "true"
         ends = ("p",) if tag in _NO_P else ()
         ends += {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}.get(tag, ())
-        if ends:
+        if any(live[t] > 0 for t in ends):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in ends:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in _BLOCK and stack[k].tag not in ends:
                     break
         node = Node(tag, names, role, hidden)
         stack[-1].kids.append(node)
-        if tag not in _VOID and len(stack) < _DEEPEST:
+        if tag not in _VOID:
             stack.append(node)
+            live[tag] += 1
     return root
 
 
+def _run(walk):
+    """Run a recursion written as generators (yield a call, get its result), however deep it goes."""
+    stack, value = [walk], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
+
+
+def _at(path: str, key: str) -> str:
+    """The path of a kid; a long one is hashed, so that deep pages do not cost the square of their depth."""
+    path = f"{path}/{key}"
+    return path if len(path) <= _LONG_PATH else "#" + hashlib.blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 # A wrapper node is [key, optional, repeated, text or None, pages, kids]; text counts for slots ('#') only.
 
 
 def fold(node: Node) -> list:
     """The page as a wrapper: like neighbours among the kids become one repeated group."""
+    return _run(_fold(node))
+
+
+def _fold(node: Node):
     if node.tag == "#":
         text = _WHITE.sub(" ", node.text).strip()
         return ["#", False, False, text if len(text) <= _MOST_TEXT else None, 1, []]
@@ -115,9 +145,9 @@ def fold(node: Node) -> list:
     for kid in node.kids:
         if kid.tag == "#" and not kid.text.strip():
             continue
-        new = fold(kid)
+        new = yield _fold(kid)
         if kids and kids[-1][0] == new[0]:
-            kids[-1] = align(kids[-1], new, same_page=True)
+            kids[-1] = yield _align(kids[-1], new, True)
             kids[-1][2] = True
         else:
             kids.append(new)
@@ -126,11 +156,17 @@ def fold(node: Node) -> list:
 
 def align(a: list, b: list, same_page: bool = False) -> list:
     """The least wrapper of both: kids are matched along a longest common subsequence, the unmatched become optional."""
+    return _run(_align(a, b, same_page))
+
+
+def _align(a: list, b: list, same_page: bool):
     pages = a[4] if same_page else a[4] + b[4]
     text = a[3] if a[3] == b[3] else None
     ka, kb = a[5], b[5]
     if [k[0] for k in ka] == [k[0] for k in kb]:
-        kids = [align(x, y, same_page) for x, y in zip(ka, kb, strict=True)]
+        kids = []
+        for x, y in zip(ka, kb, strict=True):
+            kids.append((yield _align(x, y, same_page)))
     else:
         n, m = len(ka), len(kb)
         best = [[0] * (m + 1) for _ in range(n + 1)]
@@ -138,50 +174,75 @@ def align(a: list, b: list, same_page: bool = False) -> list:
             for j in range(m - 1, -1, -1):
                 best[i][j] = best[i + 1][j + 1] + 1 if ka[i][0] == kb[j][0] else max(best[i + 1][j], best[i][j + 1])
         kids, i, j = [], 0, 0
-
-        def lone(node):
-            if kids and kids[-1][0] == node[0]:  # again: a repeated group
-                kids[-1] = align(kids[-1], node, True)
-                kids[-1][2] = True
-            else:
-                kids.append([node[0], True, *node[2:]])
-
         while i < n or j < m:
             if i < n and j < m and ka[i][0] == kb[j][0]:
-                kids.append(align(ka[i], kb[j], same_page))
+                kids.append((yield _align(ka[i], kb[j], same_page)))
                 i, j = i + 1, j + 1
-            elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-                lone(ka[i])
-                i += 1
+                continue
+            if j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
+                node, i = ka[i], i + 1
+            else:
+                node, j = kb[j], j + 1
+            if kids and kids[-1][0] == node[0]:  # again: a repeated group
+                kids[-1] = yield _align(kids[-1], node, True)
+                kids[-1][2] = True
             else:
-                lone(kb[j])
-                j += 1
+                kids.append([node[0], True, *node[2:]])
     return [a[0], a[1] or b[1], a[2] or b[2], text, pages, kids]
 
 
 def expression(w: list) -> str:
     """The wrapper as a regular expression: ()? optional, ()+ repeated, #text a slot."""
-    body = ("#text" if w[3] is None else w[3]) if w[0] == "#" else f"<{w[0]}>" + "".join(expression(k) for k in w[5]) + "</>"
-    return f"({body})" + ("*" if w[1] and w[2] else "?" if w[1] else "+") if w[1] or w[2] else body
+    out: list[str] = []
+    todo: list = [w]
+    while todo:
+        w = todo.pop()
+        if isinstance(w, str):
+            out.append(w)
+            continue
+        end = ")" + ("*" if w[1] and w[2] else "?" if w[1] else "+") if w[1] or w[2] else ""
+        start = "(" if end else ""
+        if w[0] == "#":
+            out.append(start + ("#text" if w[3] is None else w[3]) + end)
+        else:
+            out.append(f"{start}<{w[0]}>")
+            todo += ["</>" + end, *reversed(w[5])]
+    return "".join(out)
+
+
+def dump(w: list) -> str:
+    """A wrapper as flat JSON, parents first with the number of their kids."""
+    flat, todo = [], [w]
+    while todo:
+        w = todo.pop()
+        flat.append([*w[:5], len(w[5])])
+        todo += reversed(w[5])
+    return json.dumps(flat)
+
+
+def load(text: str) -> list:
+    """The wrapper that dump wrote."""
+    done: list = []
+    for *head, n in reversed(json.loads(text)):
+        kids = done[len(done) - n :][::-1]
+        del done[len(done) - n :]
+        done.append([*head, kids])
+    return done[0]
 
 
 def constants(w: list, least: int = _LEAST_PAGES) -> dict[str, str]:
     """Path -> text of slots that at least `least` pages of the host fill alike, if some other slot varies."""
     out: dict[str, str] = {}
     varying = 0
-
-    def walk(node, path):
-        nonlocal varying
-        path = f"{path}/{node[0]}"
+    todo = [(w, _at("", w[0]))]
+    while todo:
+        node, path = todo.pop()
         if node[0] == "#":
             if node[3] is None:
                 varying += 1
             elif node[4] >= least and not node[2]:
                 out[path] = node[3]
-        for kid in node[5]:
-            walk(kid, path)
-
-    walk(w, "")
+        todo += [(kid, _at(path, kid[0])) for kid in reversed(node[5])]
     return out if varying else {}
 
 
@@ -193,10 +254,10 @@ def _skipped(node: Node, inside: bool) -> bool:
     return bool(node.names) and node.tag not in ("html", "body", "article", "main") and bool(_SKIP_WORDS.search(node.names))
 
 
-def _blocks(node: Node, path: str, inside: bool, out: list, run: list) -> None:
+def _blocks(node: Node, path: str, inside: bool, out: list, run: list):
     """Collect (text, constant path) blocks below node, in page order."""
     for kid in node.kids:
-        at = f"{path}/{'#' if kid.tag == '#' else f'{kid.tag}.{kid.names}' if kid.names else kid.tag}"
+        at = _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag)
         if kid.tag == "#":
             run.append((kid.text, at))
             continue
@@ -207,7 +268,7 @@ def _blocks(node: Node, path: str, inside: bool, out: list, run: list) -> None:
             _flush(run, out)
         elif kid.tag in ("br", "td", "th", "img"):
             run.append((" ", ""))
-        _blocks(kid, at, inside or kid.tag in ("article", "main"), out, run)
+        yield _blocks(kid, at, inside or kid.tag in ("article", "main"), out, run)
         if block:
             _flush(run, out)
 
@@ -219,16 +280,19 @@ def _flush(run: list, out: list) -> None:
     run.clear()
 
 
-def _regions(root: Node, path: str = "/#root", inside: bool = False):
-    """(rank, node, path) of candidate article regions outside skipped ones."""
-    for kid in root.kids:
-        if kid.tag == "#" or _skipped(kid, inside):
-            continue
-        at = f"{path}/{kid.tag}.{kid.names}" if kid.names else f"{path}/{kid.tag}"
-        rank = 3 if kid.tag == "article" or kid.role == "article" else 2 if kid.tag == "main" or kid.role == "main" else 1 if kid.names and _MAIN_WORD.search(kid.names) and kid.tag in ("div", "section", "td") else 0
-        if rank:
-            yield rank, kid, at
-        yield from _regions(kid, at, inside or rank >= 2)
+def _regions(root: Node):
+    """(rank, node, path) of candidate article regions outside skipped ones; one below another of its rank adds nothing."""
+    todo = [(root, "/#root", False, 0)]
+    while todo:
+        node, path, inside, above = todo.pop()
+        if node is not root:
+            rank = 3 if node.tag == "article" or node.role == "article" else 2 if node.tag == "main" or node.role == "main" else 1 if node.names and _MAIN_WORD.search(node.names) and node.tag in ("div", "section", "td") else 0
+            if rank > above:
+                yield rank, node, path
+            inside, above = inside or rank >= 2, max(above, rank)
+        for kid in reversed(node.kids):
+            if kid.tag != "#" and not _skipped(kid, inside):
+                todo.append((kid, _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag), inside, above))
 
 
 def main_text(page: str, fixed: dict[str, str]) -> str:
@@ -241,7 +305,7 @@ def main_text(page: str, fixed: dict[str, str]) -> str:
     for node, path in candidates:
         out: list = []
         run: list = []
-        _blocks(node, path, top >= 2, out, run)
+        _run(_blocks(node, path, top >= 2, out, run))
         _flush(run, out)
         if sum(len(t) for t, _ in out) > sum(len(t) for t, _ in best):
             best = out
@@ -260,15 +324,15 @@ def _infer(batches):
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             w = fold(parse(page or ""))
             own[host] = align(own[host], w) if host in own else w
-        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([json.dumps(w) for w in own.values()], pa.string())], ["host", "wrapper"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([dump(w) for w in own.values()], pa.string())], ["host", "wrapper"])
 
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:
     wrapper = None
     for text in sorted(group["wrapper"]):
-        w = json.loads(text)
+        w = load(text)
         wrapper = w if wrapper is None else align(wrapper, w)
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(wrapper)]})
+    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [dump(wrapper)]})
 
 
 def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
@@ -286,7 +350,7 @@ def _extract(batches):
             if wrapper not in known:
                 if len(known) > 2000:
                     known.clear()
-                known[wrapper] = constants(json.loads(wrapper)) if wrapper else {}
+                known[wrapper] = constants(load(wrapper)) if wrapper else {}
             texts.append(main_text(page or "", known[wrapper]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
