@@ -2,14 +2,15 @@
 
 A page is read as a tree. Runs of like siblings fold into one repeated group, and text becomes a slot. The folded pages
 of a host are aligned one after the other: children that only some pages have become optional, children that occur
-again become repeated, a slot keeps its text only while all pages agree. The result is a regular expression without
+again become repeated, a slot keeps its text, and a repeated group a digest of its texts, only while all pages agree. The result is a regular expression without
 unions - tags, optional and repeated groups, text slots - that generates the host's pages.
 
 Wrappers combine like sums: pages within a task, then salted groups of a host, then the host. So every page takes part,
 a host with a third of all pages is no hot spot, and what is shuffled is a small wrapper for each task and host.
 
 A page's main text is then what fills varying slots of its article: regions that are navigation, forms, adverts,
-notices or comments by their tag, role or class are left out, and so is text that the host's wrapper holds constant.
+notices or comments by their tag, role or class are left out, and so is text that the host's wrapper holds constant on
+nearly all of its distinct pages.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import json
+import math
 import re
 from collections import Counter
 
@@ -42,16 +44,17 @@ _HEADER_WORD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])",
 _MAIN_WORD = re.compile(r"(?:^|[\s_-])(?:content|article|post|entry|story|main)(?:$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _WHITE = re.compile(r"\s+")
-_LEAST_PAGES, _MOST_TEXT, _LONG_PATH = 3, 300, 200
+_LEAST_PAGES, _NEARLY_ALL, _MOST_TEXT, _LONG_PATH = 3, 0.95, 300, 200
 
 
 class Node:
     """An element (tag, its classes and ids, kids) or, with tag '#', a piece of text."""
 
-    __slots__ = ("tag", "names", "role", "hidden", "kids", "text")
+    __slots__ = ("tag", "names", "role", "hidden", "kids", "text", "group")
 
     def __init__(self, tag, names="", role="", hidden=False, text=""):
         self.tag, self.names, self.role, self.hidden, self.kids, self.text = tag, names, role, hidden, [], text
+        self.group = None
 
 
 def parse(page: str) -> Node:
@@ -126,32 +129,57 @@ def _run(walk):
 def _at(path: str, key: str) -> str:
     """The path of a kid; a long one is hashed, so that deep pages do not cost the square of their depth."""
     path = f"{path}/{key}"
-    return path if len(path) <= _LONG_PATH else "#" + hashlib.blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+    return path if len(path) <= _LONG_PATH else "#" + _digest(path)
 
 
-# A wrapper node is [key, optional, repeated, text or None, pages, kids]; text counts for slots ('#') only.
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def _slot(text: str) -> str:
+    """What a slot remembers of its text: the text with single blanks, of a long one a digest."""
+    text = _WHITE.sub(" ", text).strip()
+    return text if len(text) <= _MOST_TEXT else "\x00" + _digest(text)
+
+
+# A wrapper node is [key, optional, repeated, text or None, pages, kids]. The text of a repeated group is a digest of the
+# texts of all its members on a page; other elements have none.
 
 
 def fold(node: Node) -> list:
     """The page as a wrapper: like neighbours among the kids become one repeated group."""
-    return _run(_fold(node))
+    w = _run(_fold(node))
+    if w[0] != "#":
+        w[3] = None
+    return w
 
 
 def _fold(node: Node):
     if node.tag == "#":
-        text = _WHITE.sub(" ", node.text).strip()
-        return ["#", False, False, text if len(text) <= _MOST_TEXT else None, 1, []]
+        return ["#", False, False, _slot(node.text), 1, []]
     kids: list = []
+    groups: list[list[Node]] = []
     for kid in node.kids:
         if kid.tag == "#" and not kid.text.strip():
             continue
         new = yield _fold(kid)
         if kids and kids[-1][0] == new[0]:
+            text = _digest(f"{kids[-1][3]} {new[3]}")
             kids[-1] = yield _align(kids[-1], new, True)
-            kids[-1][2] = True
+            kids[-1][2:4] = True, text
+            groups[-1].append(kid)
         else:
             kids.append(new)
-    return [f"{node.tag}.{node.names}" if node.names else node.tag, False, False, None, 1, kids]
+            groups.append([kid])
+    text = _digest(" ".join(k[3] for k in kids))
+    for kid, members in zip(kids, groups, strict=True):
+        if kid[2]:
+            kid[3] = "\x01" + kid[3]
+            for member in members:
+                member.group = kid[3]
+        elif kid[0] != "#":
+            kid[3] = None
+    return [f"{node.tag}.{node.names}" if node.names else node.tag, False, False, text, 1, kids]
 
 
 def align(a: list, b: list, same_page: bool = False) -> list:
@@ -185,7 +213,7 @@ def _align(a: list, b: list, same_page: bool):
                 node, j = kb[j], j + 1
             if kids and kids[-1][0] == node[0]:  # again: a repeated group
                 kids[-1] = yield _align(kids[-1], node, True)
-                kids[-1][2] = True
+                kids[-1][2:4] = True, None
             else:
                 kids.append([node[0], True, *node[2:]])
     return [a[0], a[1] or b[1], a[2] or b[2], text, pages, kids]
@@ -203,7 +231,7 @@ def expression(w: list) -> str:
         end = ")" + ("*" if w[1] and w[2] else "?" if w[1] else "+") if w[1] or w[2] else ""
         start = "(" if end else ""
         if w[0] == "#":
-            out.append(start + ("#text" if w[3] is None else w[3]) + end)
+            out.append(start + ("#text" if w[3] is None or w[3][:1] == "\x00" else w[3]) + end)
         else:
             out.append(f"{start}<{w[0]}>")
             todo += ["</>" + end, *reversed(w[5])]
@@ -230,20 +258,26 @@ def load(text: str) -> list:
     return done[0]
 
 
-def constants(w: list, least: int = _LEAST_PAGES) -> dict[str, str]:
-    """Path -> text of slots that at least `least` pages of the host fill alike, if some other slot varies."""
-    out: dict[str, str] = {}
+def fixed_slots(w: list, least: int = _LEAST_PAGES) -> set[tuple[str, str]]:
+    """(path, text) of slots and repeated groups that nearly all of the host's pages, and `least` of them, have and fill
+    alike, if some other slot varies. What only some pages have is no template, however many of them agree."""
+    out: set[tuple[str, str]] = set()
+    least = max(least, math.ceil(_NEARLY_ALL * w[4]))
     varying = 0
     todo = [(w, _at("", w[0]))]
     while todo:
         node, path = todo.pop()
-        if node[0] == "#":
-            if node[3] is None:
-                varying += 1
-            elif node[4] >= least and not node[2]:
-                out[path] = node[3]
+        if node[3] is None:
+            varying += node[0] == "#"
+        elif node[4] >= least and node[2] == (node[3][:1] == "\x01"):
+            out.add((path, node[3]))
         todo += [(kid, _at(path, kid[0])) for kid in reversed(node[5])]
-    return out if varying else {}
+    return out if varying else set()
+
+
+def constants(w: list, least: int = _LEAST_PAGES) -> dict[str, str]:
+    """fixed_slots as path -> text."""
+    return dict(fixed_slots(w, least))
 
 
 def _skipped(node: Node, inside: bool) -> bool:
@@ -254,10 +288,12 @@ def _skipped(node: Node, inside: bool) -> bool:
     return bool(node.names) and node.tag not in ("html", "body", "article", "main") and bool(_SKIP_WORDS.search(node.names))
 
 
-def _blocks(node: Node, path: str, inside: bool, out: list, run: list):
-    """Collect (text, constant path) blocks below node, in page order."""
+def _blocks(node: Node, path: str | None, inside: bool, fixed: set, out: list, run: list):
+    """Collect (text, [(path, slot)]) blocks below node, in page order; the path is None below a group that is constant."""
     for kid in node.kids:
-        at = _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag)
+        at = None if path is None else _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag)
+        if kid.group is not None and (at, kid.group) in fixed:
+            at = None
         if kid.tag == "#":
             run.append((kid.text, at))
             continue
@@ -268,7 +304,7 @@ def _blocks(node: Node, path: str, inside: bool, out: list, run: list):
             _flush(run, out)
         elif kid.tag in ("br", "td", "th", "img"):
             run.append((" ", ""))
-        yield _blocks(kid, at, inside or kid.tag in ("article", "main"), out, run)
+        yield _blocks(kid, at, inside or kid.tag in ("article", "main"), fixed, out, run)
         if block:
             _flush(run, out)
 
@@ -276,7 +312,7 @@ def _blocks(node: Node, path: str, inside: bool, out: list, run: list):
 def _flush(run: list, out: list) -> None:
     text = _WHITE.sub(" ", "".join(t for t, _ in run)).strip()
     if text:
-        out.append((text, [(p, _WHITE.sub(" ", t).strip()) for t, p in run if t.strip()]))
+        out.append((text, [(p, _slot(t)) for t, p in run if t.strip()]))
     run.clear()
 
 
@@ -295,9 +331,12 @@ def _regions(root: Node):
                 todo.append((kid, _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag), inside, above))
 
 
-def main_text(page: str, fixed: dict[str, str]) -> str:
+def main_text(page: str, fixed: set[tuple[str, str]] | dict[str, str]) -> str:
     """Blocks of the page's article, without what the host's wrapper holds constant."""
     root = parse(page)
+    fixed = set(fixed.items()) if isinstance(fixed, dict) else fixed
+    if any(t[:1] == "\x01" for _, t in fixed):
+        fold(root)  # marks the members of groups
     regions = list(_regions(root))
     best: list = []
     top = max((r[0] for r in regions), default=0)
@@ -305,11 +344,11 @@ def main_text(page: str, fixed: dict[str, str]) -> str:
     for node, path in candidates:
         out: list = []
         run: list = []
-        _run(_blocks(node, path, top >= 2, out, run))
+        _run(_blocks(node, path, top >= 2, fixed, out, run))
         _flush(run, out)
         if sum(len(t) for t, _ in out) > sum(len(t) for t, _ in best):
             best = out
-    own = [t for t, parts in best if not all(fixed.get(p) == t2 for p, t2 in parts)]
+    own = [t for t, parts in best if not all(p is None or (p, t2) in fixed for p, t2 in parts)]
     return "\n".join(own or [t for t, _ in best])
 
 
@@ -336,21 +375,24 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
-    """(host, wrapper) from pages(host, html): combined in tasks, then in salted groups of a host, then per host."""
-    local = pages.select("host", "html").mapInArrow(_infer, "host string, wrapper string")
+    """(host, wrapper) from pages(host, html): combined in tasks, then in salted groups of a host, then per host.
+
+    Copies of a page count once, as they would make an article look like template.
+    """
+    local = pages.select("host", "html").dropDuplicates().mapInArrow(_infer, "host string, wrapper string")
     salted = local.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts))).groupBy("host", "salt").applyInPandas(_merge, "host string, wrapper string")
     return salted.groupBy("host").applyInPandas(_merge, "host string, wrapper string")
 
 
 def _extract(batches):
-    known: dict[str, dict] = {}
+    known: dict[str, set] = {}
     for batch in batches:
         texts = []
         for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             if wrapper not in known:
                 if len(known) > 2000:
                     known.clear()
-                known[wrapper] = constants(load(wrapper)) if wrapper else {}
+                known[wrapper] = fixed_slots(load(wrapper)) if wrapper else set()
             texts.append(main_text(page or "", known[wrapper]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

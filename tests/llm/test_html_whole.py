@@ -10,3 +10,33 @@ def test_depth_has_no_cap():
     assert H.main_text(page, {}) == ("a " * 20000).strip() + "\nx"
     w = H.align(H.fold(H.parse(page)), H.fold(H.parse(page.replace("x", "y"))))
     assert H.dump(H.load(H.dump(w))) == H.dump(w) and H.expression(w).count("<span>") == 20000
+
+
+def _of_host(pages):
+    w = None
+    for p in pages:
+        own = H.fold(H.parse(p))
+        w = own if w is None else H.align(w, own)
+    return w
+
+
+def test_what_some_pages_share_is_no_template(spark):
+    body = lambda i, more: f"<article><h1>Title {i}</h1><p>Text {i}</p>{more}<div>Read us daily</div></article>"
+    pages = [body(i, "<h2>Conclusion</h2><p>So it is</p>" if i < 3 else "") for i in range(12)]
+    pages += [body(99, "<h3>Sub-heading</h3><blockquote>Quote</blockquote>")] * 30
+    rows = [(i, f"https://h.example.org/{i}", p) for i, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "Title 0\nText 0\nConclusion\nSo it is" and got[5] == "Title 5\nText 5"
+    assert got[12] == got[41] == "Title 99\nText 99\nSub-heading\nQuote"
+
+
+def test_long_texts_and_groups_are_evidence():
+    long = "All rights are with the house. " * 20
+    pages = [f"<article><h1>Title {i}</h1><div>{long}</div><ul><li>Send</li><li>Print</li></ul><ol><li>Point {i}</li><li>Print</li></ol></article>" for i in range(4)]
+    fixed = H.fixed_slots(_of_host(pages))
+    assert [H.main_text(p, fixed) for p in pages] == [f"Title {i}\nPoint {i}\nPrint" for i in range(4)]
+
+
+def test_places_of_one_path_keep_their_texts():
+    pages = [f"<article><p>First</p><h2>Title {i}</h2><p>Second</p></article>" for i in range(4)]
+    assert H.main_text(pages[0], H.fixed_slots(_of_host(pages))) == "Title 0"
