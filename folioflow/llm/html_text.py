@@ -8,8 +8,8 @@ unions - tags, optional and repeated groups, text slots - that generates the hos
 Wrappers combine like sums: pages within a task, then salted groups of a host, then the host. So every page takes part,
 a host with a third of all pages is no hot spot, and what is shuffled is a small wrapper for each task and host.
 
-A page's main text is then what fills varying slots of its article: regions that are navigation, forms, adverts,
-notices or comments by their tag, role or class are left out, and so is text that the host's wrapper holds constant on
+A page's main text is then what fills varying slots of its article: regions that are navigation, forms or asides by their
+tag or role are left out; those that only a class or id names so need a second sign (see _furniture). Left out is also text that the host's wrapper holds constant on
 nearly all of its distinct pages.
 """
 
@@ -40,6 +40,10 @@ _SKIP_WORDS = re.compile(
     r"related|recommend\w*|comments?|respond|repl(?:y|ies)|disqus|discussion|widgets?|toolbar|skip|pagination|pager|copyright|legal|disclaimer|alerts?)(?:$|[\s_-])",
     re.I,
 )
+#: Those that also name sections of an article; there they need a second sign.
+_SECTION_WORDS = re.compile(r"(?:^|[\s_-])(?:side|notices?|consent|overlay|search|social|related|recommend\w*|repl(?:y|ies)|discussion|copyright|legal|disclaimer|alerts?|skip|banners?)(?:$|[\s_-])", re.I)
+#: A layout that says what it has (has-sidebar, no-nav) is not that thing.
+_STATE = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|show|hide)[_-]\S*", re.I)
 _HEADER_WORD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 _MAIN_WORD = re.compile(r"(?:^|[\s_-])(?:content|article|post|entry|story|main)(?:$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -50,11 +54,11 @@ _LEAST_PAGES, _NEARLY_ALL, _MOST_TEXT, _LONG_PATH = 3, 0.95, 300, 200
 class Node:
     """An element (tag, its classes and ids, kids) or, with tag '#', a piece of text."""
 
-    __slots__ = ("tag", "names", "role", "hidden", "kids", "text", "group")
+    __slots__ = ("tag", "names", "role", "hidden", "kids", "text", "group", "size", "links", "main")
 
     def __init__(self, tag, names="", role="", hidden=False, text=""):
         self.tag, self.names, self.role, self.hidden, self.kids, self.text = tag, names, role, hidden, [], text
-        self.group = None
+        self.group, self.size, self.links, self.main = None, 0, 0, False
 
 
 def parse(page: str) -> Node:
@@ -283,12 +287,48 @@ def constants(w: list, least: int = _LEAST_PAGES) -> dict[str, str]:
 def _skipped(node: Node, inside: bool) -> bool:
     if node.hidden or node.tag in _SKIP or node.role in _ROLES:
         return True
-    if not inside and (node.tag == "header" or (node.names and _HEADER_WORD.search(node.names))):
-        return True
-    return bool(node.names) and node.tag not in ("html", "body", "article", "main") and bool(_SKIP_WORDS.search(node.names))
+    return not inside and (node.tag == "header" or bool(node.names and _HEADER_WORD.search(node.names)))
+
+
+def _worded(node: Node) -> bool:
+    """Named like furniture of a page. That is one sign only; _furniture asks for another."""
+    return bool(node.names) and node.tag not in ("html", "body", "article", "main") and bool(_SKIP_WORDS.search(_STATE.sub(" ", node.names)))
+
+
+def _furniture(node: Node, inside: bool, whole: int) -> bool:
+    """Whether a worded element goes: it must hold at most half of the varying text around it, and inside an article a
+    word that sections have too only counts where the text is mostly links or the same on the whole host."""
+    if 2 * node.size > whole:
+        return False
+    return not inside or 2 * node.links >= node.size or bool(_SKIP_WORDS.search(_SECTION_WORDS.sub("  ", _STATE.sub(" ", node.names))))
 
 
-def _blocks(node: Node, path: str | None, inside: bool, fixed: set, out: list, run: list):
+def _measure(root: Node, fixed: set) -> None:
+    """For each element: its characters of text that varies on the host, those in links, and whether it holds an article."""
+    seen: list[tuple[Node, Node | None]] = []
+    todo: list = [(root, None, "/#root", False)]
+    while todo:
+        node, above, path, link = todo.pop()
+        seen.append((node, above))
+        for kid in node.kids:
+            at = None if path is None else _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag)
+            if kid.group is not None and (at, kid.group) in fixed:
+                at = None
+            if kid.tag == "#":
+                text = _WHITE.sub(" ", kid.text).strip()
+                if at is not None and (at, _slot(text)) not in fixed:
+                    node.size += len(text)
+                    node.links += len(text) if link else 0
+            elif not (kid.hidden or kid.tag in _SKIP or kid.role in _ROLES):
+                todo.append((kid, node, at, link or kid.tag == "a"))
+    for node, above in reversed(seen):
+        if above is not None:
+            above.size += node.size
+            above.links += node.links
+            above.main |= node.main or node.tag in ("article", "main") or node.role in ("article", "main")
+
+
+def _blocks(node: Node, path: str | None, inside: bool, whole: int, fixed: set, out: list, run: list):
     """Collect (text, [(path, slot)]) blocks below node, in page order; the path is None below a group that is constant."""
     for kid in node.kids:
         at = None if path is None else _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag)
@@ -297,14 +337,14 @@ def _blocks(node: Node, path: str | None, inside: bool, fixed: set, out: list, r
         if kid.tag == "#":
             run.append((kid.text, at))
             continue
-        if _skipped(kid, inside):
+        if _skipped(kid, inside) or _worded(kid) and _furniture(kid, inside, whole):
             continue
         block = kid.tag in _BLOCK
         if block:
             _flush(run, out)
         elif kid.tag in ("br", "td", "th", "img"):
             run.append((" ", ""))
-        yield _blocks(kid, at, inside or kid.tag in ("article", "main"), fixed, out, run)
+        yield _blocks(kid, at, inside or kid.tag in ("article", "main"), whole, fixed, out, run)
         if block:
             _flush(run, out)
 
@@ -317,18 +357,23 @@ def _flush(run: list, out: list) -> None:
 
 
 def _regions(root: Node):
-    """(rank, node, path) of candidate article regions outside skipped ones; one below another of its rank adds nothing."""
-    todo = [(root, "/#root", False, 0)]
+    """(rank, weak, node, path) of candidate article regions outside skipped ones; one below another of its rank adds nothing.
+
+    Weak ones lie in a worded element; that is left out unless it holds an article or most of the page's text.
+    """
+    todo = [(root, "/#root", False, 0, False)]
     while todo:
-        node, path, inside, above = todo.pop()
+        node, path, inside, above, weak = todo.pop()
         if node is not root:
             rank = 3 if node.tag == "article" or node.role == "article" else 2 if node.tag == "main" or node.role == "main" else 1 if node.names and _MAIN_WORD.search(node.names) and node.tag in ("div", "section", "td") else 0
             if rank > above:
-                yield rank, node, path
+                yield rank, weak, node, path
             inside, above = inside or rank >= 2, max(above, rank)
         for kid in reversed(node.kids):
             if kid.tag != "#" and not _skipped(kid, inside):
-                todo.append((kid, _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag), inside, above))
+                named = _worded(kid)
+                if not named or kid.main or not _furniture(kid, inside, root.size):
+                    todo.append((kid, _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag), inside, above, weak or named))
 
 
 def main_text(page: str, fixed: set[tuple[str, str]] | dict[str, str]) -> str:
@@ -337,17 +382,22 @@ def main_text(page: str, fixed: set[tuple[str, str]] | dict[str, str]) -> str:
     fixed = set(fixed.items()) if isinstance(fixed, dict) else fixed
     if any(t[:1] == "\x01" for _, t in fixed):
         fold(root)  # marks the members of groups
+    _measure(root, fixed)
     regions = list(_regions(root))
     best: list = []
-    top = max((r[0] for r in regions), default=0)
-    candidates = [(n, p) for r, n, p in regions if r == top] or [(root, "/#root")]
-    for node, path in candidates:
-        out: list = []
-        run: list = []
-        _run(_blocks(node, path, top >= 2, fixed, out, run))
-        _flush(run, out)
-        if sum(len(t) for t, _ in out) > sum(len(t) for t, _ in best):
-            best = out
+    order = lambda rank, weak: (rank >= 2, not weak, rank)
+    ranks = sorted({order(r, w) for r, w, *_ in regions}, reverse=True) or [None]
+    for top in ranks:
+        inside = bool(top and top[0])
+        if top != ranks[0] and (best or not inside):
+            break
+        for node, path in [(n, p) for r, w, n, p in regions if order(r, w) == top] or [(root, "/#root")]:
+            out: list = []
+            run: list = []
+            _run(_blocks(node, path, inside, node.size, fixed, out, run))
+            _flush(run, out)
+            if sum(len(t) for t, _ in out) > sum(len(t) for t, _ in best):
+                best = out
     own = [t for t, parts in best if not all(p is None or (p, t2) in fixed for p, t2 in parts)]
     return "\n".join(own or [t for t, _ in best])
 

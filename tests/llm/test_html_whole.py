@@ -40,3 +40,25 @@ def test_long_texts_and_groups_are_evidence():
 def test_places_of_one_path_keep_their_texts():
     pages = [f"<article><p>First</p><h2>Title {i}</h2><p>Second</p></article>" for i in range(4)]
     assert H.main_text(pages[0], H.fixed_slots(_of_host(pages))) == "Title 0"
+
+
+def test_words_alone_drop_no_article():
+    prose = "<p>Long text of the article, with all that it says.</p>"
+    said = "Long text of the article, with all that it says."
+    for name in ("layout has-sidebar", "with-comments", "no-nav", "search-page", "page-sidebar"):
+        assert H.main_text(f"<div class='{name}'><article>{prose}</article></div>", set()) == said, name
+        assert H.main_text(f"<div class='{name}'>{prose}</div>", set()) == said, name
+        assert H.main_text(f"<main><div class='{name}'>{prose}</div></main>", set()) == said, name
+    assert H.main_text(f"<main></main><div class='sidebar'><article>{prose}</article></div>", set()) == said
+    for name in ("discussion", "legal", "related", "notices"):
+        assert H.main_text(f"<article>{prose}{prose}<section id='{name}'><p>We discuss.</p></section></article>", set()).endswith("We discuss."), name
+    links = "<div class='related'><a href=1>One other</a> <a href=2>Two others</a></div>"
+    comments = "<div class='comments'><article><p>Much longer " + "reader comment " * 20 + "</p></article></div>"
+    assert H.main_text(f"<article>{prose}{links}<div class='ad'>Buy</div></article>{comments}", set()) == said
+
+
+def test_wrapper_decides_on_words():
+    pages = [f"<article><p>Text {i}</p><section id='legal'><p>All rights reserved</p></section></article>" for i in range(4)]
+    assert H.main_text(pages[0], H.fixed_slots(_of_host(pages))) == "Text 0"
+    pages = [f"<article><p>Text {i}</p><section id='legal'><p>Case {i}</p></section></article>" for i in range(4)]
+    assert H.main_text(pages[0], H.fixed_slots(_of_host(pages))) == "Text 0\nCase 0"
