@@ -142,7 +142,7 @@ def heading_stack(t):
        "h AS (SELECT term, doc_id, para_id, row_number() OVER (PARTITION BY term ORDER BY doc_id, para_id) AS r FROM w JOIN (SELECT DISTINCT doc_id, para_id, unnest(string_split_regex(para, '[^A-Za-z0-9]+')) AS term FROM p) USING (term)) "
        "SELECT term, doc_id, CAST(para_id AS INTEGER) AS para_id FROM h WHERE r = 1")
 def first_mention(t):
-    terms = t("benchmark").select(F.element_at(F.split("text", " "), 1).alias("term")).where(F.col("term").rlike("^[A-Za-z]+$"))
+    terms = t("benchmark").select(F.element_at(F.split("text", " "), 1).alias("term"))
     return D.first_mention(terms, D.paragraphs(t("documents"), "doc_id"), "term", "doc_id", "para_id", "para").drop("para")
 
 

@@ -60,9 +60,17 @@ def render(df: DataFrame, key: str, order: str, text: str, tables: Column | None
 
 
 def first_mention(terms: DataFrame, paras: DataFrame, term: str, key: str, order: str, text: str) -> DataFrame:
-    """The first paragraph that has each term as a word. Words are joined by equality, so no term meets every paragraph."""
-    words = paras.select(key, order, text, F.explode(F.array_distinct(F.split(text, "[^A-Za-z0-9]+"))).alias("_w"))
-    hits = words.join(terms.select(F.col(term)).distinct(), F.col("_w") == F.col(term))
+    """The first paragraph that has each term, as it is written, with no letter, digit or underscore (of any script) next to it.
+
+    Terms and paragraphs are cut into words alike and joined on a term's first word (its first mark if it has none), so no
+    term meets every paragraph; a term of more than that word is then looked for as a whole. Blank terms are never found.
+    """
+    words = paras.select(key, order, text, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?U)\w+|[^\w\s]"), F.lit(0)))).alias("_w"))
+    first = lambda pattern: F.nullif(F.regexp_extract(term, pattern, 0), F.lit(""))
+    wanted = terms.select(F.col(term)).distinct().withColumn("_w", F.coalesce(first(r"(?U)\w+"), first(r"(?U)[^\w\s]")))
+    quoted = F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.replace(F.col(term), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?!\w)"))
+    alone = (F.col(term) == F.col("_w")) & F.col(term).rlike(r"(?U)^\w+$")
+    hits = words.join(wanted, "_w").where(F.when(alone, True).otherwise(F.regexp_like(text, quoted)))
     return hits.groupBy(term).agg(F.min(F.struct(key, order, text)).alias("m")).select(term, f"m.{key}", f"m.{order}", f"m.{text}")
 
 
