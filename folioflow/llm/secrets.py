@@ -7,9 +7,10 @@ token that could be a secret, an endpoint - are common in clean text, so they ar
 - a weak secret with an access identifier (access or weak access) near it,
 - an endpoint with both near it.
 
-Near means in the same scope (a block of the text between empty lines) and at most `reach` code points apart. This
-is an interval join of which only existence matters: spans are ordered by position and each looks at the nearest
-identifier, secret and endpoint before and after it, so no pairs are made, however many spans a text has.
+Near means in the same scope (a block of the text between empty lines), however long that is, or with `reach` also at
+most that many code points apart. This is an interval join of which only existence matters: spans are ordered by
+position and each looks at the nearest identifier, secret and endpoint before and after it, so no pairs are made,
+however many spans a text has.
 
 Positions: a pattern's matches and the pieces between them tile the text, so running sums of their lengths are the
 offsets. Only those lengths leave the scan, never the text.
@@ -52,7 +53,7 @@ def _gaps(kind: str, pattern: str, group: int) -> Column:
     return F.when(F.regexp_like("text", F.lit(pattern)), zipped)
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 400) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int | None = None) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     A null text is empty and has no spans; repeated rows are each scanned; extra columns are ignored; an empty table
@@ -90,6 +91,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         those = F.col("kind").isin(*kinds)
         left = F.col("start") - F.max(F.when(those, F.col("end"))).over(past)
         right = F.min(F.when(those, F.col("start"))).over(ahead) - F.col("end")
+        if reach is None:
+            return left.isNotNull() | right.isNotNull()
         return F.coalesce(left <= reach, F.lit(False)) | F.coalesce(right <= reach, F.lit(False))
 
     spans = spans.withColumn("id_near", near(1, 3)).withColumn("secret_near", near(0, 2, 4))
