@@ -10,6 +10,9 @@ beyond it, in the cluster, one aggregation and one join for each marginal, the s
 
 from __future__ import annotations
 
+import itertools
+import warnings
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,6 +23,7 @@ from .common import Workspace, blocks_of, text_view, word_hashes
 
 DIMS = ("source", "lang", "topic")
 TOPICS = 8
+SWEEPS, TOLERANCE = 200, 1e-10  # on both paths
 _NONE = "\x00none"
 _U = np.uint64
 
@@ -38,11 +42,12 @@ def _features(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(topic, pa.int32()), pa.array(n, pa.int64())], ["doc_id", "source", "lang", "topic", "n_tokens"])
 
 
-def rake(cells: pd.DataFrame, targets: dict[str, dict], sweeps: int = 200, tol: float = 1e-10) -> np.ndarray:
+def rake(cells: pd.DataFrame, targets: dict[str, dict], sweeps: int = SWEEPS, tol: float = TOLERANCE) -> np.ndarray:
     """Masses of cells (DIMS, tokens) after raking to the target shares; cells that a marginal gives nothing get 0."""
     mass = cells["tokens"].to_numpy(float) / max(1.0, float(cells["tokens"].sum()))
     codes = {d: pd.factorize(cells[d]) for d in DIMS}
     goal = {d: np.array([targets[d].get(v, 0.0) for v in codes[d][1]]) for d in DIMS}
+    worst = 0.0
     for _ in range(sweeps):
         worst = 0.0
         for d in DIMS:
@@ -52,9 +57,15 @@ def rake(cells: pd.DataFrame, targets: dict[str, dict], sweeps: int = 200, tol:
             mass = mass * factor[codes[d][0]]
         if worst < tol:
             break
+    else:
+        _unconverged(sweeps, worst)
     return mass
 
 
+def _unconverged(sweeps: int, off: float) -> None:
+    warnings.warn(f"raking stopped after {sweeps} sweeps with a marginal still {off:.3g} of its target off", RuntimeWarning, stacklevel=3)
+
+
 def fill(tokens: np.ndarray, mass: np.ndarray, budget: float) -> np.ndarray:
     """Probabilities min(1, scale * mass / tokens) whose expected tokens are the budget, as far as the cells go."""
     p = np.zeros(len(tokens))
@@ -80,7 +91,7 @@ def _default_targets(cells: DataFrame, power: float) -> dict[str, DataFrame]:
     return out
 
 
-def _rake_in_cluster(cells: DataFrame, targets: dict[str, DataFrame], budget: float, ws: Workspace, sweeps: int, tol: float) -> DataFrame:
+def _rake_in_cluster(cells: DataFrame, targets: dict[str, DataFrame], budget: float, ws: Workspace, sweeps: int = SWEEPS, tol: float = TOLERANCE) -> DataFrame:
     now = cells.withColumn("mass", F.col("tokens").cast("double"))
     for k in range(sweeps):
         for d in DIMS:
@@ -92,12 +103,15 @@ def _rake_in_cluster(cells: DataFrame, targets: dict[str, DataFrame], budget: fl
         for d in DIMS:
             own = now.groupBy(d).agg(F.sum("mass").alias("have")).where("have > 0").join(targets[d], d).agg(F.max(F.abs(F.col("goal") / F.col("have") - 1)).alias("x"))
             off = own if off is None else off.union(own)
-        if (off.agg(F.max("x")).first()[0] or 0.0) < tol:
-            break
+        worst = off.agg(F.max("x")).first()[0] or 0.0
         if k:
             ws.drop(f"rake-{k - 1}")
+        if worst < tol:
+            break
+    else:
+        _unconverged(sweeps, worst)
     now, left, scale = now.withColumn("full", F.lit(False)), budget, 0.0
-    for k in range(60):
+    for k in itertools.count():  # each turn but the last fills a cell
         got = now.where("NOT full AND mass > 0 AND tokens > 0").agg(F.sum("mass")).first()[0]
         if not got or left <= 0:
             scale = 0.0
@@ -109,6 +123,8 @@ def _rake_in_cluster(cells: DataFrame, targets: dict[str, DataFrame], budget: fl
             break
         left -= took
         now = ws.table(now.withColumn("full", F.col("full") | turn), f"fill-{k}")
+        if k:
+            ws.drop(f"fill-{k - 1}")
     p = F.when(F.col("full"), 1.0).when(F.col("tokens") > 0, scale * F.col("mass") / F.col("tokens")).otherwise(0.0)
     return now.select(*DIMS, "tokens", "mass", p.alias("probability"))
 
@@ -139,7 +155,7 @@ def mixture(docs: DataFrame, fraction: float = 0.5, power: float = 0.5, targets:
         local["probability"] = fill(local["tokens"].to_numpy(float), local["mass"].to_numpy(float), fraction * total)
         calibrated = F.broadcast(spark.createDataFrame(local, "source string, lang string, topic int, tokens long, mass double, probability double"))
     else:
-        calibrated = ws.table(_rake_in_cluster(cells, {d: ws.table(g, f"goal-{d}") for d, g in goals.items()}, fraction * total, ws, 60, 1e-9), "calibrated")
+        calibrated = ws.table(_rake_in_cluster(cells, {d: ws.table(g, f"goal-{d}") for d, g in goals.items()}, fraction * total, ws), "calibrated")
     weight = F.when(F.col("tokens") > 0, F.col("mass") / F.col("tokens") * float(total)).otherwise(0.0)
     named = lambda c: F.when(F.col(c) != _NONE, F.col(c)).alias(c)
     return rows.join(calibrated, list(DIMS)).select("doc_id", named("source"), named("lang"), "topic", "n_tokens", weight.alias("weight"), "probability", (uniform(F.col("doc_id"), seed) < F.col("probability")).alias("sampled"))
