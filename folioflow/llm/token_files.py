@@ -102,7 +102,8 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-_FILE = "part int, seq int, n_ids long, doc_ids binary, lengths binary, segment binary"
+#: Null doc_ids sort first: n_null of a segment's documents, its first ones, have none (0 in doc_ids).
+_FILE = "part int, seq int, n_ids long, n_null long, doc_ids binary, lengths binary, segment binary"
 
 
 def _encoder(path: str, end_id: int):
@@ -115,10 +116,11 @@ def _encoder(path: str, end_id: int):
         def segment():
             nonlocal docs, sizes, parts, held, seq
             data = coder.encode(np.frombuffer(b"".join(parts), "<u4"))
-            row = [[part], [seq], [held], [np.array(docs, "<i8").tobytes()], [np.array(sizes, "<i8").tobytes()], [data]]
+            ids = np.array([0 if d is None else d for d in docs], "<i8")
+            row = [[part], [seq], [held], [docs.count(None)], [ids.tobytes()], [np.array(sizes, "<i8").tobytes()], [data]]
             docs, sizes, parts, held, seq = [], [], [], 0, seq + 1
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], ["part", "seq", "n_ids", "doc_ids", "lengths", "segment"])
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], ["part", "seq", "n_ids", "n_null", "doc_ids", "lengths", "segment"])
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -136,21 +138,21 @@ def _encoder(path: str, end_id: int):
 
 
 def write_tokens(docs: DataFrame, where: str, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write every row's ids (null text: the end id alone) to the folder, in ascending doc_id order; equal ids by text."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    """Write every row's ids (null text: the end id alone) to the folder, in ascending doc_id order, null ids first; equal ids by text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, 16)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_encoder(tokenizer or default_tokenizer(), end_id), _FILE).write.parquet(where)
 
 
 def _decoded(batches):
     for batch in batches:
-        for part, seq, _, docs, sizes, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for part, seq, _, n_null, docs, sizes, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             raw = coder.decode(data).astype("<u4").tobytes()
             docs, sizes = np.frombuffer(docs, "<i8"), np.frombuffer(sizes, "<i8")
             ends = np.cumsum(sizes)
             sums = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(docs), part, np.int32)), pa.array(np.full(len(docs), seq, np.int32)), pa.array(docs), pa.array(ends - sizes), pa.array(sizes), pa.array(sums, pa.int64())],
+                [pa.array(np.full(len(docs), part, np.int32)), pa.array(np.full(len(docs), seq, np.int32)), pa.array(docs, mask=np.arange(len(docs)) < n_null), pa.array(ends - sizes), pa.array(sizes), pa.array(sums, pa.int64())],
                 ["part", "seq", "doc_id", "at", "n_tokens", "ids_crc32"],
             )
 

@@ -5,7 +5,7 @@ import inspect
 import pandas as pd
 import pytest
 
-from folioflow.llm import mixing, secrets
+from folioflow.llm import mixing, secrets, token_files
 from folioflow.llm.common import Workspace
 
 
@@ -42,3 +42,11 @@ def test_both_raking_paths_stop_alike_and_say_so(spark, monkeypatch):
     assert mixing.mixture(docs, driver_cells=0).count() == 2
     own = inspect.signature(mixing.rake).parameters
     assert (used["sweeps"], used["tol"]) == (own["sweeps"].default, own["tol"].default)
+
+
+def test_documents_without_an_id_are_written(spark, tmp_path):
+    rows = [(3, "three words here"), (None, "no id"), (-5, "before"), (None, None), (0, "zero"), (None, "also none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_files.token_output(docs, str(tmp_path / "ids")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, None, -5, 0, 3]
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(6)] and got[0].n_tokens == 1
