@@ -1,15 +1,23 @@
 """Context-mixing range coder for token ids, in numpy, many blocks in lockstep.
 
-A run of ids is cut into blocks of BLOCK ids. Each block is reset and coded on its own, so any one can be decoded
-without the others; all blocks of a segment are coded side by side, one id of each at a time.
+A run of ids is cut into blocks of BLOCK ids. Every model is reset with its block, so any block can be decoded without
+the others; all blocks of a segment are coded side by side, one id of each at a time.
 
-Before each id, an order-2 and an order-1 table each predict one id, with a confidence of 0 to 3. Two estimates that
-the order-2 prediction holds - one by the confidences, one by what happened of late - are mixed by weights that follow
-the better one, and likewise for order 1. What is left of the range goes to the order-0 prediction: the segment's id
-frequencies, stored once in its header. All arithmetic is on integers, so decoding repeats encoding exactly.
+Ids are coded by rank: the segment's distinct ids, most frequent first, are listed once in its header. Three orders
+predict each rank:
 
-Segment, little-endian: magic, ids, blocks, distinct ids, per distinct id its value and frequency, per block the
-number of 16-bit words of its code and the CRC-32 of its ids, CRC-32 of the codes, then the codes.
+- order 2 and order 1 each predict the rank that last followed the same two or the same one before it;
+- order 0 holds adaptive frequencies of the rank's digits to base 256, the lower one apart for ranks from 256 on.
+
+Whether order 2 or order 1 holds, or the rank is left to order 0, is estimated three times: by the recent hits of both
+orders and whether they agree, by those of order 2 alone, and by those of order 1 alone. The estimates are mixed with
+weights that grow with the chance that each gave to what came. All counts start from fixed priors at the head of a
+block and are taken up at the places of EPOCHS, so that whole stretches are modelled at once. The mixed decision and
+the digits make one interval of a range coder with 64 bits of state. All arithmetic is on integers, so decoding repeats
+encoding exactly.
+
+Segment, little-endian: magic, ids, blocks, distinct ids, the distinct ids, per block the number of 16-bit words of its
+code and the CRC-32 of its ids, CRC-32 of all these and the codes, then the codes. Ids are unsigned, 32 bits.
 """
 
 from __future__ import annotations
@@ -19,223 +27,347 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"IDC1"
+MAGIC = b"IDC2"
 BLOCK = 2048
-_BITS = 16
-_ONE = 1 << _BITS
-_SLOTS1, _SLOTS2 = 512, 1024
+EPOCHS = (0, 64, 256, 800, BLOCK)
 _U = np.uint64
+_SLOTS1, _SLOTS2 = 256, 512
+_DECIDE, _DIGIT = 12, 10  # bits of the decision's and of a digit's frequencies; together 12 + 2 * 10 = 32
+_ONE, _ALL = 1 << _DECIDE, 1 << _DIGIT
+_GAIN = 8  # what one occurrence adds to a digit's count
+_FEW = 1 << 22
+_LOW = _U(1 << 48)
 
 
 class Corrupt(ValueError):
     """A segment whose bytes do not match its checksums."""
 
 
-def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ids and frequencies of at least 1 that sum to 2**16."""
-    values, counts = np.unique(ids, return_counts=True)
-    room = _ONE - len(values)
-    freq = 1 + (counts * (room / counts.sum())).astype(np.int64)
-    freq[np.argmax(freq)] += _ONE - freq.sum()
-    return values, freq
+def _prior(tables: int) -> np.ndarray:
+    """Counts of 256 digits at the head of a block: small digits first where a digit leads, even below it."""
+    out = np.ones((tables, 256), np.int32)
+    out[0] += 160 // (1 + np.arange(256))
+    out[1::2] += 96 // (4 + np.arange(256))
+    return out
 
 
 class _Model:
-    """State of all blocks of a segment: prediction tables, estimates and mixing weights.
-
-    A table entry is an id times 4 plus its confidence; an estimate entry holds the order-2 chance in its high and the
-    order-1 chance in its low 16 bits.
-    """
-
-    def __init__(self, lanes: int):
-        lane = np.arange(lanes)
-        self.base1, self.base2, self.base_a, self.base_b = lane * _SLOTS1, lane * _SLOTS2, lane * 32, lane * 64
-        self.table1, self.table2 = np.full(lanes * _SLOTS1, -4, np.int32), np.full(lanes * _SLOTS2, -4, np.int32)
-        self.table_a, self.table_b = np.full(lanes * 32, (1 << 28) + (1 << 12)), np.full(lanes * 64, 1 << 12)
-        self.w = np.full(lanes, 128)
-        self.prev, self.last, self.past = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    def cut(self, n: int) -> None:
-        """Go on with the first n blocks only."""
-        for name in ("base1", "base2", "base_a", "base_b", "w", "prev", "last", "past"):
-            setattr(self, name, getattr(self, name)[:n])
-
-    def predict(self):
-        self.at1 = self.base1 + (self.last & (_SLOTS1 - 1))
-        self.at2 = self.base2 + (((self.prev * 0x2F1B) ^ (self.last * 0x5E35)) & (_SLOTS2 - 1))
-        self.e1, self.e2 = self.table1.take(self.at1).astype(np.int64), self.table2.take(self.at2).astype(np.int64)
-        self.p1, self.p2, self.k1, self.k2 = self.e1 >> 2, self.e2 >> 2, self.e1 & 3, self.e2 & 3
-        same = self.p1 == self.p2
-        self.at_a = self.base_a + ((self.k2 << 3) + (self.k1 << 1) + same)
-        self.at_b = self.base_b + (((self.past & 15) << 2) + self.k2)
-        both = self.table_a.take(self.at_a)
-        self.a2, self.a1, self.b2 = both >> 16, both & 0xFFFF, self.table_b.take(self.at_b)
-        q2 = ((self.w * self.a2 + (256 - self.w) * self.b2) >> 8) * (self.e2 >= 0)
-        q1 = (((_ONE - q2) * self.a1) >> 17) * ((self.e1 >= 0) & ~same)
-        return q2, q1
-
-    def learn(self, ids: np.ndarray) -> None:
-        hit2, hit1 = ids == self.p2, ids == self.p1
-        goal = hit2 * 64600 + 400
-        da, db = goal - self.a2, goal - self.b2
-        self.w = np.minimum(np.maximum(self.w + ((np.abs(da) < np.abs(db)) * 8 - 4), 16), 240)
-        a1 = self.a1 + (((hit1 * 64600 + 400 - self.a1) >> 4) * ~hit2)
-        self.table_a[self.at_a] = ((self.a2 + (da >> 4)) << 16) + a1
-        self.table_b[self.at_b] = self.b2 + (db >> 4)
-        self.past = (self.past << 1) + hit2
-        new = ids << 2
-        self.table1[self.at1] = np.where(hit1, self.e1 + (self.k1 < 3), np.where(self.k1 < 2, new, self.e1 - 2))
-        self.table2[self.at2] = np.where(hit2, self.e2 + (self.k2 < 3), np.where(self.k2 < 2, new, self.e2 - 2))
-        self.prev, self.last = self.last, ids
+    """Counts of every block: digits[lane, table, 256], outcomes[lane, 64 contexts, 3], weights of three estimates."""
 
+    def __init__(self, lanes: int, pairs: int):
+        self.lanes, self.tables = lanes, 4 * pairs - 1
+        self.lane = np.arange(lanes, dtype=np.int32)
+        self.digits = np.broadcast_to(_prior(self.tables), (lanes, self.tables, 256)).copy()
+        self.outcomes = np.empty((lanes, 8, 4, 2, 3), np.int32)  # hits of order 2, hits of order 1, agreement, outcome
+        self.outcomes[:] = (1, 1, 4)
+        self.weights = np.full((lanes, 3), 85, np.int32)
+        self.refresh()
 
-def encode(ids: np.ndarray) -> bytes:
-    """One segment holding the ids (non-negative, below 2**31, at most 2**16 - 1 distinct)."""
-    ids = np.ascontiguousarray(ids, np.int32)
-    n, lanes = len(ids), -(-len(ids) // BLOCK)
-    if not n:
-        return MAGIC + struct.pack("<IIII", 0, 0, 0, zlib.crc32(b""))
-    values, freq = _frequencies(ids)
-    lows = np.concatenate([[0], np.cumsum(freq)])[:-1]
-    sizes = np.full(lanes, BLOCK)
-    sizes[-1] = n - BLOCK * (lanes - 1)
-    flat = np.zeros(lanes * BLOCK, np.int64)
-    flat[:n] = ids
-    grid = flat.reshape(lanes, BLOCK).T.copy()
-    if values[-1] < 1 << 22:
-        place = np.zeros(values[-1] + 1, np.int64)
-        place[values] = np.arange(len(values))
-        flat[:n] = place[ids]
-    else:
-        flat[:n] = np.searchsorted(values, ids)
-    where = flat.reshape(lanes, BLOCK).T.copy()
-    model = _Model(lanes)
-    words = np.zeros((lanes, 2 * BLOCK + 8), np.int32)
-    count = np.zeros(lanes, np.int64)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 1 << 48, np.uint64)
-    mask = _U((1 << 48) - 1)
-
-    def put(start, size):
-        nonlocal low, span
-        unit = span >> _U(_BITS)
-        low = low + unit * start.view(np.uint64)
-        span = unit * size.view(np.uint64)
-        over = np.flatnonzero(low > mask)
+    def _estimates(self):
+        n = self.outcomes
+        for part in (n, n.sum(2, keepdims=True, dtype=np.int32), n.sum(1, keepdims=True, dtype=np.int32)):
+            whole = part[..., :1] + part[..., 1:2] + part[..., 2:]
+            yield part[..., :2] * np.int32(_ONE - 4) // whole + 1
+
+    def refresh(self) -> None:
+        """Frequencies for the next stretch: shares[lane * 64 + context] packs order 2's high and order 1's low; cum[lane, table, 257]."""
+        whole = self.weights.sum(1)
+        mixed = sum(e * self.weights[:, k, None, None, None, None] for k, e in enumerate(self._estimates())) // whole[:, None, None, None, None]
+        self.shares = (mixed[..., 0] << 16 | mixed[..., 1]).reshape(-1).astype(np.int32)
+        run = np.cumsum(self.digits, axis=2, dtype=np.int32)
+        self.cum = np.zeros((self.lanes, self.tables, 257), np.int16)
+        self.cum[:, :, 1:] = run * np.int32(_ALL - 256) // run[:, :, -1:]
+        self.cum += np.arange(257, dtype=np.int16)
+
+    def learn(self, context, outcome, digits, free) -> None:
+        """Take up a stretch of all lanes, given as [steps, lanes] arrays; digits are [table, digit] pairs."""
+        spot = (self.lane * 64 + context) * 3 + outcome
+        seen = np.bincount(spot.ravel(), minlength=self.outcomes.size).astype(np.int32).reshape(self.outcomes.shape)
+        scores = [((np.concatenate([e, _ONE - e.sum(-1, keepdims=True)], -1)) * seen).sum((1, 2, 3, 4)) for e in self._estimates()]
+        self.weights = np.stack([self.weights[:, k] * (s // max(1, len(context)) + 1) for k, s in enumerate(scores)], 1).astype(np.int64)
+        self.weights = (self.weights * 255 // self.weights.sum(1, keepdims=True) + 1).astype(np.int32)
+        self.outcomes += 4 * seen
+        own = np.broadcast_to(self.lane * (self.tables * 256), context.shape)[free]
+        for table, digit in digits:
+            got = np.bincount(own + (table[free] if isinstance(table, np.ndarray) else table) * 256 + digit[free], minlength=self.digits.size)
+            self.digits += got.astype(np.int32).reshape(self.digits.shape) * _GAIN
+
+
+def _slot1(last):
+    return (last ^ (last >> 9)) & (_SLOTS1 - 1)
+
+
+def _slot2(prev, last):
+    return (prev * 0x2F1B ^ last * 0x5E35) & (_SLOTS2 - 1)
+
+
+def _digits(rank: np.ndarray, pairs: int) -> list:
+    """(table, digit) of each digit, the highest first: one table for the first, then one for a digit below zeros and one for others."""
+    out, above = [], None
+    for k in range(2 * pairs):
+        shift = 8 * (2 * pairs - 1 - k)
+        out.append((0 if k == 0 else 2 * k - 1 + (above > 0), (rank >> shift) & 255))
+        above = rank >> shift
+    return out
+
+
+def _ranks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, most frequent first, and each id's place among them."""
+    if int(ids.max()) < _FEW:
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        values = values[np.argsort(-counts[values], kind="stable")]
+        place = np.zeros(len(counts), np.int32)
+        place[values] = np.arange(len(values), dtype=np.int32)
+        return values, place.take(ids)
+    values, where, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    place = np.empty(len(values), np.int32)
+    place[order] = np.arange(len(values), dtype=np.int32)
+    return values[order], place.take(where)
+
+
+def _pairs(distinct: int) -> int:
+    return 1 if distinct <= 1 << 16 else 2
+
+
+class _Writer:
+    """One range coder for each lane."""
+
+    def __init__(self, lanes: int, pairs: int):
+        self.words, self.count = np.zeros((lanes, (3 * BLOCK * pairs) + 8), np.int32), np.zeros(lanes, np.int64)
+        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, ~_U(0))
+
+    def put(self, live: int, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrow the first `live` lanes to [start, start + size) of 2**32."""
+        low, span = self.low[:live], self.span[:live]
+        unit = span >> _U(32)
+        new = low + unit * start[:live]
+        over = np.flatnonzero(new < low)
         if len(over):
-            words[over, count[over] - 1] += 1  # a carry; settled at the end
-            low &= mask
-        at = np.flatnonzero(span < _U(1 << 32))
-        if len(at):
+            self.words[over, self.count[over] - 1] += 1  # a carry; settled at the end
+        low[:] = new
+        np.multiply(unit, size[:live], out=span)
+        while len(at := np.flatnonzero(span < _LOW)):
             own = low[at]
-            words[at, count[at]] = (own >> _U(32)).astype(np.int32)
-            count[at] += 1
-            low[at] = (own << _U(16)) & mask
+            self.words[at, self.count[at]] = own >> _U(48)
+            self.count[at] += 1
+            low[at] = own << _U(16)
             span[at] <<= _U(16)
 
+    def finish(self) -> bytes:
+        lane = np.arange(len(self.count))
+        for shift in (48, 32, 16, 0):
+            self.words[lane, self.count] = (self.low >> _U(shift)) & _U(0xFFFF)
+            self.count += 1
+        most = int(self.count.max())
+        for k in range(most - 1, 0, -1):
+            self.words[:, k - 1] += self.words[:, k] >> 16
+            self.words[:, k] &= 0xFFFF
+        return self.words[:, :most].astype("<u2")[np.arange(most)[None, :] < self.count[:, None]].tobytes()
+
+
+def _followers(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What order 1 and order 2 predict at each place: the rank that last followed the same slot of its block, -1 for none."""
+    lanes = grid.shape[1]
+    lane = np.arange(lanes, dtype=np.int32)
+    last, prev = np.zeros_like(grid), np.zeros_like(grid)
+    last[1:], prev[2:] = grid[:-1], grid[:-2]
+    at1, at2 = _slot1(last) + lane * _SLOTS1, _slot2(prev, last) + lane * _SLOTS2
+    small = np.int16 if int(grid.max()) < 1 << 15 else np.int32
+    table1, table2, own = np.full(lanes * _SLOTS1, -1, small), np.full(lanes * _SLOTS2, -1, small), grid.astype(small)
+    last, prev = np.empty_like(own), np.empty_like(own)
     for t in range(BLOCK):
-        live = lanes if t < sizes[-1] else lanes - 1
-        if not live:
-            break
-        if live < len(low):
-            _finish(words, count, low, slice(live, None))
-            low, span = low[:live], span[:live]
-            model.cut(live)
-        now = grid[t, :live]
-        q2, q1 = model.predict()
-        hit2 = (now == model.p2) & (q2 > 0)
-        hit1 = ~hit2 & (now == model.p1) & (q1 > 0)
-        free = ~(hit2 | hit1)
-        both = q2 + q1
-        put(hit1 * q2 + free * both, np.where(hit2, q2, np.where(hit1, q1, _ONE - both)))
-        own = where[t, :live]
-        put(lows.take(own) * free, np.where(free, freq.take(own), _ONE))
-        model.learn(now)
-    _finish(words, count, low, slice(0, len(low)))
-    most = int(count.max())
-    for k in range(most - 1, 0, -1):
-        words[:, k - 1] += words[:, k] >> 16
-        words[:, k] &= 0xFFFF
-    body = words[:, :most].astype("<u2")[np.arange(most)[None, :] < count[:, None]].tobytes()
+        table1.take(at1[t], out=last[t], mode="clip")
+        table2.take(at2[t], out=prev[t], mode="clip")
+        table1[at1[t]] = own[t]
+        table2[at2[t]] = own[t]
+    return last, prev
+
+
+def _contexts(hit2: np.ndarray, hit1: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Three last hits of order 2, two of order 1, and whether both predict the same, as a number below 64."""
+    out = same.astype(np.int32)
+    for hits, far, place in ((hit2, 3, 3), (hit1, 2, 1)):
+        for k in range(1, far + 1):
+            out[k:] |= hits[:-k].astype(np.int32) << (place + k - 1)
+    return out
+
+
+def _nested(start, size, digits, cum, spot):
+    """Narrow start and size (of a stretch with 20 bits below) by two digits."""
+    (t1, d1), (t2, d2) = digits
+    at = spot + t1 * 257 + d1
+    s1, f1 = cum.take(at), cum.take(at + 1)
+    f1 -= s1
+    at = spot + t2 * 257 + d2
+    s2, f2 = cum.take(at), cum.take(at + 1)
+    f2 -= s2
+    inner = size * f1
+    return (start << 2 * _DIGIT) + ((size * s1) << _DIGIT) + inner * s2, inner * f2
+
+
+def encode(ids: np.ndarray) -> bytes:
+    """One segment holding the ids (unsigned, below 2**32, any number of distinct ones)."""
+    ids = np.ascontiguousarray(ids).astype(np.uint32, copy=False)
+    n, lanes = len(ids), -(-len(ids) // BLOCK)
+    if not n:
+        head = struct.pack("<III", 0, 0, 0)
+        return MAGIC + head + struct.pack("<I", zlib.crc32(head))
+    values, ranks = _ranks(ids)
+    pairs = _pairs(len(values))
+    flat = np.zeros(lanes * BLOCK, np.int32)
+    flat[:n] = ranks
+    grid = flat.reshape(lanes, BLOCK).T.copy()
+    last = n - BLOCK * (lanes - 1)
+    guess1, guess2 = _followers(grid)
+    hit1, hit2 = guess1 == grid, guess2 == grid
+    context = _contexts(hit2, hit1, guess1 == guess2)
+    del guess1, guess2
+    outcome = np.where(hit2, 0, np.where(hit1, 1, 2)).astype(np.int32)
+    model, out = _Model(lanes, pairs), _Writer(lanes, pairs)
+    for a, b in zip(EPOCHS, EPOCHS[1:], strict=False):
+        own, what, free = context[a:b], outcome[a:b], outcome[a:b] == 2
+        digits = _digits(grid[a:b], pairs)
+        spot = model.lane * 64 + own
+        shares = model.shares.take(spot)
+        low2, low1 = shares >> 16, shares & 0xFFFF
+        start = np.where(what == 0, 0, np.where(what == 1, low2, low2 + low1)).astype(np.int64)
+        size = np.where(what == 0, low2, np.where(what == 1, low1, _ONE - low2 - low1)).astype(np.int64)
+        place = np.broadcast_to(model.lane * (model.tables * 257), own.shape)
+        s, f = _nested(start, size, digits[:2], model.cum, place)
+        steps = [(np.where(free, s, start << 2 * _DIGIT).view(np.uint64), np.where(free, f, size << 2 * _DIGIT).view(np.uint64))]
+        if pairs == 2:
+            s, f = _nested(np.int64(0), np.int64(_ONE), digits[2:], model.cum, place)
+            steps.append((np.where(free, s, 0).view(np.uint64), np.where(free, f, 1 << 32).view(np.uint64)))
+        for t in range(b - a):
+            live = lanes if a + t < last else lanes - 1
+            for s, f in steps:
+                out.put(live, s[t], f[t])
+        if b < BLOCK:
+            model.learn(own, what, digits, free)
+            model.refresh()
+    body = out.finish()
     raw = ids.astype("<u4").tobytes()
     sums = np.array([zlib.crc32(raw[4 * BLOCK * k : 4 * BLOCK * (k + 1)]) for k in range(lanes)], "<u4")
-    head = struct.pack("<III", n, lanes, len(values)) + values.astype("<u4").tobytes() + freq.astype("<u4").tobytes() + count.astype("<u4").tobytes() + sums.tobytes()
+    head = struct.pack("<III", n, lanes, len(values)) + values.astype("<u4").tobytes() + out.count.astype("<u4").tobytes() + sums.tobytes()
     return MAGIC + head + struct.pack("<I", zlib.crc32(body, zlib.crc32(head))) + body
 
 
-def _finish(words, count, low, which) -> None:
-    own = np.arange(len(count))[which][: len(low)] if which.start in (0, None) else np.arange(len(count))[which]
-    tail = low[-len(own) :]
-    for shift in (32, 16, 0):
-        words[own, count[own]] = ((tail >> _U(shift)) & _U(0xFFFF)).astype(np.int32)
-        count[own] += 1
+def _lookup(cum: np.ndarray) -> np.ndarray:
+    """Digit of each of the 2**_DIGIT values, for every lane and table."""
+    digit = np.broadcast_to(np.arange(256, dtype=np.uint8), (*cum.shape[:2], 256))
+    return np.repeat(digit.reshape(-1), np.diff(cum, axis=2).reshape(-1))
+
+
+class _Reader:
+    """The range decoders of all lanes."""
+
+    def __init__(self, body: np.ndarray, starts: np.ndarray):
+        self.body, self.at, self.span = body, starts + 4, np.full(len(starts), ~_U(0))
+        self.code = np.zeros(len(starts), np.uint64)
+        for k in range(4):
+            self.code = (self.code << _U(16)) | body[starts + k]
+
+    def value(self) -> np.ndarray:
+        self.unit = self.span >> _U(32)
+        return np.minimum(self.code // self.unit, _U((1 << 32) - 1)).view(np.int64)
+
+    def took(self, start: np.ndarray, size: np.ndarray) -> None:
+        self.code -= self.unit * start.view(np.uint64)
+        np.multiply(self.unit, size.view(np.uint64), out=self.span)
+        while len(small := np.flatnonzero(self.span < _LOW)):
+            spot = self.at[small]
+            self.code[small] = (self.code[small] << _U(16)) | self.body.take(spot, mode="clip")
+            self.span[small] <<= _U(16)
+            self.at[small] = spot + 1
+
+
+def _digit_pair(rest, size, tables, cum, lookup, spot, slot):
+    """Two digits from what is left of the value inside a stretch of `size` with 20 bits below, with the start and size of their interval."""
+    wide = size << _DIGIT
+    t1 = tables[0]
+    d1 = lookup.take(slot + t1 * _ALL + (rest / wide).astype(np.int64), mode="clip").astype(np.int64)
+    at = spot + t1 * 257 + d1
+    s1 = cum.take(at)
+    f1 = cum.take(at + 1) - s1
+    start = wide * s1
+    inner = size * f1
+    t2 = tables[1](d1)
+    d2 = lookup.take(slot + t2 * _ALL + ((rest - start) / inner).astype(np.int64), mode="clip").astype(np.int64)
+    at = spot + t2 * 257 + d2
+    s2 = cum.take(at)
+    return d1, d2, start + inner * s2, inner * (cum.take(at + 1) - s2)
 
 
 def decode(data: bytes, only: list[int] | None = None) -> np.ndarray:
     """The ids of a segment, or of some of its blocks; raises Corrupt when a checksum fails."""
-    if data[:4] != MAGIC:
+    if data[:4] != MAGIC or len(data) < 20:
         raise Corrupt("not a segment")
     n, lanes, distinct = struct.unpack_from("<III", data, 4)
-    if not n:
-        return np.zeros(0, np.int32)
-    at = 16
-    values, freq = np.frombuffer(data, "<u4", distinct, at).astype(np.int64), np.frombuffer(data, "<u4", distinct, at + 4 * distinct).astype(np.int64)
-    at += 8 * distinct
-    count, sums = np.frombuffer(data, "<u4", lanes, at).astype(np.int64), np.frombuffer(data, "<u4", lanes, at + 4 * lanes)
-    at += 8 * lanes
-    if zlib.crc32(data[at + 4 :], zlib.crc32(data[4:at])) != struct.unpack_from("<I", data, at)[0]:
+    end = 16 + 4 * distinct + 8 * lanes
+    if len(data) < end + 4 or zlib.crc32(data[end + 4 :], zlib.crc32(data[4:end])) != struct.unpack_from("<I", data, end)[0]:
         raise Corrupt("checksum of the code")
-    body = np.frombuffer(data, "<u2", -1, at + 4).astype(np.uint64)
+    if not n:
+        return np.zeros(0, np.uint32)
+    values = np.frombuffer(data, "<u4", distinct, 16)
+    count, sums = np.frombuffer(data, "<u4", lanes, end - 8 * lanes).astype(np.int64), np.frombuffer(data, "<u4", lanes, end - 4 * lanes)
+    body = np.frombuffer(data, "<u2", -1, end + 4).astype(np.uint64)
     sizes = np.full(lanes, BLOCK)
     sizes[-1] = n - BLOCK * (lanes - 1)
     starts = np.concatenate([[0], np.cumsum(count)])[:-1]
     if only is not None:
         starts, sizes, sums = starts[only], sizes[only], sums[only]
         lanes = len(only)
-    body = np.concatenate([body, np.zeros(8, np.uint64)])
-    slot = np.repeat(np.arange(distinct), freq)
-    lows = np.concatenate([[0], np.cumsum(freq)])[:-1]
-    order = np.argsort(-sizes, kind="stable")  # full blocks first
-    starts, sizes = starts[order], sizes[order]
-    model = _Model(lanes)
-    out = np.zeros((BLOCK, lanes), np.int32)
-    code = (body[starts] << _U(32)) | (body[starts + 1] << _U(16)) | body[starts + 2]
-    at, span = starts + 3, np.full(lanes, 1 << 48, np.uint64)
-    mask = _U((1 << 48) - 1)
-
-    def take(start, size, unit):
-        nonlocal code, span, at
-        code = code - unit * start.view(np.uint64)
-        span = unit * size.view(np.uint64)
-        small = np.flatnonzero(span < _U(1 << 32))
-        if len(small):
-            code[small] = ((code[small] << _U(16)) & mask) | body[at[small]]
-            span[small] <<= _U(16)
-            at[small] += 1
-
-    for t in range(BLOCK):
-        live = int(np.searchsorted(-sizes, -t, "left"))
-        if not live:
-            break
-        if live < len(code):
-            code, span, at = code[:live], span[:live], at[:live]
-            model.cut(live)
-        q2, q1 = model.predict()
-        unit = span >> _U(_BITS)
-        value = np.minimum(code // unit, _U(_ONE - 1)).view(np.int64)
-        both = q2 + q1
-        hit2, free = value < q2, value >= both
-        hit1 = ~(hit2 | free)
-        take(hit1 * q2 + free * both, np.where(hit2, q2, np.where(hit1, q1, _ONE - both)), unit)
-        unit = span >> _U(_BITS)
-        own = slot.take(np.minimum(code // unit, _U(_ONE - 1)).view(np.int64))
-        take(lows.take(own) * free, np.where(free, freq.take(own), _ONE), unit)
-        now = np.where(hit2, model.p2, np.where(hit1, model.p1, values.take(own)))
-        out[t, :live] = now
-        model.learn(now)
-    back = np.empty(lanes, np.int64)
-    back[order] = np.arange(lanes)
-    blocks = [out[: sizes[k], k] for k in back]
+    pairs = _pairs(distinct)
+    model, code = _Model(lanes, pairs), _Reader(body, starts)
+    lane = model.lane
+    base1, base2, base_c = lane * _SLOTS1, lane * _SLOTS2, lane * 64
+    spot, slot = lane.astype(np.int64) * (model.tables * 257), lane.astype(np.int64) * (model.tables * _ALL)
+    small = np.int16 if distinct <= 1 << 15 else np.int32
+    table1, table2 = np.full(lanes * _SLOTS1, -1, small), np.full(lanes * _SLOTS2, -1, small)
+    grid = np.zeros((BLOCK, lanes), np.int32)
+    prev, last = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+    past = np.zeros(lanes, np.int32)  # recent hits, where a context keeps them
+    for a, b in zip(EPOCHS, EPOCHS[1:], strict=False):
+        cum, lookup = model.cum.reshape(-1), _lookup(model.cum)
+        kept, what = np.zeros((b - a, lanes), np.int32), np.zeros((b - a, lanes), np.int32)
+        for t in range(a, b):
+            at1, at2 = base1 + _slot1(last), base2 + _slot2(prev, last)
+            guess1, guess2 = table1.take(at1), table2.take(at2)
+            context = past + (guess1 == guess2)
+            share = base_c + context
+            shares = model.shares.take(share)
+            low2, low1 = shares >> 16, shares & 0xFFFF
+            value = code.value()
+            decision, both = (value >> 2 * _DIGIT).astype(np.int32), low2 + low1
+            free, not2 = decision >= both, decision >= low2
+            size = np.where(free, _ONE - both, np.where(not2, low1, low2)).astype(np.int64)
+            start = np.where(free, both, np.where(not2, low2, 0)).astype(np.int64) << 2 * _DIGIT
+            d1, d2, s, f = _digit_pair(np.where(free, value - start, 0), size, (0, lambda d: 1 + (d > 0)), cum, lookup, spot, slot)
+            code.took(start + s * free, np.where(free, f, size << 2 * _DIGIT))
+            rank = (d1 << 8) + d2
+            if pairs == 2:
+                value = code.value()
+                tables = (np.where(rank > 0, 4, 3), lambda d, high=rank: np.where((high > 0) | (d > 0), 6, 5))
+                d1, d2, s, f = _digit_pair(np.where(free, value, 0), np.int64(_ONE), tables, cum, lookup, spot, slot)
+                code.took(s * free, np.where(free, f, 1 << 32))
+                rank = (rank << 16) + (d1 << 8) + d2
+            now = np.where(free, rank, np.where(not2, guess1, guess2)).astype(np.int32)
+            grid[t] = now
+            table1[at1] = now
+            table2[at2] = now
+            hit2, hit1 = now == guess2, now == guess1
+            past = ((past << 1) & 0b110100) | (hit2 * 8) | (hit1 * 2)
+            kept[t - a] = context
+            what[t - a] = free * 2 + (not2 & ~free)
+            prev, last = last, now
+        if b < BLOCK:
+            model.learn(kept, what, _digits(grid[a:b], pairs), what == 2)
+            model.refresh()
+    out = values.take(grid.T, mode="clip")
+    blocks = [out[k, : sizes[k]] for k in range(lanes)]
     for own, crc in zip(blocks, sums, strict=True):
-        if zlib.crc32(own.astype("<u4").tobytes()) != crc:
+        if zlib.crc32(own.tobytes()) != crc:
             raise Corrupt("checksum of a block")
     return np.concatenate(blocks)
