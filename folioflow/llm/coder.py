@@ -29,7 +29,7 @@ import numpy as np
 
 MAGIC = b"IDC2"
 BLOCK = 2048
-EPOCHS = (0, 64, 256, 800, BLOCK)
+EPOCHS = (0, 64, 320, BLOCK)
 _U = np.uint64
 _SLOTS1, _SLOTS2 = 256, 512
 _DECIDE, _DIGIT = 12, 10  # bits of the decision's and of a digit's frequencies; together 12 + 2 * 10 = 32
@@ -94,11 +94,11 @@ class _Model:
 
 
 def _slot1(last):
-    return (last ^ (last >> 9)) & (_SLOTS1 - 1)
+    return last & (_SLOTS1 - 1)
 
 
 def _slot2(prev, last):
-    return (prev * 0x2F1B ^ last * 0x5E35) & (_SLOTS2 - 1)
+    return (prev * 13 + last) & (_SLOTS2 - 1)
 
 
 def _digits(rank: np.ndarray, pairs: int) -> list:
@@ -132,39 +132,42 @@ def _pairs(distinct: int) -> int:
 
 
 class _Writer:
-    """One range coder for each lane."""
+    """One range coder for each lane. The top word is written in every turn and only kept (by moving on) where it is settled."""
 
     def __init__(self, lanes: int, pairs: int):
-        self.words, self.count = np.zeros((lanes, (3 * BLOCK * pairs) + 8), np.int32), np.zeros(lanes, np.int64)
+        self.most = 3 * BLOCK * pairs + 8
+        self.words, self.at = np.zeros(lanes * self.most, np.int32), np.arange(lanes) * self.most
         self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, ~_U(0))
 
     def put(self, live: int, start: np.ndarray, size: np.ndarray) -> None:
         """Narrow the first `live` lanes to [start, start + size) of 2**32."""
-        low, span = self.low[:live], self.span[:live]
+        low, span, at = self.low[:live], self.span[:live], self.at[:live]
         unit = span >> _U(32)
         new = low + unit * start[:live]
         over = np.flatnonzero(new < low)
         if len(over):
-            self.words[over, self.count[over] - 1] += 1  # a carry; settled at the end
+            self.words[at[over] - 1] += 1  # a carry; settled at the end
         low[:] = new
         np.multiply(unit, size[:live], out=span)
-        while len(at := np.flatnonzero(span < _LOW)):
-            own = low[at]
-            self.words[at, self.count[at]] = own >> _U(48)
-            self.count[at] += 1
-            low[at] = own << _U(16)
-            span[at] <<= _U(16)
-
-    def finish(self) -> bytes:
-        lane = np.arange(len(self.count))
+        while (small := span < _LOW).any():
+            self.words[at] = low >> _U(48)
+            at += small
+            shift = small * _U(16)
+            low <<= shift
+            span <<= shift
+
+    def finish(self) -> tuple[np.ndarray, bytes]:
+        """Words of each lane, and the code."""
         for shift in (48, 32, 16, 0):
-            self.words[lane, self.count] = (self.low >> _U(shift)) & _U(0xFFFF)
-            self.count += 1
-        most = int(self.count.max())
+            self.words[self.at] = (self.low >> _U(shift)) & _U(0xFFFF)
+            self.at += 1
+        words = self.words.reshape(-1, self.most)
+        count = self.at - np.arange(len(words)) * self.most
+        most = int(count.max())
         for k in range(most - 1, 0, -1):
-            self.words[:, k - 1] += self.words[:, k] >> 16
-            self.words[:, k] &= 0xFFFF
-        return self.words[:, :most].astype("<u2")[np.arange(most)[None, :] < self.count[:, None]].tobytes()
+            words[:, k - 1] += words[:, k] >> 16
+            words[:, k] &= 0xFFFF
+        return count, words[:, :most].astype("<u2")[np.arange(most)[None, :] < count[:, None]].tobytes()
 
 
 def _followers(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,10 +250,10 @@ def encode(ids: np.ndarray) -> bytes:
         if b < BLOCK:
             model.learn(own, what, digits, free)
             model.refresh()
-    body = out.finish()
+    count, body = out.finish()
     raw = ids.astype("<u4").tobytes()
     sums = np.array([zlib.crc32(raw[4 * BLOCK * k : 4 * BLOCK * (k + 1)]) for k in range(lanes)], "<u4")
-    head = struct.pack("<III", n, lanes, len(values)) + values.astype("<u4").tobytes() + out.count.astype("<u4").tobytes() + sums.tobytes()
+    head = struct.pack("<III", n, lanes, len(values)) + values.astype("<u4").tobytes() + count.astype("<u4").tobytes() + sums.tobytes()
     return MAGIC + head + struct.pack("<I", zlib.crc32(body, zlib.crc32(head))) + body
 
 
@@ -271,33 +274,35 @@ class _Reader:
 
     def value(self) -> np.ndarray:
         self.unit = self.span >> _U(32)
-        return np.minimum(self.code // self.unit, _U((1 << 32) - 1)).view(np.int64)
+        return (self.code // self.unit).view(np.int64)
 
     def took(self, start: np.ndarray, size: np.ndarray) -> None:
         self.code -= self.unit * start.view(np.uint64)
         np.multiply(self.unit, size.view(np.uint64), out=self.span)
-        while len(small := np.flatnonzero(self.span < _LOW)):
-            spot = self.at[small]
-            self.code[small] = (self.code[small] << _U(16)) | self.body.take(spot, mode="clip")
-            self.span[small] <<= _U(16)
-            self.at[small] = spot + 1
+        while (small := self.span < _LOW).any():
+            shift = small * _U(16)
+            self.code <<= shift
+            self.code |= self.body.take(self.at, mode="clip") * small
+            self.span <<= shift
+            self.at += small
 
 
-def _digit_pair(rest, size, tables, cum, lookup, spot, slot):
-    """Two digits from what is left of the value inside a stretch of `size` with 20 bits below, with the start and size of their interval."""
+def _digit_pair(rest, size, first, second, above, cum, lookup, spot, slot):
+    """Two digits from what is left of the value inside a stretch of `size` with 20 bits below, with the start and size of their interval.
+
+    The first digit comes from the table `first`, the next from `second` or, below any digit but 0, from the one after it.
+    """
     wide = size << _DIGIT
-    t1 = tables[0]
-    d1 = lookup.take(slot + t1 * _ALL + (rest / wide).astype(np.int64), mode="clip").astype(np.int64)
-    at = spot + t1 * 257 + d1
-    s1 = cum.take(at)
-    f1 = cum.take(at + 1) - s1
+    d1 = lookup.take(slot + first * _ALL + (rest / wide).astype(np.int64), mode="clip")
+    at = spot + first * 257 + d1
+    s1 = cum.take(at, mode="clip")
     start = wide * s1
-    inner = size * f1
-    t2 = tables[1](d1)
-    d2 = lookup.take(slot + t2 * _ALL + ((rest - start) / inner).astype(np.int64), mode="clip").astype(np.int64)
-    at = spot + t2 * 257 + d2
-    s2 = cum.take(at)
-    return d1, d2, start + inner * s2, inner * (cum.take(at + 1) - s2)
+    inner = size * (cum.take(at + 1, mode="clip") - s1)
+    table = second + ((d1 > 0) | above)
+    d2 = lookup.take(slot + table * _ALL + ((rest - start) / inner).astype(np.int64), mode="clip")
+    at = spot + table * 257 + d2
+    s2 = cum.take(at, mode="clip")
+    return d1 * np.int32(256) + d2, start + inner * s2, inner * (cum.take(at + 1, mode="clip") - s2)
 
 
 def decode(data: bytes, only: list[int] | None = None) -> np.ndarray:
@@ -329,38 +334,44 @@ def decode(data: bytes, only: list[int] | None = None) -> np.ndarray:
     grid = np.zeros((BLOCK, lanes), np.int32)
     prev, last = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
     past = np.zeros(lanes, np.int32)  # recent hits, where a context keeps them
+    done, short = np.flatnonzero(sizes < BLOCK), int(sizes.min())
     for a, b in zip(EPOCHS, EPOCHS[1:], strict=False):
         cum, lookup = model.cum.reshape(-1), _lookup(model.cum)
-        kept, what = np.zeros((b - a, lanes), np.int32), np.zeros((b - a, lanes), np.int32)
+        kept, what = np.zeros((b - a, lanes), np.int32), np.full((b - a, lanes), 2, np.int32)
         for t in range(a, b):
             at1, at2 = base1 + _slot1(last), base2 + _slot2(prev, last)
             guess1, guess2 = table1.take(at1), table2.take(at2)
             context = past + (guess1 == guess2)
-            share = base_c + context
-            shares = model.shares.take(share)
-            low2, low1 = shares >> 16, shares & 0xFFFF
+            shares = model.shares.take(base_c + context)
+            low2 = (shares >> 16).astype(np.int64)
+            both = low2 + (shares & 0xFFFF)
             value = code.value()
-            decision, both = (value >> 2 * _DIGIT).astype(np.int32), low2 + low1
-            free, not2 = decision >= both, decision >= low2
-            size = np.where(free, _ONE - both, np.where(not2, low1, low2)).astype(np.int64)
-            start = np.where(free, both, np.where(not2, low2, 0)).astype(np.int64) << 2 * _DIGIT
-            d1, d2, s, f = _digit_pair(np.where(free, value - start, 0), size, (0, lambda d: 1 + (d > 0)), cum, lookup, spot, slot)
-            code.took(start + s * free, np.where(free, f, size << 2 * _DIGIT))
-            rank = (d1 << 8) + d2
+            begin = both << 2 * _DIGIT
+            rest = value - begin
+            now, s, width = _digit_pair(rest, _ONE - both, 0, 1, False, cum, lookup, spot, slot)
+            begin += s
+            hits = np.flatnonzero(rest < 0)  # where order 2 or 1 holds, the digits go
+            two = (value[hits] >> 2 * _DIGIT) < low2[hits]
+            begin[hits] = np.where(two, 0, low2[hits]) << 2 * _DIGIT
+            width[hits] = np.where(two, low2[hits], both[hits] - low2[hits]) << 2 * _DIGIT
+            if t >= short:  # the last block has come to its end and stands still
+                begin[done], width[done], code.code[done] = 0, 1 << 32, 0
+            code.took(begin, width)
             if pairs == 2:
                 value = code.value()
-                tables = (np.where(rank > 0, 4, 3), lambda d, high=rank: np.where((high > 0) | (d > 0), 6, 5))
-                d1, d2, s, f = _digit_pair(np.where(free, value, 0), np.int64(_ONE), tables, cum, lookup, spot, slot)
-                code.took(s * free, np.where(free, f, 1 << 32))
-                rank = (rank << 16) + (d1 << 8) + d2
-            now = np.where(free, rank, np.where(not2, guess1, guess2)).astype(np.int32)
+                more, s, width = _digit_pair(value, np.int64(_ONE), 3 + (now > 0), 5, now > 0, cum, lookup, spot, slot)
+                s[hits], width[hits] = 0, 1 << 32
+                if t >= short:
+                    s[done], width[done] = 0, 1 << 32
+                code.took(s, width)
+                now = (now << 16) + more
+            now[hits] = np.where(two, guess2[hits], guess1[hits])
             grid[t] = now
             table1[at1] = now
             table2[at2] = now
-            hit2, hit1 = now == guess2, now == guess1
-            past = ((past << 1) & 0b110100) | (hit2 * 8) | (hit1 * 2)
+            past = ((past << 1) & 0b110100) | ((now == guess2) * np.int32(8)) | ((now == guess1) * np.int32(2))
             kept[t - a] = context
-            what[t - a] = free * 2 + (not2 & ~free)
+            what[t - a, hits] = ~two
             prev, last = last, now
         if b < BLOCK:
             model.learn(kept, what, _digits(grid[a:b], pairs), what == 2)

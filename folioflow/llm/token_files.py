@@ -29,7 +29,7 @@ from .common import Workspace, text_view
 
 SEGMENT = 4_000_000
 END_ID = 1
-PIECE = 16 << 20
+PIECE = 20 << 20
 #: Latin-1 letters and ASCII marks but the apostrophe (contractions) and "<" (special tokens): the tokenizer parts runs of
 #: letters from runs of marks there, and lower-cases letter by letter.
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ!-&(-/:;=-@\[-`{-~]+")
