@@ -36,6 +36,7 @@ _DECIDE, _DIGIT = 12, 10  # bits of the decision's and of a digit's frequencies;
 _ONE, _ALL = 1 << _DECIDE, 1 << _DIGIT
 _GAIN = 8  # what one occurrence adds to a digit's count
 _FEW = 1 << 22
+_STEPS = 128  # coded from one set of arrays, which bounds their size
 _LOW = _U(1 << 48)
 
 
@@ -210,6 +211,25 @@ def _nested(start, size, digits, cum, spot):
     return (start << 2 * _DIGIT) + ((size * s1) << _DIGIT) + inner * s2, inner * f2
 
 
+def _write(out: _Writer, model: _Model, context, outcome, grid, pairs: int, last: int) -> None:
+    """Code some steps of all lanes; the last lane has `last` of them left."""
+    free, digits = outcome == 2, _digits(grid, pairs)
+    shares = model.shares.take(model.lane * 64 + context)
+    low2, low1 = shares >> 16, shares & 0xFFFF
+    start = np.where(outcome == 0, 0, np.where(outcome == 1, low2, low2 + low1)).astype(np.int64)
+    size = np.where(outcome == 0, low2, np.where(outcome == 1, low1, _ONE - low2 - low1)).astype(np.int64)
+    place = np.broadcast_to(model.lane * (model.tables * 257), context.shape)
+    s, f = _nested(start, size, digits[:2], model.cum, place)
+    steps = [(np.where(free, s, start << 2 * _DIGIT).view(np.uint64), np.where(free, f, size << 2 * _DIGIT).view(np.uint64))]
+    if pairs == 2:
+        s, f = _nested(np.int64(0), np.int64(_ONE), digits[2:], model.cum, place)
+        steps.append((np.where(free, s, 0).view(np.uint64), np.where(free, f, 1 << 32).view(np.uint64)))
+    for t in range(len(grid)):
+        live = grid.shape[1] - (t >= last)
+        for s, f in steps:
+            out.put(live, s[t], f[t])
+
+
 def encode(ids: np.ndarray) -> bytes:
     """One segment holding the ids (unsigned, below 2**32, any number of distinct ones)."""
     ids = np.ascontiguousarray(ids).astype(np.uint32, copy=False)
@@ -227,28 +247,14 @@ def encode(ids: np.ndarray) -> bytes:
     hit1, hit2 = guess1 == grid, guess2 == grid
     context = _contexts(hit2, hit1, guess1 == guess2)
     del guess1, guess2
-    outcome = np.where(hit2, 0, np.where(hit1, 1, 2)).astype(np.int32)
+    outcome = np.where(hit2, 0, np.where(hit1, 1, 2)).astype(np.int8)
+    del hit1, hit2
     model, out = _Model(lanes, pairs), _Writer(lanes, pairs)
     for a, b in zip(EPOCHS, EPOCHS[1:], strict=False):
-        own, what, free = context[a:b], outcome[a:b], outcome[a:b] == 2
-        digits = _digits(grid[a:b], pairs)
-        spot = model.lane * 64 + own
-        shares = model.shares.take(spot)
-        low2, low1 = shares >> 16, shares & 0xFFFF
-        start = np.where(what == 0, 0, np.where(what == 1, low2, low2 + low1)).astype(np.int64)
-        size = np.where(what == 0, low2, np.where(what == 1, low1, _ONE - low2 - low1)).astype(np.int64)
-        place = np.broadcast_to(model.lane * (model.tables * 257), own.shape)
-        s, f = _nested(start, size, digits[:2], model.cum, place)
-        steps = [(np.where(free, s, start << 2 * _DIGIT).view(np.uint64), np.where(free, f, size << 2 * _DIGIT).view(np.uint64))]
-        if pairs == 2:
-            s, f = _nested(np.int64(0), np.int64(_ONE), digits[2:], model.cum, place)
-            steps.append((np.where(free, s, 0).view(np.uint64), np.where(free, f, 1 << 32).view(np.uint64)))
-        for t in range(b - a):
-            live = lanes if a + t < last else lanes - 1
-            for s, f in steps:
-                out.put(live, s[t], f[t])
+        for k in range(a, b, _STEPS):
+            _write(out, model, context[k : min(k + _STEPS, b)], outcome[k : min(k + _STEPS, b)], grid[k : min(k + _STEPS, b)], pairs, last - k)
         if b < BLOCK:
-            model.learn(own, what, digits, free)
+            model.learn(context[a:b], outcome[a:b], _digits(grid[a:b], pairs), outcome[a:b] == 2)
             model.refresh()
     count, body = out.finish()
     raw = ids.astype("<u4").tobytes()

@@ -82,10 +82,17 @@ class _Tokens:
         """Ids of all chunks one after the other, and where each ends; the end id is one more chunk."""
         flat: list[int] = []
         ends = []
-        tokenize = self.model.tokenize
+        tokenize, characters = self.model.tokenize, self.characters
         for chunk in chunks:
-            if chunk.isalpha() and chunk.isascii():  # a lower-cased word goes to the model at once
-                flat += [t.id for t in tokenize(chunk)]
+            if chunk.isalpha():  # a lower-cased word of Latin-1 letters goes to the model at once
+                if chunk.isascii():
+                    flat += [t.id for t in tokenize(chunk)]
+                else:
+                    try:
+                        chunk.encode("latin-1")
+                        flat += [t.id for t in tokenize(chunk.lower().encode().decode("latin-1").translate(characters))]
+                    except UnicodeEncodeError:
+                        flat += self._of_chunk(chunk)
             elif chunk:
                 flat += self._of_chunk(chunk)
             ends.append(len(flat))
@@ -96,12 +103,12 @@ class _Tokens:
         if not self.apart:
             got = [[*self.library.encode(t, add_special_tokens=False).ids, end_id] for t in texts.to_pylist()]
             return np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64)
-        lower = not pc.any(pc.match_substring(texts, "<")).as_py()  # special tokens are found before lower-casing
+        lower = not (text_view(texts)[0] == ord("<")).any()  # special tokens are found before lower-casing
         if lower:
             texts = pc.replace_substring_regex(pc.ascii_lower(texts), _WORD_END, r"\1 \2")
         found = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = found.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if not lower:
             words = [w.lower() if w.isascii() and "<" not in w else w for w in words]
         flat, ends = self._of_chunks(words, end_id)
@@ -113,6 +120,7 @@ class _Tokens:
         inner[last] = False
         chunk[inner] = coded.indices.to_numpy()
         chunk[last] = len(words)
+        del texts, found, coded, words, inner
         size = sizes.take(chunk)
         upto = np.cumsum(size, dtype=np.int64)
         total = int(upto[-1]) if len(upto) else 0
