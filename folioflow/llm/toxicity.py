@@ -7,22 +7,34 @@ turns into words of clean texts is matched exactly only.
 
 Each match is read in its context: inside quotation marks it counts as quotation, outside as abuse, and the densest
 window of 20 words counts beside the whole. A logistic model weighs these counts.
+
+Learning runs in the cluster: terms are counted there, the automata meet the clean words there, and texts are scored
+there. The driver gets the terms that pass the thresholds and six numbers for each row of the sample, never a text.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Workspace
+
 SPAN = 20
 _EDGE = ".,;:!?()[]{}<>\"'“”„«»‚‘’*#%&$~_-+=|/\\…"
-_QUOTES = frozenset("\"“”„«»")
-_MOST_SEEN = 400_000
+#: What closes a quotation that a word begins with; a mark that is never closed quotes nothing.
+_CLOSING = {'"': '"', "'": "'", "“": "”", "„": "“”", "”": "”", "«": "»", "»": "«", "‘": "’", "‚": "‘’", "’": "’"}
+_BEFORE, _AFTER = "([{*_-", ".,;:!?)]}*_-…"
+_MOST_SEEN, _MOST_COUNTED = 400_000, 200_000
+SIZE = 6  # features
+_APART = 0.6
 
 
 class Lexicon:
@@ -124,18 +136,16 @@ class Scorer:
         found = own & self.hits.keys()
         if len(self.clean) > _MOST_SEEN:
             self.clean.clear()
-        exact = fuzzy = quoted = densest = 0
+        exact = fuzzy = aside = densest = 0
         if found:
-            inside, spots = False, []
+            inside, spots = quoted(words), []
             for i, w in enumerate(words):
-                marks = sum(c in _QUOTES for c in w) if not w.isalpha() else 0
                 if w in found:
-                    if inside or marks:
-                        quoted += 1
+                    if inside[i]:
+                        aside += 1
                     else:
                         spots.append(i)
                         exact, fuzzy = exact + (self.hits[w] == 1), fuzzy + (self.hits[w] == 2)
-                inside ^= marks % 2 == 1
             low = 0
             for high, i in enumerate(spots):
                 while spots[low] <= i - SPAN:
@@ -145,7 +155,34 @@ class Scorer:
             self.hits.clear()
         share = (exact + fuzzy) / len(words) if words else 0.0
         weight = exact + 0.7 * fuzzy  # a misspelled term counts a little less
-        return [1.0, float(weight > 0), math.log1p(weight), math.log1p(quoted), math.log1p(densest), min(1.0, 10 * share)]
+        return [1.0, float(weight > 0), math.log1p(weight), math.log1p(aside), math.log1p(densest), min(1.0, 10 * share)]
+
+
+def quoted(words: list[str]) -> list[bool]:
+    """Which words stand in quotation marks: from a word that begins with a mark to the next one that ends with its counterpart.
+
+    A mark inside a word (don't) or at the end of one with nothing open (5") is none; one that opens again before it is
+    closed starts anew, so a stray mark does not turn the rest of the text around.
+    """
+    out = [False] * len(words)
+    begun = ends = None
+    for i, w in enumerate(words):
+        if w.isalpha():
+            continue
+        first = w.lstrip(_BEFORE)[:1]
+        if first in _CLOSING and first and (ends is None or first not in ends or len(w) > 1 and w[-1:] not in ends):
+            begun, ends = i, _CLOSING[first]
+            if len(w.strip(_BEFORE + _AFTER)) == 1:
+                continue
+        tail = w.rstrip(_AFTER)[-1:]
+        if begun is not None and tail and tail in ends and (i > begun or len(w.strip(_BEFORE + _AFTER)) > 1):
+            out[begun : i + 1] = [True] * (i + 1 - begun)
+            begun = ends = None
+    return out
+
+
+def _bag(text: str | None) -> set[str]:
+    return {w.strip(_EDGE) for w in (text or "").lower().split()}
 
 
 def _terms(words: set[str]):
@@ -156,85 +193,177 @@ def _terms(words: set[str]):
             yield w[:k]
 
 
-def learn(texts: list[str], toxic: list[int], prior: float, most_terms: int = 2000) -> tuple[Lexicon, np.ndarray]:
-    """Lexicon and weights from labelled texts; prior is the share of toxic rows among all labelled ones."""
-    bags = [{w.strip(_EDGE) for w in t.lower().split()} for t in texts]
-    n = [max(1, len(toxic) - sum(toxic)), max(1, sum(toxic))]
-    seen = (Counter(), Counter())
-    for bag, y in zip(bags, toxic, strict=True):
-        seen[y].update(set(_terms(bag)))
-    least = max(3, n[1] // 200)
-    good = {t: c for t, c in seen[1].items() if c >= least and seen[0][t] / n[0] <= 0.02 * c / n[1]}
+def _tally(batches):
+    """(term, rows labelled 1, rows labelled 0, places) of a task, in runs of bounded size.
+
+    places has one of 64 bits for the words on both sides of the term's first place in each toxic row, so rows that are
+    copies of each other share a bit.
+    """
+    seen, places = (Counter(), Counter()), {}
+
+    def flush():
+        terms = list(seen[0].keys() | seen[1].keys())
+        bits = np.array([places.get(t, 0) for t in terms], np.uint64).view(np.int64)
+        batch = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([seen[y][t] for t in terms], pa.int64()) for y in (1, 0)), pa.array(bits)], ["term", "toxic", "clean", "places"])
+        seen[0].clear(), seen[1].clear(), places.clear()
+        return batch
+
+    for batch in batches:
+        for y, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if y:
+                first: dict[str, int] = {}
+                words = [w.strip(_EDGE) for w in (text.as_py() or "").lower().split()]
+                for i, w in enumerate(words):
+                    if w not in first:
+                        first[w] = i
+                own: dict[str, int] = {}
+                for w, i in first.items():
+                    bit = 1 << (crc32(f"{' '.join(words[max(0, i - 1) : i])}\n{' '.join(words[i + 1 : i + 2])}".encode("utf-8", "surrogatepass")) & 63)
+                    for t in _terms((w,)):
+                        own.setdefault(t, bit)
+                for t, bit in own.items():
+                    places[t] = places.get(t, 0) | bit
+            else:
+                own = set(_terms(_bag(text.as_py())))
+            seen[y].update(own.keys() if y else own)
+            if len(seen[0]) + len(seen[1]) > _MOST_COUNTED:
+                yield flush()
+    yield flush()
+
+
+def _split(terms: list[str]) -> tuple[list[str], list[str]]:
+    return [t for t in terms if not t.endswith("$")], [t[:-1] for t in terms if t.endswith("$")]
+
+
+def _risky(terms: list[str]):
+    """Terms that one edit turns into a word of a clean text."""
+    stems, words = _split(terms)
+    every, alone = Lexicon(stems, words), {t: Lexicon(*_split([t])) for t in terms if len(t.rstrip("$")) >= 5}
+
+    def run(batches):
+        left, known = dict(alone), set()
+        for batch in batches:
+            for text in batch.column(0):
+                for w in _bag(text.as_py()) - known:
+                    if len(known) < _MOST_SEEN:
+                        known.add(w)
+                    if every.match(w):
+                        for t in [t for t, own in left.items() if own.match(w) == 2]:
+                            del left[t]
+        yield pa.RecordBatch.from_arrays([pa.array([t for t in alone if t not in left], pa.string())], ["term"])
+
+    return run
+
+
+def choose(good: dict[str, int], most_terms: int) -> list[str]:
+    """Terms of the lexicon from those that pass (with their rows): short ones first, none that begins with a chosen stem;
+    then a stem gives way to the longest term that holds nearly all of its rows, the word or stem it was cut from."""
     chosen: list[str] = []
+    stems: set[str] = set()
     for t in sorted(good, key=lambda t: (len(t.rstrip("$")), -good[t], t)):
-        if not any(t.startswith(s) for s in chosen if not s.endswith("$")):
+        if not any(t[:k] in stems for k in range(1, len(t))):
             chosen.append(t)
+            if not t.endswith("$"):
+                stems.add(t)
     chosen = sorted(chosen, key=lambda t: (-good[t], t))[:most_terms]
-    # A stem gives way to the longest term that holds nearly all of its texts: the word or stem it was cut from.
     whole = []
     for t in chosen:
         longer = [u for u in good if u.startswith(t.rstrip("$")) and good[u] >= 0.9 * good[t]]
         whole.append(max(longer, key=lambda u: (len(u), u)) if longer and not t.endswith("$") else t)
-    chosen = whole
-    stems = [t for t in chosen if not t.endswith("$")]
-    words = [t[:-1] for t in chosen if t.endswith("$")]
-    clean_words = set().union(*(b for b, y in zip(bags, toxic, strict=True) if not y)) if n[0] else set()
-    risky = set()
-    for term in [*stems, *words]:
-        if len(term) >= 5:
-            one = Lexicon([term] if term in stems else [], [term] if term in words else [])
-            if any(one.match(w) == 2 for w in clean_words if abs(len(w) - len(term)) <= 1 or (term in stems and len(w) >= len(term) - 1)):
-                risky.add(term)
-    lexicon = Lexicon(stems, words, frozenset(risky))
-    scorer = Scorer(lexicon)
-    x = np.array([scorer.features(t) for t in texts]) if texts else np.zeros((0, 6))
-    y, w = np.array(toxic, float), np.zeros(6)
+    return sorted(set(whole), key=whole.index)
+
+
+def fit(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
+    """Weights of the logistic model by Newton's method; prior is the share of toxic rows among all labelled ones."""
+    w, n1 = np.zeros(SIZE), max(1, int(y.sum()))
     for _ in range(30):
         p = 1 / (1 + np.exp(-x @ w))
         grad = x.T @ (y - p) - 0.05 * w
-        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(6), grad)
+        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(SIZE), grad)
     prior = min(max(prior, 1e-6), 1 - 1e-6)
-    w[0] += math.log(prior / (1 - prior)) - math.log(n[1] / n[0])
-    return lexicon, w
+    w[0] += math.log(prior / (1 - prior)) - math.log(n1 / max(1, len(y) - n1))
+    return w
+
 
+def learn(sample: DataFrame, prior: float, most_terms: int = 2000) -> tuple[Lexicon, np.ndarray]:
+    """Lexicon and weights from sample(toxic, text), which should be a stored table: it is read four times.
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000) -> tuple[Lexicon, np.ndarray]:
+    A term passes when at least 3 toxic rows have it, when its share of clean rows is at most 2 % of its share of toxic
+    ones, when so many rows would not all be toxic by chance for any of the terms counted, and when its neighbours differ
+    from row to row: what only copies of a text share is no term. At most most_terms terms make the lexicon (see choose),
+    from the 4 * most_terms of the most toxic rows.
+    """
+    n = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
+    n0, n1 = max(1, n.get(0, 0)), max(1, n.get(1, 0))
+    tallies = sample.select("toxic", "text").mapInArrow(_tally, "term string, toxic long, clean long, places long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("places")).alias("places"))
+    often = tallies.where("toxic >= 3").persist()
+    by_chance = n1 / (n0 + n1)
+    least = max(3, n1 // 200, math.ceil(math.log(max(1, often.count())) / -math.log(by_chance)) if by_chance < 1 else 3)
+    apart = 64 * (1 - F.exp(-F.col("toxic") / 64))  # bits that so many unrelated rows would set
+    passed = often.where((F.col("toxic") >= least) & (F.col("clean") * n1 <= 0.02 * n0 * F.col("toxic")) & (F.col("places") >= _APART * apart)).orderBy(F.desc("toxic"), "term").limit(4 * most_terms)
+    good = {r[0]: r[1] for r in passed.select("term", "toxic").collect()}  # at most 4 * most_terms terms
+    often.unpersist()
+    chosen = choose(good, most_terms)
+    risky = {r[0].rstrip("$") for r in sample.where("toxic = 0").select("text").mapInArrow(_risky(chosen), "term string").distinct().collect()} if chosen else set()
+    lexicon = Lexicon(*_split(chosen), frozenset(risky))
+
+    def features(batches):
+        scorer = Scorer(lexicon)
+        for batch in batches:
+            x = np.array([scorer.features(t.as_py() or "") for t in batch.column(1)]).reshape(-1, SIZE)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, k]) for k in range(SIZE))], ["y", *(f"x{k}" for k in range(SIZE))])
+
+    got = sample.select("toxic", "text").mapInArrow(features, ", ".join(["y int", *(f"x{k} double" for k in range(SIZE))])).toArrow()  # seven numbers a row
+    own = np.array([c.to_numpy() for c in got.columns]).reshape(SIZE + 1, -1)
+    own = own[:, np.lexsort(own)]  # sums in the same order whatever the partitions
+    return lexicon, fit(own[1:].T, own[0], prior)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, most_terms: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> tuple[Lexicon, np.ndarray]:
     """Learn from at most sample_rows labelled documents of each class, those with the smallest hashes among the rows held in."""
-    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1)).select("doc_id", "toxic")
+    ws = Workspace(docs.sparkSession, "toxicity")
+    usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r[0]: r[1] for r in usable.groupBy("toxic").count().collect()}
     ids = None
     for y in (0, 1):
         own = usable.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
         ids = own if ids is None else ids.union(own)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").orderBy("doc_id").collect()  # at most 2 * sample_rows rows
-    return learn([r["text"] or "" for r in rows], [int(r["toxic"]) for r in rows], counts.get(1, 0) / max(1, sum(counts.values())))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sample = ws.table(rows.join(F.broadcast(ids), "doc_id").select("toxic", "text"), "sample")  # at most 2 * sample_rows ids
+    try:
+        return learn(sample, counts.get(1, 0) / max(1, sum(counts.values())), most_terms)
+    finally:
+        ws.drop("sample")
 
 
-def score_texts(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row; a null text counts as empty and gets the model's intercept."""
-    stems = [lexicon, weights]
+def score(text: Column, lexicon: Lexicon, weights: np.ndarray) -> Column:
+    """The score of a text; null counts as empty and gets the model's intercept."""
 
-    def run(batches):
-        scorer = Scorer(stems[0])
-        for batch in batches:
-            x = np.array([scorer.features(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, 6)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(x @ stems[1], -30, 30))))], ["doc_id", "score"])
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(lexicon)
+        for texts in batches:
+            x = np.array([scorer.features(t or "") for t in texts]).reshape(-1, SIZE)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return run(text)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = 3000) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted.
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = 3000, most_terms: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, held_out, score, predicted.
 
-    Without labels nothing is a term and every score is near 0; repeated rows score alike; extra columns are ignored.
+    Null and empty texts get the score of a text without terms. Rows are scored by their text alone, so repeated rows
+    and rows without a doc_id (not held out) fare like any other; a doc_id that is repeated or labelled twice is learned
+    from in every pairing. Texts are read whole, however long. Without labels, or with labels of one class only, nothing
+    is a term and every score is near that class's share; an empty table gives an empty result; extra columns are ignored.
     """
-    lexicon, weights = train(docs, labels, sample_rows)
-    scored = score_texts(docs, lexicon, weights)
-    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    lexicon, weights = train(docs, labels, sample_rows, most_terms, id_col, text_col)
+    held = F.crc32(F.col(id_col).cast("string")) % 3 == 1
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held_out"), score(F.col(text_col), lexicon, weights).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = 3000) -> DataFrame:
-    """The rows of docs that are not predicted toxic, with all their columns."""
-    bad = toxicity(docs, labels, threshold, sample_rows).where("predicted = 1").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["_bad"], "left_anti")
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs whose own text is not predicted toxic, with all their columns."""
+    lexicon, weights = train(docs, labels, text_col=text_col, **options)
+    return docs.where(score(F.col(text_col), lexicon, weights) < threshold)
