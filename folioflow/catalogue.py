@@ -100,7 +100,8 @@ def label_report(t):
 
 @query(f"WITH {_LABELLED} SELECT doc_id, array_to_string(list_sort(list_distinct(flatten(list(property_types)))), ',') AS labels FROM q GROUP BY doc_id")
 def label_union(t):
-    got = _labelled(t).groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("property_types")))).alias("a"))
+    labels = _labelled(t).select("doc_id", F.explode_outer("property_types").alias("label"))
+    got = labels.groupBy("doc_id").agg(F.array_sort(F.collect_set("label")).alias("a"))
     return got.select("doc_id", F.array_join("a", ",").alias("labels"))
 
 
@@ -138,8 +139,8 @@ def heading_stack(t):
     return D.heading_stack(rows, "user_id", "event_id", "lvl", F.col("event_type"), 3).select("event_id", "sub_titles")
 
 
-@query(f"WITH {_PARAS}, w AS (SELECT DISTINCT string_split(text, ' ')[1] AS term FROM benchmark WHERE regexp_matches(string_split(text, ' ')[1], '^[A-Za-z]+$')), "
-       "h AS (SELECT term, doc_id, para_id, row_number() OVER (PARTITION BY term ORDER BY doc_id, para_id) AS r FROM w JOIN (SELECT DISTINCT doc_id, para_id, unnest(string_split_regex(para, '[^A-Za-z0-9]+')) AS term FROM p) USING (term)) "
+@query(f"WITH {_PARAS}, w AS (SELECT DISTINCT string_split(text, ' ')[1] AS term FROM benchmark WHERE text <> ''), "
+       "h AS (SELECT term, doc_id, para_id, row_number() OVER (PARTITION BY term ORDER BY doc_id, para_id) AS r FROM w JOIN p ON contains(para, term) AND regexp_matches(para, '(^|[^\\p{L}\\p{M}\\p{N}_])' || regexp_escape(term) || '($|[^\\p{L}\\p{M}\\p{N}_])')) "
        "SELECT term, doc_id, CAST(para_id AS INTEGER) AS para_id FROM h WHERE r = 1")
 def first_mention(t):
     terms = t("benchmark").select(F.element_at(F.split("text", " "), 1).alias("term"))
@@ -196,8 +197,8 @@ def fenced_json_extract(t):
 def topn_similar(t):
     """The five most similar chunks of each paper to one query vector."""
     e = t("embeddings")
-    q = e.where("vec_id = 0").first()["embedding"]
-    rows = e.select("vec_id", "label", X.dot(F.col("embedding"), F.array(*(F.lit(float(x)) for x in q))).alias("d"))
+    query = e.where("vec_id = 0").select("embedding").scalar()
+    rows = e.withColumn("query", query).select("vec_id", "label", X.dot(F.col("embedding"), F.col("query")).alias("d"))
     return D.top_n(rows, "label", 5, F.desc("d"), F.col("vec_id")).select("vec_id", "label", F.round("d", 6).alias("similarity"))
 
 
@@ -260,9 +261,10 @@ def history_flags(t):
 
 @query("SELECT CAST(d.doc_id AS VARCHAR) AS key, 'phase' AS namespace FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels) AND d.n_chars >= 1000")
 def history_run(t):
+    """A plan run over the keys that history lacks: what it fails on is not recorded as done."""
     past = t("labels").select(F.col("doc_id").alias("key"), F.lit("phase").alias("namespace"))
-    keys = t("documents").select("doc_id", F.when(F.col("n_chars") < 1000, "FAILED").otherwise("OK").alias("status"))
-    return run_with_history(keys, past, "doc_id", "phase", Pipeline(), "status")[1]
+    plan = Pipeline() + (lambda df: df.withColumn("words", X.tokens(F.col("text")))) + (lambda df: df.withColumn("status", F.when(F.col("n_chars") < 1000, "FAILED").otherwise("OK")))
+    return run_with_history(t("documents").select("doc_id", "text", "n_chars"), past, "doc_id", "phase", plan, "status")[1]
 
 
 @query("WITH n AS (SELECT DISTINCT md5(text) AS uid, source FROM documents WHERE doc_id % 3 <> 0), o AS (SELECT DISTINCT md5(text) AS uid, source FROM documents WHERE doc_id % 3 <> 1) "
@@ -340,10 +342,12 @@ def fuzzy_partition(t):
     return R.partition_fuzzy(_records(t)).select("paper", "comp", "label", F.array_join("kw", "|").alias("kw"), F.array_join(F.col("members").cast("array<string>"), ",").alias("members"), "confidence")
 
 
-@query("SELECT p_brand AS paper, true AS covered FROM part GROUP BY p_brand")
+@query("SELECT p_brand AS paper, bool_and(p_partkey % 50 <> 0 AND p_partkey % 50 <> 1) AS covered FROM part GROUP BY p_brand")
 def partition_coverage(t):
+    """Papers whose records are all in one partition each: some are taken out and some put in twice."""
     records = _records(t)
-    return R.covers(R.partition_strict(records), records)
+    spoiled = F.flatten(F.transform("members", lambda m: F.when(m % 50 == 0, F.array().cast("array<int>")).when(m % 50 == 1, F.array(m, m)).otherwise(F.array(m))))
+    return R.covers(R.partition_strict(records).withColumn("members", spoiled), records)
 
 
 @query("SELECT user_id, event_type, min(event_id) AS first_pos, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS members FROM events GROUP BY user_id, event_type")
@@ -438,7 +442,7 @@ def phase_classify(t):
 
 
 @query("SELECT user_id, CASE WHEN bool_and(event_type IN ('click', 'purchase')) THEN array_to_string(list_concat(list_filter(list(CASE event_type WHEN 'click' THEN 'FCC' ELSE 'BCC' END), lambda x: x = 'FCC'), list_filter(list(CASE event_type WHEN 'click' THEN 'FCC' ELSE 'BCC' END), lambda x: x = 'BCC')), '+') END AS signature, "
-       "CASE WHEN bool_or(event_type NOT IN ('click', 'purchase', 'error')) THEN 'unknown' WHEN bool_or(event_type = 'error') AND bool_or(event_type <> 'error') THEN 'ss+im' WHEN bool_or(event_type = 'error') THEN 'im' ELSE 'ss' END AS row_class FROM events WHERE event_id % 40 < 3 GROUP BY user_id")
+       "CASE WHEN bool_or(event_type NOT IN ('click', 'purchase', 'error')) THEN 'unknown' WHEN bool_or(event_type = 'error') AND bool_or(event_type <> 'error') THEN 'ss+im' WHEN bool_or(event_type = 'error') THEN 'im' ELSE 'ss' END AS row_class FROM events GROUP BY user_id")
 def phase_signature(t):
     name = F.when(F.col("event_type") == "click", "FCC").when(F.col("event_type") == "purchase", "BCC").when(F.col("event_type") == "error", "L12").otherwise("AM")
     got = t("events").groupBy("user_id").agg(F.collect_list(name).alias("p"))
@@ -588,10 +592,10 @@ def joined_titles(t):
     return D.join_titles(t("events").select("user_id", "event_id", kind.alias("kind"), F.col("event_type").alias("txt")), "user_id", "event_id", "kind", "txt").select("event_id", "txt")
 
 
-@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+@query("SELECT user_id, event_type, g, event_id FROM (SELECT user_id, event_type, event_id % 3 AS g, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3, event_id) AS r FROM events) WHERE r = 1")
 def dedup_across_groups(t):
-    rows = t("events").select("user_id", "event_type", F.lit(0).alias("g"), "event_id")
-    return R.dedup_across_groups(rows, "user_id", ["event_type"], "g", "event_id").select("user_id", "event_type", "event_id")
+    rows = t("events").select("user_id", "event_type", (F.col("event_id") % 3).alias("g"), "event_id")
+    return R.dedup_across_groups(rows, "user_id", ["event_type"], "g", "event_id").select("user_id", "event_type", "g", "event_id")
 
 
 @query("SELECT o_orderkey, CAST(g AS INTEGER) AS group_index, CAST(i AS INTEGER) AS index, CASE WHEN g = 0 AND i = 0 THEN o_orderstatus WHEN g = 0 THEN 'b' ELSE o_orderpriority END AS record FROM orders, (VALUES (0, 0), (0, 1), (1, 0)) v(g, i)")
@@ -600,30 +604,13 @@ def record_groups(t):
     return R.flatten_groups(rows, "groups")
 
 
-@query("SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 1")
+@query("SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 1 AND doc_id % 5 NOT IN (1, 3)")
 def all_verdicts(t):
-    rows = t("labels").select("doc_id", F.create_map(F.lit("q"), F.col("quality") == 1, F.lit("t"), F.col("toxic") == 1).alias("v"), F.lit("True").alias("s"))
+    said = F.element_at(F.array(*(F.lit(x) for x in ("True", "it is fALSe", "fine", "False", "no"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    rows = t("labels").select("doc_id", F.create_map(F.lit("q"), F.col("quality") == 1, F.lit("t"), F.col("toxic") == 1).alias("v"), said.alias("s"))
     return rows.where(R.all_true(F.col("v")) & R.none_false(F.col("s"))).select("doc_id")
 
 
-@query("SELECT 'd' || p_partkey AS doi, CAST(p_size AS DOUBLE) * 1000 AS ys, 25.0 AS temperature FROM part WHERE p_size > 5")
-def strength_records(t):
-    entry = F.struct(
-        F.when(F.col("p_size") > 5, F.concat(F.col("p_size").cast("string"), F.lit(" GPa"))).alias("ys"), F.lit(None).cast("string").alias("uts"), F.lit(None).cast("string").alias("strain"),
-        F.lit("ambient").alias("temperature"), F.lit("1e-3").alias("strain_rate"), F.lit("tensile").alias("test_type"),
-    )
-    record = F.struct(F.struct(F.col("p_name").alias("composition")).alias("metadata"), F.array(entry).alias("strength"))
-    return R.strength_rows(t("part").select(F.concat(F.lit("d"), "p_partkey").alias("doi"), record.alias("record")), "tensile").select("doi", "ys", "temperature")
-
-
-@query("SELECT 'd' || p_partkey AS doi, 'BCC+FCC' AS phases FROM part WHERE p_size % 2 = 0")
-def phase_records(t):
-    two = F.when(F.col("p_size") % 2 == 0, F.array(F.lit("FCC"), F.lit("BCC"))).otherwise(F.array(F.lit("HCP")))
-    phase = F.array(F.struct(F.array(F.lit("BCC"), F.lit("FCC")).alias("phases")), F.struct(two.alias("phases")))
-    record = F.struct(F.struct(F.col("p_name").alias("composition")).alias("metadata"), phase.alias("phase"))
-    return R.phase_rows(t("part").select(F.concat(F.lit("d"), "p_partkey").alias("doi"), record.alias("record"))).select("doi", F.array_join("phases", "+").alias("phases"))
-
-
 @query(None)
 def hierarchical_groups(t):
     def by_letter(texts):

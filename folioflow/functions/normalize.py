@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 #: Factors to the target unit.
 GRAIN_UM = {"nm": 1e-3, "µm": 1.0, "μm": 1.0, "um": 1.0, "mm": 1e3, "m": 1e6}
-STRENGTH_MPA = {"pa": 1e-6, "kpa": 1e-3, "mpa": 1.0, "gpa": 1e3, "psi": 0.00689476, "ksi": 6.89476, "n/mm2": 1.0, "bar": 0.1}
+STRENGTH_MPA = {"pa": 1e-6, "kpa": 1e-3, "mpa": 1.0, "gpa": 1e3, "psi": 0.00689476, "ksi": 6.89476, "n/mm2": 1.0, "nmm2": 1.0, "bar": 0.1}
 SOLID, INTERMETALLIC = ("FCC", "BCC", "HCP"), ("L12", "B2", "Laves", "IM")
+#: The patterns of values with units, and of the units themselves.
 _UNIT = r"\s*([a-zA-Zµμ°]+.*?)$"
 _NUM = r"(\d+\.?\d*)"
 _PM = r"\s*\+-\s*\d+\.?\d*"
 #: Tried in this order; the first that matches decides.
 VALUE_PATTERNS = [("pm", _NUM + _PM + _UNIT), ("ineq", r"[<>]=?\s*" + _NUM + _UNIT), ("approx", r"~\s*" + _NUM + _UNIT), ("plain", _NUM + _UNIT)]
+STRENGTH_UNIT = "(?i)(pa|kpa|mpa|gpa|psi|ksi|n/?mm2|bar)"
+GRAIN_UNIT = "(?i)(µm|nm|μm|mm|um|m)"
 RANGE = _NUM + r"\s*-\s*" + _NUM + _UNIT
 
 
@@ -29,14 +32,18 @@ def plain_characters(c: Column) -> Column:
     return c
 
 
+def _value(value: Column, unit: Column) -> Column:
+    return F.named_struct(F.lit("value"), value, F.lit("unit"), unit)
+
+
 def value_unit(c: Column) -> Column:
     """struct(value, unit) of "10-20 nm" (mean), "15 ± 2 nm", "> 30 nm", "~15 µm", "3.5µm"; null if nothing parses."""
     s = plain_characters(c)
     low, high = _number(s, RANGE, 1), _number(s, RANGE, 2)
-    tries = [F.when(low.isNotNull() & high.isNotNull(), F.struct(((low + high) / 2).alias("value"), F.trim(F.regexp_extract(s, RANGE, 3)).alias("unit")))]
+    tries = [F.when(low.isNotNull() & high.isNotNull(), _value((low + high) / 2, F.trim(F.regexp_extract(s, RANGE, 3))))]
     for _, p in VALUE_PATTERNS:
         v = _number(s, p, 1)
-        tries.append(F.when(v.isNotNull(), F.struct(v.alias("value"), F.trim(F.regexp_extract(s, p, 2)).alias("unit"))))
+        tries.append(F.when(v.isNotNull(), _value(v, F.trim(F.regexp_extract(s, p, 2)))))
     return F.coalesce(*tries)
 
 
@@ -47,13 +54,13 @@ def _factor(unit: Column, table: dict[str, float]) -> Column:
 def grain_size_um(c: Column) -> Column:
     """Grain size in µm; the unit found is looked up with its own case, so "NM" gives null."""
     v = value_unit(c)
-    unit = F.nullif(F.regexp_extract(v["unit"], "(?i)(µm|nm|μm|mm|um|m)", 1), F.lit(""))
+    unit = F.nullif(F.regexp_extract(v["unit"], GRAIN_UNIT, 1), F.lit(""))
     return v["value"] * _factor(unit, GRAIN_UM)
 
 
 def strength_mpa(c: Column) -> Column:
     v = value_unit(c)
-    unit = F.nullif(F.lower(F.regexp_extract(v["unit"], "(?i)(kpa|mpa|gpa|pa|psi|ksi|n/mm2|bar)", 1)), F.lit(""))
+    unit = F.nullif(F.lower(F.regexp_extract(v["unit"], STRENGTH_UNIT, 1)), F.lit(""))
     return v["value"] * _factor(unit, STRENGTH_MPA)
 
 
@@ -111,9 +118,9 @@ def processing_key(words: Column) -> Column:
 
 #: Fixed values: (name, pattern), in order.
 PHASES = [
-    ("FCC", r"(?i)a1|fcc|f\.c\.c|face(\s|-)?centered(\s|-)?cubic|austenitic"), ("BCC", r"(?i)a2|bcc|b\.c\.c|body(\s|-)?centered(\s|-)?cubic"),
+    ("FCC", r"(?i)a1|fcc|f\.c\.c|face(\s|-)?centered(\s|-)?cubic|𝛾(?!')|austenitic"), ("BCC", r"(?i)a2|bcc|b\.c\.c|body(\s|-)?centered(\s|-)?cubic|𝛽"),
     ("HCP", r"(?i)hcp|h\.c\.p|hexagonal(\s|-)?close(\s|-)?packed"), ("Laves", "(?i)laves"), ("B2", "(?i)b2"), ("L12", "(?i)l12"),
-    ("AM", "(?i)amorphous|am"), ("IM", "(?i)im|TiC|b2|laves|l12|intermetallic|sigma"),
+    ("AM", "(?i)amorphous|am"), ("IM", "(?i)im|𝜎|TiC|b2|laves|l12|intermetallic|sigma|𝜇"),
 ]
 
 
@@ -167,6 +174,22 @@ def melted_route(steps: Column, melting: list[str], allowed: list[str] | None =
         return first
     return first & F.forall(F.slice(low, 2, F.greatest(F.size(low), F.lit(1))), lambda s: among(s, allowed))
 
+
+#: Melting routes.
+MELTING, CASTING = "(?i)(induction|arc|levitation) melting", "(?i)cast"
+
+
+def any_melting(steps: Column, casting: bool = True) -> Column:
+    """Whether any step is melting by induction, arc or levitation, or (casting) a cast; null and empty lists have none."""
+    one = lambda p: p.rlike(MELTING) | (p.rlike(CASTING) if casting else F.lit(False))
+    return F.coalesce(F.exists(steps, one), F.lit(False))
+
+
+def only_melting(steps: Column, casting: bool = True) -> Column:
+    """any_melting of a route of exactly one step."""
+    return F.coalesce(F.size(steps) == 1, F.lit(False)) & any_melting(steps, casting)
+
+
 #: Spellings of gases. The look-up is lower-cased, so the upper-case keys never match; kept as they are.
 GASES = {"methane": "CH4", "C1": "CH4", "ethane": "C2H6", "C2": "C2H6", "ethylene": "C2H4", "propane": "C3H6", "C3": "C3H6"}
 

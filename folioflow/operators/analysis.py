@@ -24,10 +24,10 @@ def describe(df: DataFrame, value: str, places: int = 6) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Counts in equal bins from least to greatest, the last closed on the right."""
-    low, high = df.agg(F.min(value), F.max(value)).first()
     rows = df.where(F.col(value).isNotNull())
-    slot = F.lit(0) if low is None or low == high else F.least(F.lit(bins - 1), F.floor((F.col(value) - F.lit(low)) / (F.lit(high) - F.lit(low)) * bins))
-    return rows.groupBy(slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    low, high = (df.agg(f(value)).scalar() for f in (F.min, F.max))
+    slot = F.when(low == high, 0).otherwise(F.least(F.lit(bins - 1), F.floor((F.col(value) - low) / (high - low) * bins)))
+    return rows.select(slot.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def shares(df: DataFrame, column: str) -> DataFrame:
@@ -35,6 +35,40 @@ def shares(df: DataFrame, column: str) -> DataFrame:
     return got.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))), 6))
 
 
+def distribution(df: DataFrame, kind: str, value: str, places: int = 6) -> DataFrame:
+    """describe for each kind: the figures of a violin plot."""
+    c = F.col(value).cast("double")
+    quart = [F.round(F.percentile(c, F.lit(q)), places).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
+    return df.groupBy(kind).agg(F.count(c).alias("n"), F.min(c).alias("least"), *quart, F.max(c).alias("most"))
+
+
+def f1_each(df: DataFrame, tp: str, fp: str, fn: str) -> DataFrame:
+    """df with f1 of each row, from precision and recall; 0 without a true positive."""
+    precision, recall = (F.col(tp) / F.nullif(F.col(tp) + F.col(x), F.lit(0)) for x in (fp, fn))
+    return df.withColumn("f1", F.when(F.col(tp) != 0, F.bround(2 * precision * recall / (precision + recall), 2)).otherwise(0.0))
+
+
+def checked_counts(df: DataFrame, tp: str, fn: str, entities: str) -> DataFrame:
+    """df, with an error for a row whose true positives and false negatives are not all entities."""
+    wrong = F.col(tp) + F.col(fn) != F.col(entities)
+    return df.withColumn(entities, F.when(wrong, F.raise_error(F.lit("true positives and false negatives must sum to the entities"))).otherwise(F.col(entities)))
+
+
+def status_counts(df: DataFrame, status: str) -> DataFrame:
+    return df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
+
+
+def cost(df: DataFrame, tokens_in: str, tokens_out: str, price_in: float, price_out: float) -> DataFrame:
+    """Tokens used and what they cost, prices by a million tokens."""
+    a, b = F.coalesce(F.sum(tokens_in), F.lit(0)), F.coalesce(F.sum(tokens_out), F.lit(0))
+    return df.agg(a.alias("tokens_in"), b.alias("tokens_out"), F.round((a * price_in + b * price_out) / 1e6, 9).alias("cost"))
+
+
+def seeded_sample(df: DataFrame, n: int, seed: int, *key: str) -> DataFrame:
+    """n rows by the hash of their key: the same rows for the same seed, whatever the partitions."""
+    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+
+
 def f1(df: DataFrame, tp: str, fp: str, fn: str) -> DataFrame:
     """Micro-averaged 2TP / (2TP + FP + FN) with its counts."""
     s = [F.sum(c).cast("long") for c in (tp, fp, fn)]

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from ..functions.formula import n_elements, normalise_formula
 
 
 def group_by_rule(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
@@ -22,50 +24,66 @@ def partition_strict(records: DataFrame, paper: str = "paper", pos: str = "pos")
     return keyed.groupBy(paper, "comp", "label", "kw").agg(F.sort_array(F.collect_list(pos)).alias("members"))
 
 
-def _subset(a, b):
-    return {x.lower() for x in a} <= {x.lower() for x in b}
+#: How much of a partition's keywords a list must share to join it, and what that says.
+_GRADES = ((1.0, "medium"), (0.5, "low"))
 
 
-def _shared(a, b):
-    a, b = {x.lower() for x in a}, {x.lower() for x in b}
-    return 1.0 if not a and not b else len(a & b) / len(a) if a else 0.0
+def _grade(words: set[str], known: set[str]) -> str | None:
+    """How well two keyword sets agree: the greater share that one has of the other decides; an empty list is within any."""
+    shared = len(words & known)
+    best = max(1.0 if not own else shared / len(own) for own in (words, known))
+    return next((name for least, name in _GRADES if best >= least), None)
 
 
-def _fuzzy(group: pd.DataFrame) -> pd.DataFrame:
-    found: list[dict] = []
-    for pos, words in zip(*(group.sort_values("pos")[c] for c in ("pos", "kw")), strict=True):
-        words = list(words)
-        for own in found:
-            if words == own["kw"]:
-                grade = "high"
-            elif _subset(words, own["kw"]) or _subset(own["kw"], words):
-                grade = "medium"
-            elif max(_shared(words, own["kw"]), _shared(own["kw"], words)) >= 0.5:
-                grade = "low"
-            else:
+def _gather(records: list[tuple[int, list[str]]]) -> list[tuple[list[str], list[int], str]]:
+    """Records (pos, keywords) in order of pos, each put to the first partition that takes it or to one of its own."""
+    parts: list[list] = []  # keywords, their lower-cased set, members, confidence
+    for pos, words in records:
+        low = {w.lower() for w in words}
+        for part in parts:
+            grade = "high" if words == part[0] else _grade(low, part[1])
+            if grade is None:
                 continue
+            part[2].append(pos)
             if grade != "high":
-                known = {x.lower() for x in own["kw"]}
-                own["kw"] = own["kw"] + [x for x in words if x.lower() not in known]
-            own["members"].append(int(pos))
-            own["confidence"] = grade
+                part[0] = part[0] + [w for w in words if w.lower() not in part[1]]
+                part[1] = part[1] | low
+                part[3] = grade
             break
         else:
-            found.append({"kw": words, "members": [int(pos)], "confidence": "high"})
-    head = group.iloc[0]
-    return pd.DataFrame([{"paper": head["paper"], "comp": head["comp"], "label": head["label"], "kw": f["kw"], "members": sorted(f["members"]), "confidence": f["confidence"]} for f in found])
+            parts.append([words, low, [pos], "high"])
+    return [(words, sorted(members), grade) for words, _, members, grade in parts]
+
+
+def _fuzzy(batches):
+    names = ["paper", "comp", "label", "kw", "members", "confidence"]
+    types = [pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.string()]
+    for batch in batches:
+        rows = []
+        for paper, comp, label, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows += [(paper, comp, label, *part) for part in _gather([(r["pos"], r["kw"]) for r in items])]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
 
 def partition_fuzzy(records: DataFrame) -> DataFrame:
-    """Greedy partitions of records(paper, pos, composition, label, processing_kw): equal keywords (high), one list within the other (medium) or half shared (low); the last merge names the confidence. Only records of one paper, composition and label can meet, so each such group is worked off on its own."""
+    """Greedy partitions of records(paper, pos, composition, label, processing_kw): equal keywords (high), one list within the other (medium) or half shared (low); the last merge names the confidence.
+
+    Only records of one paper, composition and label can meet. Groups with one keyword list are settled without Python;
+    the others, which hold the few records of a paper, go through it as arrays.
+    """
     keyed = records.select("paper", "pos", N.composition_key(F.col("composition")).alias("comp"), N.label_key(F.col("label")).alias("label"), N.processing_key(F.col("processing_kw")).alias("kw"))
-    return keyed.groupBy("paper", "comp", "label").applyInPandas(_fuzzy, "paper string, comp string, label string, kw array<string>, members array<int>, confidence string")
+    groups = keyed.groupBy("paper", "comp", "label").agg(F.sort_array(F.collect_list(F.struct("pos", "kw"))).alias("items"))
+    lists = F.array_distinct(F.transform("items", lambda x: x["kw"]))
+    plain = groups.where(F.size(lists) == 1).select("paper", "comp", "label", lists[0].alias("kw"), F.transform("items", lambda x: x["pos"].cast("int")).alias("members"), F.lit("high").alias("confidence"))
+    mixed = groups.where(F.size(lists) > 1).mapInArrow(_fuzzy, "paper string, comp string, label string, kw array<string>, members array<int>, confidence string")
+    return plain.unionByName(mixed)
 
 
-def covers(partitions: DataFrame, records: DataFrame, paper: str = "paper") -> DataFrame:
-    """Per paper whether every record is in exactly one partition."""
-    sizes = partitions.groupBy(paper).agg(F.sum(F.size("members")).alias("placed"))
-    return records.groupBy(paper).agg(F.count(F.lit(1)).alias("n")).join(sizes, paper, "left").select(paper, (F.coalesce("placed", F.lit(0)) == F.col("n")).alias("covered"))
+def covers(partitions: DataFrame, records: DataFrame, paper: str = "paper", pos: str = "pos") -> DataFrame:
+    """Per paper whether every record is in exactly one partition: none missing, none twice, none made up."""
+    placed = partitions.select(paper, F.explode("members").alias(pos)).groupBy(paper, pos).agg(F.count(F.lit(1)).alias("times"))
+    both = records.select(paper, pos, F.lit(True).alias("known")).join(placed, [paper, pos], "full")
+    return both.groupBy(paper).agg(F.bool_and(F.coalesce("known", F.lit(False)) & (F.coalesce("times", F.lit(0)) == 1)).alias("covered"))
 
 
 def merge(df: DataFrame, key: list[str], order: str, first: list[str], rest: Column, referred: str) -> DataFrame:
@@ -131,18 +149,89 @@ def none_false(text: Column) -> Column:
     return ~F.coalesce(text, F.lit("")).rlike("(?i)false")
 
 
+def composition_of(metadata: Column) -> Column:
+    """The normalised atomic composition of a record, null for composites, weight compositions and what does not parse."""
+    return normalise_formula(N.atomic_composition(metadata["composition"]))
+
+
+def grain_size_of(sizes: Column) -> Column:
+    """Grain size in µm of a record that states exactly one."""
+    return F.when(F.size(sizes) == 1, N.grain_size_um(sizes[0]["grain_size"]))
+
+
+def _entries(df: DataFrame, test_type: str) -> DataFrame:
+    """df(doi, record(metadata, grain_size, strength, synthesis)) as rows of entries s of one test type, with what goes to each."""
+    record = F.col("record")
+    rows = df.select("doi", record["metadata"]["composition"].alias("composition_raw"), composition_of(record["metadata"]).alias("composition"), grain_size_of(record["grain_size"]).alias("grain_size_um"), record["synthesis"]["steps"].alias("synthesis_steps"), F.explode(record["strength"]).alias("s"))
+    rows = rows.where(F.col("s.test_type") == test_type).withColumn("temperature_c", N.temperature_c(F.col("s.temperature"))).withColumn("strain_rate", N.strain_rate(F.col("s.strain_rate")))
+    return rows.where(F.col("temperature_c").isNotNull())
+
+
+def _filled(c: Column) -> Column:
+    return F.coalesce(c, F.lit("")) != ""
+
+
 def strength_rows(df: DataFrame, test_type: str) -> DataFrame:
-    """Rows of valid strength entries of one test type, values normalised, from df(doi, record): an entry needs a temperature and a yield strength or strain."""
-    e = df.select("doi", F.col("record.metadata.composition").alias("composition_raw"), F.explode("record.strength").alias("s")).where(F.col("s.test_type") == test_type)
-    out = e.select("doi", "composition_raw", N.strength_mpa(F.col("s.ys")).alias("ys"), N.strength_mpa(F.col("s.uts")).alias("uts"), N.strain(F.col("s.strain")).alias("strain"), N.temperature_c(F.col("s.temperature")).alias("temperature"), N.strain_rate(F.col("s.strain_rate")).alias("strain_rate"))
-    return out.where(F.col("temperature").isNotNull() & (F.col("ys").isNotNull() | F.col("strain").isNotNull()))
+    """Rows of yield strengths: entries of one test type with a temperature and a yield strength, both of which parse."""
+    out = _entries(df, test_type).where(_filled(F.col("s.ys"))).withColumn("yield_strength_mpa", N.strength_mpa(F.col("s.ys"))).where(F.col("yield_strength_mpa").isNotNull())
+    return out.select("doi", "composition_raw", "composition", "grain_size_um", "yield_strength_mpa", "temperature_c", "strain_rate", "synthesis_steps")
+
+
+def mechanical_rows(df: DataFrame, test_type: str) -> DataFrame:
+    """Rows of mechanical properties: entries with a temperature that parses and a yield strength or strain, kept if any of yield strength, tensile strength and strain parses."""
+    out = _entries(df, test_type).where(_filled(F.col("s.ys")) | _filled(F.col("s.strain")))
+    out = out.withColumn("yield_strength_mpa", N.strength_mpa(F.col("s.ys"))).withColumn("ultimate_tensile_strength_mpa", N.strength_mpa(F.col("s.uts"))).withColumn("strain", N.strain(F.col("s.strain")))
+    out = out.where(F.coalesce("yield_strength_mpa", "ultimate_tensile_strength_mpa", "strain").isNotNull())
+    return out.select("doi", "composition_raw", "composition", "grain_size_um", "yield_strength_mpa", "ultimate_tensile_strength_mpa", "strain", "temperature_c", "strain_rate", "synthesis_steps")
 
 
 def phase_rows(df: DataFrame) -> DataFrame:
-    """Rows of records whose phase entries agree (one common list, any order): composition_raw, phases, steps."""
-    lists = F.transform(F.col("record.phase"), lambda p: F.array_sort(p["phases"]))
+    """Rows of records whose phase entries agree (one common list, any order): composition, composition_raw, phases, synthesis_steps."""
+    record = F.col("record")
+    lists = F.transform(record["phase"], lambda p: F.array_sort(p["phases"]))
     agreed = F.when(F.size(F.array_distinct(lists)) == 1, lists[0])
-    return df.select("doi", F.col("record.metadata.composition").alias("composition_raw"), agreed.alias("phases")).where(F.col("phases").isNotNull())
+    out = df.select("doi", composition_of(record["metadata"]).alias("composition"), record["metadata"]["composition"].alias("composition_raw"), agreed.alias("phases"), record["synthesis"]["steps"].alias("synthesis_steps"))
+    return out.where(F.size("phases") > 0)
+
+
+def valid_compositions(df: DataFrame) -> DataFrame:
+    """The compositions of records with any strength value or, without strength entries, any phase."""
+    return df.where(valid_record(F.col("record"))).select("doi", composition_of(F.col("record.metadata")).alias("composition"))
+
+
+def with_elements(df: DataFrame, composition: str, least: int = 3) -> DataFrame:
+    """Rows whose normalised composition has at least `least` elements."""
+    return df.where(n_elements(F.col(composition)) >= least)
+
+
+def of_kind(df: DataFrame, column: str, part: str | None = None, among: list[str] | None = None) -> DataFrame:
+    """Rows whose column holds a text or is one of several."""
+    out = df if part is None else df.where(F.col(column).contains(part))
+    return out if among is None else out.where(F.col(column).isin(*among))
+
+
+def solid_state(reactions: Column) -> Column:
+    """Reactions of the solid state that name precursors."""
+    return F.filter(reactions, lambda r: (r["reaction_type"] == "solid-state") & (F.size(r["precursors"]) > 0))
+
+
+def attach(data: Column, items: Column) -> Column:
+    """items (an array) added to data without what is null or empty; a null list adds nothing."""
+    return F.concat(F.coalesce(data, F.array().cast("array<string>")), F.filter(F.coalesce(items, F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")) != ""))
+
+
+def inherited(metadata: Column, *keys: str) -> Column:
+    """The entries of a map that go on to what is made from it."""
+    return F.map_filter(metadata, lambda k, v: k.isin(*(keys or ("source", "doi", "title"))))
+
+
+def without(metadata: Column, *keys: str) -> Column:
+    return F.map_filter(metadata, lambda k, v: ~k.isin(*keys))
+
+
+def field(c: Column, name: str, many: bool = False) -> Column:
+    """A field of a struct, or of each struct of an array."""
+    return F.transform(c, lambda x: x[name]) if many else c[name]
 
 
 def batches(df: DataFrame, key: str, order: Column, size: int = 12) -> DataFrame:
@@ -152,7 +241,8 @@ def batches(df: DataFrame, key: str, order: Column, size: int = 12) -> DataFrame
 
 def group_rounds(df: DataFrame, key: str, pos: str, item: str, group, size: int = 12, depth: int = 3, seed: int = 7) -> DataFrame:
     """Hierarchical grouping: batches of a key's items go through `group` (a list of texts to lists of indices), the first
-    of each group stands for it in the next round, until a key fits one batch or depth rounds are done. Rows: key, head, members."""
+    of each group stands for it in the next round. A key whose items fit one batch is done after that round, at the latest
+    after depth rounds. Rows: key, head, members."""
     kind = dict(df.dtypes)[key]
     now = df.select(key, F.col(pos).alias("head"), F.array(F.col(pos)).alias("members"), F.col(item).alias("text"))
     schema = f"{key} {kind}, head long, members array<long>, text string"
@@ -165,6 +255,10 @@ def group_rounds(df: DataFrame, key: str, pos: str, item: str, group, size: int
             rows.append((own[key].iloc[0], int(own["head"].iloc[0]), sorted(int(m) for ms in own["members"] for m in ms), own["text"].iloc[0]))
         return pd.DataFrame(rows, columns=[key, "head", "members", "text"])
 
+    done = None
     for k in range(depth):
-        now = batches(now, key, F.xxhash64("head", F.lit(seed + k)), size).groupBy(key, "batch").applyInPandas(one, schema)
-    return now.select(key, "head", "members")
+        dealt = batches(now, key, F.xxhash64("head", F.lit(seed + k)), size).withColumn("_last", F.max("batch").over(Window.partitionBy(key)) == 0)
+        last = dealt.where("_last").drop("_last").groupBy(key, "batch").applyInPandas(one, schema)
+        done = last if done is None else done.unionByName(last)
+        now = dealt.where("NOT _last").drop("_last").groupBy(key, "batch").applyInPandas(one, schema)
+    return done.unionByName(now).select(key, "head", "members")
