@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import content_uuid
@@ -41,3 +41,50 @@ def index_diff(new: DataFrame, old: DataFrame, cleanup: str | None = "incrementa
         return rows
     seen = new.select(F.col(source).alias("_s")).distinct()
     return rows.join(seen, F.col(source) == F.col("_s"), "left").where("action <> 'deleted' OR _s IS NOT NULL").drop("_s")
+
+
+def index_counts(diff: DataFrame) -> DataFrame:
+    """added, updated, skipped and deleted of a diff."""
+    return diff.agg(*(F.count_if(F.col("action") == a).alias(a) for a in ("added", "updated", "skipped", "deleted")))
+
+
+def update_index(spark: SparkSession, docs: DataFrame, store: str, record: str, namespace: str, now: Column, cleanup: str | None = "incremental", force: bool = False, text: str = "page_content", source: str = "source") -> dict[str, int]:
+    """Bring a store of documents and its record (Parquet folders) up to docs(source, page_content, ...); the counts of what was done.
+
+    Equal texts of a source are one. Texts the record has are skipped - their time is renewed - or, with force, written
+    again (updated). What is gone goes: of all sources (full), of the sources in docs (incremental), or nothing (None).
+    The new store is written beside the old before its record, and both are swapped by name, so a run that dies leaves
+    the old ones or can be run again.
+    """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(store).getFileSystem(spark._jsc.hadoopConfiguration())
+    new = docs.withColumn("uid", content_uuid(F.concat_ws("|", F.col(source), F.col(text)))).dropDuplicates(["uid"])
+    there = fs.exists(fs_path(record))
+    schema = f"uid string, {source} string, namespace string, updated_at timestamp"
+    old = spark.read.schema(schema).parquet(record) if there else spark.createDataFrame([], schema)
+    own = old.where(F.col("namespace") == namespace)
+    diff = index_diff(new.select("uid", source), own, cleanup, source)
+    if force:
+        diff = diff.withColumn("action", F.when(F.col("action") == "skipped", "updated").otherwise(F.col("action")))
+    counts = index_counts(diff).first().asDict()
+    gone = diff.where("action = 'deleted'").select("uid")
+    changed = new.join(diff.where("action IN ('added', 'updated')").select("uid"), "uid", "left_semi")
+    kept = spark.read.parquet(store) if fs.exists(fs_path(store)) else None
+    rows = changed if kept is None else kept.join(gone, "uid", "left_anti").join(changed.select("uid"), "uid", "left_anti").unionByName(changed, allowMissingColumns=True)
+    seen = new.select("uid", source, F.lit(namespace).alias("namespace"), now.cast("timestamp").alias("updated_at"))
+    records = old.where(F.col("namespace") != namespace).unionByName(own.join(gone, "uid", "left_anti").join(seen.select("uid"), "uid", "left_anti")).unionByName(seen)
+    for path, df in ((store, rows), (record, records)):
+        df.write.mode("overwrite").parquet(f"{path}.new")
+    for path in (store, record):
+        fs.delete(fs_path(path), True)
+        fs.rename(fs_path(f"{path}.new"), fs_path(path))
+    return counts
+
+
+def build_index(spark: SparkSession, raw: DataFrame, load, store: str, embed=None) -> None:
+    """Articles loaded (sections or full texts) and written: as vectors where there is an embedding, else as plain documents,
+    which a second run adds again."""
+    rows = load(raw).where("error IS NULL").drop("error")
+    if embed is not None:
+        rows = rows.withColumn("embedding", embed(F.col("page_content")))
+    rows.write.mode("append").parquet(store)
