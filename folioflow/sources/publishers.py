@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -33,7 +33,7 @@ def detect(html: Column) -> Column:
     out = F.when(F.lit(False), F.lit(""))
     for name, pattern in STATED:
         out = out.when(stated.rlike(pattern), name)
-    out = out.when(cited.contains("John Wiley & Sons, Ltd"), "wiley").when(html.rlike("""(?i)<meta[^>]*name=["']citation_springer_api_url["']"""), "springer")
+    out = out.when(F.replace(cited, F.lit("&amp;"), F.lit("&")).contains("John Wiley & Sons, Ltd"), "wiley").when(html.rlike("""(?i)<meta[^>]*name=["']citation_springer_api_url["']"""), "springer")
     out = out.when(html.rlike("""(?i)<html[^>]*xmlns:rsc=["']urn:rsc\\.org["']"""), "rsc")
     return out.when(F.lower(F.element_at(F.split(title, " - "), -1)) == "sciencedirect", "elsevier")
 
@@ -64,19 +64,23 @@ class Rules:
     sections: str
     cut: str | None = None
     clutter: str = r"$^"
-    titles: dict[str, str] = field(default_factory=dict)
+    table: str = "^table "
+    caption: str = "^caption "
+    notes: str = "^tfoot "
+    figure: str = "^figure "
+    figure_text: str = "caption"
 
 
-#: Where each publisher keeps its parts: patterns over "tag class id" of an element.
+#: Where each publisher keeps its parts, those of its tables and figures too: patterns over "tag class id" of an element.
 RULES = {
-    "nature": Rules("^span .*bibliographic-information__value", "^section .*(abs|Abs)", "^div .*main-content", "|", "recommendations"),
-    "springer": Rules("^span .*bibliographic-information__value", "^section .*(abs|Abs)", "^div .*main-content", "|", "recommendations"),
-    "wiley": Rules("^a .*epub-doi", "article-section__abstract", "article-section__full", "-", "article-references|citedBy"),
-    "rsc": Rules("^div .*article_info", "^div .*abstract", "^div .*(article|wrapper)-?(body|content)|pnlArticleContent", "-", "ref-list|article_info"),
-    "acs": Rules("^div .*article_header-doiurl", "articleBody_abstractText", "article_content", "|", "refs-header|ref-list"),
-    "aip": Rules("^div .*publicationContentCitation", "abstractSection|hlFld-Abstract", "sectionInfo|hlFld-Fulltext", "|", "refs-header|references"),
-    "elsevier": Rules("^a .*doi", "^div .*abstract author", "^div .*Body", "-", "bibliography|related-content"),
-    "aaas": Rules("^div .*self-citation", "^(div|section) .*abstract", "^(div|section) .*bodymatter", "|", "bibliography"),
+    "nature": Rules("^span .*bibliographic-information__value", "^section .*(abs|Abs)", "^div .*main-content", "|", "recommendations", "^div .*c-article-table|^table ", "caption|table__title", "footer"),
+    "springer": Rules("^span .*bibliographic-information__value", "^section .*(abs|Abs)", "^div .*main-content", "|", "recommendations", "^div .*\\bTable\\b|^div .*c-article-table|^table ", "Caption|caption|table__title", "TableFooter|footer", "^figure |^div .*\\bFigure\\b", "Caption|caption"),
+    "wiley": Rules("^a .*epub-doi", "article-section__abstract", "article-section__full", "-", "article-references|citedBy", "^div .*article-table-content|^table ", "^header |caption", "^div .*footnotes|^tfoot "),
+    "rsc": Rules("^div .*article_info", "^div .*abstract", "^div .*(article|wrapper)-?(body|content)|pnlArticleContent", "-", "ref-list|article_info", "^div .*(rtable__wrapper|table_wrapper)|^table ", "table_caption|^caption ", "^tfoot ", "^div .*image_table|^figure ", "image_title|caption"),
+    "acs": Rules("^div .*article_header-doiurl", "articleBody_abstractText", "article_content", "|", "refs-header|ref-list", "^div .*NLM_table-wrap|^table ", "[cC]aption", "table-wrap-foot"),
+    "aip": Rules("^div .*publicationContentCitation", "abstractSection|hlFld-Abstract", "sectionInfo|hlFld-Fulltext", "|", "refs-header|references", "^div .*table-wrap|^table ", "caption|title", "foot"),
+    "elsevier": Rules("^a .*doi", "^div .*abstract author", "^div .*Body", "-", "bibliography|related-content", "^div .*tables|^table ", "captions", "legend|^dl .*footnotes|footnotes", "^figure ", "captions"),
+    "aaas": Rules("^div .*self-citation", "^(div|section) .*abstract", "^(div|section) .*bodymatter", "|", "bibliography", "^(div|figure) .*table|^table ", "caption", "notes|foot"),
 }
 _VOID = frozenset("br img meta link hr input col".split())
 _REFERENCE = re.compile(r"^\s*\[?\d+[a-z]?(\s*[,–-]\s*\d+[a-z]?)*\]?\s*$")
@@ -125,10 +129,21 @@ class _Tree(HTMLParser):
                 return
 
 
-def _table(e: Element) -> str:
+def _table(e: Element, rules: Rules | None = None) -> str:
+    """A table, or what holds one, as caption, comma-separated rows and footnotes, a line each."""
+    inner = e if e.tag == "table" else next((x for x in e.walk() if x.tag == "table"), None)
+    caption = notes = ""
+    if rules and inner is not e:
+        outside = [x for x in e.walk() if x is not inner and (inner is None or all(x is not y for y in inner.walk()))]
+        caption = next((x.text() for x in outside if re.search(rules.caption, x.key) and x.text()), "")
+        notes = next((x.text() for x in outside if re.search(rules.notes, x.key) and x.text()), "")
     t = Table()
+    feet: list[str] = []
 
     def go(x: Element):
+        if x.tag == "tfoot":
+            feet.append(x.text())
+            return
         t.open(x.tag, getattr(x, "attrs", {}))
         for k in x.kids:
             if isinstance(k, str):
@@ -137,11 +152,12 @@ def _table(e: Element) -> str:
                 go(k)
         t.close(x.tag)
 
-    go(e)
-    return t.csv()
+    if inner is not None:
+        go(inner)
+    return "\n".join(part for part in (caption, t.csv(), notes, *feet) if part)
 
 
-def _elements(e: Element, clutter: str, out: list, figures: bool) -> None:
+def _elements(e: Element, rules: Rules, clutter: str, out: list, figures: bool) -> None:
     for k in e.kids:
         if isinstance(k, str) or re.search(clutter, k.key):
             continue
@@ -149,13 +165,14 @@ def _elements(e: Element, clutter: str, out: list, figures: bool) -> None:
             out.append(("SECTION_TITLE", k.tag, k.text()))
         elif k.tag == "p":
             out.append(("PARAGRAPH", None, k.text()))
-        elif k.tag == "table":
-            out.append(("TABLE", None, _table(k)))
-        elif k.tag == "figure":
+        elif re.search(rules.table, k.key) and (k.tag == "table" or any(x.tag == "table" for x in k.walk())):
+            out.append(("TABLE", None, _table(k, rules)))
+        elif re.search(rules.figure, k.key):
             if figures:
-                out.append(("PARAGRAPH", None, k.text()))
+                text = next((x.text() for x in k.walk() if re.search(rules.figure_text, x.key) and x.text()), k.text())
+                out.append(("FIGURE", None, text))
         else:
-            _elements(k, clutter, out, figures)
+            _elements(k, rules, clutter, out, figures)
 
 
 def read_html(page: str, publisher: str, figures: bool = False) -> dict:
@@ -172,7 +189,7 @@ def read_html(page: str, publisher: str, figures: bool = False) -> dict:
             clutter = f"(?:{rules.clutter})|^{re.escape(abstract_key)}$"
         else:
             clutter = rules.clutter
-        _elements(body, clutter, found, figures)
+        _elements(body, rules, clutter, found, figures)
     text = doi.text().lower() if doi is not None else ""
     return {
         "doi": text.split("https://doi.org/")[-1].strip() or None, "title": title.split(rules.cut)[0].strip() if rules.cut else title,
@@ -181,63 +198,158 @@ def read_html(page: str, publisher: str, figures: bool = False) -> dict:
     }
 
 
-def read_xml(text: str) -> dict:
-    """Elsevier or ACS XML: labels, titles, paragraphs and tables in document order, depth first."""
+def _local(e) -> str:
+    return e.tag.rsplit("}", 1)[-1]
+
+
+def _words(e) -> str:
+    return " ".join("".join(e.itertext()).split())
+
+
+def _column(name: str) -> int:
+    return int(name.removeprefix("col"))
+
+
+def _xml_table(e) -> str:
+    """An XML table as caption, comma-separated rows (spans by column names and further rows) and footnotes."""
+    t, notes, label, caption = Table(), [], "", ""
+    for k in e:
+        name = _local(k)
+        if name == "label":
+            label = _words(k)
+        elif name == "caption":
+            caption = _words(k)
+        elif name in ("table-footnote", "legend"):
+            notes.append(_words(k))
+        elif name == "table-wrap-foot":
+            notes += [_words(x) for x in k if _local(x) == "fn"] or [_words(k)]
+    for row in (x for x in e.iter() if _local(x) in ("row", "tr")):
+        t.open("tr", {})
+        for cell in (x for x in row if _local(x) in ("entry", "td", "th")):
+            own = cell.attrib
+            wide = _column(own["nameend"]) - _column(own["namest"]) + 1 if "namest" in own and "nameend" in own else int(own.get("colspan", 1))
+            t.open("td", {"colspan": str(wide), "rowspan": str(int(own["morerows"]) + 1 if "morerows" in own else own.get("rowspan", 1))})
+            t.data(_words(cell))
+            t.close("td")
+    return "\n".join(x for x in (". ".join(x for x in (label, caption) if x), t.csv(), *notes) if x)
+
+
+def _xml_figure(e) -> str:
+    return ". ".join(x for x in (_words(k) for k in e if _local(k) in ("label", "caption")) if x)
+
+
+def read_xml(text: str, figures: bool = False) -> dict:
+    """Elsevier or ACS XML: labels, titles, paragraphs, tables and, if asked for, figures in document order, depth first."""
     root = ET.fromstring(text)
-    local = lambda e: e.tag.rsplit("}", 1)[-1]
     publisher = "elsevier" if "elsevier" in root.tag else None
     if publisher is None:
-        name = next((" ".join("".join(e.itertext()).split()) for e in root.iter() if local(e) == "publisher-name"), None)
+        name = next((_words(e) for e in root.iter() if _local(e) == "publisher-name"), None)
         publisher = "acs" if name == "American Chemical Society" else None
     if publisher is None:
         raise ValueError("publisher not found")
-    doi = next(("".join(e.itertext()).strip().lower() for e in root.iter() if local(e) in ("doi", "article-id")), None)
-    kinds = {"label": "SECTION_ID", "section-title": "SECTION_TITLE", "title": "SECTION_TITLE", "para": "PARAGRAPH", "p": "PARAGRAPH"}
+    doi = next(("".join(e.itertext()).strip().lower() for e in root.iter() if _local(e) in ("doi", "article-id")), None)
+    kinds = {"label": "SECTION_ID", "section-title": "SECTION_TITLE", "title": "SECTION_TITLE", "para": "PARAGRAPH", "simple-para": "PARAGRAPH", "p": "PARAGRAPH"}
     found: list = []
 
     def size(title: str):
         return "h2" if re.match(r"^\d(?!\.)", title) else "h3" if re.match(r"^\d\.\d", title) else None
 
+    def plain(e) -> str:
+        """Text of a paragraph without the floats inside it."""
+        parts = [e.text or ""]
+        for k in e:
+            parts.append("" if _local(k) in ("table-wrap", "table", "fig", "figure") else plain(k))
+            parts.append(k.tail or "")
+        return "".join(parts)
+
+    def floats(e):
+        for k in e:
+            name = _local(k)
+            if name in ("table-wrap", "table"):
+                found.append(("TABLE", None, _xml_table(k)))
+            elif name in ("fig", "figure"):
+                if figures:
+                    found.append(("FIGURE", None, _xml_figure(k)))
+            else:
+                floats(k)
+
     def go(e):
         for k in e:
-            name = local(k)
+            name = _local(k)
             if name in kinds:
-                tables = [t for t in k.iter() if local(t) in ("table-wrap", "table")]
-                body = " ".join("".join(k.itertext()).split())
-                for t in tables[:1]:
-                    body = body.replace(" ".join("".join(t.itertext()).split()), "").strip()
+                body = " ".join(plain(k).split())
                 found.append((kinds[name], size(body) if kinds[name] == "SECTION_TITLE" else None, body))
-                found.extend(("TABLE", None, "\n".join(",".join(" ".join("".join(c.itertext()).split()) for c in row) for row in t.iter() if local(row) in ("tr", "row"))) for t in tables[:1])
+                floats(k)
+            elif name in ("table-wrap", "table", "fig", "figure"):
+                floats([k])
             elif name in ("sections", "section", "sec", "body", "article", "front", "back") or "section" in name:
                 go(k)
 
     for top in root.iter():
-        if local(top) in ("sections", "body"):
+        if _local(top) in ("sections", "body"):
             go(top)
             break
-    title = next((" ".join("".join(e.itertext()).split()) for e in root.iter() if local(e) in ("article-title", "title")), "")
-    abstract = next((" ".join("".join(e.itertext()).split()) for e in root.iter() if local(e) == "abstract"), None)
+    title = next((_words(e) for e in root.iter() if _local(e) in ("article-title", "title")), "")
+    abstract = next((_words(e) for e in root.iter() if _local(e) == "abstract"), None)
     return {"publisher": publisher, "doi": doi, "title": title, "abstract": abstract, "elements": [f for f in found if f[2]]}
 
 
-def _parse(batches):
-    for pdf in batches:
-        rows = []
-        for source, publisher, content in zip(pdf["source"], pdf["publisher"], pdf["content"], strict=True):
-            try:
-                if (content or "").lstrip().startswith("<?xml"):
-                    got = read_xml(content)
-                elif publisher in RULES:
-                    got = read_html(content or "", publisher) | {"publisher": publisher}
-                else:
-                    raise ValueError("publisher not found")
-                head = (source, got["publisher"], got["doi"], got["title"], got["abstract"])
-                rows += [(*head, i, *e, None) for i, e in enumerate(got["elements"])] or [(*head, None, None, None, None, None)]
-            except Exception as e:  # errors are data
-                rows.append((source, publisher, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in ELEMENTS.split(", ")])
-
-
-def parse_publisher_files(raw: DataFrame) -> DataFrame:
-    """Element rows of raw(source, content); a file that fails gives one row with its error."""
-    return raw.select("source", detect(F.col("content")).alias("publisher"), "content").mapInPandas(_parse, ELEMENTS)
+def _parser(figures: bool):
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for source, publisher, content in zip(pdf["source"], pdf["publisher"], pdf["content"], strict=True):
+                try:
+                    if (content or "").lstrip().startswith("<?xml"):
+                        got = read_xml(content, figures)
+                    elif publisher in RULES:
+                        got = read_html(content or "", publisher, figures) | {"publisher": publisher}
+                    else:
+                        raise ValueError("publisher not found")
+                    head = (source, got["publisher"], got["doi"], got["title"], got["abstract"])
+                    rows += [(*head, i, *e, None) for i, e in enumerate(got["elements"])] or [(*head, None, None, None, None, None)]
+                except Exception as e:  # errors are data
+                    rows.append((source, publisher, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in ELEMENTS.split(", ")])
+
+    return run
+
+
+def parse_publisher_files(raw: DataFrame, figures: bool = False) -> DataFrame:
+    """Element rows of raw(source, content), with the captions of figures if asked for; a file that fails gives one row with its error."""
+    return raw.select("source", detect(F.col("content")).alias("publisher"), "content").mapInPandas(_parser(figures), ELEMENTS)
+
+
+def articles(elements: DataFrame) -> DataFrame:
+    """A row for each article (source, publisher, doi, title, abstract, elements) from element rows; its empty paragraphs are gone."""
+    item = F.struct("pos", "type", "title_size", "text")
+    rows = elements.where("error IS NULL AND (text IS NULL OR trim(text) <> '')")
+    return rows.groupBy("source", "publisher", "doi", "title", "abstract").agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), item))).alias("elements"))
+
+
+def sections_by_id(article: Column) -> Column:
+    """map of section number to title, from the elements of an article."""
+    titles = F.filter(article["elements"], lambda e: (e["type"] == "SECTION_TITLE") & e["text"].rlike(r"^\d"))
+    return F.map_from_entries(F.transform(titles, lambda e: F.struct(F.regexp_extract(e["text"], r"^([\d.]*\d)", 1), F.trim(F.regexp_replace(e["text"], r"^[\d.]+", "")))))
+
+
+def abstract_text(parts: Column, sentences: bool = False) -> Column:
+    """An abstract given in parts: joined by line feeds or, as sentences, by blanks with full stops where they lack one."""
+    if not sentences:
+        return F.array_join(parts, "\n")
+    return F.array_join(F.transform(parts, lambda p: F.when(F.rtrim(p).rlike(r"[.!?]$"), F.rtrim(p)).otherwise(F.concat(F.rtrim(p), F.lit(".")))), " ")
+
+
+def table_cell(table: Column, row: int, column: int) -> Column:
+    """A cell of a table in text form, counted from 0; null beside the table."""
+    return F.get(F.split(F.get(F.split(table, "\n"), row), ","), column)
+
+
+def table_shape(table: Column) -> Column:
+    """struct(rows, columns) of a table in text form without caption."""
+    lines = F.split(table, "\n")
+    return F.struct(F.size(lines).alias("rows"), F.array_max(F.transform(lines, lambda x: F.size(F.split(x, ",")))).alias("columns"))
+
+
+def figure_text(label: Column, caption: Column) -> Column:
+    return F.concat_ws(". ", label, caption)
