@@ -17,10 +17,13 @@ _own_dir: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a session on one machine uses a temporary folder, any
+    other the warehouse, which all its machines share."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.folioflow"
     if not _own_dir:
         path = tempfile.mkdtemp(prefix="folioflow-")
         atexit.register(shutil.rmtree, path, True)

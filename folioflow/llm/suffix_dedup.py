@@ -5,21 +5,26 @@ hash (the leftmost at a tie) is its anchor; equal windows have equal anchors at
 anchor occurrence are consecutive and form a fragment. Then:
 
 1. Anchor grams that occur once are dropped; a bitmap of bounded size, not the list, tells the scan which may repeat.
-2. Equal fragments form a class; all but its first member repeat in full and are covered. Copies end here, whatever
-   their number.
-3. The first members of classes that share an anchor meet in a shard (all fragments of some anchors). There a suffix
-   array is built by Larsson-Sadakane refinement, neighbours' common prefixes come from Kasai's algorithm run over all
-   fragments in step, and among windows with 100 bytes in common all but the first are covered. An anchor with more
-   fragments than a shard holds is worked off shard by shard in order of position, each looking its windows up in the
-   suffix arrays before it by binary search.
-
-Every step is exact: a full bitmap only lets more rows through.
+   A full bitmap only lets more rows through.
+2. Fragments with equal bytes (equal 128-bit BLAKE2 digests) form a class; all but its first member repeat in full and are
+   covered. Copies end here, whatever their number.
+3. The first members of classes that share an anchor with another class are cut in two: the windows that hold the anchor in
+   their first 39 places share 62 bytes from the anchor on, the others 63 bytes up to its end. These bytes are a part's
+   key; only parts that share a key can hold an equal window. Keys that occur once are dropped.
+4. The parts of a key meet in a shard. There a suffix array is built by Larsson-Sadakane refinement, neighbours' common
+   prefixes come from Kasai's algorithm run over all parts in step, and among windows with 100 bytes in common all but
+   the first are covered. A key whose parts fill several shards is worked off in order of position, each shard looking
+   its windows up in the suffix arrays before it by binary search.
+5. A key with more than HOT parts is no shard's business: its windows are compared one by one, by their digests, in an
+   aggregation that combines map-side, so one phrase in a third of all documents is spread over the cluster.
+
+Classes and windows of hot keys are compared by 128-bit cryptographic digests, windows in shards byte by byte.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +39,14 @@ SHARD = 1 << 20
 _REACH = LENGTH - GRAM + 1
 _U = np.uint64
 _PLACE = _U((1 << 24) - 1)
-_MOST_BITS = 28
+_MOST_BITS = 27
+#: Parts of one key that shards take, some four of them; and how many places an anchor has in windows of the first kind.
+HOT, _HALF = 1 << 15, 39
 _STEP = Decimal(10**15)
 
 
 def fragments(raw: np.ndarray, offs: np.ndarray):
-    """Yield (text, fp, frag, start, stop) arrays: anchors of a run of texts, the hash of their bytes, and where their windows' bytes lie in the text."""
+    """Yield (text, fp, start, stop, at) arrays: anchors of a run of texts, where their windows' bytes lie in the text and where the anchor begins."""
     for a, b in blocks_of(offs, 1 << 20):
         own = offs[a : b + 1] - offs[a]
         if own[-1] <= 8 << 20:
@@ -76,11 +83,9 @@ def _anchors(raw: np.ndarray, offs: np.ndarray, first: int, base: int):
     s = np.flatnonzero(new)
     e = np.append(s[1:], len(at)) - 1
     i1, stop, j = at[s], at[e] + LENGTH, anchor[s]
-    body = (total[stop] - total[i1]) * back[i1]
-    frag = mix64(body + mix64(((j - i1) * 4096 + (stop - i1)).astype(np.uint64)))
     d = doc[i1]
     # An anchor's hash is the least of its window; mixed anew it is spread evenly again.
-    yield d + first, mix64(grams[j]), frag, i1 - offs[d] + base, stop - offs[d] + base
+    yield d + first, mix64(grams[j]), i1 - offs[d] + base, stop - offs[d] + base, j - offs[d] + base
 
 
 def _all(batch):
@@ -95,6 +100,11 @@ def _counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n)], ["fp", "n"])
 
 
+def _digests(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int = 16) -> list[bytes]:
+    view = memoryview(np.ascontiguousarray(raw))
+    return [blake2b(view[a:b], digest_size=size).digest() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+
+
 class Bitmap:
     """Which hashes may be in a set: a power of two of bits, at most 2**28, whatever the set's size."""
 
@@ -112,41 +122,59 @@ class Bitmap:
         return (self.words[(slot >> _U(6)).astype(np.int64)].view(np.uint64) >> (slot & _U(63))) & _U(1) == 1
 
 
-def _place(doc_id: np.ndarray, start: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    return mix64(mix64(doc_id.view(np.uint64) + fp.view(np.uint64)) + start.astype(np.uint64))
-
-
 def _suspects(shared):
+    """Fragments whose anchor may repeat: fp, digest of the bytes, where they are, and how far in the anchor begins."""
+
     def run(batches):
         for batch in batches:
-            _, _, (doc, fp, frag, start, stop) = _all(batch)
-            keep = shared.value.maybe(fp.astype(np.uint64)) if len(fp) else np.zeros(0, bool)
-            ids = np.asarray(batch.column(0))[doc[keep]]
-            fp, start = fp[keep].astype(np.uint64), start[keep]
-            cols = [fp.view(np.int64), frag[keep].astype(np.uint64).view(np.int64), ids, start.astype(np.int32), (stop[keep] - start).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["fp", "frag", "doc_id", "start", "len"])
+            raw, offs, (doc, fp, start, stop, at) = _all(batch)
+            keep = np.flatnonzero(shared.value.maybe(fp.astype(np.uint64))) if len(fp) else np.zeros(0, np.int64)
+            doc, start, stop = doc[keep].astype(np.int64), start[keep], stop[keep]
+            digests = _digests(raw, offs[doc] + start, offs[doc] + stop)
+            cols = [
+                pa.array(fp[keep].astype(np.uint64).view(np.int64), pa.int64()), pa.array(digests, pa.binary()), pa.array(np.asarray(batch.column(0))[doc] if len(doc) else np.zeros(0, np.int64), pa.int64()), pa.array(start.astype(np.int32)),
+                pa.array((stop - start).astype(np.int32)), pa.array((at[keep] - start).astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(cols, ["fp", "digest", "doc_id", "start", "len", "anchor"])
 
     return run
 
 
-def _places(batches):
+def _parts(batches):
+    """(key, doc_id, start, body) of the parts of a text's fragments, given as a list of (start, len, anchor)."""
     for batch in batches:
-        fp, doc, start = (np.asarray(c) for c in batch.columns)
-        yield pa.RecordBatch.from_arrays([pa.array(_place(doc, start, fp).view(np.int64))], ["place"])
-
-
-def _bytes(shared):
-    def run(batches):
-        for batch in batches:
-            raw, offs, (doc, fp, _, start, stop) = _all(batch)
-            doc = doc.astype(np.int64)
-            ids = np.asarray(batch.column(0))[doc] if len(doc) else np.zeros(0, np.int64)
-            fp = fp.astype(np.uint64)
-            keep = np.flatnonzero(shared.value.maybe(_place(ids, start, fp))) if len(fp) else np.zeros(0, np.int64)
-            body = [raw[offs[doc[k]] + start[k] : offs[doc[k]] + stop[k]].tobytes() for k in keep]
-            yield pa.RecordBatch.from_arrays([pa.array(fp[keep].view(np.int64), pa.int64()), pa.array(ids[keep], pa.int64()), pa.array(start[keep].astype(np.int32)), pa.array(body, pa.binary())], ["fp", "doc_id", "start", "body"])
-
-    return run
+        raw, offs = text_view(batch.column(1))
+        ids, lists = np.asarray(batch.column(0)), batch.column(2)
+        inner = lists.flatten()
+        doc = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+        start, size, anchor = (np.asarray(inner.field(k)).astype(np.int64) for k in range(3))
+        stop, anchor, base = start + size, start + anchor, offs[doc]
+        first, last = start, stop - LENGTH  # first and last windows
+        sides = (
+            (np.maximum(first, anchor - _HALF + 1), np.minimum(last, anchor), anchor, anchor + LENGTH - _HALF + 1, b"R"),
+            (first, np.minimum(last, anchor - _HALF), anchor - _HALF, anchor + GRAM, b"L"),
+        )
+        out = []
+        for low, high, a, b, side in sides:
+            own = np.flatnonzero(low <= high)
+            view = memoryview(np.ascontiguousarray(raw))
+            keys = [blake2b(view[x:y], digest_size=8, key=side).digest() for x, y in zip((base + a)[own].tolist(), (base + b)[own].tolist(), strict=True)]
+            bodies = [bytes(view[x:y]) for x, y in zip((base + low)[own].tolist(), ((base + high)[own] + LENGTH).tolist(), strict=True)]
+            out.append((np.frombuffer(b"".join(keys), np.int64), ids[doc[own]], low[own].astype(np.int32), bodies))
+        cols = [pa.array(np.concatenate([o[k] for o in out])) for k in range(3)]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(out[0][3] + out[1][3], pa.binary())], ["key", "doc_id", "start", "body"])
+
+
+def _windows(batches):
+    """(window digest, doc_id, start) of every window of the bodies."""
+    for batch in batches:
+        raw, offs = text_view(batch.column(2))
+        sizes = np.diff(offs) - LENGTH + 1
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        own = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = offs[row] + own
+        doc, start = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        yield pa.RecordBatch.from_arrays([pa.array(_digests(raw, at, at + LENGTH), pa.binary()), pa.array(doc[row], pa.int64()), pa.array((start[row] + own).astype(np.int32))], ["digest", "doc_id", "start"])
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -329,39 +357,66 @@ def _kept(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs)), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_runs(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """(doc_id, start, len) of covered bytes of docs(doc_id, text); runs may overlap."""
+def _first(place) -> tuple:
+    """The smallest (doc_id, start) of a group as one decimal, which hash aggregation can hold, and both back again."""
+    head = F.min(place)
+    doc = lambda c: F.floor(c / F.lit(_STEP)).cast("long")
+    return head, doc, lambda c: (c - doc(c).cast(T.DecimalType(20, 0)) * F.lit(_STEP)).cast("int")
+
+
+def repeated_runs(docs: DataFrame, ws: Workspace, hot: int = HOT) -> DataFrame:
+    """(doc_id, start, len) of covered bytes of docs(doc_id, text), whose ids are distinct; runs may overlap."""
     spark = docs.sparkSession
     counts = docs.mapInArrow(_counts, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp")
     again = spark.sparkContext.broadcast(Bitmap(ws.table(counts, "repeated"), "fp"))
-    found = ws.table(docs.mapInArrow(_suspects(again), "fp long, frag long, doc_id long, start int, len int"), "suspects")
+    found = ws.table(docs.mapInArrow(_suspects(again), "fp long, digest binary, doc_id long, start int, len int, anchor int"), "suspects")
+    again.destroy()
+    ws.drop("repeated")
     where = F.col("doc_id").cast(T.DecimalType(20, 0)) * F.lit(_STEP) + F.col("start").cast(T.DecimalType(15, 0))
-    classes = found.groupBy("fp", "frag").agg(F.min(where).alias("head"))
-    head_doc = F.floor(F.col("head") / F.lit(_STEP)).cast("long")
-    head_start = (F.col("head") - head_doc.cast(T.DecimalType(20, 0)) * F.lit(_STEP)).cast("int")
-    classes = ws.table(classes.select("fp", "frag", head_doc.alias("head_doc"), head_start.alias("head_start")), "classes")
-    repeats = found.join(classes, ["fp", "frag"]).where((F.col("doc_id") != F.col("head_doc")) | (F.col("start") != F.col("head_start"))).select("doc_id", "start", "len")
+    head, doc_of, start_of = _first(where)
+    classes = found.groupBy("fp", "digest").agg(head.alias("head"), F.min("len").alias("len"), F.min("anchor").alias("anchor"))  # equal bytes: the same length and anchor
+    classes = ws.table(classes.select("fp", "digest", doc_of(F.col("head")).alias("head_doc"), start_of(F.col("head")).alias("head_start"), "len", "anchor"), "classes")
+    repeats = found.join(classes.select("fp", "digest", "head_doc", "head_start"), ["fp", "digest"]).where((F.col("doc_id") != F.col("head_doc")) | (F.col("start") != F.col("head_start"))).select("doc_id", "start", "len")
     repeats = ws.table(repeats, "repeats")
     ws.drop("suspects")
-    several = ws.table(classes.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "several")
-    heads = classes.join(several, "fp", "left_semi").select("fp", "head_doc", "head_start").mapInArrow(_places, "place long")
-    heads = spark.sparkContext.broadcast(Bitmap(ws.table(heads, "heads"), "place"))
-    bodies = docs.mapInArrow(_bytes(heads), "fp long, doc_id long, start int, body binary").join(several, "fp", "left_semi")
-    shards = bodies.repartition("fp").sortWithinPartitions("fp", "doc_id", "start").mapInArrow(_shards, "doc_id long, start int, len int")
+    several = classes.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
+    heads = classes.join(several, "fp", "left_semi").groupBy(F.col("head_doc").alias("_head")).agg(F.collect_list(F.struct(F.col("head_start").alias("start"), "len", "anchor")).alias("fragments"))  # of one text
+    parts = docs.join(heads, F.col("doc_id") == F.col("_head")).select("doc_id", "text", "fragments").mapInArrow(_parts, "key long, doc_id long, start int, body binary")
+    parts = ws.table(parts, "parts")
+    ws.drop("classes")
+    sizes = ws.table(parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+    shared = parts.join(sizes.where(F.col("n") <= hot).select("key"), "key", "left_semi")
+    shards = shared.repartition("key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_shards, "doc_id long, start int, len int")
     shards = ws.table(shards, "shards")
-    ws.drop("classes", "several", "heads", "repeated")
-    return repeats.union(shards)
+    out = repeats.union(shards)
+    crowded = sizes.where(F.col("n") > hot).select("key")
+    if not crowded.isEmpty():
+        windows = ws.table(parts.join(F.broadcast(crowded), "key", "left_semi").select("doc_id", "start", "body").mapInArrow(_windows, "digest binary, doc_id long, start int"), "windows")  # at most one key for every `hot` parts
+        head, doc_of, start_of = _first(where)
+        firsts = windows.groupBy("digest").agg(head.alias("head"), F.count(F.lit(1)).alias("c")).where("c > 1").select("digest", doc_of(F.col("head")).alias("head_doc"), start_of(F.col("head")).alias("head_start"))
+        later = windows.join(firsts, "digest").where((F.col("doc_id") != F.col("head_doc")) | (F.col("start") != F.col("head_start"))).select("doc_id", "start", F.lit(LENGTH).alias("len"))
+        out = out.union(ws.table(later, "crowded"))
+        ws.drop("windows")
+    ws.drop("parts", "sizes")
+    return out
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A null text is empty; texts under 100 bytes lose nothing; of equal texts of 100 bytes or more all but the one with
-    the smallest doc_id are removed in full. Extra columns are ignored; an empty table gives an empty result.
+    the smallest doc_id are removed in full. Rows with equal doc_ids are documents of their own, in the order of their
+    texts; rows without a doc_id come first. Texts of any length are read whole. Extra columns are ignored; an empty
+    table gives an empty result.
     """
     ws = Workspace(docs.sparkSession, "suffix-dedup")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    runs = repeated_runs(rows, ws).groupBy("doc_id").agg(F.collect_list(F.struct("start", "len")).alias("r"))
+    rows = docs.select(F.col(id_col).cast("long").alias("own"), F.col(text_col).alias("text"))
+    if rows.groupBy("own").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR own IS NULL").isEmpty():
+        rows = rows.withColumn("doc_id", F.col("own"))
+    else:  # places in the whole order stand for ids
+        ranged = rows.repartitionByRange("own", F.substring("text", 1, 16)).sortWithinPartitions("own", "text")
+        rows = ws.table(ranged.withColumn("doc_id", F.monotonically_increasing_id()), "rows")
+    runs = repeated_runs(rows.select("doc_id", "text"), ws).groupBy("doc_id").agg(F.collect_list(F.struct("start", "len")).alias("r"))
     runs = runs.select(F.col("doc_id").alias("_id"), "r.start", "r.len")
-    joined = rows.join(runs, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "start", "len")
+    joined = rows.join(runs, F.col("doc_id") == F.col("_id"), "left").select("own", "text", "start", "len")
     return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
