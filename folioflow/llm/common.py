@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -140,5 +141,29 @@ def word_hashes(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return mix64(h + (e - s).astype(np.uint64) * _U(0x9E3779B97F4A7C15)), np.searchsorted(s, offs)
 
 
+def word_digests(texts: pa.Array, most: int = 16 << 20):
+    """Yield (row numbers a to b, hashes of their words, the b - a + 1 word offsets): words are runs without ASCII white space, A-Z
+    lower-cased, each distinct one hashed once (64 bits of BLAKE2). Null is empty; rows are taken `most` bytes at a time."""
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    offs = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    for a, b in blocks_of(offs, most):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(a, b - a)))
+        words = lists.flatten()
+        at = lists.offsets.to_numpy().astype(np.int64)
+        coded = words.dictionary_encode()
+        known = coded.dictionary.to_numpy(zero_copy_only=False)
+        hashes = np.frombuffer(b"".join([blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest() for w in known]), np.uint64)
+        index = coded.indices.to_numpy()
+        empty = np.array([w == "" for w in known], bool)
+        if empty.any():  # white space at an end
+            there = ~empty[index]
+            before = np.concatenate([[0], np.cumsum(there)])
+            yield a, b, hashes[index[there]], before[at - at[0]]
+        else:
+            yield a, b, hashes[index], at - at[0]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -9,7 +9,9 @@ Candidates: the 64 components are split into 12 chunks. If at most 23 differ, so
 the chunk in turn: 64 keys a document, and *every* pair under the distance threshold shares one. The keys are joined
 by equality; no bucket is capped.
 
-Links are confirmed on the full shingle sets. Copies with the same set are one class before any key is made. Within a
+Links are confirmed on the full shingle sets: every distinct word is hashed by BLAKE2, a shingle's 64 bits are a mixed sum of
+its words' with a multiplier for each place, so equal hashes of different shingles are a matter of chance, one in 2^64 a
+pair, not of the texts' structure. Copies with the same set are one class before any key is made. Within a
 bucket, only pairs across components not yet joined are confirmed: some rounds link members to one representative
 each, then what is still apart is compared pair by pair where the counts of shared shingles leave a link possible. No
 link that could join two components is missed, while a group of thousands of near copies costs a few comparisons per
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, blocks_of, mix64, text_view, word_hashes
+from .common import Workspace, mix64, text_view, word_digests
 from .graph import components
 
 _U = np.uint64
@@ -36,11 +38,9 @@ _PLACES = mix64(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | _U(1)
 _KEY_PLACES = mix64(np.arange(301, 301 + COMPONENTS, dtype=np.uint64)) | _U(1)
 
 
-def shingle_sets(raw: np.ndarray, offs: np.ndarray):
+def shingle_sets(texts: pa.Array):
     """For each text its distinct shingle hashes, sorted."""
-    for a, b in blocks_of(offs, 2 << 20):
-        own = offs[a : b + 1] - offs[a]
-        words, at = word_hashes(raw[offs[a] : offs[b]], own)
+    for a, b, words, at in word_digests(texts):
         n = max(0, len(words) - SHINGLE + 1)
         grams = np.zeros(n, np.uint64)
         for k in range(SHINGLE):
@@ -66,9 +66,8 @@ def signature(grams: np.ndarray) -> bytes:
 
 def _signatures(batches):
     for batch in batches:
-        raw, offs = text_view(batch.column(1))
         n, digest, sig = [], [], []
-        for grams in shingle_sets(raw, offs):
+        for grams in shingle_sets(batch.column(1)):
             n.append(len(grams))
             digest.append(blake2b(grams.tobytes(), digest_size=16).digest())
             sig.append(signature(grams) if len(grams) else None)
@@ -95,8 +94,7 @@ def _keys(batches):
 
 def _sets(batches):
     for batch in batches:
-        raw, offs = text_view(batch.column(1))
-        got = [x.view(np.int64) for x in shingle_sets(raw, offs)]
+        got = [x.view(np.int64) for x in shingle_sets(batch.column(1))]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
         values = pa.array(np.concatenate(got) if got else np.zeros(0, np.int64))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], ["rep", "grams"])
@@ -105,15 +103,18 @@ def _sets(batches):
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, rounds: int = 2) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
-    Null, empty and white-space texts have no shingles and link with nothing; equal texts link; extra columns of docs
-    are ignored and an empty table gives an empty result. percent is the least Jaccard similarity of a link.
+    Null, empty and white-space texts have no shingles and link with nothing; equal texts link; texts are read whole,
+    however long; extra columns of docs are ignored and an empty table gives an empty result. Rows that share a doc_id
+    are one document with several texts: each text links, all have its component. Rows without a doc_id link with
+    nothing and are kept, without a component. percent is the least Jaccard similarity of a link.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "near-dedup")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sigs = ws.table(rows.mapInArrow(_signatures, "doc_id long, n_shingles long, digest binary, sig binary"), "sigs")
-    full = sigs.where("n_shingles > 0")
-    reps = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    full = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    # Written, so that the join below reads plain rows on both sides and a text with many copies is split.
+    reps = ws.table(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "reps")
     members = full.select("doc_id", "digest").join(reps, "digest").select("doc_id", "rep")
     # A digest's smallest doc_id is its representative; its signature is read from its own row.
     heads = sigs.join(reps.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig")
@@ -162,7 +163,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
         found = ws.table(confirmed(pairs), f"links-{k}")
         links = found if links is None else links.union(found)
-        if k == rounds and found.isEmpty():
+        if k == rounds and labels is not None and found.isEmpty():
             break
         labels = components(links, ws, f"comp-{k}")
         if k < rounds:
@@ -175,5 +176,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = members.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("doc_id").alias("_id"), F.coalesce("comp", "rep").alias("comp"))
     comp = comp.groupBy("_id").agg(F.min("comp").alias("comp"))  # an id may be repeated
     return sigs.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("_id"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"), (F.coalesce("comp", "doc_id") == F.col("doc_id")).alias("kept")
+        "doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"), F.coalesce(F.coalesce("comp", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept")
     )

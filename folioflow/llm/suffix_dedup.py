@@ -379,11 +379,12 @@ def repeated_runs(docs: DataFrame, ws: Workspace, hot: int = HOT) -> DataFrame:
     repeats = found.join(classes.select("fp", "digest", "head_doc", "head_start"), ["fp", "digest"]).where((F.col("doc_id") != F.col("head_doc")) | (F.col("start") != F.col("head_start"))).select("doc_id", "start", "len")
     repeats = ws.table(repeats, "repeats")
     ws.drop("suspects")
-    several = classes.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
+    # Written, so that the join below reads plain rows on both sides and a hot anchor's rows are split.
+    several = ws.table(classes.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp"), "several")
     heads = classes.join(several, "fp", "left_semi").groupBy(F.col("head_doc").alias("_head")).agg(F.collect_list(F.struct(F.col("head_start").alias("start"), "len", "anchor")).alias("fragments"))  # of one text
     parts = docs.join(heads, F.col("doc_id") == F.col("_head")).select("doc_id", "text", "fragments").mapInArrow(_parts, "key long, doc_id long, start int, body binary")
     parts = ws.table(parts, "parts")
-    ws.drop("classes")
+    ws.drop("classes", "several")
     sizes = ws.table(parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     shared = parts.join(sizes.where(F.col("n") <= hot).select("key"), "key", "left_semi")
     shards = shared.repartition("key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_shards, "doc_id long, start int, len int")
