@@ -10,7 +10,7 @@ Generators are the outer ones: for a plain explode the optimiser would add a fil
 the whole chain of grams into it, where every doubling doubles the work.
 
 Grams are built by doubling (1, 2, 4, 8 words) and minima by doubling too, so the cost per word does not depend on
-the window. The benchmark side is broadcast only when its counted rows are under `broadcast_rows`.
+the window. The benchmark side is broadcast only when its rows and bytes, both measured, are under bounds.
 """
 
 from __future__ import annotations
@@ -77,15 +77,15 @@ def with_fingerprints(df: DataFrame) -> DataFrame:
     return df.withColumn("fps", F.array_distinct(F.slice("low", 1, F.greatest(F.size("words") - (WINDOW - 1), F.lit(0)))))
 
 
-def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", broadcast_rows: int = 1_000_000) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+def _tagged(hashes: Column, n: int) -> Column:
+    return F.transform(hashes, lambda x: F.struct(F.lit(n).alias("n"), x.alias("fp")))
 
-    Null and empty texts have no words and are clean, items without words match nothing, repeated items count by
-    their item_id, an empty benchmark leaves every document clean. Extra columns on either side are ignored.
-    """
+
+def _contamination(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, broadcast_rows: int, broadcast_bytes: int) -> DataFrame:
+    """contamination with the hash of the text: rows are told apart by id and text, so a repeated id does no harm."""
     spark = docs.sparkSession
     ws = Workspace(spark, "decontaminate")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
     items = bench.select(F.col(item_col).cast("long").alias("item_id"), words_of(F.col(item_text)).alias("words")).where(F.size("words") > 0)
     items = ws.table(items, "items")
     shorter = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("n")).distinct().collect() if r[0] < WINDOW)  # at most 12 lengths
@@ -100,47 +100,58 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     windows = ws.table(windows.distinct(), "windows")
     prints = with_fingerprints(with_grams(items.where(F.size("words") >= WINDOW), GRAM)).select(F.lit(WINDOW).alias("n"), F.explode_outer("fps").alias("fp"))
     prints = ws.table(prints.union(windows.where(F.col("n") < WINDOW).select("n", F.col("hash").alias("fp"))).distinct(), "prints")
-    few = windows.count() <= broadcast_rows
-    small = F.broadcast if few else lambda df: df
-
-    texts = rows.select("doc_id", words_of(F.col("text")).alias("words"))
-    marked = with_fingerprints(with_grams(texts, GRAM))
-    found = marked.select("doc_id", F.lit(WINDOW).alias("n"), F.explode_outer("fps").alias("fp"))
-    for n in shorter:
-        found = found.union(with_grams(texts, n).select("doc_id", F.lit(n).alias("n"), F.explode_outer(F.array_distinct(grams(n))).alias("fp")))
-    suspects = ws.table(found.join(small(prints), ["n", "fp"], "left_semi").select("doc_id").distinct(), "suspects")
-
-    again = rows.join(suspects, "doc_id", "left_semi").select("doc_id", words_of(F.col("text")).alias("words"))
-    again = ws.table(again, "again")
+    held, size = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("window") + 64), F.lit(0))).first()
+    small = F.broadcast if held <= broadcast_rows and size <= broadcast_bytes else lambda df: df
+
+    # One split of each text gives the grams of every length.
+    marked = with_fingerprints(with_grams(rows.select("doc_id", "h", words_of(F.col("text")).alias("words")), GRAM))
+    tagged = [_tagged(F.col("fps") if n == WINDOW else F.array_distinct(grams(n)), n) for n in lengths]
+    found = marked.select("doc_id", "h", F.explode_outer(F.concat(*tagged)).alias("p")).select("doc_id", "h", "p.n", "p.fp")
+    suspects = ws.table(found.join(small(prints), ["n", "fp"], "left_semi").select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct(), "suspects")
+
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
+    again = ws.table(rows.join(suspects, same, "left_semi").select("doc_id", "h", words_of(F.col("text")).alias("words")), "again")
     hashes = windows.select("n", "hash").distinct()
     spots = None
     for n in lengths:
-        own = with_grams(again, n).select("doc_id", "words", F.posexplode_outer(grams(n)).alias("at", "hash"))
+        own = with_grams(again, n).select("doc_id", "h", "words", F.posexplode_outer(grams(n)).alias("at", "hash"))
         own = own.join(small(hashes.where(F.col("n") == n).select("hash")), "hash", "left_semi")
-        own = own.select("doc_id", "at", F.lit(n).alias("n"), F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("window"))
+        own = own.select("doc_id", "h", "at", F.lit(n).alias("n"), F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("window"))
         spots = own if spots is None else spots.union(own)
     hits = spots.join(small(windows.select("n", "window", "item_id")), ["n", "window"])
     covered = lambda acc, x: F.struct(
         (acc["n"] + F.greatest(F.lit(0), x["at"] + x["n"] - F.greatest(acc["end"], x["at"]))).cast("long").alias("n"), F.greatest(acc["end"], x["at"] + x["n"]).alias("end")
     )
-    per_doc = hits.groupBy("doc_id").agg(F.collect_set(F.struct("at", "n")).alias("spots"), F.collect_set(F.col("item_id").cast("string")).alias("ids"))
+    per_doc = hits.groupBy("doc_id", "h").agg(F.collect_set(F.struct("at", "n")).alias("spots"), F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     per_doc = per_doc.select(
         F.col("doc_id").alias("_id"),
+        F.col("h").alias("_h"),
         F.aggregate(F.array_sort("spots"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")), covered)["n"].alias("hit"),
         F.size("ids").cast("long").alias("items"),
         F.sha2(F.array_join(F.array_sort("ids"), ","), 256).alias("sha"),
     )
-    counted = rows.select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
-    out = counted.join(per_doc, F.col("doc_id") == F.col("_id"), "left").select(
-        "doc_id", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256")
+    counted = rows.select("doc_id", "h", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
+    out = counted.join(per_doc, same, "left").select(
+        "doc_id", "h", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256")
     )
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", broadcast_rows: int = 1_000_000, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    Null and empty texts have no words and are clean, items without words match nothing, repeated items count by
+    their item_id, an empty benchmark leaves every document clean. Rows with the same id, or none, are judged by their
+    own texts; texts are read whole. Extra columns on either side are ignored. The benchmark's windows are broadcast
+    when they are counted and measured to be under both bounds, else joined by their keys.
+    """
+    return _contamination(docs, bench, id_col, text_col, item_col, item_text, broadcast_rows, broadcast_bytes).drop("h")
+
+
+def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", broadcast_rows: int = 1_000_000, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """The clean rows of docs, with all their columns."""
-    bad = contamination(docs, bench, id_col, **options).where("contaminated").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, docs[id_col].cast("long") == bad["_bad"], "left_anti")
+    bad = _contamination(docs, bench, id_col, text_col, item_col, item_text, broadcast_rows, broadcast_bytes).where("contaminated").select(F.col("doc_id").alias("_bad"), F.col("h").alias("_h"))
+    return docs.join(bad, docs[id_col].cast("long").eqNullSafe(bad["_bad"]) & (F.xxhash64(docs[text_col]) == bad["_h"]), "left_anti")
 
 
 ORACLE = r"""

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WHITE = r"[\x20\x09-\x0D]+"
-#: Above any doc_id; a candidate is n_chars * _SHIFT + (_TOP - doc_id): the longest original text, then the smallest doc_id.
+#: Above any doc_id; a candidate is n_chars * _SHIFT + (_TOP - doc_id), 0 for no id: the longest original text, then the smallest doc_id.
 _SHIFT = Decimal(10**20)
-_TOP = Decimal(2**63 - 1)
+_TOP = Decimal(2**63)
 
 
 def normalised(text: Column) -> Column:
@@ -34,7 +34,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Nulls and empty texts are all equal to each other; of equal texts the one with most code points in the original
-    stays, ties by the smallest id. Extra columns of docs are ignored, an empty table gives an empty result.
+    stays, ties by the smallest id. Rows without an id lose such ties; where one of them is the longest, keep_id is null and
+    all rows of the group without an id stay, as nothing tells them apart. Rows that share an id share their fate. Texts
+    are compared whole, however long. Extra columns of docs are ignored, an empty table gives an empty result.
     """
     big = T.DecimalType(38, 0)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -46,23 +48,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.xxhash64("norm").alias("second"),
         "norm",
         F.pmod(F.xxhash64("doc_id"), F.lit(salts)).alias("salt"),
-        (F.col("n").cast(T.DecimalType(10, 0)) * F.lit(_SHIFT) + (F.lit(_TOP) - F.col("doc_id").cast(T.DecimalType(19, 0)))).cast(big).alias("rank"),
+        (F.col("n").cast(T.DecimalType(10, 0)) * F.lit(_SHIFT) + F.coalesce(F.lit(_TOP) - F.col("doc_id").cast(T.DecimalType(19, 0)), F.lit(Decimal(0)))).cast(big).alias("rank"),
     )
     salted = keyed.groupBy("digest", "second", "salt", "norm").agg(F.max("rank").alias("rank"), F.count(F.lit(1)).alias("n"))
     winners = salted.groupBy("digest", "second", "norm").agg(F.max("rank").alias("rank"), F.sum("n").alias("group_size"))
-    winners = winners.select(
-        "digest", "second", (F.lit(_TOP) - (F.col("rank") % F.lit(_SHIFT))).cast("long").alias("keep_id"), "group_size"
-    )
+    left = F.col("rank") % F.lit(_SHIFT)
+    winners = winners.select("digest", "second", F.when(left > 0, (F.lit(_TOP) - left).cast("long")).alias("keep_id"), "group_size")
     members = rows.select("doc_id", F.unhex(F.sha2("norm", 256)).alias("digest"), F.xxhash64("norm").alias("second"))
     return members.join(winners, ["digest", "second"]).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col, salts).where("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, docs[id_col].cast("long") == kept["_keep"], "left_semi")
+    gone = exact_groups(docs, id_col, text_col, salts).where("NOT kept").select(F.col("doc_id").alias("_gone"), "text_sha256")
+    digest = F.lower(F.sha2(normalised(docs[text_col]), 256))
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone"]) & (digest == gone["text_sha256"]), "left_anti")
 
 
 ORACLE = r"""

@@ -4,6 +4,10 @@ Documents fall into cells (source, language, topic); a cell's mass is its tokens
 shares by source, by language and by topic all meet their targets, then every document of a cell gets the same
 calibrated probability, so that the expected sample has the raked shares and the wanted number of tokens.
 
+Topics are learned: distinct words fall into 256 buckets, a document is the vector of its buckets weighted by how few
+documents have them, and k-means over all documents makes the topics. A document is its 256 bytes there; each turn adds up
+whole numbers in the cluster, so topics do not depend on the partitions, and the driver gets topics x 256 numbers.
+
 Only the cell table is iterated on. Up to `driver_cells` cells (counted first) that is done in numpy on the driver;
 beyond it, in the cluster, one aggregation and one join for each marginal, the state written after each sweep.
 """
@@ -22,24 +26,104 @@ from pyspark.sql import functions as F
 from .common import Workspace, blocks_of, text_view, word_hashes
 
 DIMS = ("source", "lang", "topic")
-TOPICS = 8
+TOPICS, BUCKETS, TURNS, SEEDS = 8, 256, 6, 512
 SWEEPS, TOLERANCE = 200, 1e-10  # on both paths
 _NONE = "\x00none"
 _U = np.uint64
 
 
 def _features(batches):
-    """Words and topic: the topic is the vocabulary class (of TOPICS, by word hash) with most distinct words of the text, the smallest at a tie, -1 without words."""
+    """Words of each text, and its bag: the number of its distinct words in each bucket, at most 255, null without words."""
     for batch in batches:
-        raw, offs = text_view(batch.column(3))
-        n, topic = [], []
+        raw, offs = text_view(batch.column(4))
+        n, bags = [], []
         for a, b in blocks_of(offs, 2 << 20):
             words, at = word_hashes(raw[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
             for i in range(b - a):
                 own = words[at[i] : at[i + 1]]
                 n.append(len(own))
-                topic.append(int(np.argmax(np.bincount((np.unique(own) >> _U(40)).astype(np.int64) % TOPICS, minlength=TOPICS))) if len(own) else -1)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(topic, pa.int32()), pa.array(n, pa.int64())], ["doc_id", "source", "lang", "topic", "n_tokens"])
+                counts = np.bincount((np.unique(own) >> _U(56)).astype(np.int64), minlength=BUCKETS)
+                bags.append(np.minimum(counts, 255).astype(np.uint8).tobytes() if len(own) else None)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(n, pa.int64()), pa.array(bags, pa.binary())], ["doc_id", "h", "source", "lang", "n_tokens", "bag"])
+
+
+def _bags(column: pa.Array) -> np.ndarray:
+    raw, _ = text_view(column)
+    return raw.reshape(-1, BUCKETS)
+
+
+def _spread(batches):
+    """How many documents of a task have each bucket."""
+    have = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        have += (_bags(batch.column(0)) > 0).sum(0)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(have)], ["bucket", "n"])
+
+
+def _units(bags: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weighted vectors of length 1000, in whole numbers."""
+    v = np.log1p(bags) * idf
+    return np.rint(1000 * v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)).astype(np.int64)
+
+
+def _nearest(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The centre at the smallest angle, the first at a tie."""
+    lengths = np.maximum(np.linalg.norm(centres, axis=1), 1e-9)
+    return np.argmax(np.round(units @ centres.T / lengths, 6), axis=1)
+
+
+def _sums(idf: np.ndarray, centres: np.ndarray):
+    def run(batches):
+        total = np.zeros((len(centres), BUCKETS), np.int64)
+        for batch in batches:
+            units = _units(_bags(batch.column(0)), idf)
+            np.add.at(total, _nearest(units, centres), units)
+        topic, bucket = np.divmod(np.arange(total.size), BUCKETS)
+        yield pa.RecordBatch.from_arrays([pa.array(topic), pa.array(bucket), pa.array(total.ravel())], ["topic", "bucket", "s"])
+
+    return run
+
+
+def learn_topics(bags: DataFrame, topics: int = TOPICS, turns: int = TURNS, seeds: int = SEEDS) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket weights, centres) of k-means over all bags(h, bag): started from `topics` far-apart ones among the `seeds` bags
+    with the smallest text hashes, then `turns` turns over every document."""
+    some = bags.where("bag IS NOT NULL").select("h", "bag")
+    have = np.zeros(BUCKETS, np.int64)
+    for bucket, n in some.select("bag").mapInArrow(_spread, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).collect():
+        have[bucket] = n
+    idf = np.log((1 + have.max()) / (1 + have)) + 0.05
+    first = some.groupBy("h").agg(F.min("bag").alias("bag")).orderBy("h").limit(seeds).toArrow()  # `seeds` rows
+    if not first.num_rows:
+        return idf, np.zeros((1, BUCKETS), np.int64)
+    units = _units(_bags(first["bag"]), idf)
+    centres = [units[0]]
+    while len(centres) < topics:
+        centres.append(units[np.argmin(np.round((units @ np.array(centres).T).max(1)))])
+    centres = np.array(centres)
+    for _ in range(turns):
+        total = np.zeros((len(centres), BUCKETS), np.int64)
+        for topic, bucket, s in some.select("bag").mapInArrow(_sums(idf, centres), "topic long, bucket long, s long").groupBy("topic", "bucket").agg(F.sum("s")).collect():  # topics x 256 rows
+            total[topic, bucket] = s
+        new = np.where(total.any(1, keepdims=True), total, centres)
+        if (new == centres).all():
+            break
+        centres = new
+    return idf, centres
+
+
+def with_topics(bags: DataFrame, idf: np.ndarray, centres: np.ndarray) -> DataFrame:
+    """bags with topic in place of the bag, -1 without words."""
+
+    def run(batches):
+        for batch in batches:
+            bag = batch.column(5)
+            there = bag.is_valid().to_numpy(zero_copy_only=False)
+            topic = np.full(len(there), -1, np.int32)
+            if there.any():
+                topic[there] = _nearest(_units(_bags(bag.drop_null()), idf), centres)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(topic), batch.column(4)], ["doc_id", "h", "source", "lang", "topic", "n_tokens"])
+
+    return bags.mapInArrow(run, "doc_id long, h long, source string, lang string, topic int, n_tokens long")
 
 
 def rake(cells: pd.DataFrame, targets: dict[str, dict], sweeps: int = SWEEPS, tol: float = TOLERANCE) -> np.ndarray:
@@ -129,36 +213,67 @@ def _rake_in_cluster(cells: DataFrame, targets: dict[str, DataFrame], budget: fl
     return now.select(*DIMS, "tokens", "mass", p.alias("probability"))
 
 
-def mixture(docs: DataFrame, fraction: float = 0.5, power: float = 0.5, targets: dict[str, dict] | None = None, seed: int = 17, driver_cells: int = 100_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, source, lang, topic, n_tokens, weight, probability, sampled.
+def _checked(targets: dict[str, dict], cells: DataFrame) -> None:
+    """Targets must be shares: not negative, summing to 1, of values that there are."""
+    for d in DIMS:
+        shares = {(_NONE if k is None else k): float(v) for k, v in targets[d].items()}
+        if any(v < 0 for v in shares.values()) or abs(sum(shares.values()) - 1) > 1e-6:
+            raise ValueError(f"the target shares of {d} must not be negative and must sum to 1")
+        wanted = [k for k, v in shares.items() if v > 0]
+        there = {r[0] for r in cells.where(F.col(d).isin(wanted) & (F.col("tokens") > 0)).select(d).distinct().collect()}  # of the values named
+        if missing := sorted(str(k) for k in wanted if k not in there):
+            raise ValueError(f"no document has the target values of {d}: {', '.join(missing)}")
 
-    targets gives each value's share for each of source, lang and topic; without it, shares are the present ones to
-    `power`, made to sum to 1. The expected tokens of the sample are `fraction` of all. A null source or language is
-    a value of its own (None in targets); texts without words have no tokens, weight and probability 0. Sampling
-    hashes doc_id, so it is repeatable and rows with the same id fare alike. Extra columns are ignored.
-    """
+
+def _mixture(docs: DataFrame, fraction: float, power: float, targets: dict[str, dict] | None, seed: int, driver_cells: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     ws = Workspace(spark, "mixing")
     known = [F.coalesce(F.col(c), F.lit(_NONE)).alias(c) for c in ("source", "lang")]
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *known, F.col(text_col).alias("text"))
-    rows = ws.table(rows.mapInArrow(_features, "doc_id long, source string, lang string, topic int, n_tokens long"), "rows")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"), *known, F.col(text_col).alias("text"))
+    bags = ws.table(rows.mapInArrow(_features, "doc_id long, h long, source string, lang string, n_tokens long, bag binary"), "bags")
+    rows = ws.table(with_topics(bags, *learn_topics(bags)), "rows")
+    ws.drop("bags")
     cells = ws.table(rows.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    if targets is not None:
+        _checked(targets, cells)
     goals = _default_targets(cells, power) if targets is None else {
         d: spark.createDataFrame([(_NONE if k is None else k, float(v)) for k, v in targets[d].items()], f"{d} {'int' if d == 'topic' else 'string'}, goal double") for d in DIMS
     }
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     small = cells.count() <= driver_cells
-    if small:
-        local = cells.toPandas().sort_values(list(DIMS)).reset_index(drop=True)
-        shares = {d: {r[0]: r[1] for r in goals[d].collect()} for d in DIMS}
-        local["mass"] = rake(local, shares)
-        local["probability"] = fill(local["tokens"].to_numpy(float), local["mass"].to_numpy(float), fraction * total)
-        calibrated = F.broadcast(spark.createDataFrame(local, "source string, lang string, topic int, tokens long, mass double, probability double"))
-    else:
-        calibrated = ws.table(_rake_in_cluster(cells, {d: ws.table(g, f"goal-{d}") for d, g in goals.items()}, fraction * total, ws), "calibrated")
+    with warnings.catch_warnings(record=True) as said:
+        warnings.simplefilter("always", RuntimeWarning)
+        if small:
+            local = cells.toPandas().sort_values(list(DIMS)).reset_index(drop=True)
+            shares = {d: {r[0]: r[1] for r in goals[d].collect()} for d in DIMS}
+            local["mass"] = rake(local, shares)
+            local["probability"] = fill(local["tokens"].to_numpy(float), local["mass"].to_numpy(float), fraction * total)
+            calibrated = F.broadcast(spark.createDataFrame(local, "source string, lang string, topic int, tokens long, mass double, probability double"))
+        else:
+            calibrated = ws.table(_rake_in_cluster(cells, {d: ws.table(g, f"goal-{d}") for d, g in goals.items()}, fraction * total, ws), "calibrated")
+    open_ = [w for w in said if "raking stopped" in str(w.message)]
+    for w in said:
+        warnings.warn_explicit(w.message, w.category, w.filename, w.lineno)
     weight = F.when(F.col("tokens") > 0, F.col("mass") / F.col("tokens") * float(total)).otherwise(0.0)
     named = lambda c: F.when(F.col(c) != _NONE, F.col(c)).alias(c)
-    return rows.join(calibrated, list(DIMS)).select("doc_id", named("source"), named("lang"), "topic", "n_tokens", weight.alias("weight"), "probability", (uniform(F.col("doc_id"), seed) < F.col("probability")).alias("sampled"))
+    chance = uniform(F.coalesce("doc_id", "h"), seed)
+    return rows.join(calibrated, list(DIMS)).select("doc_id", "h", named("source"), named("lang"), "topic", "n_tokens", weight.alias("weight"), "probability", (chance < F.col("probability")).alias("sampled"), F.lit(not open_).alias("converged"))
+
+
+def mixture(docs: DataFrame, fraction: float = 0.5, power: float = 0.5, targets: dict[str, dict] | None = None, seed: int = 17, driver_cells: int = 100_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, source, lang, topic, n_tokens, weight, probability, sampled, converged.
+
+    targets gives each value's share for each of source, lang and topic; without it, shares are the present ones to
+    `power`, made to sum to 1. Targets that are no shares, or that ask for a value no document has, are an error; cells
+    of values that they do not name get nothing. Targets that cannot all be met are raked as far as SWEEPS sweeps go, with a
+    warning and converged false. The expected tokens of the sample are `fraction` of all; a cell is never taken more than
+    once, so where a share asks for more than there is, the others take up the rest.
+
+    A null source or language is a value of its own (None in targets); texts without words have topic -1, no tokens,
+    weight and probability 0. Sampling hashes doc_id, or the text where there is none, so it is repeatable and rows with
+    the same id fare alike where their cells do. Texts are read whole. Extra columns are ignored; an empty table gives none.
+    """
+    return _mixture(docs, fraction, power, targets, seed, driver_cells, id_col, text_col).drop("h")
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -166,7 +281,9 @@ def uniform(key: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def sample(docs: DataFrame, fraction: float = 0.5, power: float = 0.5, targets: dict[str, dict] | None = None, seed: int = 17, driver_cells: int = 100_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The sampled rows of docs, with all their columns."""
-    kept = mixture(docs, id_col=id_col, **options).where("sampled").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, docs[id_col].cast("long") == kept["_keep"], "left_semi")
+    kept = _mixture(docs, fraction, power, targets, seed, driver_cells, id_col, text_col).where("sampled")
+    cells = kept.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("source").alias("_s"), F.col("lang").alias("_l")).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(cells["_id"]) & (F.xxhash64(docs[text_col]) == cells["_h"]) & docs["source"].eqNullSafe(cells["_s"]) & docs["lang"].eqNullSafe(cells["_l"])
+    return docs.join(cells, same, "left_semi")

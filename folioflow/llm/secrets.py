@@ -118,7 +118,7 @@ def _oracle() -> str:
         for i, (_, pattern, least, group) in enumerate(KINDS)
     ]
     names = " ".join(f"WHEN {i} THEN '{k}'" for i, (k, *_) in enumerate(KINDS))
-    near = lambda kinds: f"coalesce(start - max(CASE WHEN kind IN ({kinds}) THEN e END) OVER past <= 400, false) OR coalesce(min(CASE WHEN kind IN ({kinds}) THEN start END) OVER ahead - e <= 400, false)"
+    near = lambda kinds: f"coalesce(max(CASE WHEN kind IN ({kinds}) THEN 1 END) OVER past, max(CASE WHEN kind IN ({kinds}) THEN 1 END) OVER ahead) IS NOT NULL"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 m AS ({' UNION ALL '.join(parts)}),
