@@ -19,28 +19,37 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go; the model learns from the labelled rows held in."""
+    """Documents predicted toxic go; the model learns from the labelled rows held in.
+
+    Each row is judged by its own text: null and empty texts, rows without an id and repeated rows stay unless they are toxic.
+    """
     return drop_toxic(docs, read(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, docs["doc_id"] == kept["_keep"], "left_semi").select(*COLUMNS)
+    """One document of each group of near duplicates stays, the one with the smallest doc_id.
+
+    Texts without words are no duplicates of anything; rows without an id stay; rows that share an id stay or go together.
+    """
+    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by the benchmark go."""
+    """Documents contaminated by the benchmark go, each judged by its own text; those without words are clean."""
     return decontaminate(docs, read(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled to the raked mixture of sources, languages and topics, half of the tokens."""
+    """Sampled to the raked mixture of sources, languages and topics, half of the tokens.
+
+    Documents without words have no tokens and go; rows without an id are drawn by their text.
+    """
     return sample(docs).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids written as coded files and read back: doc_id, start, n_tokens, ids_crc32."""
+    """Ids written as coded files and read back: doc_id, start, n_tokens, ids_crc32; every row of the stage before, null ids first."""
     return token_output(docs)
 
 
@@ -51,9 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet and read again."""
+    """All stages over documents, each written as Parquet and read again; a stage's table goes when the next one is there."""
     ws = Workspace(spark, "pipeline")
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = ws.table(stage(spark, docs, sf_dir), name)
+        if before:
+            ws.drop(before)
+        before = name
     return docs
