@@ -5,8 +5,11 @@ of a host are aligned one after the other: children that only some pages have be
 again become repeated, a slot keeps its text, and a repeated group a digest of its texts, only while all pages agree. The result is a regular expression without
 unions - tags, optional and repeated groups, text slots - that generates the host's pages.
 
-Wrappers combine like sums: pages within a task, then salted groups of a host, then the host. So every page takes part,
-a host with a third of all pages is no hot spot, and what is shuffled is a small wrapper for each task and host.
+Which pages meet, and in what order, follows from their content alone: the distinct pages of a host are dealt into groups
+of about GROUP by the hash of their bytes, aligned in the order of these hashes, then the groups' wrappers in groups of
+GROUP again, until a host has one. So every page takes part, the result is the same on any number of partitions, a host
+with a third of all pages is spread over as many tasks as it has groups, and a task holds one wrapper and one page.
+Copies of a page are dropped where they are read, before anything is shuffled, and where they meet.
 
 A page's main text is then what fills varying slots of its article: regions that are navigation, forms or asides by their
 tag or role are left out; those that only a class or id names so need a second sign (see _furniture). Left out is also text that the host's wrapper holds constant on
@@ -22,9 +25,8 @@ import math
 import re
 from collections import Counter
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Workspace
@@ -42,6 +44,8 @@ _SKIP_WORDS = re.compile(
 )
 #: Those that also name sections of an article; there they need a second sign.
 _SECTION_WORDS = re.compile(r"(?:^|[\s_-])(?:side|notices?|consent|overlay|search|social|related|recommend\w*|repl(?:y|ies)|discussion|copyright|legal|disclaimer|alerts?|skip|banners?)(?:$|[\s_-])", re.I)
+#: What else the name of such an element says: a place or a kind of box.
+_PLACES = frozenset("a area article bar block body bottom box button buttons card column container content global group head header icon id in inline inner item items js left link links list main mobile outer page panel post right row section site slot small sticky text thread top unit user view wrap wrapper zone".split())
 #: A layout that says what it has (has-sidebar, no-nav) is not that thing.
 _STATE = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|show|hide)[_-]\S*", re.I)
 _HEADER_WORD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
@@ -49,6 +53,7 @@ _MAIN_WORD = re.compile(r"(?:^|[\s_-])(?:content|article|post|entry|story|main)(
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _WHITE = re.compile(r"\s+")
 _LEAST_PAGES, _NEARLY_ALL, _MOST_TEXT, _LONG_PATH = 3, 0.95, 300, 200
+GROUP, _MOST_SEEN, _FEW_HOSTS = 256, 200_000, 100_000
 
 
 class Node:
@@ -191,6 +196,34 @@ def align(a: list, b: list, same_page: bool = False) -> list:
     return _run(_align(a, b, same_page))
 
 
+def _matched(a: list[str], b: list[str]):
+    """Pairs of places (place in a, place in b) along a longest common subsequence, None beside the unmatched. What both
+    begin and end with is matched first, so that the table is only as large as the part that differs."""
+    low, high = 0, 0
+    while low < min(len(a), len(b)) and a[low] == b[low]:
+        low += 1
+    while high < min(len(a), len(b)) - low and a[-1 - high] == b[-1 - high]:
+        high += 1
+    n, m = len(a) - low - high, len(b) - low - high
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[low + i] == b[low + j] else max(best[i + 1][j], best[i][j + 1])
+    yield from ((k, k) for k in range(low))
+    i = j = 0
+    while i < n or j < m:
+        if i < n and j < m and a[low + i] == b[low + j]:
+            yield low + i, low + j
+            i, j = i + 1, j + 1
+        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
+            yield low + i, None
+            i += 1
+        else:
+            yield None, low + j
+            j += 1
+    yield from ((len(a) - k, len(b) - k) for k in range(high, 0, -1))
+
+
 def _align(a: list, b: list, same_page: bool):
     pages = a[4] if same_page else a[4] + b[4]
     text = a[3] if a[3] == b[3] else None
@@ -200,21 +233,12 @@ def _align(a: list, b: list, same_page: bool):
         for x, y in zip(ka, kb, strict=True):
             kids.append((yield _align(x, y, same_page)))
     else:
-        n, m = len(ka), len(kb)
-        best = [[0] * (m + 1) for _ in range(n + 1)]
-        for i in range(n - 1, -1, -1):
-            for j in range(m - 1, -1, -1):
-                best[i][j] = best[i + 1][j + 1] + 1 if ka[i][0] == kb[j][0] else max(best[i + 1][j], best[i][j + 1])
-        kids, i, j = [], 0, 0
-        while i < n or j < m:
-            if i < n and j < m and ka[i][0] == kb[j][0]:
-                kids.append((yield _align(ka[i], kb[j], same_page)))
-                i, j = i + 1, j + 1
+        kids = []
+        for x, y in _matched([k[0] for k in ka], [k[0] for k in kb]):
+            if x is not None and y is not None:
+                kids.append((yield _align(ka[x], kb[y], same_page)))
                 continue
-            if j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-                node, i = ka[i], i + 1
-            else:
-                node, j = kb[j], j + 1
+            node = ka[x] if y is None else kb[y]
             if kids and kids[-1][0] == node[0]:  # again: a repeated group
                 kids[-1] = yield _align(kids[-1], node, True)
                 kids[-1][2:4] = True, None
@@ -296,11 +320,14 @@ def _worded(node: Node) -> bool:
 
 
 def _furniture(node: Node, inside: bool, whole: int) -> bool:
-    """Whether a worded element goes: it must hold at most half of the varying text around it, and inside an article a
-    word that sections have too only counts where the text is mostly links or the same on the whole host."""
+    """Whether a worded element goes: it must hold at most half of the varying text around it. Inside an article it must also
+    be mostly links, or have a name that says furniture and nothing else (comments, ad-slot-2; not comments-on-plato) with a
+    word that sections do not have too."""
     if 2 * node.size > whole:
         return False
-    return not inside or 2 * node.links >= node.size or bool(_SKIP_WORDS.search(_SECTION_WORDS.sub("  ", _STATE.sub(" ", node.names))))
+    if not inside or 2 * node.links >= node.size:
+        return True
+    return any(_SKIP_WORDS.search(_SECTION_WORDS.sub("  ", name)) and all(_SKIP_WORDS.fullmatch(part) or part in _PLACES or not part.strip("0123456789") for part in re.split("[_-]+", name)) for name in _STATE.sub(" ", node.names.lower()).split())
 
 
 def _measure(root: Node, fixed: set) -> None:
@@ -402,60 +429,105 @@ def main_text(page: str, fixed: set[tuple[str, str]] | dict[str, str]) -> str:
     return "\n".join(own or [t for t, _ in best])
 
 
-def host_of(url: pd.Series | None):
+def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def _infer(batches):
-    """Local wrappers: one for each host of a task's batch."""
+def _unlike(batches):
+    """The rows (host, hash, html) whose page a task has not just had; what is remembered is bounded."""
+    seen: set = set()
     for batch in batches:
-        own: dict[str, list] = {}
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            w = fold(parse(page or ""))
-            own[host] = align(own[host], w) if host in own else w
-        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([dump(w) for w in own.values()], pa.string())], ["host", "wrapper"])
-
-
-def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    wrapper = None
-    for text in sorted(group["wrapper"]):
-        w = load(text)
-        wrapper = w if wrapper is None else align(wrapper, w)
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [dump(wrapper)]})
-
-
-def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
-    """(host, wrapper) from pages(host, html): combined in tasks, then in salted groups of a host, then per host.
+        keep = []
+        for host, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            keep.append((host, h) not in seen)
+            if len(seen) >= _MOST_SEEN:
+                seen.clear()
+            seen.add((host, h))
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _merged(make):
+    """Neighbouring rows (host, bucket, hash, text) with one host and bucket to one wrapper of their distinct texts; make reads a text."""
+
+    def run(batches):
+        key, last, wrapper = None, None, None
+        names = ["host", "bucket", "wrapper"]
+        for batch in batches:
+            out = []
+            for host, bucket, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (host, bucket) != key:
+                    if wrapper is not None:
+                        out.append((*key, dump(wrapper)))
+                    key, last, wrapper = (host, bucket), None, None
+                if (h, text) == last:
+                    continue
+                last, own = (h, text), make(text)
+                wrapper = own if wrapper is None else align(wrapper, own)
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.string())], names)
+        if wrapper is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.string()), pa.array([key[1]], pa.int64()), pa.array([dump(wrapper)], pa.string())], names)
+
+    return run
+
+
+def wrappers(pages: DataFrame, ws: Workspace, group: int = GROUP) -> DataFrame:
+    """(host, wrapper) from pages(host, html): aligned in groups of a host's pages, then in groups of its wrappers, down to one.
 
     Copies of a page count once, as they would make an article look like template.
     """
-    local = pages.select("host", "html").dropDuplicates().mapInArrow(_infer, "host string, wrapper string")
-    salted = local.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts))).groupBy("host", "salt").applyInPandas(_merge, "host string, wrapper string")
-    return salted.groupBy("host").applyInPandas(_merge, "host string, wrapper string")
+    schema = "host string, bucket long, wrapper string"
+    pages = pages.where("trim(html) <> ''")
+    counts = pages.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / group).alias("groups"))
+    hosts = ws.table(counts, "hosts")
+    most = hosts.agg(F.max("groups")).first()[0] or 0
+    rows = pages.select("host", F.xxhash64("html").alias("hash"), F.coalesce("html", F.lit("")).alias("html")).mapInArrow(_unlike, "host string, hash long, html string")
+    small = F.broadcast if hosts.count() <= _FEW_HOSTS else lambda df: df  # a host is a name and a number
+    dealt = rows.join(small(hosts), "host").select("host", F.pmod("hash", "groups").alias("bucket"), "hash", "html")
+    now = dealt.repartition("host", "bucket").sortWithinPartitions("host", "bucket", "hash", "html").mapInArrow(_merged(lambda text: fold(parse(text))), schema)
+    now = ws.table(now, "level-0")
+    level = 0
+    while most > 1:
+        level, most = level + 1, -(-most // group)
+        up = now.select("host", F.floor(F.col("bucket") / group).alias("up"), "bucket", "wrapper")
+        now = ws.table(up.repartition("host", "up").sortWithinPartitions("host", "up", "bucket").mapInArrow(_merged(load), schema), f"level-{level}")
+        ws.drop(f"level-{level - 1}")
+    return now.select("host", "wrapper")
+
+
+def _fixed(batches):
+    """Each host's template as JSON."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([json.dumps(sorted(fixed_slots(load(w)))) for w in batch.column(1).to_pylist()], pa.string())], ["host", "fixed"])
 
 
 def _extract(batches):
     known: dict[str, set] = {}
     for batch in batches:
         texts = []
-        for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            if wrapper not in known:
+        for page, fixed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            if fixed not in known:
                 if len(known) > 2000:
                     known.clear()
-                known[wrapper] = fixed_slots(load(wrapper)) if wrapper else set()
-            texts.append(main_text(page or "", known[wrapper]))
+                known[fixed] = {tuple(x) for x in json.loads(fixed)} if fixed else set()
+            texts.append(main_text(page or "", known[fixed]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def extract(pages: DataFrame, broadcast_hosts: int = 5000) -> DataFrame:
+def extract(pages: DataFrame, broadcast_bytes: int = 32 << 20, salts: int = 32) -> DataFrame:
     """One row per input row: page_id, url, text, n_chars.
 
     A null page or one without an article text gives an empty text; a null url is a host of its own; repeated rows are
-    each extracted; extra columns are ignored. Wrappers are broadcast when there are at most broadcast_hosts hosts.
+    each extracted; pages of any size and depth are read whole; extra columns are ignored; an empty table gives none. The
+    hosts' templates are broadcast when they measure at most broadcast_bytes; else they are joined, each host dealt over
+    `salts` keys.
     """
     ws = Workspace(pages.sparkSession, "html")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    known = ws.table(wrappers(rows), "wrappers")
-    few = known.count() <= broadcast_hosts
-    joined = rows.join(F.broadcast(known) if few else known, "host", "left").select("page_id", "url", "html", "wrapper")
-    return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    known = ws.table(wrappers(rows.select("host", "html"), ws).mapInArrow(_fixed, "host string, fixed string"), "fixed")
+    size = known.agg(F.sum(F.octet_length("fixed") + F.octet_length("host") + 64)).first()[0] or 0
+    if size <= broadcast_bytes:
+        joined = rows.join(F.broadcast(known), "host", "left")
+    else:
+        dealt = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64("url", "page_id"), F.lit(salts)).cast("int")).join(dealt, ["host", "salt"], "left")
+    return joined.select("page_id", "url", "html", "fixed").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
