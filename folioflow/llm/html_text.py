@@ -53,7 +53,7 @@ _MAIN_WORD = re.compile(r"(?:^|[\s_-])(?:content|article|post|entry|story|main)(
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _WHITE = re.compile(r"\s+")
 _LEAST_PAGES, _NEARLY_ALL, _MOST_TEXT, _LONG_PATH = 3, 0.95, 300, 200
-GROUP, _MOST_SEEN, _FEW_HOSTS = 256, 200_000, 100_000
+GROUP, _MOST_SEEN, _FEW_HOSTS, _MOST_PARTS = 256, 200_000, 100_000, 20_000
 
 
 class Node:
@@ -479,11 +479,13 @@ def wrappers(pages: DataFrame, ws: Workspace, group: int = GROUP) -> DataFrame:
     pages = pages.where("trim(html) <> ''")
     counts = pages.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / group).alias("groups"))
     hosts = ws.table(counts, "hosts")
-    most = hosts.agg(F.max("groups")).first()[0] or 0
+    most, every = (x or 0 for x in hosts.agg(F.max("groups"), F.sum("groups")).first())
+    # Tasks of about four groups, as many as there are, so that the largest does not grow with the input.
+    parts = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(every // 4, _MOST_PARTS))
     rows = pages.select("host", F.xxhash64("html").alias("hash"), F.coalesce("html", F.lit("")).alias("html")).mapInArrow(_unlike, "host string, hash long, html string")
     small = F.broadcast if hosts.count() <= _FEW_HOSTS else lambda df: df  # a host is a name and a number
     dealt = rows.join(small(hosts), "host").select("host", F.pmod("hash", "groups").alias("bucket"), "hash", "html")
-    now = dealt.repartition("host", "bucket").sortWithinPartitions("host", "bucket", "hash", "html").mapInArrow(_merged(lambda text: fold(parse(text))), schema)
+    now = dealt.repartition(parts, "host", "bucket").sortWithinPartitions("host", "bucket", "hash", "html").mapInArrow(_merged(lambda text: fold(parse(text))), schema)
     now = ws.table(now, "level-0")
     level = 0
     while most > 1:

@@ -92,7 +92,13 @@ def learn_topics(bags: DataFrame, topics: int = TOPICS, turns: int = TURNS, seed
     for bucket, n in some.select("bag").mapInArrow(_spread, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).collect():
         have[bucket] = n
     idf = np.log((1 + have.max()) / (1 + have)) + 0.05
-    first = some.groupBy("h").agg(F.min("bag").alias("bag")).orderBy("h").limit(seeds).toArrow()  # `seeds` rows
+    share = min(1.0, 4 * seeds / max(1, some.count()))
+    while True:  # the smallest hashes lie below a bound, which is raised where copies leave too few texts below it
+        low = some if share >= 1 else some.where(F.col("h") < int(share * 2.0**64) - 2**63)
+        first = low.groupBy("h").agg(F.min("bag").alias("bag")).orderBy("h").limit(seeds).toArrow()  # `seeds` rows
+        if share >= 1 or first.num_rows >= seeds:
+            break
+        share = min(1.0, 8 * share)
     if not first.num_rows:
         return idf, np.zeros((1, BUCKETS), np.int64)
     units = _units(_bags(first["bag"]), idf)
