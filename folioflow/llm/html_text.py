@@ -51,7 +51,6 @@ _STATE = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|show|hide)[_-]\S*", re
 _HEADER_WORD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 _MAIN_WORD = re.compile(r"(?:^|[\s_-])(?:content|article|post|entry|story|main)(?:$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-_WHITE = re.compile(r"\s+")
 _LEAST_PAGES, _NEARLY_ALL, _MOST_TEXT, _LONG_PATH = 3, 0.95, 300, 200
 GROUP, _MOST_SEEN, _FEW_HOSTS, _MOST_PARTS = 256, 200_000, 100_000, 20_000
 
@@ -147,7 +146,7 @@ def _digest(text: str) -> str:
 
 def _slot(text: str) -> str:
     """What a slot remembers of its text: the text with single blanks, of a long one a digest."""
-    text = _WHITE.sub(" ", text).strip()
+    text = " ".join(text.split())
     return text if len(text) <= _MOST_TEXT else "\x00" + _digest(text)
 
 
@@ -342,7 +341,7 @@ def _measure(root: Node, fixed: set) -> None:
             if kid.group is not None and (at, kid.group) in fixed:
                 at = None
             if kid.tag == "#":
-                text = _WHITE.sub(" ", kid.text).strip()
+                text = " ".join(kid.text.split())
                 if at is not None and (at, _slot(text)) not in fixed:
                     node.size += len(text)
                     node.links += len(text) if link else 0
@@ -377,7 +376,7 @@ def _blocks(node: Node, path: str | None, inside: bool, whole: int, fixed: set,
 
 
 def _flush(run: list, out: list) -> None:
-    text = _WHITE.sub(" ", "".join(t for t, _ in run)).strip()
+    text = " ".join("".join([t for t, _ in run]).split())
     if text:
         out.append((text, [(p, _slot(t)) for t, p in run if t.strip()]))
     run.clear()
