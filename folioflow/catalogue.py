@@ -52,7 +52,9 @@ _LABELLED = f"{_PARAS}, q AS (SELECT *, list_filter([{_LABELS}], lambda x: x IS
 
 
 def _labelled(t):
-    return D.label(D.paragraphs(t("documents"), "doc_id"), {k: F.col("para").rlike(p) for k, p in _RULES.items()})
+    rules = {k: F.col("para").rlike(p) for k, p in _RULES.items()}
+    rules["address"] = F.col("para").contains("@") & rules["address"]  # the pattern alone tries every word
+    return D.label(D.paragraphs(t("documents"), "doc_id"), rules)
 
 
 # Documents and paragraphs
@@ -64,8 +66,7 @@ def flagship(t):
     """Measurement-bearing paragraphs, the best three of each paper rendered together."""
     plan = Pipeline(where(F.size("property_types") > 0)) + (lambda df: D.top_n(df, "doc_id", 3, F.desc(F.size("property_types")), F.col("para_id")))
     top = plan(_labelled(t))
-    counts = top.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return D.render(top, "doc_id", "para_id", "para").join(counts, "doc_id").select("doc_id", "rendered", "n")
+    return D.render(top, "doc_id", "para_id", "para", count="n")
 
 
 @query("SELECT doc_id, lang, n_chars FROM documents WHERE source = 'src3'")
@@ -309,8 +310,7 @@ def set_union_tag(t):
 
 @query("SELECT doc_id, CAST(floor((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) / 12) AS BIGINT) AS batch FROM documents")
 def batch_slices(t):
-    rn = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return t("documents").select("doc_id", F.floor((rn - 1) / 12).alias("batch"))
+    return D.slices(t("documents").select("doc_id", "source"), "source", "doc_id", 12).select("doc_id", "batch")
 
 
 @query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) <= 20")

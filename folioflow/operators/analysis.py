@@ -15,10 +15,15 @@ def mean_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.na.drop(subset=keys).groupBy(*keys).agg(F.avg(value).alias("mean_value"))
 
 
-def describe(df: DataFrame, value: str, places: int = 6) -> DataFrame:
-    """count, mean, sample deviation, least, linear quartiles and greatest, in one pass."""
+def describe(df: DataFrame, value: str, places: int = 6, accuracy: int | None = None) -> DataFrame:
+    """count, mean, sample deviation, least, linear quartiles and greatest, in one pass.
+
+    Exact quartiles hold a count of every distinct value in one buffer; where these are too many, `accuracy` asks for
+    approximate ones, off by at most 1 / accuracy in rank.
+    """
     c = F.col(value).cast("double")
-    quart = [F.round(F.percentile(c, F.lit(q)), places).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
+    at = lambda q: F.percentile(c, F.lit(q)) if accuracy is None else F.percentile_approx(c, q, accuracy)
+    quart = [F.round(at(q), places).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
     return df.agg(F.count(c).alias("n"), F.round(F.avg(c), places).alias("mean"), F.round(F.stddev_samp(c), places).alias("std"), F.min(c).alias("least"), *quart, F.max(c).alias("most"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import stored
+
 
 def paragraphs(docs: DataFrame, key: str = "source_id", text: str = "text") -> DataFrame:
     """One row per non-blank line: key, para_id from 0 over all lines, para."""
@@ -13,9 +15,33 @@ def paragraphs(docs: DataFrame, key: str = "source_id", text: str = "text") -> D
 
 
 def with_first(df: DataFrame, key: str, order: str, value: Column, name: str) -> DataFrame:
-    """The first non-null value of each key attached to all of its rows."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.withColumn(name, F.first(value, ignorenulls=True).over(w))
+    """The first non-null value of each key attached to all of its rows; rows without a key are a group of their own.
+
+    The values are found by an aggregation that combines map-side, so a key with very many rows gathers in no task.
+    """
+    rows = df.withColumn("_v", value)
+    heads = rows.where("_v IS NOT NULL").groupBy(F.col(key).alias("_k")).agg(F.min_by("_v", order).alias(name))
+    return rows.drop("_v", name).join(heads, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")
+
+
+def with_places(df: DataFrame, *order: str, key: str | None = None) -> DataFrame:
+    """df with its place (from 0) in the whole order or, with a key, among the rows of its key.
+
+    Rows are numbered within ranges of the order; only the ranges' counts meet in one task (of a key). The ranges are
+    written first: computed again, they might be cut elsewhere.
+    """
+    by = [key, *order] if key else list(order)
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_n", F.monotonically_increasing_id())
+    ranged = stored(ranged.withColumn("_p", F.shiftright("_n", 33)), "places")
+    group = F.col(key) if key else F.lit(0)
+    counts = ranged.groupBy("_p", group.alias("_g")).agg(F.count(F.lit(1)).alias("_c"), F.min("_n").alias("_first"))
+    before = counts.select("_p", "_g", "_first", (F.sum("_c").over(Window.partitionBy("_g").orderBy("_p")) - F.col("_c")).alias("_before"))  # a row for each range and key
+    return ranged.join(before, (ranged["_p"] == before["_p"]) & group.eqNullSafe(before["_g"])).select(*df.columns, (F.col("_before") + F.col("_n") - F.col("_first")).alias("place"))
+
+
+def slices(df: DataFrame, key: str, order: str, size: int) -> DataFrame:
+    """df with batch: its key's rows in order, `size` a batch."""
+    return with_places(df, order, key=key).withColumn("batch", F.floor(F.col("place") / size)).drop("place")
 
 
 def label(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -49,14 +75,15 @@ def heading_stack(df: DataFrame, key: str, order: str, level: str, title: str, d
     return df.withColumn("sub_titles", F.array_join(F.filter(F.array(*parts), lambda x: x != ""), "/"))
 
 
-def render(df: DataFrame, key: str, order: str, text: str, tables: Column | None = None) -> DataFrame:
-    """One text per key: distinct rows in order, tables last under a heading of their own."""
+def render(df: DataFrame, key: str, order: str, text: str, tables: Column | None = None, count: str | None = None) -> DataFrame:
+    """One text per key: distinct rows in order, tables last under a heading of their own; with `count`, how many rows that are."""
     tables = F.lit(False) if tables is None else tables
     rows = df.where(F.trim(text) != "").dropDuplicates([key, order])
     item = F.struct(F.col(order).alias("o"), F.col(text).alias("t"))
     got = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.when(~tables, item))).alias("a"), F.array_sort(F.collect_list(F.when(tables, item))).alias("b"))
     lines = lambda c: F.array_join(F.transform(c, lambda x: x["t"]), "\n")
-    return got.select(key, F.concat(lines("a"), F.when(F.size("b") > 0, F.concat(F.lit("\nTables:\n"), lines("b"))).otherwise("")).alias("rendered"))
+    whole = F.concat(lines("a"), F.when(F.size("b") > 0, F.concat(F.lit("\nTables:\n"), lines("b"))).otherwise("")).alias("rendered")
+    return got.select(key, whole, *([(F.size("a") + F.size("b")).cast("long").alias(count)] if count else []))
 
 
 def first_mention(terms: DataFrame, paras: DataFrame, term: str, key: str, order: str, text: str) -> DataFrame:
@@ -75,10 +102,13 @@ def first_mention(terms: DataFrame, paras: DataFrame, term: str, key: str, order
 
 
 def reorder(selected: DataFrame, original: DataFrame, value: str, order: str) -> DataFrame:
-    """Selected rows with their places in the original, each place used once: the k-th of equal values gets the k-th place."""
-    k = F.row_number().over(Window.partitionBy(value).orderBy(order))
-    places = original.select(value, F.col(order).alias("place"), k.alias("_k"))
-    return selected.select(value, k.alias("_k")).join(places, [value, "_k"]).drop("_k")
+    """Selected rows with their places in the original, each place used once: the k-th of equal values gets the k-th place.
+
+    Values are dealt by their digests, so that what is sorted and joined on is short, and compared in full.
+    """
+    numbered = lambda df: df.select(value, order, F.sha2(F.col(value), 256).alias("_d")).withColumn("_k", F.row_number().over(Window.partitionBy("_d").orderBy(order)))
+    places = numbered(original).select(F.col(value).alias("_v"), "_d", "_k", F.col(order).alias("place"))
+    return numbered(selected).join(places, ["_d", "_k"]).where(F.col(value) == F.col("_v")).select(value, "place")
 
 
 def join_titles(df: DataFrame, key: str, order: str, kind: str, text: str) -> DataFrame:

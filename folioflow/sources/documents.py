@@ -8,11 +8,12 @@ import xml.etree.ElementTree as ET
 import zipfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import quoted_query, windows
+from ..operators.documents import with_places
 from .articles import _Canonical, parse_articles, scan_html
 
 FULL_TEXT = "source string, doi string, title string, type_ string, page_content string, error string"
@@ -147,16 +148,6 @@ def export_lines(results: DataFrame, documents: DataFrame, model_name: str, inst
     return head.unionByName(numbered)
 
 
-def with_places(df: DataFrame, *order: str) -> DataFrame:
-    """df with its place (from 0) in the whole order: rows are numbered within ranges, and only the ranges' counts meet in one task."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_n", F.monotonically_increasing_id())
-    part, own = F.shiftright("_n", 33), F.col("_n").bitwiseAND((1 << 33) - 1)
-    ranged = ranged.withColumn("_p", part).withColumn("_own", own).drop("_n")
-    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    before = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_before"))  # a row for each partition
-    return ranged.join(F.broadcast(before), "_p").withColumn("place", F.col("_before") + F.col("_own")).drop("_p", "_own", "_before")
-
-
 def result_records(spark: SparkSession, path: str) -> DataFrame:
     """The objects of a JSON result file (an array) without the first, its header: pos, record as JSON."""
     whole = spark.read.text(path, wholetext=True)
