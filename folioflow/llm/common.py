@@ -141,7 +141,7 @@ def word_hashes(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return mix64(h + (e - s).astype(np.uint64) * _U(0x9E3779B97F4A7C15)), np.searchsorted(s, offs)
 
 
-def word_digests(texts: pa.Array, most: int = 16 << 20):
+def word_digests(texts: pa.Array, most: int = 4 << 20):
     """Yield (row numbers a to b, hashes of their words, the b - a + 1 word offsets): words are runs without ASCII white space, A-Z
     lower-cased, each distinct one hashed once (64 bits of BLAKE2). Null is empty; rows are taken `most` bytes at a time."""
     if texts.null_count:
@@ -160,9 +160,12 @@ def word_digests(texts: pa.Array, most: int = 16 << 20):
         if empty.any():  # white space at an end
             there = ~empty[index]
             before = np.concatenate([[0], np.cumsum(there)])
-            yield a, b, hashes[index[there]], before[at - at[0]]
+            words, at = hashes[index[there]], before[at - at[0]]
         else:
-            yield a, b, hashes[index], at - at[0]
+            words, at = hashes[index], at - at[0]
+        del lists, coded, known, index
+        yield a, b, words, at
+    pa.default_memory_pool().release_unused()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

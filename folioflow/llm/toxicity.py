@@ -32,7 +32,7 @@ _EDGE = ".,;:!?()[]{}<>\"'“”„«»‚‘’*#%&$~_-+=|/\\…"
 #: What closes a quotation that a word begins with; a mark that is never closed quotes nothing.
 _CLOSING = {'"': '"', "'": "'", "“": "”", "„": "“”", "”": "”", "«": "»", "»": "«", "‘": "’", "‚": "‘’", "’": "’"}
 _BEFORE, _AFTER = "([{*_-", ".,;:!?)]}*_-…"
-_MOST_SEEN, _MOST_COUNTED = 400_000, 200_000
+_MOST_SEEN, _MOST_COUNTED = 120_000, 50_000
 SIZE = 6  # features
 _APART = 0.6
 
@@ -99,7 +99,7 @@ class Lexicon:
                     if c in self.kids[kid]:
                         out.add((self.kids[kid][c], 1))
         new = self._state(frozenset(x for x in out if not (x[1] == 1 and (x[0], 0) in out))) if out else -1
-        if len(self.next) < 200_000:
+        if len(self.next) < 50_000:
             self.next[state][c] = new
         return new
 
