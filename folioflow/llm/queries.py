@@ -16,6 +16,10 @@ from .secrets import find_secrets
 from .suffix_dedup import suffix_dedup
 from .token_files import token_output
 from .toxicity import toxicity
+from .url_filter import ORACLE as URL_SQL
+from .url_filter import url_verdicts
+from .vector_codes import ORACLE as CODES_SQL
+from .vector_codes import compress
 
 
 def op1_mixing(spark, sf_dir):
@@ -58,8 +62,19 @@ def op10_token_output(spark, sf_dir):
     return token_output(read(spark, sf_dir, "documents"))
 
 
+def op12_url_filter(spark, sf_dir):
+    return url_verdicts(read(spark, sf_dir, "pages"))
+
+
+def op13_vector_codes(spark, sf_dir):
+    return compress(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_exact_dedup, op3_html_extraction, op4_language_id, op5_minhash_near_dedup, op6_toxicity, op7_suffix_dedup, op8_secret_scan, op9_decontaminate, op10_token_output)
-}
-ORACLE_SQL = {"op2_exact_dedup": EXACT_SQL, "op8_secret_scan": SECRETS_SQL, "op9_decontaminate": CONTAMINATION_SQL}
+    for f in (
+        op1_mixing, op2_exact_dedup, op3_html_extraction, op4_language_id, op5_minhash_near_dedup, op6_toxicity, op7_suffix_dedup, op8_secret_scan, op9_decontaminate, op10_token_output,
+        op12_url_filter, op13_vector_codes,
+    )
+}
+ORACLE_SQL = {"op2_exact_dedup": EXACT_SQL, "op8_secret_scan": SECRETS_SQL, "op9_decontaminate": CONTAMINATION_SQL, "op12_url_filter": URL_SQL, "op13_vector_codes": CODES_SQL}
