@@ -11,6 +11,8 @@ from .html_text import extract
 from .language import identify
 from .mixing import mixture
 from .near_dedup import near_duplicates
+from .prefix_trie import ORACLE as TRIE_SQL
+from .prefix_trie import prefix_trie
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import find_secrets
 from .suffix_dedup import suffix_dedup
@@ -62,6 +64,10 @@ def op10_token_output(spark, sf_dir):
     return token_output(read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 def op12_url_filter(spark, sf_dir):
     return url_verdicts(read(spark, sf_dir, "pages"))
 
@@ -74,7 +80,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_exact_dedup, op3_html_extraction, op4_language_id, op5_minhash_near_dedup, op6_toxicity, op7_suffix_dedup, op8_secret_scan, op9_decontaminate, op10_token_output,
-        op12_url_filter, op13_vector_codes,
+        op11_prefix_trie, op12_url_filter, op13_vector_codes,
     )
 }
-ORACLE_SQL = {"op2_exact_dedup": EXACT_SQL, "op8_secret_scan": SECRETS_SQL, "op9_decontaminate": CONTAMINATION_SQL, "op12_url_filter": URL_SQL, "op13_vector_codes": CODES_SQL}
+ORACLE_SQL = {
+    "op2_exact_dedup": EXACT_SQL, "op8_secret_scan": SECRETS_SQL, "op9_decontaminate": CONTAMINATION_SQL, "op11_prefix_trie": TRIE_SQL, "op12_url_filter": URL_SQL, "op13_vector_codes": CODES_SQL,
+}
