@@ -32,7 +32,7 @@ from .common import Workspace, mix64
 
 GROUP, HEADS = 5, 9
 #: Rows below an upper node; rows of a chunk of shards; upper nodes that are broadcast; conversations of a piece.
-HEAVY, CHUNK, FEW, PIECE = 1 << 12, 1 << 16, 100_000, 1 << 13
+HEAVY, CHUNK, FEW, PIECE = 1 << 10, 1 << 16, 100_000, 1 << 13
 NO_ENDS = sha256(b"").hexdigest()
 _U = np.uint64
 _LANES = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F))

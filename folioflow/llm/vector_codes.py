@@ -33,7 +33,8 @@ class KdTree:
 
     def __init__(self, entries: np.ndarray):
         self.entries, self.nodes = entries, []
-        self._grow(np.arange(len(entries)))
+        if len(entries):
+            self._grow(np.arange(len(entries)))
 
     def _grow(self, own: np.ndarray) -> int:
         at, points = len(self.nodes), self.entries[own]
@@ -60,9 +61,9 @@ class KdTree:
         stack = [(0, np.arange(n))]
         while stack:
             at, rows = stack.pop()
-            low, high, own, axis, split, left, right = self.nodes[at]
             if not len(rows):
                 continue
+            low, high, own, axis, split, left, right = self.nodes[at]
             q = points[rows]
             out = np.maximum(np.maximum(low - q, q - high), 0)
             rows = rows[(out * out).sum(1) <= best[rows]]
@@ -191,7 +192,7 @@ def compress(
     Rows whose vector is null or holds a null or non-finite component are dropped. Vectors are filled with zeros to the longest
     length, and that to a multiple of `parts`: zeros in all vectors change no distance. Scaled components beyond 64 bits are
     taken at the ends of that range. Rows without an id are encoded; they start no codebook before rows with one, and of repeated ids the
-    smaller vector starts it first. With fewer vectors than `entries` the codebooks are shorter; of an empty table the result is
+    vector that comes first as a list starts it first. With fewer vectors than `entries` the codebooks are shorter; of an empty table the result is
     empty. Equal vectors get equal codes. Labels may be of any type that can be compared, nulls are one label. Other columns of
     rows are ignored.
     """
