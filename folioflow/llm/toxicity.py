@@ -5,6 +5,9 @@ held in a trie; the automaton for one edit is intersected with it state by state
 kept, so a word costs a few dictionary steps and misspellings ("idiiot", "m0ron") are caught. A term that one edit
 turns into words of clean texts is matched exactly only.
 
+A stem that clean texts have too, but never in several words of one text, is a weak term: it says nothing once and much when a
+text has it again in another word. Weak terms are matched exactly.
+
 Each match is read in its context: inside quotation marks it counts as quotation, outside as abuse, and the densest
 window of 20 words counts beside the whole. A logistic model weighs these counts.
 
@@ -33,14 +36,16 @@ _EDGE = ".,;:!?()[]{}<>\"'“”„«»‚‘’*#%&$~_-+=|/\\…"
 _CLOSING = {'"': '"', "'": "'", "“": "”", "„": "“”", "”": "”", "«": "»", "»": "«", "‘": "’", "‚": "‘’", "’": "’"}
 _BEFORE, _AFTER = "([{*_-", ".,;:!?)]}*_-…"
 _MOST_SEEN, _MOST_COUNTED = 120_000, 50_000
-SIZE = 6  # features
+SIZE = 8  # features
 _APART = 0.6
+_STEM = (4, 8)  # letters of stems
 
 
 class Lexicon:
     """Product automaton of the trie of terms and the one-edit Levenshtein automaton."""
 
-    def __init__(self, stems: list[str], words: list[str], exact_only: frozenset[str] = frozenset()):
+    def __init__(self, stems: list[str], words: list[str], exact_only: frozenset[str] = frozenset(), weak: frozenset[str] = frozenset()):
+        self.weak = weak
         self.kids: list[dict[str, int]] = [{}]
         self.stem: list[bool] = [False]
         self.word: list[bool] = [False]
@@ -103,6 +108,10 @@ class Lexicon:
             self.next[state][c] = new
         return new
 
+    def weakly(self, word: str) -> bool:
+        """Whether the word begins with a weak stem."""
+        return bool(self.weak) and any(word[:k] in self.weak for k in range(_STEM[0], min(_STEM[1], len(word)) + 1))
+
     def match(self, word: str) -> int:
         """0 no term, 1 a term or a word that begins with a stem, 2 the same with one edit."""
         state, best = self.start, 0
@@ -129,19 +138,25 @@ class Scorer:
         own = set(words)
         for w in own - self.clean:
             if w not in self.hits:
-                if kind := self.lexicon.match(w.strip(_EDGE)):
+                bare = w.strip(_EDGE)
+                if kind := self.lexicon.match(bare) or 3 * self.lexicon.weakly(bare):
                     self.hits[w] = kind
                 else:
                     self.clean.add(w)
         found = own & self.hits.keys()
         if len(self.clean) > _MOST_SEEN:
             self.clean.clear()
-        exact = fuzzy = aside = densest = 0
+        exact = fuzzy = aside = densest = weak = 0
+        forms = set()
         if found:
             inside, spots = quoted(words), []
             for i, w in enumerate(words):
                 if w in found:
-                    if inside[i]:
+                    if self.hits[w] == 3:
+                        if not inside[i]:
+                            weak += 1
+                            forms.add(w.strip(_EDGE))
+                    elif inside[i]:
                         aside += 1
                     else:
                         spots.append(i)
@@ -155,7 +170,7 @@ class Scorer:
             self.hits.clear()
         share = (exact + fuzzy) / len(words) if words else 0.0
         weight = exact + 0.7 * fuzzy  # a misspelled term counts a little less
-        return [1.0, float(weight > 0), math.log1p(weight), math.log1p(aside), math.log1p(densest), min(1.0, 10 * share)]
+        return [1.0, float(weight > 0), math.log1p(weight), math.log1p(aside), math.log1p(densest), min(1.0, 10 * share), math.log1p(weak), math.log1p(max(0, len(forms) - 1))]
 
 
 def quoted(words: list[str]) -> list[bool]:
@@ -189,10 +204,19 @@ def _terms(words: set[str]):
     for w in words:
         if len(w) >= 3:
             yield w + "$"
-        for k in range(4, min(9, len(w))):
+        for k in range(_STEM[0], min(_STEM[1] + 1, len(w))):
             yield w[:k]
 
 
+def _again(words: set[str]) -> set[str]:
+    """Stems that several of the words begin with, each with a + at its end."""
+    seen, again = set(), set()
+    for w in words:
+        for k in range(_STEM[0], min(_STEM[1], len(w)) + 1):
+            (again if w[:k] in seen else seen).add(w[:k])
+    return {t + "+" for t in again}
+
+
 def _tally(batches):
     """(term, rows labelled 1, rows labelled 0, places) of a task, in runs of bounded size.
 
@@ -221,10 +245,13 @@ def _tally(batches):
                     bit = 1 << (crc32(f"{' '.join(words[max(0, i - 1) : i])}\n{' '.join(words[i + 1 : i + 2])}".encode("utf-8", "surrogatepass")) & 63)
                     for t in _terms((w,)):
                         own.setdefault(t, bit)
+                for t in _again(set(first)):
+                    own[t] = own.get(t[:-1]) or bit  # the stem's first place; a stem that is a whole word has the row's last
                 for t, bit in own.items():
                     places[t] = places.get(t, 0) | bit
             else:
-                own = set(_terms(_bag(text.as_py())))
+                bag = _bag(text.as_py())
+                own = {*_terms(bag), *_again(bag)}
             seen[y].update(own.keys() if y else own)
             if len(seen[0]) + len(seen[1]) > _MOST_COUNTED:
                 yield flush()
@@ -290,22 +317,28 @@ def learn(sample: DataFrame, prior: float, most_terms: int = 2000) -> tuple[Lexi
 
     A term passes when at least 3 toxic rows have it, when its share of clean rows is at most 2 % of its share of toxic
     ones, when so many rows would not all be toxic by chance for any of the terms counted, and when its neighbours differ
-    from row to row: what only copies of a text share is no term. At most most_terms terms make the lexicon (see choose),
-    from the 4 * most_terms of the most toxic rows.
+    from row to row: what only copies of a text share is no term. A stem is a weak term when all this holds for the rows that have
+    it in two words. At most most_terms terms make the lexicon (see choose), from the 4 * most_terms of the most toxic rows; as many
+    may be weak.
     """
     n = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     n0, n1 = max(1, n.get(0, 0)), max(1, n.get(1, 0))
     tallies = sample.select("toxic", "text").mapInArrow(_tally, "term string, toxic long, clean long, places long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("places")).alias("places"))
     often = tallies.where("toxic >= 3").persist()
     by_chance = n1 / (n0 + n1)
-    least = max(3, n1 // 200, math.ceil(math.log(max(1, often.count())) / -math.log(by_chance)) if by_chance < 1 else 3)
     apart = 64 * (1 - F.exp(-F.col("toxic") / 64))  # bits that so many unrelated rows would set
-    passed = often.where((F.col("toxic") >= least) & (F.col("clean") * n1 <= 0.02 * n0 * F.col("toxic")) & (F.col("places") >= _APART * apart)).orderBy(F.desc("toxic"), "term").limit(4 * most_terms)
-    good = {r[0]: r[1] for r in passed.select("term", "toxic").collect()}  # at most 4 * most_terms terms
+    good: dict[bool, dict[str, int]] = {}
+    for weak in (False, True):
+        own = often.where(F.col("term").endswith("+") == F.lit(weak))
+        least = max(3, n1 // 200, math.ceil(math.log(max(1, own.count())) / -math.log(by_chance)) if by_chance < 1 else 3)
+        passed = own.where((F.col("toxic") >= least) & (F.col("clean") * n1 <= 0.02 * n0 * F.col("toxic")) & (F.col("places") >= _APART * apart)).orderBy(F.desc("toxic"), "term").limit(4 * most_terms)
+        good[weak] = {r[0]: r[1] for r in passed.select("term", "toxic").collect()}  # at most 4 * most_terms terms
     often.unpersist()
-    chosen = choose(good, most_terms)
+    chosen = choose(good[False], most_terms)
+    strong = set(_split(chosen)[0])
+    weak = frozenset(t[:-1] for t in good[True] if not any(t[:k] in strong for k in range(1, len(t))))
     risky = {r[0].rstrip("$") for r in sample.where("toxic = 0").select("text").mapInArrow(_risky(chosen), "term string").distinct().collect()} if chosen else set()
-    lexicon = Lexicon(*_split(chosen), frozenset(risky))
+    lexicon = Lexicon(*_split(chosen), frozenset(risky), weak)
 
     def features(batches):
         scorer = Scorer(lexicon)
