@@ -75,6 +75,54 @@ def test_raking_is_brute_force():
     assert np.allclose(mixing.rake(cells, goal), [mass[i] for i in range(len(cells))], rtol=1e-8)
 
 
+def test_bounded_raking_is_the_nearest_mixture():
+    """Marginals meet their targets, full cells stay at their tokens, and all others are the tokens times a factor for each of
+    their values: the conditions under which no other mixture within the bounds is nearer to the tokens."""
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    cells = pd.DataFrame([(s, g, t, int(rng.integers(1, 400))) for s in "abcd" for g in "xyz" for t in (0, 1, 2)], columns=[*mixing.DIMS, "tokens"])
+    wanted = np.minimum(cells.tokens, rng.integers(1, 1200, len(cells)) * np.where(cells.source == 'a', 1.0, 0.1)).astype(float)  # a mixture that can be had
+    budget = wanted.sum()
+    goal = {d: (wanted.groupby(cells[d]).sum() / budget).to_dict() for d in mixing.DIMS}
+    mass = mixing.rake(cells, goal, budget=budget)
+    for d in mixing.DIMS:
+        assert all(abs(mass[(cells[d] == v).to_numpy()].sum() - share) < 1e-6 for v, share in goal[d].items())
+    ratio = mass * budget / cells.tokens
+    assert ratio.max() <= 1 + 1e-9 and (ratio > 1 - 1e-6).any() and (ratio < 0.999).any()
+    factors = pd.get_dummies(cells[list(mixing.DIMS)].astype(str)).to_numpy(float)
+    free = (ratio < 1 - 1e-6).to_numpy()
+    fitted = factors @ np.linalg.lstsq(factors[free], np.log(ratio[free]), rcond=None)[0]
+    assert np.allclose(fitted[free], np.log(ratio[free]), atol=1e-4) and (fitted[~free] > -1e-3).all()
+
+
+def test_targets_beyond_what_there_is(spark):
+    """A value that is asked for more than it has gives all, the others take the rest up, and the result says which missed."""
+    rows = [(k, "x y z", "en" if k % 10 else "de", f"s{k % 2}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    topic = mixing.mixture(docs).first().topic
+    goal = {"source": {"s0": 0.5, "s1": 0.5}, "lang": {"en": 0.2, "de": 0.8}, "topic": {topic: 1.0}}
+    for cells in (100_000, 0):
+        with pytest.warns(RuntimeWarning, match="lang de 0.2000 of 0.8000"):
+            got = mixing.mixture(docs, targets=goal, driver_cells=cells)
+        assert not got.first().converged
+        assert {r[0]: round(r[1], 6) for r in got.groupBy("lang").agg(F.avg("probability")).collect()} == {"de": 1.0, "en": round(720 / 1620, 6)}
+
+
+def test_default_mixture_meets_its_targets(spark):
+    got = mixing.mixture(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).persist()
+    total = got.agg(F.sum("n_tokens"), F.sum(F.col("probability") * F.col("n_tokens"))).first()
+    topics = {r[0]: r[1] / total[0] for r in got.where("n_tokens > 0").groupBy("topic").agg(F.sum("n_tokens")).collect()}
+    assert len(topics) == mixing.TOPICS and min(topics.values()) > 0.005 and max(topics.values()) < 0.5
+    assert got.where("NOT converged").isEmpty() and abs(total[1] - 0.5 * total[0]) < 1
+    has = {(d, r[0]): (r[1], r[2]) for d in mixing.DIMS for r in got.groupBy(d).agg(F.sum("n_tokens"), F.sum(F.col("probability") * F.col("n_tokens"))).collect()}
+    # Shares of a dimension are powers of the present ones unless there is no room: more of a value never lowers its share.
+    for d in mixing.DIMS:
+        own = sorted(v for k, v in has.items() if k[0] == d)
+        assert all(a[1] <= b[1] * (1 + 1e-3) for a, b in zip(own, own[1:], strict=False))
+    got.unpersist()
+
+
 def test_language_is_held_out_accurate(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").where("lang IS NOT NULL AND lang_pred <> 'und'")

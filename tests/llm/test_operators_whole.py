@@ -21,7 +21,7 @@ def test_both_raking_paths_stop_alike_and_say_so(spark, monkeypatch):
     slow = pd.DataFrame([("a", "x", 1, 1000), ("a", "y", 1, 1), ("b", "x", 1, 1), ("b", "y", 1, 1000)], columns=[*mixing.DIMS, "tokens"])
     goals = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}, "topic": {1: 1.0}}
     with pytest.warns(RuntimeWarning, match="after 2 sweeps"):
-        want = mixing.rake(slow, goals, sweeps=2)
+        want = mixing.rake(slow, goals, sweeps=2, budget=1000.0)
     cells = spark.createDataFrame(slow, "source string, lang string, topic int, tokens long")
     tables = {d: spark.createDataFrame(list(g.items()), f"{d} {'int' if d == 'topic' else 'string'}, goal double") for d, g in goals.items()}
     with pytest.warns(RuntimeWarning, match="after 2 sweeps"):
