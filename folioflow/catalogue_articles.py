@@ -38,6 +38,11 @@ def _paper(t):
     )
 
 
+#: What stands for the models' judgement here.
+GATES = {
+    "composition": L.says(r"(?i)\b(at|wt)\.?\s*%|composition"), "strength_table": L.says(r"(?i)\b(MPa|GPa)\b|strength"), "processing_parameters": L.says("(?i)anneal|homogeni|roll|melt|aging|cast|quench"),
+    "synthesis": L.says("(?i)melt|cast|roll|anneal|sinter|synthesi"),
+}
 _FLAGS = (
     "f AS (SELECT *, sub_titles = 'table' AS tab, regexp_matches(sub_titles, '(?i)introduction|experiment|preparation|method|conflict|acknowledge|support') OR sub_titles = 'table' AS barred, "
     "regexp_matches(sub_titles, '(?i)experiment|preparation|method') AS meth, regexp_matches(sub_titles, '(?i)result') AS res, bool_or(regexp_matches(sub_titles, '(?i)result')) OVER (PARTITION BY source) AS has_res, "
@@ -57,7 +62,7 @@ _LABELLED = f"{_PAPER}, {_FLAGS}, {_PROPERTIES}"
 
 @query(f"WITH {_LABELLED} SELECT source, para_id, array_to_string(labels, ',') AS labels, is_synthesis FROM l")
 def para_labels(t):
-    return L.label_paper(_paper(t)).select("source", "para_id", F.array_join("property_types", ",").alias("labels"), "is_synthesis")
+    return L.label_paper(_paper(t), gates=GATES).select("source", "para_id", F.array_join("property_types", ",").alias("labels"), "is_synthesis")
 
 
 @query(f"WITH {_PAPER}, {_FLAGS} SELECT source, para_id, (res OR tab OR sub_titles = '') AND regexp_matches(page_content, '\\b([Bb]and\\s*[Gg]aps?|Eg)\\b') AND regexp_matches(page_content, '\\beV\\b') AS band_gap, "
@@ -77,7 +82,7 @@ def matching_titles(t):
        "SELECT source, para_id FROM w WHERE any_ AND (want OR sub_titles = 'Abstract' OR coalesce(para_id = intro, false))")
 def relevant_paragraphs(t):
     """Paragraphs on strength with the paper's abstract and last introduction paragraph."""
-    return L.relevant(L.label_paper(_paper(t)), L.has_label("strength")).select("source", "para_id")
+    return L.relevant(L.label_paper(_paper(t), gates=GATES), L.has_label("strength")).select("source", "para_id")
 
 
 @query(f"WITH {_PAPER} SELECT source, arg_min(title, para_id) AS title, coalesce(string_agg(page_content, chr(10) ORDER BY para_id) FILTER (sub_titles = 'Abstract'), '') AS abstract FROM c GROUP BY source")
@@ -89,13 +94,13 @@ def title_abstract(t):
 @query(f"WITH {_LABELLED}, g AS (SELECT *, is_synthesis OR list_contains(labels, 'composition') AS beside, list_contains(labels, 'strength') OR list_contains(labels, 'strain_rate') AS st, list_contains(labels, 'phase') AS ph FROM l) "
        "SELECT source, para_id, 'strength' AS target, NOT st AS is_context FROM g WHERE st OR beside UNION ALL SELECT source, para_id, 'phase', NOT ph FROM g WHERE ph OR beside UNION ALL SELECT source, para_id, 'synthesis', false FROM g WHERE is_synthesis")
 def regroup_targets(t):
-    return L.regrouped(L.label_paper(_paper(t))).select("source", "para_id", "target", "is_context")
+    return L.regrouped(L.label_paper(_paper(t), gates=GATES)).select("source", "para_id", "target", "is_context")
 
 
 @query(f"WITH {_LABELLED} SELECT source, para_id, is_synthesis, array_to_string(labels, ',') AS labels FROM l WHERE is_synthesis OR len(labels) > 0")
 def labelled_roundtrip(t):
     """Labelled paragraphs as they are stored, and read back."""
-    stored = L.stored_labels(L.label_paper(_paper(t)))
+    stored = L.stored_labels(L.label_paper(_paper(t), gates=GATES))
     back = L.labelled_documents(stored.select("source", "para_id", "page_content", F.struct("source", "labels").alias("metadata")))
     return L.synthesis_paragraphs(back).unionByName(back.where("NOT is_synthesis AND size(property_types) > 0")).select("source", "para_id", "is_synthesis", F.array_join("property_types", ",").alias("labels"))
 

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from .catalogue import query
-from .catalogue_articles import _LABELLED, _PAPER, _paper
+from .catalogue_articles import _LABELLED, _PAPER, GATES, _paper
 from .operators import history as H
 from .operators import labels as L
 from .plans import extraction as X
@@ -85,7 +85,7 @@ def reaction_program(t):
 @query(f"WITH {_LABELLED}, h AS (SELECT source, count(*) FILTER (list_contains(labels, 'strength')) AS n FROM l GROUP BY source) SELECT source, n FROM h WHERE n > 0")
 def property_answers(t):
     """What a model sees of each paper's strength paragraphs: here it counts the marked lines."""
-    paras = L.label_paper(_paper(t)).withColumn("page_content", F.when(L.has_label("strength"), F.concat(F.lit("\n@@"), "page_content")).otherwise(F.col("page_content")))
+    paras = L.label_paper(_paper(t), gates=GATES).withColumn("page_content", F.when(L.has_label("strength"), F.concat(F.lit("\n@@"), "page_content")).otherwise(F.col("page_content")))
     got = X.extract_properties(paras, {"strength": lambda s: {"n": s.count("\n@@")}})
     return got.select("source", F.get_json_object("answer", "$.n").cast("long").alias("n"))
 
@@ -157,7 +157,7 @@ def full_text_rows(t):
 
 @query(f"WITH {_LABELLED}, u AS (SELECT source, para_id, page_content, unnest(labels) AS property FROM l) SELECT property, '<h2>' || property || '</h2>' || string_agg('<p><b>' || source || '</b> ' || replace(replace(replace(replace(page_content, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(10), '<br>') || '</p>', '' ORDER BY source, para_id) AS html FROM u GROUP BY property")
 def label_pages(t):
-    return K.label_html(L.label_paper(_paper(t)))
+    return K.label_html(L.label_paper(_paper(t), gates=GATES))
 
 
 @query(f"WITH {_PAPER}, w AS (SELECT source, string_agg(page_content, chr(10) ORDER BY para_id) AS text FROM c GROUP BY source), s AS (SELECT source, para_id, instr(page_content, 'FCC') AS at FROM c WHERE contains(page_content, 'FCC')) "

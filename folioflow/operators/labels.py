@@ -36,7 +36,7 @@ def anything(text: Column) -> Column:
 
 
 def says(pattern: str) -> Gate:
-    """A gate by pattern, the stand-in for a model's judgement."""
+    """A gate by pattern, where no model is to be asked."""
     return lambda text: text.rlike(pattern)
 
 
@@ -151,10 +151,12 @@ def apply(paras: DataFrame, labelers: Sequence[Labeler], vectors: DataFrame | No
 def paper_labelers(phase=None, strength=None, gates: dict[str, Gate] | None = None) -> list[Labeler]:
     """The labels of an alloy paper in order: tables, then phases and strengths in unrestricted text, strain rate, grain size.
 
-    phase and strength are query vectors; without them similarity is not asked. gates judge what a model would: composition,
-    strength_table, processing_parameters, strength.
+    phase and strength are query vectors; without them similarity is not asked. gates judge what no pattern can: composition,
+    strength_table and processing_parameters of tables, and strength if it is given.
     """
-    gates = {"composition": says(r"(?i)\b(at|wt)\.?\s*%|composition"), "strength_table": says(r"(?i)\b(MPa|GPa)\b|strength"), "processing_parameters": says("(?i)anneal|homogeni|roll|melt|aging|cast|quench"), "strength": anything, **(gates or {})}
+    gates = {"strength": anything, **(gates or {})}
+    if missing := {"composition", "strength_table", "processing_parameters"} - gates.keys():
+        raise ValueError(f"no gate for {', '.join(sorted(missing))}")
     return [
         Labeler("composition", among=is_table, gate=gates["composition"]),
         Labeler("strength", among=is_table, gate=gates["strength_table"]),
@@ -167,7 +169,7 @@ def paper_labelers(phase=None, strength=None, gates: dict[str, Gate] | None = No
     ]
 
 
-def label_synthesis(paras: DataFrame, vectors: DataFrame | None = None, query=None, gate: Gate = says("(?i)melt|cast|roll|anneal|sinter|synthesi")) -> DataFrame:
+def label_synthesis(paras: DataFrame, vectors: DataFrame | None = None, query=None, gate: Gate = anything) -> DataFrame:
     """paras with is_synthesis: among the five paragraphs of the method sections closest to the query, those the gate takes."""
     own = Labeler("synthesis", among=None if query is not None else lambda: in_section(METHOD), gate=gate, query=query, sections=METHOD)
     got = apply(paras, [own], vectors, "_synthesis")
@@ -175,9 +177,12 @@ def label_synthesis(paras: DataFrame, vectors: DataFrame | None = None, query=No
 
 
 def label_paper(paras: DataFrame, vectors: DataFrame | None = None, synthesis=None, phase=None, strength=None, gates: dict[str, Gate] | None = None) -> DataFrame:
-    """is_synthesis and property_types of every paragraph, in the order synthesis, tables, restricted text, strain rate, grain size."""
+    """is_synthesis and property_types of every paragraph, in the order synthesis, tables, restricted text, strain rate, grain size.
+
+    gates are those of paper_labelers() and, if it is given, synthesis; plans.verdicts puts models in their place.
+    """
     gates = dict(gates or {})
-    first = label_synthesis(paras, vectors, synthesis, gates.pop("synthesis")) if "synthesis" in gates else label_synthesis(paras, vectors, synthesis)
+    first = label_synthesis(paras, vectors, synthesis, gates.pop("synthesis", anything))
     return apply(first, paper_labelers(phase, strength, gates), vectors)
 
 

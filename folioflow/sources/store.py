@@ -26,11 +26,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{_own[0]}"
 
 
+def dropped_at_end(spark: SparkSession, where: str) -> None:
+    """The folder goes when the session's file system closes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read back; the files go when the session's file system closes."""
     spark = df.sparkSession
     where = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(where)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    dropped_at_end(spark, where)
     df.write.parquet(where)
     return spark.read.schema(df.schema).parquet(where)
