@@ -11,9 +11,10 @@ GROUP again, until a host has one. So every page takes part, the result is the s
 with a third of all pages is spread over as many tasks as it has groups, and a task holds one wrapper and one page.
 Copies of a page are dropped where they are read, before anything is shuffled, and where they meet.
 
-A page's main text is then what fills varying slots of its article: regions that are navigation, forms or asides by their
-tag or role are left out; those that only a class or id names so need a second sign (see _furniture). Left out is also text that the host's wrapper holds constant on
-nearly all of its distinct pages.
+A page's main text is its articles, one after the other: regions that are navigation, forms or asides by their tag or role are
+left out; those that only a class or id names so need a second sign (see _furniture), and reader comments are told by their
+names or by the author, date and reply that their repeated entries have. Around the article, and on pages without one, text that
+the host's wrapper holds constant on nearly all of its distinct pages is left out too; in an article it stays.
 """
 
 from __future__ import annotations
@@ -46,6 +47,11 @@ _SKIP_WORDS = re.compile(
 _SECTION_WORDS = re.compile(r"(?:^|[\s_-])(?:side|notices?|consent|overlay|search|social|related|recommend\w*|repl(?:y|ies)|discussion|copyright|legal|disclaimer|alerts?|skip|banners?)(?:$|[\s_-])", re.I)
 #: What else the name of such an element says: a place or a kind of box.
 _PLACES = frozenset("a area article bar block body bottom box button buttons card column container content global group head header icon id in inline inner item items js left link links list main mobile outer page panel post right row section site slot small sticky text thread top unit user view wrap wrapper zone".split())
+#: Names of reader comments, what may stand beside them in such a name, and words that need the entries as evidence.
+_COMMENTS = re.compile(r"(?:comments?|commentlist|commentary|disqus|respond|repl(?:y|ies)|responses?)", re.I)
+_READERS = frozenset("reader readers user users visitor visitors public latest all top recent our your facebook fb wp js count".split())
+_MAYBE_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?\w*|disqus|respond|repl(?:y|ies)|responses?|opinions?|reactions?|discussions?|reviews?|feedback|voices|letters|forum|thread|conversation)(?:$|[\s_-])", re.I)
+_BYLINE = re.compile(r"(?:^|[\s_-])(?:author|user|username|avatar|nick(?:name)?|by|byline|posted|date|time(?:stamp)?|ago|reply|likes?|vote|flag|permalink|meta)(?:$|[\s_-])", re.I)
 #: A layout that says what it has (has-sidebar, no-nav) is not that thing.
 _STATE = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|show|hide)[_-]\S*", re.I)
 _HEADER_WORD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
@@ -318,6 +324,45 @@ def _worded(node: Node) -> bool:
     return bool(node.names) and node.tag not in ("html", "body", "article", "main") and bool(_SKIP_WORDS.search(_STATE.sub(" ", node.names)))
 
 
+def _entries(node: Node) -> bool:
+    """Whether the element holds a run of entries of which most have an author, a date or a reply: at least two alike."""
+    level = node
+    for _ in range(4):  # wrappers around the list
+        kids = [k for k in level.kids if k.tag != "#" and not k.hidden]
+        names = Counter((k.tag, k.names.split()[0] if k.names else "") for k in kids)
+        kind, n = names.most_common(1)[0] if names else (None, 0)
+        if n >= 2:
+            alike = [k for k in kids if (k.tag, k.names.split()[0] if k.names else "") == kind]
+            return 2 * sum(_signed(k) for k in alike) > n
+        inner = max(kids, key=lambda k: k.size, default=None)
+        if inner is None:
+            return False
+        level = inner
+    return False
+
+
+def _signed(entry: Node) -> bool:
+    todo = [entry]
+    while todo:
+        node = todo.pop()
+        if node is not entry and (node.tag == "time" or node.names and _BYLINE.search(node.names)):
+            return True
+        todo += [k for k in node.kids if k.tag != "#"]
+    return False
+
+
+def _by_readers(node: Node) -> bool:
+    """Reader comments, however long they are: named so and nothing else (reader-comments, comment-list; not comments-on-plato), or
+    named as something that readers may have written and made of entries with authors, dates or replies."""
+    if not node.names or node.tag in ("html", "body", "main") or not _MAYBE_COMMENTS.search(_STATE.sub(" ", node.names)):
+        return False
+    for name in _STATE.sub(" ", node.names.lower()).split():
+        parts = [p for p in re.split("[_-]+", name) if p.strip("0123456789")]
+        if any(_COMMENTS.fullmatch(p) for p in parts) and all(_COMMENTS.fullmatch(p) or p in _PLACES or p in _READERS for p in parts):
+            return True
+    return _entries(node)
+
+
 def _furniture(node: Node, inside: bool, whole: int) -> bool:
     """Whether a worded element goes: it must hold at most half of the varying text around it. Inside an article it must also
     be mostly links, or have a name that says furniture and nothing else (comments, ad-slot-2; not comments-on-plato) with a
@@ -354,8 +399,9 @@ def _measure(root: Node, fixed: set) -> None:
             above.main |= node.main or node.tag in ("article", "main") or node.role in ("article", "main")
 
 
-def _blocks(node: Node, path: str | None, inside: bool, whole: int, fixed: set, out: list, run: list):
-    """Collect (text, [(path, slot)]) blocks below node, in page order; the path is None below a group that is constant."""
+def _blocks(node: Node, path: str | None, inside: bool, whole: int, fixed: set, out: list, run: list, own: bool):
+    """Collect (text, [(path, slot)], own) blocks below node, in page order; the path is None below a group that is constant. Own
+    blocks are the article's, whatever other pages have."""
     for kid in node.kids:
         at = None if path is None else _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag)
         if kid.group is not None and (at, kid.group) in fixed:
@@ -363,47 +409,53 @@ def _blocks(node: Node, path: str | None, inside: bool, whole: int, fixed: set,
         if kid.tag == "#":
             run.append((kid.text, at))
             continue
-        if _skipped(kid, inside) or _worded(kid) and _furniture(kid, inside, whole):
+        if _skipped(kid, inside) or _by_readers(kid) or _worded(kid) and _furniture(kid, inside, whole):
             continue
         block = kid.tag in _BLOCK
         if block:
-            _flush(run, out)
+            _flush(run, out, own)
         elif kid.tag in ("br", "td", "th", "img"):
             run.append((" ", ""))
-        yield _blocks(kid, at, inside or kid.tag in ("article", "main"), whole, fixed, out, run)
+        inner = own or kid.tag == "article" or kid.role == "article"
+        yield _blocks(kid, at, inside or kid.tag in ("article", "main"), whole, fixed, out, run, inner)
         if block:
-            _flush(run, out)
+            _flush(run, out, inner)
 
 
-def _flush(run: list, out: list) -> None:
+def _flush(run: list, out: list, own: bool) -> None:
     text = " ".join("".join([t for t, _ in run]).split())
     if text:
-        out.append((text, [(p, _slot(t)) for t, p in run if t.strip()]))
+        out.append((text, [(p, _slot(t)) for t, p in run if t.strip()], own))
     run.clear()
 
 
 def _regions(root: Node):
-    """(rank, weak, node, path) of candidate article regions outside skipped ones; one below another of its rank adds nothing.
+    """(rank, weak, node, path) of candidate article regions outside skipped ones, in page order; one below another of its rank, or
+    below an article or main element, adds nothing.
 
-    Weak ones lie in a worded element; that is left out unless it holds an article or most of the page's text.
+    Weak ones lie in a worded element or have such a name; that is left out unless it holds an article or most of the page's text.
     """
     todo = [(root, "/#root", False, 0, False)]
     while todo:
         node, path, inside, above, weak = todo.pop()
         if node is not root:
             rank = 3 if node.tag == "article" or node.role == "article" else 2 if node.tag == "main" or node.role == "main" else 1 if node.names and _MAIN_WORD.search(node.names) and node.tag in ("div", "section", "td") else 0
-            if rank > above:
-                yield rank, weak, node, path
+            if rank > above and above < 2:
+                yield rank, weak or bool(node.names) and (_by_readers(node) or bool(_SKIP_WORDS.search(_STATE.sub(" ", node.names)))), node, path
             inside, above = inside or rank >= 2, max(above, rank)
         for kid in reversed(node.kids):
-            if kid.tag != "#" and not _skipped(kid, inside):
+            if kid.tag != "#" and not _skipped(kid, inside) and (kid.tag == "article" or not _by_readers(kid)):
                 named = _worded(kid)
                 if not named or kid.main or not _furniture(kid, inside, root.size):
                     todo.append((kid, _at(path, f"{kid.tag}.{kid.names}" if kid.names else kid.tag), inside, above, weak or named))
 
 
 def main_text(page: str, fixed: set[tuple[str, str]] | dict[str, str]) -> str:
-    """Blocks of the page's article, without what the host's wrapper holds constant."""
+    """Blocks of the page's articles, without what the host's wrapper holds constant around them.
+
+    All article and main elements of the page, in page order; where none has text, the longest of the regions that are named
+    like content, or else the page. A main element with articles in it is theirs and what else it holds.
+    """
     root = parse(page)
     fixed = set(fixed.items()) if isinstance(fixed, dict) else fixed
     if any(t[:1] == "\x01" for _, t in fixed):
@@ -411,7 +463,7 @@ def main_text(page: str, fixed: set[tuple[str, str]] | dict[str, str]) -> str:
     _measure(root, fixed)
     regions = list(_regions(root))
     best: list = []
-    order = lambda rank, weak: (rank >= 2, not weak, rank)
+    order = lambda rank, weak: (rank >= 2, not weak, min(rank, 2))
     ranks = sorted({order(r, w) for r, w, *_ in regions}, reverse=True) or [None]
     for top in ranks:
         inside = bool(top and top[0])
@@ -420,12 +472,15 @@ def main_text(page: str, fixed: set[tuple[str, str]] | dict[str, str]) -> str:
         for node, path in [(n, p) for r, w, n, p in regions if order(r, w) == top] or [(root, "/#root")]:
             out: list = []
             run: list = []
-            _run(_blocks(node, path, inside, node.size, fixed, out, run))
-            _flush(run, out)
-            if sum(len(t) for t, _ in out) > sum(len(t) for t, _ in best):
+            own = inside and (node.tag == "article" or node.role == "article" or not node.main)  # a main element without an article in it is the article
+            _run(_blocks(node, path, inside, node.size, fixed, out, run, own))
+            _flush(run, out, own)
+            if inside:
+                best += out
+            elif sum(len(t) for t, *_ in out) > sum(len(t) for t, *_ in best):
                 best = out
-    own = [t for t, parts in best if not all(p is None or (p, t2) in fixed for p, t2 in parts)]
-    return "\n".join(own or [t for t, _ in best])
+    kept = [t for t, parts, own in best if own or not all(p is None or (p, t2) in fixed for p, t2 in parts)]
+    return "\n".join(kept or [t for t, *_ in best])
 
 
 def host_of(url: Column) -> Column:

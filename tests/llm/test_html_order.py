@@ -67,7 +67,7 @@ def test_matching_is_a_longest_common_subsequence():
 
 
 def test_joined_templates_and_clashing_columns(spark):
-    rows = [(k, f"https://a.example.org/{k}" if k else None, f"<article><p>Body {k}</p><p class=s>Sub{'scribe' if k else ''}</p></article>" if k != 5 else None, "x", 1, "y", 2) for k in range(12)]
+    rows = [(k, f"https://a.example.org/{k}" if k else None, f"<div class=post><p>Body {k}</p><p class=s>Sub{'scribe' if k else ''}</p></div>" if k != 5 else None, "x", 1, "y", 2) for k in range(12)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, wrapper string, salt int, fixed string, host int")
     a, b = ({r.page_id: r.text for r in H.extract(df, broadcast_bytes=n).collect()} for n in (1 << 20, 0))
     assert a == b and a[5] == "" and a[1] == "Body 1" and a[0] == "Body 0\nSub"
