@@ -611,15 +611,16 @@ def all_verdicts(t):
     return rows.where(R.all_true(F.col("v")) & R.none_false(F.col("s"))).select("doc_id")
 
 
-@query(None)
+@query("SELECT p_brand, min(p_partkey) AS head, CAST(count(*) AS INTEGER) AS n FROM part GROUP BY p_brand, left(p_type, 2)")
 def hierarchical_groups(t):
+    """Parts of a brand grouped by the beginning of their type, twelve at a time, until a brand's groups fit one batch."""
     def by_letter(texts):
         found: dict[str, list[int]] = {}
         for i, x in enumerate(texts):
             found.setdefault(x[:2], []).append(i)
         return list(found.values())
 
-    got = R.group_rounds(t("part").select("p_brand", "p_partkey", "p_type"), "p_brand", "p_partkey", "p_type", by_letter)
+    got = R.group_rounds(t("part").select("p_brand", "p_partkey", "p_type"), "p_brand", "p_partkey", "p_type", by_letter, depth=20)
     return got.select("p_brand", "head", F.size("members").alias("n"))
 
 

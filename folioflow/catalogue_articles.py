@@ -395,8 +395,8 @@ def results_of_source(t):
 @query("SELECT pos, o_orderkey, o_totalprice FROM (SELECT row_number() OVER (ORDER BY c_custkey DESC) - 1 AS pos, c_custkey AS k FROM customer) JOIN orders ON o_orderkey = k")
 def lookup_in_order(t):
     """Rows of a list of ids, in the list's order."""
-    ids = [r[0] for r in t("customer").select("c_custkey").orderBy(F.desc("c_custkey")).collect()]
-    return S.by_ids(t("orders").select("o_orderkey", "o_totalprice"), ids, "o_orderkey").select("pos", "o_orderkey", "o_totalprice")
+    ids = t("customer").select("c_custkey", (-F.col("c_custkey")).alias("o"))
+    return S.by_ids(t("orders").select("o_orderkey", "o_totalprice"), ids, "o_orderkey", "o").select("pos", "o_orderkey", "o_totalprice")
 
 
 @query("SELECT '{\"model_name\": \"m\", \"instruction\": \"i\", \"db_name\": \"d\"}' AS line, 0 AS pos UNION ALL SELECT '{\"doi\":\"10.1/' || o_orderkey || '\",\"status\":\"' || o_orderstatus || '\"}', row_number() OVER (ORDER BY o_orderkey) FROM orders")

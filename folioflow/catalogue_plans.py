@@ -155,7 +155,7 @@ def full_text_rows(t):
     return got.select(F.col("source").cast("long").alias("p_partkey"), "type_", "page_content")
 
 
-@query(f"WITH {_LABELLED}, u AS (SELECT source, para_id, page_content, unnest(labels) AS property FROM l) SELECT property, '<h2>' || property || '</h2>' || string_agg('<p><b>' || source || '</b> ' || replace(replace(replace(replace(page_content, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(10), '<br>') || '</p>', '' ORDER BY source, para_id) AS html FROM u GROUP BY property")
+@query(f"WITH {_LABELLED}, u AS (SELECT source, para_id, page_content, unnest(labels) AS property FROM l) SELECT DISTINCT property, NULL AS source, '<h2>' || property || '</h2>' AS html FROM u UNION ALL SELECT property, source, string_agg('<p><b>' || source || '</b> ' || replace(replace(replace(replace(page_content, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(10), '<br>') || '</p>', '' ORDER BY para_id) AS html FROM u GROUP BY property, source")
 def label_pages(t):
     return K.label_html(L.label_paper(_paper(t), gates=GATES))
 

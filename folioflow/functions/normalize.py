@@ -36,9 +36,18 @@ def _value(value: Column, unit: Column) -> Column:
     return F.named_struct(F.lit("value"), value, F.lit("unit"), unit)
 
 
+def once(c: Column, then) -> Column:
+    """then(c) with c worked out once, however often then names it; written out, the expression would be repeated, and the code made
+    of it grows beyond what one method can hold."""
+    return F.transform(F.array(c), then)[0]
+
+
 def value_unit(c: Column) -> Column:
     """struct(value, unit) of "10-20 nm" (mean), "15 ± 2 nm", "> 30 nm", "~15 µm", "3.5µm"; null if nothing parses."""
-    s = plain_characters(c)
+    return once(plain_characters(c), _parsed)
+
+
+def _parsed(s: Column) -> Column:
     low, high = _number(s, RANGE, 1), _number(s, RANGE, 2)
     tries = [F.when(low.isNotNull() & high.isNotNull(), _value((low + high) / 2, F.trim(F.regexp_extract(s, RANGE, 3))))]
     for _, p in VALUE_PATTERNS:
@@ -53,15 +62,13 @@ def _factor(unit: Column, table: dict[str, float]) -> Column:
 
 def grain_size_um(c: Column) -> Column:
     """Grain size in µm; the unit found is looked up with its own case, so "NM" gives null."""
-    v = value_unit(c)
-    unit = F.nullif(F.regexp_extract(v["unit"], GRAIN_UNIT, 1), F.lit(""))
-    return v["value"] * _factor(unit, GRAIN_UM)
+    unit = lambda v: F.nullif(F.regexp_extract(v["unit"], GRAIN_UNIT, 1), F.lit(""))
+    return once(value_unit(c), lambda v: v["value"] * _factor(unit(v), GRAIN_UM))
 
 
 def strength_mpa(c: Column) -> Column:
-    v = value_unit(c)
-    unit = F.nullif(F.lower(F.regexp_extract(v["unit"], STRENGTH_UNIT, 1)), F.lit(""))
-    return v["value"] * _factor(unit, STRENGTH_MPA)
+    unit = lambda v: F.nullif(F.lower(F.regexp_extract(v["unit"], STRENGTH_UNIT, 1)), F.lit(""))
+    return once(value_unit(c), lambda v: v["value"] * _factor(unit(v), STRENGTH_MPA))
 
 
 def temperature_c(c: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize as N
 from ..functions.formula import n_elements, normalise_formula
+from ..sources.store import stored
+from .documents import with_places
 
 
 def group_by_rule(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
@@ -180,7 +182,8 @@ def strength_rows(df: DataFrame, test_type: str) -> DataFrame:
 def mechanical_rows(df: DataFrame, test_type: str) -> DataFrame:
     """Rows of mechanical properties: entries with a temperature that parses and a yield strength or strain, kept if any of yield strength, tensile strength and strain parses."""
     out = _entries(df, test_type).where(_filled(F.col("s.ys")) | _filled(F.col("s.strain")))
-    out = out.withColumn("yield_strength_mpa", N.strength_mpa(F.col("s.ys"))).withColumn("ultimate_tensile_strength_mpa", N.strength_mpa(F.col("s.uts"))).withColumn("strain", N.strain(F.col("s.strain")))
+    parsed = F.struct(N.strength_mpa(F.col("s.ys")).alias("yield_strength_mpa"), N.strength_mpa(F.col("s.uts")).alias("ultimate_tensile_strength_mpa"), N.strain(F.col("s.strain")).alias("strain"))
+    out = out.select("*", F.inline_outer(F.array(parsed)))  # a generator's columns are not written out again in the filter on them
     out = out.where(F.coalesce("yield_strength_mpa", "ultimate_tensile_strength_mpa", "strain").isNotNull())
     return out.select("doi", "composition_raw", "composition", "grain_size_um", "yield_strength_mpa", "ultimate_tensile_strength_mpa", "strain", "temperature_c", "strain_rate", "synthesis_steps")
 
@@ -241,24 +244,32 @@ def batches(df: DataFrame, key: str, order: Column, size: int = 12) -> DataFrame
 
 def group_rounds(df: DataFrame, key: str, pos: str, item: str, group, size: int = 12, depth: int = 3, seed: int = 7) -> DataFrame:
     """Hierarchical grouping: batches of a key's items go through `group` (a list of texts to lists of indices), the first
-    of each group stands for it in the next round. A key whose items fit one batch is done after that round, at the latest
-    after depth rounds. Rows: key, head, members."""
-    kind = dict(df.dtypes)[key]
-    now = df.select(key, F.col(pos).alias("head"), F.array(F.col(pos)).alias("members"), F.col(item).alias("text"))
-    schema = f"{key} {kind}, head long, members array<long>, text string"
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("head").reset_index(drop=True)
-        rows = []
-        for ids in group(list(pdf["text"])):
-            own = pdf.iloc[sorted(ids)]
-            rows.append((own[key].iloc[0], int(own["head"].iloc[0]), sorted(int(m) for ms in own["members"] for m in ms), own["text"].iloc[0]))
-        return pd.DataFrame(rows, columns=[key, "head", "members", "text"])
+    of each group stands for it in the next round. Rows: key, head, members.
+
+    A key whose items fit one batch is done after that round, at the latest after `depth` rounds; only open keys go on, and the
+    rounds end when none is open. Items are dealt to batches by their hashes with the seed and the round, so the same table gives
+    the same groups; places are numbered over ranges, so a key with very many items is no single task's. A round is
+    written before the next one reads it. Items that group leaves out of all groups are gone, an item in two groups is in both.
+    """
+    now = df.select(key, F.col(pos).cast("long").alias("head"), F.array(F.col(pos).cast("long")).alias("members"), F.col(item).alias("text"))
 
+    @F.pandas_udf("array<array<int>>")
+    def grouped(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda own: [sorted(int(i) for i in ids) for ids in group(list(own))])
+
+    own = F.struct("head", "members", "text")
+    picked = F.transform("_ids", lambda i: F.element_at("_items", i + 1))
     done = None
     for k in range(depth):
-        dealt = batches(now, key, F.xxhash64("head", F.lit(seed + k)), size).withColumn("_last", F.max("batch").over(Window.partitionBy(key)) == 0)
-        last = dealt.where("_last").drop("_last").groupBy(key, "batch").applyInPandas(one, schema)
-        done = last if done is None else done.unionByName(last)
-        now = dealt.where("NOT _last").drop("_last").groupBy(key, "batch").applyInPandas(one, schema)
+        dealt = with_places(now.withColumn("_h", F.xxhash64("head", F.lit(seed + k))), "_h", "head", key=key).withColumn("batch", F.floor(F.col("place") / size))
+        batch = dealt.groupBy(key, "batch").agg(F.array_sort(F.collect_list(own)).alias("_items"))  # `size` items at most
+        out = batch.withColumn("_g", grouped(F.transform("_items", lambda x: x["text"]))).select(key, "batch", "_items", F.explode("_g").alias("_ids")).where(F.size("_ids") > 0)
+        out = out.select(key, "batch", picked.alias("_own")).select(key, "batch", F.col("_own")[0]["head"].alias("head"), F.array_sort(F.flatten(F.transform("_own", lambda x: x["members"]))).alias("members"), F.col("_own")[0]["text"].alias("text"))
+        out = stored(out, "grouped")
+        several = out.where("batch > 0").select(F.col(key).alias("_k")).distinct()
+        ended = out.join(several, F.col(key).eqNullSafe(F.col("_k")), "left_anti").drop("batch")
+        done = ended if done is None else done.unionByName(ended)
+        now = out.join(several, F.col(key).eqNullSafe(F.col("_k")), "left_semi").drop("batch")
+        if now.isEmpty():
+            break
     return done.unionByName(now).select(key, "head", "members")

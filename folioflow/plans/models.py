@@ -5,13 +5,16 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_WORD = re.compile(r"[^\W_]+")
 _PROPERTY = {"ys": r"(\d+(?:\.\d+)?)\s*MPa", "strain": r"(\d+(?:\.\d+)?)\s*%", "temperature": r"(-?\d+(?:\.\d+)?)\s*°?\s*[CK]\b"}
 
 
@@ -67,3 +70,50 @@ def embedder(dims: int = 64):
         return texts.map(one)
 
     return embed
+
+
+#: Buckets of words whose frequencies are learned.
+_WORDS = 1 << 16
+
+
+def _signs(word: str, dims: int) -> np.ndarray:
+    """The word's own direction: one of the corners of a cube, by its digest."""
+    bits = b"".join(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=64, salt=i.to_bytes(8, "little")).digest() for i in range(-(-dims // 512)))
+    return np.unpackbits(np.frombuffer(bits, np.uint8))[:dims].astype(np.float32) * 2 - 1
+
+
+def word_weights(docs: DataFrame, text: str, buckets: int = _WORDS) -> np.ndarray:
+    """How much a word of each bucket says: the logarithm of how few of docs have one, from one aggregation of `buckets` rows."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    found = docs.where(F.col(text).isNotNull()).select(F.array_distinct(F.transform(words, lambda w: F.pmod(F.crc32(w), F.lit(buckets)).cast("int"))).alias("b"))
+    n = found.count()
+    have = np.zeros(buckets)
+    for bucket, k in found.select(F.explode("b").alias("b")).groupBy("b").count().collect():  # `buckets` rows at most
+        have[bucket] = k
+    return np.log((1 + n) / (1 + have)).astype(np.float32)
+
+
+def learned_embedder(docs: DataFrame, text: str = "page_content", dims: int = 64):
+    """An embedding learned from docs: a text is the sum of its words' directions, each weighted by the logarithm of its count and by
+    how rare it is in docs, of length 1; texts without words are zero. Two texts' dot product estimates how much of the weight of
+    their words they share, whatever the number of words."""
+    sent = docs.sparkSession.sparkContext.broadcast(word_weights(docs, text))
+
+    @F.pandas_udf("array<float>")
+    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weights, known = sent.value, {}
+        for texts in batches:
+            out = []
+            for value in texts:
+                total = np.zeros(dims, np.float32)
+                for word, n in Counter(_WORD.findall((value or "").lower())).items():
+                    if word not in known:
+                        if len(known) > 100_000:
+                            known.clear()
+                        known[word] = weights[zlib.crc32(word.encode("utf-8", "surrogatepass")) % len(weights)] * _signs(word, dims)
+                    total += (1 + np.log(n)) * known[word]
+                length = np.linalg.norm(total)
+                out.append((total / length if length else total).tolist())
+            yield pd.Series(out, dtype=object)
+
+    return embed

@@ -129,10 +129,14 @@ def located(vectors: DataFrame, **metadata) -> DataFrame:
     return vectors
 
 
-def by_ids(rows: DataFrame, ids: list, key: str) -> DataFrame:
-    """Rows of the ids with their place in the list (pos); an id that is listed twice comes twice."""
-    spark = rows.sparkSession
-    listed = spark.createDataFrame(pd.DataFrame({"pos": range(len(ids)), "_id": ids}) if ids else [], T.StructType([T.StructField("pos", T.LongType()), T.StructField("_id", rows.schema[key].dataType)]))
+def by_ids(rows: DataFrame, ids: list | DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Rows of the ids with their place in the list (pos); an id that is listed twice comes twice. ids is a list, or a table of them
+    (in its first column) with the column that orders it; the table's places are numbered over ranges and never gathered."""
+    if isinstance(ids, DataFrame):
+        listed = with_places(ids, order).select(F.col(ids.columns[0]).alias("_id"), F.col("place").alias("pos"))
+    else:
+        schema = T.StructType([T.StructField("pos", T.LongType()), T.StructField("_id", rows.schema[key].dataType)])
+        listed = rows.sparkSession.createDataFrame(pd.DataFrame({"pos": range(len(ids)), "_id": ids}) if ids else [], schema)
     return rows.join(listed, F.col(key) == F.col("_id")).drop("_id")
 
 

@@ -111,12 +111,19 @@ def marked(text: Column, spans: Column) -> Column:
 
 
 def label_html(paras: DataFrame, labels: str = "property_types") -> DataFrame:
-    """(property, html): the labelled paragraphs of each property under its name, in order; a paragraph stands once in each."""
-    rows = paras.select(F.explode(labels).alias("property"), "source", "para_id", "page_content")
-    item = F.struct("source", "para_id", "page_content")
-    got = rows.groupBy("property").agg(F.array_sort(F.collect_list(item)).alias("a"))
-    line = lambda x: F.concat(F.lit("<p><b>"), escape_html(x["source"]), F.lit("</b> "), escape_html(x["page_content"]), F.lit("</p>"))
-    return got.select("property", F.concat(F.lit("<h2>"), escape_html(F.col("property")), F.lit("</h2>"), F.array_join(F.transform("a", line), "")).alias("html"))
+    """(property, source, html): a head under each property's name, without a source, and one piece for each paper that has it: its
+    labelled paragraphs in order, each once. Pieces sorted by property and source, the head first, make the page."""
+    rows = paras.select(F.explode(F.array_distinct(labels)).alias("property"), "source", "para_id", "page_content")
+    got = rows.groupBy("property", "source").agg(F.array_sort(F.collect_list(F.struct("para_id", "page_content"))).alias("a"))  # a paper's paragraphs
+    line = F.transform("a", lambda x: F.concat(F.lit("<p><b>"), escape_html(F.col("source")), F.lit("</b> "), escape_html(x["page_content"]), F.lit("</p>")))
+    heads = rows.select("property").distinct().select("property", F.lit(None).cast("string").alias("source"), F.concat(F.lit("<h2>"), escape_html(F.col("property")), F.lit("</h2>")).alias("html"))
+    return heads.unionByName(got.select("property", F.col("source").cast("string").alias("source"), F.array_join(line, "").alias("html")))
+
+
+def write_label_html(paras: DataFrame, path: str, labels: str = "property_types") -> None:
+    """label_html() as text files below path, one folder for each property, its pieces in order."""
+    rows = label_html(paras, labels).repartitionByRange("property", "source").sortWithinPartitions("property", F.col("source").asc_nulls_first())
+    rows.select("property", F.col("html").alias("value")).write.mode("overwrite").partitionBy("property").text(path)
 
 
 def labelled(paras: DataFrame, path: str) -> None:
@@ -170,7 +177,7 @@ def parsed_articles(raw: DataFrame, parse, skip: DataFrame | None = None, limit:
 
 
 def status_report(df: DataFrame, status: str = "status", key: str = "key") -> DataFrame:
-    """(status, n, failed keys as one text, at most 1000)."""
-    got = df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
-    failed = df.where(F.col(status) == "failed").orderBy(key).limit(1000).agg(F.array_join(F.array_sort(F.collect_list(F.col(key).cast("string"))), "\n").alias("failed"))
-    return got.withColumn("failed", F.when(F.col(status) == "failed", failed.scalar()))
+    """(status, n, key): a row with the count of each status, and one for each failed key."""
+    counts = df.groupBy(status).agg(F.count(F.lit(1)).alias("n")).select(F.col(status).alias("status"), "n", F.lit(None).cast("string").alias("key"))
+    failed = df.where(F.col(status) == "failed").select(F.lit("failed").alias("status"), F.lit(None).cast("long").alias("n"), F.col(key).cast("string").alias("key"))
+    return counts.unionByName(failed)

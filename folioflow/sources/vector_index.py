@@ -43,7 +43,11 @@ def cell_centres(rows: DataFrame, column: str, key: str, cells: int | None = Non
     n = rows.count()
     cells = min(CELLS, max(1, round(math.sqrt(n)))) if cells is None else cells
     some = rows.orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(SAMPLE * cells).select(array_to_vector(F.col(column).cast("array<double>")).alias("v"))
-    return np.array(KMeans(k=cells, featuresCol="v", seed=seed, maxIter=10).fit(stored(some, "sample")).clusterCenters()) if n else np.zeros((0, 0))
+    if not n:
+        return np.zeros((0, 0))
+    if cells == 1:  # k-means takes two at least
+        return np.zeros((1, rows.select(F.size(column)).first()[0]))
+    return np.array(KMeans(k=cells, featuresCol="v", seed=seed, maxIter=10).fit(stored(some, "sample")).clusterCenters())
 
 
 def _nearness(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
