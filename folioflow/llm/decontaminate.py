@@ -118,12 +118,15 @@ def _contamination(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str
         own = own.join(small(hashes.where(F.col("n") == n).select("hash")), "hash", "left_semi")
         own = own.select("doc_id", "h", "at", F.lit(n).alias("n"), F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("window"))
         spots = own if spots is None else spots.union(own)
-    hits = spots.join(small(windows.select("n", "window", "item_id")), ["n", "window"])
+    # Positions meet distinct windows; the items that have these are found once for each text, however many of them are equal.
+    hits = ws.table(spots.join(small(windows.select("n", "window").distinct()), ["n", "window"], "left_semi"), "hits")
+    items_of = hits.select("doc_id", "h", "n", "window").distinct().join(small(windows.select("n", "window", "item_id")), ["n", "window"])
+    items_of = items_of.groupBy("doc_id", "h").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids")).select(F.col("doc_id").alias("_i"), F.col("h").alias("_g"), "ids")
     covered = lambda acc, x: F.struct(
         (acc["n"] + F.greatest(F.lit(0), x["at"] + x["n"] - F.greatest(acc["end"], x["at"]))).cast("long").alias("n"), F.greatest(acc["end"], x["at"] + x["n"]).alias("end")
     )
-    per_doc = hits.groupBy("doc_id", "h").agg(F.collect_set(F.struct("at", "n")).alias("spots"), F.collect_set(F.col("item_id").cast("string")).alias("ids"))
-    per_doc = per_doc.select(
+    per_doc = hits.groupBy("doc_id", "h").agg(F.collect_set(F.struct("at", "n")).alias("spots"))
+    per_doc = per_doc.join(items_of, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_g"))).select(
         F.col("doc_id").alias("_id"),
         F.col("h").alias("_h"),
         F.aggregate(F.array_sort("spots"), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")), covered)["n"].alias("hit"),

@@ -138,8 +138,9 @@ def _predictor(model: Model):
     return run
 
 
-def train(docs: DataFrame, sample_docs: int = 200) -> Model:
-    """Learn from at most sample_docs documents of each language among the rows held in, those with the smallest hashes."""
+def train(docs: DataFrame, sample_docs: int = 200, sample_bytes: int = 8 << 20) -> Model:
+    """Learn from at most sample_docs documents of each language among the rows held in, those with the smallest hashes, as long as
+    their texts together hold at most sample_bytes; a document that alone holds over a quarter of that is passed over."""
     spark = docs.sparkSession
     usable = docs.where(F.col("lang").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2)).select("doc_id", "lang")
     counts = usable.groupBy("lang").count()
@@ -149,7 +150,10 @@ def train(docs: DataFrame, sample_docs: int = 200) -> Model:
     few = usable.join(F.broadcast(counts), "lang").where(u < rate)  # one row for each language
     few = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id"))).where(F.col("rank") <= sample_docs)
     ids = spark.createDataFrame(few.select("doc_id").distinct().collect(), "doc_id long")
-    rows = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL").join(F.broadcast(ids), "doc_id").orderBy("doc_id").collect()
+    rows = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL").join(F.broadcast(ids), "doc_id")
+    rows = rows.withColumn("_n", F.coalesce(F.octet_length("text"), F.lit(0))).where(F.col("_n") <= sample_bytes // 4)
+    so_far = F.sum("_n").over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", F.xxhash64("text")))
+    rows = rows.withColumn("_s", so_far).where(F.col("_s") <= sample_bytes).orderBy("doc_id").select("lang", "text").collect()
     texts: dict[str, list[str]] = {}
     for r in rows:
         texts.setdefault(r["lang"], []).append(r["text"] or "")
@@ -160,7 +164,9 @@ def identify(docs: DataFrame, sample_docs: int = 200, model: Model | None = None
     """One row per input row: doc_id, held_out, lang_pred, score.
 
     Texts that are null or have no letter are `und` with score 0, as is every text when no language was learned. The
-    score is the winner's share of the probabilities that the languages give the whole text. Extra columns are ignored.
+    score is the winner's share of the probabilities that the languages give the whole text, read to its end however long it is;
+    of languages that give it the same, the first by name wins. Rows are judged by their text alone, so repeated rows and ids, and
+    rows without an id (not held out), fare like any other. An empty table gives an empty result; extra columns are ignored.
     """
     model = model or train(docs, sample_docs)
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_predictor(model), "doc_id long, lang_pred string, score double")

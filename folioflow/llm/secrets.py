@@ -56,8 +56,9 @@ def _gaps(kind: str, pattern: str, group: int) -> Column:
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int | None = None) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
-    A null text is empty and has no spans; repeated rows are each scanned; extra columns are ignored; an empty table
-    gives an empty result. Offsets are code points, ends exclusive.
+    A null text is empty and has no spans; texts of any length are scanned whole; rows are scanned one by one, so repeated rows and
+    rows without an id or with that of others get their own spans; extra columns are ignored; an empty table gives an empty result.
+    Offsets are code points, ends exclusive. Parts that are equally near are both before and after; either makes the link.
     """
     ws = Workspace(docs.sparkSession, "secrets")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -135,3 +135,33 @@ def test_secrets_link_over_the_whole_scope(spark):
     docs = spark.createDataFrame([(1, f"ASIA1234567890ABCDEF {far} password=hunter2222"), (2, f"ASIA1234567890ABCDEF\n\n{far} password=hunter2222"), (None, None)], "doc_id long, text string")
     got = {r.doc_id: r.spans.count("weak_access") for r in secrets.find_secrets(docs).collect()}
     assert got == {1: 1, 2: 0, None: 0}
+
+
+def test_equal_items_and_an_empty_benchmark(spark):
+    item = " ".join(f"b{k}" for k in range(20))
+    bench = spark.createDataFrame([(k, item) for k in range(50)] + [(99, "b1 b2 b3")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{item} {item} {item}"), (2, "x b1 b2 b3 y"), (3, None)], "doc_id long, text string")
+    for broadcast in (64 << 20, 0):
+        got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.contamination(docs, bench, broadcast_bytes=broadcast).collect()}
+        assert got == {1: (60, 51, True), 2: (3, 1, True), 3: (0, 0, False)}
+        none = decontaminate.contamination(docs, bench.limit(0), broadcast_bytes=broadcast).collect()
+        assert sorted((r.doc_id, r.n_hit, r.n_items, r.contaminated) for r in none) == [(1, 0, 0, False), (2, 0, 0, False), (3, 0, 0, False)]
+
+
+def test_secrets_of_rows_without_ids_and_long_texts(spark):
+    far = "filler words " * 200_000
+    docs = spark.createDataFrame([(None, "token = abcdef123"), (None, "token = abcdef123"), (1, f"{far} password: hunter2222 {far}"), (2, "")], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_assign) for r in secrets.find_secrets(docs).collect())
+    assert got == [(0, 1), (0, 1), (1, 1), (2, 0)]
+
+
+def test_languages_by_text_alone(spark):
+    rows = [(k, f"kato miro suna {k}", "aa") for k in range(40)] + [(100 + k, f"blurg vroth zekk {k}", "bb") for k in range(40)]
+    rows += [(None, "kato miro", "bb"), (7, "blurg zekk vroth", None), (7, "kato miro suna 7", "aa"), (8, "blurg vroth " * 100_000, None), (9, "12 34", None), (10, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("doc_id", "text", "lang", "'x' AS lang_pred", "1 AS score")
+    got = [(r.doc_id, r.held_out, r.lang_pred) for r in language.identify(docs).collect()]
+    assert len(got) == len(rows) and (None, False, "aa") in got and {p for i, _, p in got if i == 7} == {"aa", "bb"}
+    assert {p for i, _, p in got if i == 8} == {"aa", "bb"} and {p for i, _, p in got if i in (9, 10)} >= {"und"}
+    assert language.identify(docs.limit(0)).count() == 0
+    model = language.train(docs.unionByName(docs.select(F.lit(500).cast("long").alias("doc_id"), F.repeat(F.lit("blurg "), 4000).alias("text"), F.lit("aa").alias("lang"), "lang_pred", "score").limit(1)), sample_bytes=4000)
+    assert model.langs == ["aa", "bb"]
