@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from folioflow import catalogue, catalogue_articles, catalogue_plans, catalogue_search, catalogue_stores  # noqa: F401
+from folioflow import catalogue, catalogue_articles, catalogue_flows, catalogue_plans, catalogue_search, catalogue_stores  # noqa: F401
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
