@@ -18,7 +18,8 @@ there. The driver gets the terms that pass the thresholds and six numbers for ea
 from __future__ import annotations
 
 import math
-from collections import Counter
+import re
+from collections import Counter, deque
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -39,6 +40,7 @@ _MOST_SEEN, _MOST_COUNTED = 120_000, 50_000
 SIZE = 8  # features
 _APART = 0.6
 _STEM = (4, 8)  # letters of stems
+_RUN, _GAP = 1 << 20, re.compile(r"\s")
 
 
 class Lexicon:
@@ -134,70 +136,113 @@ class Scorer:
         self.lexicon, self.clean, self.hits = lexicon, set(), {}
 
     def features(self, text: str) -> list[float]:
-        words = text.lower().split()
-        own = set(words)
-        for w in own - self.clean:
-            if w not in self.hits:
-                bare = w.strip(_EDGE)
-                if kind := self.lexicon.match(bare) or 3 * self.lexicon.weakly(bare):
-                    self.hits[w] = kind
-                else:
-                    self.clean.add(w)
-        found = own & self.hits.keys()
-        if len(self.clean) > _MOST_SEEN:
-            self.clean.clear()
-        exact = fuzzy = aside = densest = weak = 0
-        forms = set()
-        if found:
-            inside, spots = quoted(words), []
-            for i, w in enumerate(words):
-                if w in found:
-                    if self.hits[w] == 3:
-                        if not inside[i]:
-                            weak += 1
-                            forms.add(w.strip(_EDGE))
-                    elif inside[i]:
-                        aside += 1
+        n, some = 0, False
+        for words in _runs(text):
+            n += len(words)
+            own = set(words)
+            for w in own - self.clean:
+                if w not in self.hits:
+                    bare = w.strip(_EDGE)
+                    if kind := self.lexicon.match(bare) or 3 * self.lexicon.weakly(bare):
+                        self.hits[w] = kind
                     else:
-                        spots.append(i)
-                        exact, fuzzy = exact + (self.hits[w] == 1), fuzzy + (self.hits[w] == 2)
-            low = 0
-            for high, i in enumerate(spots):
-                while spots[low] <= i - SPAN:
-                    low += 1
-                densest = max(densest, high - low + 1)
+                        self.clean.add(w)
+            some = some or not own.isdisjoint(self.hits)
+            if len(self.clean) > _MOST_SEEN:
+                self.clean.clear()
+        exact = fuzzy = aside = densest = weak = 0
+        forms: set[str] = set()
+        if some:
+            near: deque[int] = deque()  # the last terms outside quotations, SPAN words at most
+            for i, w, inside in self._settled(text):
+                kind = self.hits[w]
+                if kind == 3:
+                    if not inside:
+                        weak += 1
+                        forms.add(w.strip(_EDGE))
+                elif inside:
+                    aside += 1
+                else:
+                    exact, fuzzy = exact + (kind == 1), fuzzy + (kind == 2)
+                    near.append(i)
+                    while near[0] <= i - SPAN:
+                        near.popleft()
+                    densest = max(densest, len(near))
         if len(self.hits) > _MOST_SEEN:
             self.hits.clear()
-        share = (exact + fuzzy) / len(words) if words else 0.0
+        share = (exact + fuzzy) / n if n else 0.0
         weight = exact + 0.7 * fuzzy  # a misspelled term counts a little less
         return [1.0, float(weight > 0), math.log1p(weight), math.log1p(aside), math.log1p(densest), min(1.0, 10 * share), math.log1p(weak), math.log1p(max(0, len(forms) - 1))]
 
-
-def quoted(words: list[str]) -> list[bool]:
-    """Which words stand in quotation marks: from a word that begins with a mark to the next one that ends with its counterpart.
+    def _settled(self, text: str):
+        """(place, word, whether in a quotation) of the words that hold a term, in order; those behind an opening mark wait until it is
+        closed or not."""
+        marks, waiting, base = Quotes(), [], 0
+        for words in _runs(text):
+            for i, w in enumerate(words, base):
+                run = None if w.isalpha() else marks.feed(i, w)
+                if marks.begun == i or marks.begun is None and run is None and waiting:  # what came before was no quotation
+                    yield from ((j, x, False) for j, x in waiting)
+                    waiting = []
+                if w in self.hits:
+                    waiting.append((i, w))
+                if run:
+                    yield from ((j, x, j >= run[0]) for j, x in waiting)
+                    waiting = []
+            base += len(words)
+        yield from ((j, x, False) for j, x in waiting)
+
+
+class Quotes:
+    """Quotation marks of a text, word by word: a quotation goes from a word that begins with a mark to the next one that ends with its
+    counterpart.
 
     A mark inside a word (don't) or at the end of one with nothing open (5") is none; one that opens again before it is
     closed starts anew, so a stray mark does not turn the rest of the text around.
     """
-    out = [False] * len(words)
-    begun = ends = None
-    for i, w in enumerate(words):
+
+    def __init__(self):
+        self.begun, self.ends = None, None
+
+    def feed(self, i: int, w: str) -> tuple[int, int] | None:
+        """The places of the quotation that the word closes."""
         if w.isalpha():
-            continue
+            return None
         first = w.lstrip(_BEFORE)[:1]
-        if first in _CLOSING and first and (ends is None or first not in ends or len(w) > 1 and w[-1:] not in ends):
-            begun, ends = i, _CLOSING[first]
+        if first in _CLOSING and first and (self.ends is None or first not in self.ends or len(w) > 1 and w[-1:] not in self.ends):
+            self.begun, self.ends = i, _CLOSING[first]
             if len(w.strip(_BEFORE + _AFTER)) == 1:
-                continue
+                return None
         tail = w.rstrip(_AFTER)[-1:]
-        if begun is not None and tail and tail in ends and (i > begun or len(w.strip(_BEFORE + _AFTER)) > 1):
-            out[begun : i + 1] = [True] * (i + 1 - begun)
-            begun = ends = None
+        if self.begun is not None and tail and tail in self.ends and (i > self.begun or len(w.strip(_BEFORE + _AFTER)) > 1):
+            run, self.begun, self.ends = (self.begun, i), None, None
+            return run
+        return None
+
+
+def quoted(words: list[str]) -> list[bool]:
+    """Which words stand in quotation marks."""
+    out, marks = [False] * len(words), Quotes()
+    for i, w in enumerate(words):
+        if run := marks.feed(i, w):
+            out[run[0] : i + 1] = [True] * (i + 1 - run[0])
     return out
 
 
+def _runs(text: str):
+    """The words of a text, lower-cased, in lists of about _RUN characters each: a very long text is never held as words."""
+    a, n = 0, len(text)
+    while a < n:
+        b = a + _RUN
+        if b < n:
+            gap = _GAP.search(text, b)
+            b = gap.start() if gap else n
+        yield text[a : min(b, n)].lower().split()
+        a = b
+
+
 def _bag(text: str | None) -> set[str]:
-    return {w.strip(_EDGE) for w in (text or "").lower().split()}
+    return {w.strip(_EDGE) for words in _runs(text or "") for w in words}
 
 
 def _terms(words: set[str]):
@@ -208,6 +253,20 @@ def _terms(words: set[str]):
             yield w[:k]
 
 
+def _first_places(text: str) -> dict[str, str]:
+    """The words on both sides of each word's first place."""
+    first: dict[str, str] = {}
+    before = last = None
+    for words in _runs(text):
+        for w in (w.strip(_EDGE) for w in words):
+            if last is not None and last not in first:
+                first[last] = f"{before or ''}\n{w}"
+            before, last = last, w
+    if last is not None and last not in first:
+        first[last] = f"{before or ''}\n"
+    return first
+
+
 def _again(words: set[str]) -> set[str]:
     """Stems that several of the words begin with, each with a + at its end."""
     seen, again = set(), set()
@@ -235,14 +294,10 @@ def _tally(batches):
     for batch in batches:
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if y:
-                first: dict[str, int] = {}
-                words = [w.strip(_EDGE) for w in (text.as_py() or "").lower().split()]
-                for i, w in enumerate(words):
-                    if w not in first:
-                        first[w] = i
+                first = _first_places(text.as_py() or "")
                 own: dict[str, int] = {}
-                for w, i in first.items():
-                    bit = 1 << (crc32(f"{' '.join(words[max(0, i - 1) : i])}\n{' '.join(words[i + 1 : i + 2])}".encode("utf-8", "surrogatepass")) & 63)
+                for w, around in first.items():
+                    bit = 1 << (crc32(around.encode("utf-8", "surrogatepass")) & 63)
                     for t in _terms((w,)):
                         own.setdefault(t, bit)
                 for t in _again(set(first)):

@@ -98,6 +98,27 @@ def test_rows_stand_alone(spark):
     assert (0, "a fine text") in kept and (None, None) in kept and (60, "") in kept and (None, "oh scoundrel") not in kept and not any("scoundrel" in (t or "") for _, t in kept)
 
 
+def test_long_texts_are_read_in_runs(monkeypatch):
+    """Features do not depend on where a text is cut into runs of words."""
+    import random
+
+    rng = random.Random(3)
+    lexicon = toxicity.Lexicon(["scoun"], ["idiot"], frozenset(), frozenset(["grumb"]))
+    parts = ["idiot", "idiott", '"idiot"', "scoundrel,", '"so', 'it"', "plain", "grumbaa", "(grumbbb)", "don't", "«", "»", '5"', "\n\n", "'a", "b'"]
+    for _ in range(200):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(0, 60)))
+        monkeypatch.setattr(toxicity, "_RUN", 1 << 20)
+        want, first = toxicity.Scorer(lexicon).features(text), toxicity._first_places(text)
+        words = text.lower().split()
+        inside = toxicity.quoted(words)
+        kinds = [lexicon.match(w.strip(toxicity._EDGE)) for w in words]
+        assert want[3] == math.log1p(sum(1 for k, q in zip(kinds, inside, strict=True) if k and q))
+        assert want[2] == math.log1p(sum({0: 0, 1: 1, 2: 0.7}[k] for k, q in zip(kinds, inside, strict=True) if not q)) or abs(want[2] - math.log1p(sum({0: 0, 1: 1, 2: 0.7}[k] for k, q in zip(kinds, inside, strict=True) if not q))) < 1e-9
+        for size in (1, 7, 40):
+            monkeypatch.setattr(toxicity, "_RUN", size)
+            assert toxicity.Scorer(lexicon).features(text) == want and toxicity._first_places(text) == first
+
+
 def test_weak_terms_speak_together(spark):
     """A stem that clean texts have once is no term; two words that begin with it are."""
     ends = [chr(97 + i) + chr(97 + j) for i in range(12) for j in range(12)]
