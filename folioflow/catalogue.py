@@ -226,7 +226,7 @@ def canonical_articles(t):
     return parse_articles(t("pages").select(F.col("page_id").cast("string").alias("source"), page.alias("content"))).drop("error")
 
 
-@query(None)
+@query("SELECT p_partkey, CAST(p_size AS VARCHAR) AS ys, '25' AS temperature, NULL::VARCHAR AS error FROM part")
 def model_extraction(t):
     rows = t("part").select("p_partkey", F.concat("p_name", F.lit(" reached "), "p_size", F.lit(" MPa at 25 °C")).alias("text"))
     got = extract(rows, "text")
@@ -455,7 +455,10 @@ def route_filter(t):
     return steps.select("conv_id", N.melted_route(F.col("s"), ["user"]).alias("loose"), N.melted_route(F.col("s"), ["user"], ["User", "Assistant"]).alias("strict"))
 
 
-@query(None)
+_SHARE = "regexp_replace(format('{{:.3f}}', {}), '[.]?0+$', '')"
+
+
+@query(f"SELECT p_partkey, 'Al' || {_SHARE.format('600 / (3 * g + 6)')} || ' Co' || {_SHARE.format('100 * g / (3 * g + 6)')} || ' Cr' || {_SHARE.format('100 * g / (3 * g + 6)')} || ' Ni' || {_SHARE.format('100 * g / (3 * g + 6)')} AS composition FROM (SELECT p_partkey, round(p_size / 3.0::DOUBLE, 3) AS g FROM part)")
 def formula_normalise(t):
     said = F.concat(F.lit("(CoCrNi)"), F.col("p_size").cast("string"), F.lit("Al6"))
     return t("part").select("p_partkey", normalise_formula(said).alias("composition"))

@@ -30,6 +30,10 @@ def scan_jsonl(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: Blocks that a paragraph cannot hold.
+_ENDS = frozenset(("p", "div", "table", "ul", "ol", "dl", "section", "article", "body", "html", "blockquote", "pre", "figure"))
+
+
 class _Canonical(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -37,12 +41,26 @@ class _Canonical(HTMLParser):
         self.path: list[tuple[str, str]] = []
         self.part = self.text = ""
         self.table: Table | None = None
-        self.head = False
+        self.head = self.open = False  # open: a paragraph is
+
+    def _paragraph(self):
+        text = " ".join(self.text.split())
+        if self.open and text and self.part == "abstract":
+            self.rows.append(("Abstract", text))
+        elif self.open and text and self.part == "sections":
+            self.rows.extend(("/".join(x for x in self.stack if x), c) for c in chunk(text))
+        self.open, self.text = False, ""
+
+    def close(self):
+        super().close()
+        self._paragraph()
 
     def handle_starttag(self, tag, attrs):
         own = dict(attrs).get("id", "") or ""
         if tag in ("br", "img", "meta", "link", "hr"):
             return
+        if self.open and self.table is None and (tag in _ENDS or tag in _HEADINGS):
+            self._paragraph()  # it ends where the next block begins
         self.path.append((tag, own))
         if tag == "div" and own in ("results", "abstract", "sections"):
             self.part = own
@@ -55,6 +73,7 @@ class _Canonical(HTMLParser):
         if tag in ("p", "title", "a") or tag in _HEADINGS:
             if tag != "a" or self.head:
                 self.text = ""
+            self.open = self.open or tag == "p" and self.table is None
 
     def handle_data(self, data):
         self.text += data
@@ -82,11 +101,9 @@ class _Canonical(HTMLParser):
         elif tag in _HEADINGS and self.part == "sections":
             k = _HEADINGS[tag]
             self.stack[k - 1 :] = [text] + [""] * (6 - k)
-        elif tag == "p" and self.part == "abstract" and text:
-            self.rows.append(("Abstract", text))
-        elif tag == "p" and self.part == "sections" and text:
-            self.rows.extend(("/".join(x for x in self.stack if x), c) for c in chunk(text))
-        if tag == "p" or tag in _HEADINGS:
+        if tag == "p" or self.open and tag in _ENDS:
+            self._paragraph()
+        elif tag in _HEADINGS:
             self.text = ""
 
 
