@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .operators.history import build_index, update_index
-from .plans.models import embedder
+from .plans.models import learned_embedder
 from .sources.articles import parse_articles
 from .sources.documents import article_files, load
 from .sources.publishers import parse_publisher_files
@@ -47,7 +47,8 @@ def main(argv: list[str] | None = None) -> None:
         docs = parse_articles(raw).where("error IS NULL").drop("error")
         print(update_index(spark, docs, args.store, args.record, args.namespace, F.current_timestamp(), None if args.cleanup == "none" else args.cleanup, args.force))
     else:
-        build_index(spark, raw, lambda df: load(df, args.full_text), args.store, embedder() if args.vectors else None)
+        embed = learned_embedder(load(raw, args.full_text).where("error IS NULL")) if args.vectors else None
+        build_index(spark, raw, lambda df: load(df, args.full_text), args.store, embed)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import content_uuid
@@ -25,9 +25,9 @@ def record_done(keys: DataFrame, key: str, namespace: str, status: str | None =
 
 
 def hashed(docs: DataFrame, text: str, order: str) -> DataFrame:
-    """First row of each distinct text, with its uid."""
-    w = Window.partitionBy("uid").orderBy(order)
-    return docs.withColumn("uid", content_uuid(F.col(text))).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    """First row of each distinct text, with its uid; rows are combined where they are read, so copies gather in no task."""
+    keyed = docs.select(content_uuid(F.col(text)).alias("uid"), F.struct(*docs.columns).alias("_row"), F.col(order).alias("_o"))
+    return keyed.groupBy("uid").agg(F.min_by("_row", "_o").alias("_row")).select("_row.*", "uid")
 
 
 def index_diff(new: DataFrame, old: DataFrame, cleanup: str | None = "incremental", source: str = "source") -> DataFrame:

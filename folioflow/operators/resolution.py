@@ -96,7 +96,8 @@ def resolve(records: DataFrame, partition: Callable[[list[dict]], list[list[int]
     return done, sizes.where(F.col("n") > most)
 
 
-def distinct_instructions(df: DataFrame, text: str) -> DataFrame:
-    """One row of each instruction, case, white space and marks at its ends apart."""
+def distinct_instructions(df: DataFrame, text: str, order: str | None = None) -> DataFrame:
+    """One row of each instruction, case, white space and marks at its ends apart: the first by `order`, or by the text itself."""
     key = F.lower(F.regexp_replace(F.trim(F.regexp_replace(text, r"\s+", " ")), r"^\W+|\W+$", ""))
-    return df.withColumn("_k", key).dropDuplicates(["_k"]).drop("_k")
+    rows = df.select(key.alias("_k"), F.struct(*df.columns).alias("_row"), F.struct(F.col(order or text), F.col(text)).alias("_o"))
+    return rows.groupBy("_k").agg(F.min_by("_row", "_o").alias("_row")).select("_row.*")
