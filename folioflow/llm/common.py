@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from hashlib import blake2b
 
@@ -13,23 +10,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-_U = np.uint64
-_own_dir: list[str] = []
-
+from ..sources.store import shared_folder
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where that is unset, a session on one machine uses a temporary folder, any
-    other the warehouse, which all its machines share."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        return conf.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.folioflow"
-    if not _own_dir:
-        path = tempfile.mkdtemp(prefix="folioflow-")
-        atexit.register(shutil.rmtree, path, True)
-        _own_dir.append(path)
-    return f"file://{_own_dir[0]}"
+_U = np.uint64
 
 
 class Workspace:
@@ -41,7 +24,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         path, fs = self._fs(self.root)
         fs.deleteOnExit(path)
 
