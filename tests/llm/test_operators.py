@@ -339,7 +339,8 @@ def test_html(spark):
     assert len(got) == len(rows) and (got.n_chars == got.text.str.len()).all()
     by = got.drop_duplicates("page_id").set_index("page_id").text
     for i in range(6):
-        assert by[i] == f"Title n{i} & more\nFirst para n{i}\nSecond bold line n{i}"  # what all pages of the host share is no article text
+        # What all pages of the host share goes around the article, not in it.
+        assert by[i] == f"Title n{i} & more\nFirst para n{i}\nSecond bold line n{i}\nShare this story"
     assert by[10] == by[11] == "" and by[12] == "plain text <b>\ntwo"
     assert html_text.extract(df.limit(0)).count() == 0
 
