@@ -119,7 +119,7 @@ def prompt_scores(t):
 
 
 @query("SELECT * FROM (VALUES ('Words longer than 5.', 1.0::DOUBLE)) v(prompt, validation)")
-def optimised_prompt(t):
+def prompt_optimised(t):
     """From a prompt that takes too many words to one that is right, by what is proposed from its failures."""
     def propose(prompt, failed, passed, tried):
         k = int(re.search(r"\d+", prompt)[0])
