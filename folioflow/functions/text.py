@@ -6,6 +6,7 @@ import json
 import re
 from ast import literal_eval
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -121,16 +122,19 @@ def token_chunks(text: str, size: int = 300) -> list[str]:
     return out
 
 
-def tokens_with_offsets(text: Column, pattern: str) -> Column:
-    """array of (token, start): what the pattern finds, one after the other, with its place in the text."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    nothing = F.struct(F.array().cast("array<struct<token: string, start: int>>").alias("out"), F.lit(1).alias("at"))
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _ends(sizes: pd.Series) -> pd.Series:
+    """Running sums of each array."""
+    return sizes.map(np.cumsum, na_action="ignore")
+
 
-    def step(acc, token):
-        start = F.call_function("locate", token, text, acc["at"])
-        return F.struct(F.concat(acc["out"], F.array(F.struct(token.alias("token"), (start - 1).alias("start")))).alias("out"), (start + F.length(token)).alias("at"))
+def tokens_with_offsets(text: Column, pattern: str) -> Column:
+    """array of (token, start): what the pattern finds, one after the other, with its place in the text.
 
-    return F.aggregate(found, nothing, step)["out"]
+    Each match is taken with the gap before it, so that places are running sums of lengths and the work grows with the text."""
+    found = lambda group: F.regexp_extract_all(text, F.lit(f"(?s:.*?)({pattern})"), F.lit(group))
+    ends = _ends(F.transform(found(0), lambda piece: F.length(piece)))
+    return F.zip_with(found(1), ends, lambda token, end: F.struct(token.alias("token"), (end - F.length(token)).alias("start")))
 
 
 def sentence_offsets(text: Column) -> Column:
@@ -138,7 +142,15 @@ def sentence_offsets(text: Column) -> Column:
 
 
 def word_offsets(text: Column) -> Column:
-    return tokens_with_offsets(text, r"\w+|[^\w\s]")
+    return tokens_with_offsets(text, r"\w+|[^\w \t\n\f\r]")
+
+
+def stand_in_place(text: Column, tokens: Column) -> Column:
+    """Whether each of tokens (token, start), in their order, stands in the text where it is said to, with white space between them:
+    they are written out at their places, and the text compared with that as a whole. Text is null: there is nothing out of place."""
+    ends = F.concat(F.array(F.lit(0)), F.transform(tokens, lambda w: w["start"] + F.length(w["token"])))
+    item = lambda w, end: F.concat(F.repeat(F.lit(" "), F.coalesce(w["start"], F.length(text)) - end), F.coalesce(w["token"], F.lit("")))
+    return F.when(text.isNull(), True).otherwise(F.array_join(F.zip_with(tokens, ends, item), "") == F.translate(text, "\t\n\f\r", "    "))
 
 
 def windows(text: str, most: int = 5000) -> list[str]:
