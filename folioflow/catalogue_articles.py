@@ -39,10 +39,11 @@ def _paper(t):
 
 
 #: What stands for the models' judgement here.
-GATES = {
-    "composition": L.says(r"(?i)\b(at|wt)\.?\s*%|composition"), "strength_table": L.says(r"(?i)\b(MPa|GPa)\b|strength"), "processing_parameters": L.says("(?i)anneal|homogeni|roll|melt|aging|cast|quench"),
-    "synthesis": L.says("(?i)melt|cast|roll|anneal|sinter|synthesi"),
+JUDGED = {
+    "composition": rf"(?iu){L.EDGE}(at|wt)\.?{L.BLANK}*%|composition", "strength_table": f"(?iu){L.EDGE}(MPa|GPa){L.EDGE}|strength", "processing_parameters": "(?iu)anneal|homogeni|roll|melt|aging|cast|quench",
+    "synthesis": "(?iu)melt|cast|roll|anneal|sinter|synthesi",
 }
+GATES = {name: L.says(pattern) for name, pattern in JUDGED.items()}
 _FLAGS = (
     "f AS (SELECT *, sub_titles = 'table' AS tab, regexp_matches(sub_titles, '(?i)introduction|experiment|preparation|method|conflict|acknowledge|support') OR sub_titles = 'table' AS barred, "
     "regexp_matches(sub_titles, '(?i)experiment|preparation|method') AS meth, regexp_matches(sub_titles, '(?i)result') AS res, bool_or(regexp_matches(sub_titles, '(?i)result')) OVER (PARTITION BY source) AS has_res, "
