@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import quoted_query, windows
 from ..operators.documents import with_places
-from .articles import _Canonical, parse_articles, scan_html
+from .articles import _Canonical, parse_articles, read_files, scan_html
 
 FULL_TEXT = "source string, doi string, title string, type_ string, page_content string, error string"
 
@@ -88,24 +88,17 @@ class _Text(_Canonical):
         super().handle_data(data)
 
 
-def _full(batches):
-    for pdf in batches:
-        rows = []
-        for source, content in zip(pdf["source"], pdf["content"], strict=True):
-            try:
-                p = _Text()
-                p.feed(content or "")
-                p.close()
-                rows += [(source, p.doi, p.title, "table", text, None) for kind, text in p.rows if kind == "table"]
-                rows += [(source, p.doi, p.title, "text", f"Title: {p.title}\n{w}", None) for w in windows("\n".join(p.lines))]
-            except Exception as e:  # errors are data
-                rows.append((source, None, None, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in FULL_TEXT.split(", ")])
+def _full(source, content):
+    p = _Text()
+    p.feed(content or "")
+    p.close()
+    rows = [(source, p.doi, p.title, "table", text, None) for kind, text in p.rows if kind == "table"]
+    return rows + [(source, p.doi, p.title, "text", f"Title: {p.title}\n{w}", None) for w in windows("\n".join(p.lines))]
 
 
 def full_texts(raw: DataFrame, include_table: bool = True) -> DataFrame:
     """Tables first (type_ table), then the body without them in pieces of at most 5000 tokens under the title (type_ text)."""
-    rows = raw.select("source", "content").mapInPandas(_full, FULL_TEXT)
+    rows = read_files(raw.select("source", "content"), FULL_TEXT, _full, lambda source, _, error: (source, None, None, None, None, error))
     return rows if include_table else rows.where("type_ <> 'table' OR type_ IS NULL")
 
 
