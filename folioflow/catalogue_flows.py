@@ -14,7 +14,7 @@ from .plans import extraction as X
 from .plans import requests as Q
 from .sources import publishers as P
 from .sources import sinks as K
-from .sources.store import stored
+from .sources.store import dealt, stored
 
 
 def _marked(t, *marks):
@@ -139,7 +139,7 @@ def _articles(t):
         text = _filled('<h2>1 {}</h2><p>It is <a href="#r">1,2</a>{}.</p><div><h3>1.1 More</h3><p>Size {}.</p></div>' + table + "<p> </p>", F.col("p_type"), F.col("p_name"), F.col("p_size").cast("string"))
         own = F.concat(head, _filled(doi, F.concat(F.lit("10.1000/P"), key)), _filled(abstract, F.col("p_brand")), _filled(body, text), F.lit("</body></html>"))
         page = F.when(F.col("p_partkey") % len(_NAMES) == k, own) if page is None else page.when(F.col("p_partkey") % len(_NAMES) == k, own)
-    return t("part").select(key.alias("source"), page.alias("content"))
+    return dealt(t("part").select("p_partkey", "p_name", "p_type", "p_size", "p_brand"), "p_partkey").select(key.alias("source"), page.alias("content"))
 
 
 _PUBLISHER = "CASE p_partkey % 8 " + " ".join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(_NAMES)) + " END"
@@ -162,5 +162,5 @@ def publisher_xml(t):
                        '<ce:para>{}<ce:table><ce:label>Table 1</ce:label><ce:caption>Values</ce:caption><c:tgroup><c:row><c:entry namest="col1" nameend="col2">wide</c:entry></c:row><c:row><c:entry>{}</c:entry><c:entry>b</c:entry></c:row></c:tgroup><ce:table-footnote>note</ce:table-footnote></ce:table> tail</ce:para></ce:section></ce:sections></full>', doi, kind, name, size)
     acs = _filled('<?xml version="1.0"?><article><front><publisher-name>American Chemical Society</publisher-name><article-id>{}</article-id><article-title>T</article-title></front><body><sec><title>1 {}</title><p>{} tail</p>'
                   '<table-wrap><label>Table 1</label><caption>Values</caption><table><tr><td colspan="2">wide</td></tr><tr><td>{}</td><td>b</td></tr></table><table-wrap-foot><fn>note</fn></table-wrap-foot></table-wrap></sec></body></article>', doi, kind, name, size)
-    raw = t("part").select(F.col("p_partkey").cast("string").alias("source"), F.when(F.col("p_partkey") % 2 == 0, elsevier).otherwise(acs).alias("content"))
+    raw = dealt(t("part").select("p_partkey", "p_name", "p_type", "p_size"), "p_partkey").select(F.col("p_partkey").cast("string").alias("source"), F.when(F.col("p_partkey") % 2 == 0, elsevier).otherwise(acs).alias("content"))
     return P.parse_publisher_files(raw).select("source", "publisher", "doi", F.col("type").alias("kind"), "text")

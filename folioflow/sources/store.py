@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
+#: Tasks for each core where rows are dealt out.
+_TASKS = 4
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,3 +41,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     dropped_at_end(spark, where)
     df.write.parquet(where)
     return spark.read.schema(df.schema).parquet(where)
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df's rows dealt by their keys over several tasks for each core: for narrow rows that cost much work each, which Spark reads in
+    one task or a few where their files are small."""
+    return df.repartition(_TASKS * df.sparkSession.sparkContext.defaultParallelism, *keys)

@@ -3,9 +3,15 @@
 import re
 import time
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
+from folioflow import catalogue, catalogue_flows, catalogue_plans  # noqa: F401
 from folioflow.functions import text
+from folioflow.sources import articles
+
+from .test_catalogue import DATA
 
 
 def test_word_offsets_of_a_long_text(spark):
@@ -24,3 +30,31 @@ def test_words_out_of_place(spark):
     rows = spark.createDataFrame([(0, "ab c", [("ab", 0), ("c", 3)]), (1, "ab c", [("ab", 0), ("c", 2)]), (2, "ab c", [("ab", 0), ("d", 3)]), (3, "ab c", [("ab", 0)]), (4, "ab c", [("ab", 1), ("c", 3)])], f"id int, t string, w {place}")
     got = dict(rows.select("id", text.stand_in_place(F.col("t"), F.col("w"))).collect())
     assert got == {0: True, 1: False, 2: False, 3: False, 4: False}
+
+
+@pytest.mark.parametrize("name", ["full_text_rows", "publisher_xml"])
+def test_pages_of_a_small_file_are_read_in_several_tasks(spark, name):
+    assert catalogue.QUERIES[name](spark, DATA).select(F.spark_partition_id()).distinct().count() > 4
+
+
+@pytest.mark.parametrize("name", ["publisher_layouts", "table_forms"])
+def test_pages_that_are_joined_are_read_in_several_tasks(spark, name):
+    plan = catalogue.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("MapInArrow") :]
+    assert "Repartition" in below[: below.index("Relation")]
+
+
+def test_a_worker_holds_the_rows_of_few_files():
+    class Raw:
+        def mapInArrow(self, run, schema):
+            return list(run(iter([pa.RecordBatch.from_pydict({"source": [str(k) for k in range(1000)], "content": ["x"] * 1000})])))
+
+    def read(source, content):
+        if source == "7":
+            raise ValueError("seven")
+        return [(source, 0, None), (source, 1, None)]
+
+    got = articles.read_files(Raw(), "source string, pos int, error string", read, lambda source, _, error: (source, None, error))
+    assert len(got) > 4 and max(b.num_rows for b in got) <= 256
+    rows = [r for b in got for r in b.to_pylist()]
+    assert len(rows) == 1999 and [r for r in rows if r["error"]] == [{"source": "7", "pos": None, "error": "ValueError: seven"}]
