@@ -14,6 +14,7 @@ from .plans import extraction as X
 from .plans import requests as Q
 from .sources import documents as S
 from .sources import sinks as K
+from .sources.store import dealt
 
 
 def _words(text: str):
@@ -142,7 +143,7 @@ def table_forms(t):
     """A table written as HTML, and a canonical page's table with a cell over two rows read back as text."""
     rows = F.array(F.array(F.lit("a"), F.lit("b")), F.array(F.col("p_size").cast("string"), F.lit(None).cast("string")))
     page = F.concat(F.lit('<html><head><title>T</title></head><body><div id="sections"><table><caption>'), "p_name", F.lit("</caption><tr><td>a</td><td>b</td></tr><tr><td rowspan=2>"), F.col("p_size").cast("string"), F.lit("</td><td></td></tr><tr><td>c</td></tr></table></div></body></html>"))
-    read = S.load(t("part").select(F.col("p_partkey").cast("string").alias("source"), page.alias("content"))).select(F.col("source").cast("long").alias("p_partkey"), F.col("page_content").alias("csv"))
+    read = S.load(dealt(t("part").select("p_partkey", "p_name", "p_size"), "p_partkey").select(F.col("p_partkey").cast("string").alias("source"), page.alias("content"))).select(F.col("source").cast("long").alias("p_partkey"), F.col("page_content").alias("csv"))
     made = t("part").select("p_partkey", K.table_html(F.col("p_name"), rows, F.array(F.lit("n & m"))).alias("html"))
     return made.join(read, "p_partkey")
 
@@ -151,7 +152,7 @@ def table_forms(t):
 def full_text_rows(t):
     """Tables first, then the rest of the body under its title."""
     page = F.concat(F.lit("<html><head><title>"), "p_name", F.lit('</title></head><body><div id="abstract"><p>In short.</p></div><div id="sections"><table><caption>C</caption><tr><td>a</td></tr></table><p>Size '), F.col("p_size").cast("string"), F.lit("</p></div></body></html>"))
-    got = S.load(t("part").select(F.col("p_partkey").cast("string").alias("source"), page.alias("content")), full_text=True)
+    got = S.load(dealt(t("part").select("p_partkey", "p_name", "p_size"), "p_partkey").select(F.col("p_partkey").cast("string").alias("source"), page.alias("content")), full_text=True)
     return got.select(F.col("source").cast("long").alias("p_partkey"), "type_", "page_content")
 
 
