@@ -11,7 +11,6 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -23,7 +22,7 @@ from . import keyed
 from .store import stored
 
 #: Cells at most, sampled vectors a cell for k-means, queries of a block, vectors multiplied at once.
-CELLS, SAMPLE, BLOCK, ROWS = 4096, 256, 1024, 2048
+CELLS, SAMPLE, BLOCK, ROWS = 4096, 256, 1024, 512
 
 
 def _matrix(column, dims: int) -> np.ndarray:
@@ -67,6 +66,15 @@ def with_cell(rows: DataFrame, column: str, centres: np.ndarray) -> DataFrame:
     return rows.mapInArrow(assigned, schema)
 
 
+def _kept(query: np.ndarray, names: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (query, id, similarity) the k most similar of each query, ties by id, in this order."""
+    order = np.lexsort((np.unique(names, return_inverse=True)[1], -score, query))
+    first = np.flatnonzero(np.diff(query[order], prepend=-1))
+    place = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
+    order = order[place < k]
+    return query[order], names[order], score[order]
+
+
 @dataclass
 class VectorIndex:
     """An index at a path: vectors/ by cell, and the centres of the cells."""
@@ -151,28 +159,32 @@ class VectorIndex:
         if not wanted.all():
             rows = rows.where(F.col("cell").isin(np.flatnonzero(wanted.any(0)).tolist()))
         kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+        id_kind = np.int64 if kinds[self.key] in ("bigint", "int", "smallint", "tinyint") else object
         sent, query_kind = self.spark.sparkContext.broadcast((asked, ids, wanted)), "long" if ids.dtype.kind in "iu" else "string"
 
         def best(batches):
             asked, ids, wanted = sent.value
-            held = pd.DataFrame({"query": np.zeros(0, np.int64), "id": [], "similarity": np.zeros(0)})
+            held = np.zeros(0, np.int64), np.zeros(0, id_kind), np.zeros(0)  # query, id, similarity: the best k of each query
             bound = np.full(len(asked), -np.inf)
             for batch in batches:
                 for a in range(0, batch.num_rows, ROWS):
                     part = batch.slice(a, ROWS)
-                    score = _matrix(part.column(2), dims) @ asked.T
-                    score[~wanted[:, part.column(1).to_numpy()].T] = -np.inf
-                    row, query = np.nonzero((score >= bound) & (score > -np.inf))
+                    score = asked @ _matrix(part.column(2), dims).T
+                    score[~wanted[:, part.column(1).to_numpy()]] = -np.inf
+                    if part.num_rows > k:  # what is below the k best of these rows, or of those before, is out
+                        least = np.maximum(bound, np.partition(score, part.num_rows - k, axis=1)[:, part.num_rows - k])
+                    else:
+                        least = bound
+                    query, row = np.nonzero((score >= least[:, None]) & (score > -np.inf))
                     if not len(row):
                         continue
                     names = part.column(0).to_numpy(zero_copy_only=False)
-                    held = pd.concat([held, pd.DataFrame({"query": query, "id": names[row], "similarity": score[row, query]})] if len(held) else [pd.DataFrame({"query": query, "id": names[row], "similarity": score[row, query]})])
-                    held = held.sort_values(["query", "similarity", "id"], ascending=[True, False, True]).groupby("query", sort=False).head(k)
-                    full = held.groupby("query")["similarity"].agg(["size", "min"])
-                    full = full[full["size"] == k]
-                    bound[full.index.to_numpy()] = full["min"].to_numpy()
-            if len(held):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[held["query"].to_numpy()]), pa.array(held["id"].to_list()), pa.array(held["similarity"].to_numpy())], names=["query_id", "id", "similarity"])
+                    held = _kept(np.concatenate([held[0], query]), np.concatenate([held[1], names[row]]), np.concatenate([held[2], score[query, row]]), k)
+                    first = np.flatnonzero(np.diff(held[0], prepend=-1))
+                    size = np.diff(first, append=len(held[0]))
+                    bound[held[0][first[size == k]]] = held[2][first[size == k] + k - 1]
+            if len(held[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[held[0]]), pa.array(held[1].tolist()), pa.array(held[2])], names=["query_id", "id", "similarity"])
 
         return rows.select(self.key, "cell", self.column).mapInArrow(best, f"query_id {query_kind}, id {kinds[self.key]}, similarity double")
 

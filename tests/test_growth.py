@@ -2,14 +2,18 @@
 
 import re
 import time
+import tracemalloc
+from types import SimpleNamespace
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow import catalogue, catalogue_flows, catalogue_plans  # noqa: F401
 from folioflow.functions import text
-from folioflow.sources import articles
+from folioflow.sources import articles, vector_index
 
 from .test_catalogue import DATA
 
@@ -58,3 +62,35 @@ def test_a_worker_holds_the_rows_of_few_files():
     assert len(got) > 4 and max(b.num_rows for b in got) <= 256
     rows = [r for b in got for r in b.to_pylist()]
     assert len(rows) == 1999 and [r for r in rows if r["error"]] == [{"source": "7", "pos": None, "error": "ValueError: seven"}]
+
+
+def test_a_search_holds_only_the_best():
+    rng = np.random.default_rng(3)
+    vectors = np.round(rng.normal(size=(5000, 16)) * 2)  # many equal products
+    asked = np.round(rng.normal(size=(1024, 16)) * 2)
+    peak = []
+
+    class Rows:
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("cell", T.IntegerType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            batches = [pa.RecordBatch.from_pydict({"id": pa.array(range(a, a + 2500), pa.int64()), "cell": pa.array([0] * 2500, pa.int32()), "embedding": pa.array(list(vectors[a : a + 2500]))}) for a in (0, 2500)]
+            tracemalloc.start()
+            out = list(run(iter(batches)))
+            peak.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            return pa.Table.from_batches(out)
+
+    class Session:
+        read = SimpleNamespace(parquet=lambda path: Rows())
+        sparkContext = SimpleNamespace(broadcast=lambda value: SimpleNamespace(value=value))
+
+    index = vector_index.VectorIndex(Session(), "", centres=np.zeros((1, 16)))
+    got = index._block(pa.table({"query_id": pa.array(range(1024), pa.int64()), "q": pa.array(list(asked))}), 10, None, None).to_pydict()
+    score = asked @ vectors.T
+    want = {(q, int(i)) for q in range(1024) for i in np.lexsort((np.arange(5000), -score[q]))[:10]}
+    assert set(zip(got["query_id"], got["id"], strict=True)) == want and len(got["id"]) == 10 * 1024
+    assert peak[0] < 60e6
