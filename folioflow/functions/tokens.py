@@ -1,7 +1,7 @@
 """Counts and chunks by a real tokenizer: any file of the tokenizers library, its path a parameter.
 
-Texts go through the library in Arrow batches. Where the tokenizer cuts its input into words before it looks them up, each
-distinct word of a batch is encoded once; otherwise whole texts are encoded, copies once.
+Texts go through the library in Arrow batches. Where the tokenizer cuts its input into words before it looks them up, a worker
+encodes a word once as long as it remembers it; otherwise whole texts are encoded, copies once.
 """
 
 from __future__ import annotations
@@ -47,18 +47,39 @@ def _cut_at_blanks(path: str) -> bool:
 _BLANK = re.compile(r"(?= \S)")
 
 
+#: Pieces a worker remembers, and how long one may be for that.
+_REMEMBERED, _SHORT = 400_000, 64
+
+
+@functools.lru_cache(maxsize=4)
+def _sizes(path: str) -> dict[str, int]:
+    """What a worker has counted with a file so far."""
+    return {}
+
+
+def _encoded(texts: list[str], path: str) -> list[int]:
+    return [len(e.ids) for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def counts(texts: list[str], path: str) -> np.ndarray:
-    """Tokens of each text."""
+    """Tokens of each text; short pieces between blanks are encoded once in a worker, not once in each batch."""
     if not texts:
         return np.zeros(0, np.int64)
-    own = tokenizer(path)
-    pieces = [_BLANK.split(t) for t in texts] if _cut_at_blanks(path) else [[t] for t in texts]
-    known = {p: i for i, p in enumerate(dict.fromkeys(itertools.chain.from_iterable(pieces)))}
-    each = np.array([len(e.ids) for e in own.encode_batch(list(known), add_special_tokens=False)], np.int64)
-    place = np.fromiter((known[p] for own_pieces in pieces for p in own_pieces), np.int64)
-    ends = np.cumsum([len(p) for p in pieces])
-    total = np.concatenate([[0], np.cumsum(each[place])])
-    return total[ends] - total[ends - np.array([len(p) for p in pieces])]
+    if not _cut_at_blanks(path):
+        fresh = list(dict.fromkeys(texts))
+        known = dict(zip(fresh, _encoded(fresh, path), strict=True))
+        return np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
+    pieces, known = [_BLANK.split(t) for t in texts], _sizes(path)
+    fresh = list(set(itertools.chain.from_iterable(pieces)).difference(known))
+    if len(known) + len(fresh) > _REMEMBERED:
+        known.clear()
+        fresh = list(set(itertools.chain.from_iterable(pieces)))
+    known.update(zip(fresh, _encoded(fresh, path), strict=True))
+    out = np.fromiter((sum(map(known.__getitem__, own)) for own in pieces), np.int64, len(texts))
+    for piece in fresh:
+        if len(piece) > _SHORT:
+            del known[piece]
+    return out
 
 
 def token_count(text: Column, path: str) -> Column:
@@ -80,21 +101,15 @@ def chunked(text: Column, path: str, most: int = 400, least: int = 200, split=se
     @F.pandas_udf("array<string>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            known: dict[str, int] = {}
-
-            def size(s: str) -> int:
-                return known[s]
-
-            out = []
-            for value in texts:
-                whole = value or ""
-                parts = [whole, *split(whole)]
-                fresh = [p for p in dict.fromkeys(parts) if p not in known]
-                if fresh:
-                    known.update(zip(fresh, counts(fresh, path).tolist(), strict=True))
-                out.append(chunk(whole, most, least, size, split))
-                if len(known) > 50_000:
-                    known.clear()
+            out, filled = [], list(texts.fillna(""))
+            for a in range(0, len(filled), _BATCH):
+                block = list(dict.fromkeys(filled[a : a + _BATCH]))
+                known = dict(zip(block, counts(block, path).tolist(), strict=True))
+                parts = {t: split(t) for t in block if known[t] > most}  # the others are one chunk each
+                fresh = list(dict.fromkeys(itertools.chain.from_iterable(parts.values())))
+                known.update(zip(fresh, counts(fresh, path).tolist(), strict=True))
+                made = {t: chunk(t, most, least, known.__getitem__, parts.get) for t in block}
+                out += [made[t] for t in filled[a : a + _BATCH]]
             yield pd.Series(out)
 
     return run(text)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioflow import catalogue, catalogue_flows, catalogue_plans  # noqa: F401
-from folioflow.functions import text
+from folioflow.functions import text, tokens
 from folioflow.sources import articles, vector_index
 
 from .test_catalogue import DATA
@@ -94,3 +94,18 @@ def test_a_search_holds_only_the_best():
     want = {(q, int(i)) for q in range(1024) for i in np.lexsort((np.arange(5000), -score[q]))[:10]}
     assert set(zip(got["query_id"], got["id"], strict=True)) == want and len(got["id"]) == 10 * 1024
     assert peak[0] < 60e6
+
+
+def test_a_worker_encodes_a_word_once(monkeypatch):
+    import public_tokenizers
+
+    path, asked = public_tokenizers.path("byte_bpe_50k.json"), []
+    texts = ["The naïve word, it's here:\nnext line!\n\nAnd  two blanks ... 3,14 e.g.\n x\n", "", "Größe;ß.\n a b,c ́.", "word" * 40 + ", end."]
+    want = [len(tokens.tokenizer(path).encode(t, add_special_tokens=False).ids) for t in texts]
+    encoded = tokens._encoded
+    monkeypatch.setattr(tokens, "_encoded", lambda fresh, own: asked.extend(fresh) or encoded(fresh, own))
+    tokens._sizes(path).clear()
+    for _ in range(3):  # batches
+        assert tokens.counts(texts, path).tolist() == want
+    short = [a for a in asked if len(a) <= 64]
+    assert len(short) == len(set(short)) and " word," in short and all(len(a) <= 64 for a in tokens._sizes(path))
