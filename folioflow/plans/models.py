@@ -74,6 +74,8 @@ def embedder(dims: int = 64):
 
 #: Buckets of words whose frequencies are learned.
 _WORDS = 1 << 16
+#: Words whose directions a worker remembers.
+_REMEMBERED = 100_000
 
 
 def _signs(word: str, dims: int) -> np.ndarray:
@@ -101,17 +103,21 @@ def learned_embedder(docs: DataFrame, text: str = "page_content", dims: int = 64
 
     @F.pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        weights, known = sent.value, {}
+        weights, known, rows = sent.value, {}, np.empty((_REMEMBERED, dims), np.float32)  # a word's place in rows
         for texts in batches:
             out = []
             for value in texts:
-                total = np.zeros(dims, np.float32)
-                for word, n in Counter(_WORD.findall((value or "").lower())).items():
-                    if word not in known:
-                        if len(known) > 100_000:
-                            known.clear()
-                        known[word] = weights[zlib.crc32(word.encode("utf-8", "surrogatepass")) % len(weights)] * _signs(word, dims)
-                    total += (1 + np.log(n)) * known[word]
+                words = Counter(_WORD.findall((value or "").lower()))
+                fresh = [w for w in words if w not in known]
+                if len(known) + len(fresh) > len(rows):
+                    known.clear()
+                    fresh = list(words)
+                    rows = rows if len(fresh) <= len(rows) else np.empty((len(fresh), dims), np.float32)
+                for word in fresh:
+                    rows[len(known)] = weights[zlib.crc32(word.encode("utf-8", "surrogatepass")) % len(weights)] * _signs(word, dims)
+                    known[word] = len(known)
+                times = np.fromiter(words.values(), np.float32, len(words))
+                total = (1 + np.log(times)) @ rows[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
                 length = np.linalg.norm(total)
                 out.append((total / length if length else total).tolist())
             yield pd.Series(out, dtype=object)

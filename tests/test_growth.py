@@ -3,9 +3,11 @@
 import re
 import time
 import tracemalloc
+from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from folioflow import catalogue, catalogue_flows, catalogue_plans  # noqa: F401
 from folioflow.functions import text, tokens
+from folioflow.plans import models
 from folioflow.sources import articles, vector_index
 
 from .test_catalogue import DATA
@@ -109,3 +112,19 @@ def test_a_worker_encodes_a_word_once(monkeypatch):
         assert tokens.counts(texts, path).tolist() == want
     short = [a for a in asked if len(a) <= 64]
     assert len(short) == len(set(short)) and " word," in short and all(len(a) <= 64 for a in tokens._sizes(path))
+
+
+def test_a_text_is_embedded_in_one_product(monkeypatch):
+    calls, log = [], np.log
+    docs = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda value: SimpleNamespace(value=value))))
+    monkeypatch.setattr(models, "word_weights", lambda docs, text: np.ones(1 << 16, np.float32))
+    monkeypatch.setattr(models.F, "pandas_udf", lambda kind: lambda f: f)
+    monkeypatch.setattr(models, "_REMEMBERED", 4)
+    embed = models.learned_embedder(docs, "t", 8)
+    monkeypatch.setattr(models.np, "log", lambda x: calls.append(1) or log(x))
+    own = ["a b a", "c d e", "f g h i j k", "", None, "b a a"]
+    got = np.array(next(embed(iter([pd.Series(own)]))).tolist())
+    assert len(calls) <= len(own)
+    for text_, v in zip(own, got, strict=True):
+        total = sum(((1 + log(n)) * models._signs(w, 8) for w, n in Counter((text_ or "").split()).items()), np.zeros(8))
+        assert np.allclose(v, total / (np.linalg.norm(total) or 1), atol=1e-6)
